@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analyses this library reproduces are all batch queries over finished
+tables: there is no watermark, event-time window, or per-key state anywhere in
+them, so no streaming operator is offered.  The batch operators accept
+streaming DataFrames where Spark allows the same plan (projections, filters,
+joins with static dimensions); aggregations over streams need a watermark that
+the caller chooses.
+"""
