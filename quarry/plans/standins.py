@@ -96,3 +96,45 @@ clean_weekly AS (
          CAST(sales AS DOUBLE) / CAST(transactions AS DOUBLE) AS avg_transaction
   FROM weekly_sales
 )"""
+
+
+# ---------------------------------------------------------------------- diner
+def sales(t: Tables) -> DataFrame:
+    """sales + menu: one row per lineitem, priced from part.
+
+    (order_id, line_no, product_id, supplier_id) is the unique line key."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t.part.select("p_partkey", "p_name", "p_retailprice")
+    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(p, F.col("l_partkey") == F.col("p_partkey"))
+              .select(F.col("o_custkey").alias("customer_id"),
+                      F.col("o_orderdate").cast("date").alias("order_date"),
+                      F.col("l_orderkey").alias("order_id"),
+                      F.col("l_linenumber").alias("line_no"),
+                      F.col("l_partkey").alias("product_id"),
+                      F.col("l_suppkey").alias("supplier_id"),
+                      F.col("p_name").alias("product_name"),
+                      money("p_retailprice").alias("price")))
+
+
+def members(t: Tables) -> DataFrame:
+    """members: join date = first urgent order of the customer."""
+    return (t.orders.where(F.col("o_orderpriority") == "1-URGENT")
+            .groupBy(F.col("o_custkey").alias("customer_id"))
+            .agg(F.min(F.col("o_orderdate").cast("date")).alias("join_date")))
+
+
+SALES_SQL = """
+sales AS (
+  SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date,
+         l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_partkey AS product_id,
+         l.l_suppkey AS supplier_id, p.p_name AS product_name,
+         CAST(p.p_retailprice AS DECIMAL(15,2)) AS price
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+),
+members AS (
+  SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS join_date
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
+)"""
