@@ -77,7 +77,7 @@ def period_growth(df: DataFrame, period_col: str, value: str, by=None,
     by = cols(by)
     g = df.groupBy(*by, period_col).agg(F.sum(as_col(value)).alias(name))
     w = Window.partitionBy(*by).orderBy(period_col) if by else Window.orderBy(period_col)
-    prev = F.lag(name).over(w)
-    return (g.withColumn(name, F.col(name).cast("double"))
-             .withColumn("previous", prev.cast("double"))
-             .withColumn("pct_change", ratio(F.col(name) - prev, prev)))
+    g = g.withColumn("_prev", F.lag(name).over(w))
+    return g.select(*by, period_col, F.col(name).cast("double").alias(name),
+                    F.col("_prev").cast("double").alias("previous"),
+                    ratio(F.col(name) - F.col("_prev"), F.col("_prev")).alias("pct_change"))

@@ -138,3 +138,40 @@ members AS (
   SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS join_date
   FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
 )"""
+
+
+# -------------------------------------------------------------- subscriptions
+# The plan price list (plan_id, plan_name, price; churn has none).
+PLANS = [(0, "trial", "0.00"), (1, "basic monthly", "9.90"), (2, "pro monthly", "19.90"),
+         (3, "pro annual", "199.00"), (4, "churn", None)]
+
+
+def plans(spark) -> DataFrame:
+    """The five-row price list: a parameter table of fixed size."""
+    return spark.createDataFrame(
+        [(i, n, p) for i, n, p in PLANS],
+        "plan_id int, plan_name string, price string").select(
+        "plan_id", "plan_name", F.col("price").cast("decimal(10,2)").alias("price"))
+
+
+def subscriptions(t: Tables) -> DataFrame:
+    """subscriptions: one state row per order; plan from the priority digit,
+    o_orderkey as the tie-break for same-day rows."""
+    o = t.orders
+    return o.select(F.col("o_custkey").alias("customer_id"),
+                    (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("plan_id"),
+                    F.col("o_orderdate").cast("date").alias("start_date"),
+                    F.col("o_orderkey").alias("sub_id"))
+
+
+SUBS_SQL = """
+plans AS (
+  SELECT plan_id, plan_name, CAST(price AS DECIMAL(10,2)) AS price
+  FROM (VALUES (0, 'trial', '0.00'), (1, 'basic monthly', '9.90'), (2, 'pro monthly', '19.90'),
+               (3, 'pro annual', '199.00'), (4, 'churn', NULL)) t(plan_id, plan_name, price)
+),
+subscriptions AS (
+  SELECT o_custkey AS customer_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS plan_id,
+         CAST(o_orderdate AS DATE) AS start_date, o_orderkey AS sub_id
+  FROM orders
+)"""
