@@ -175,3 +175,77 @@ subscriptions AS (
          CAST(o_orderdate AS DATE) AS start_date, o_orderkey AS sub_id
   FROM orders
 )"""
+
+
+# ----------------------------------------------------------------------- bank
+def _user_region(t: Tables) -> DataFrame:
+    return (t.customer.select("c_custkey", "c_nationkey")
+            .join(F.broadcast(t.nation.select("n_nationkey", "n_regionkey")),
+                  F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("c_custkey").alias("customer_id"),
+                    F.col("n_regionkey").alias("region_id")))
+
+
+def customer_nodes(t: Tables) -> DataFrame:
+    """customer_nodes: each event is a stay start at node = event_type; the
+    stay ends when the customer's next event starts."""
+    e = t.events.select(F.col("user_id").alias("customer_id"), F.col("event_type").alias("node"),
+                        F.col("ts").alias("start_ts"), "event_id")
+    return e.join(_user_region(t), "customer_id")
+
+
+def customer_transactions(t: Tables) -> DataFrame:
+    """customer_transactions: events as signed money movements."""
+    e = t.events
+    ttype = (F.when(F.col("event_type").isin("signup", "view"), "deposit")
+             .when(F.col("event_type") == "purchase", "purchase").otherwise("withdrawal"))
+    return e.select(F.col("user_id").alias("customer_id"),
+                    F.col("ts").cast("date").alias("txn_date"),
+                    ttype.alias("txn_type"),
+                    money("value").alias("txn_amount"), "event_id")
+
+
+BANK_SQL = """
+user_region AS (
+  SELECT c.c_custkey AS customer_id, n.n_regionkey AS region_id
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+customer_nodes AS (
+  SELECT e.user_id AS customer_id, e.event_type AS node, e.ts AS start_ts, e.event_id,
+         u.region_id
+  FROM events e JOIN user_region u ON e.user_id = u.customer_id
+),
+customer_transactions AS (
+  SELECT user_id AS customer_id, CAST(ts AS DATE) AS txn_date,
+         CASE WHEN event_type IN ('signup', 'view') THEN 'deposit'
+              WHEN event_type = 'purchase' THEN 'purchase' ELSE 'withdrawal' END AS txn_type,
+         CAST(value AS DECIMAL(15,2)) AS txn_amount, event_id
+  FROM events
+),
+signed AS (
+  SELECT *, CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE -txn_amount END AS signed_amount
+  FROM customer_transactions
+),
+daily AS (
+  SELECT customer_id, txn_date, SUM(signed_amount) AS net_amount,
+         SUM(SUM(signed_amount)) OVER (PARTITION BY customer_id ORDER BY txn_date
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           AS balance
+  FROM signed GROUP BY 1, 2
+),
+runs AS (
+  SELECT customer_id, run_id, MIN(region_id) AS region_id, MIN(start_ts) AS run_start,
+         MAX(end_ts) AS run_end, COUNT(end_ts) < COUNT(*) AS is_open
+  FROM (SELECT *, SUM(chg) OVER (PARTITION BY customer_id ORDER BY start_ts, event_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id
+        FROM (SELECT *, CASE WHEN LAG(node) OVER w IS NULL OR LAG(node) OVER w <> node
+                             THEN 1 ELSE 0 END AS chg,
+                     LEAD(start_ts) OVER w AS end_ts
+              FROM customer_nodes
+              WINDOW w AS (PARTITION BY customer_id ORDER BY start_ts, event_id)))
+  GROUP BY 1, 2
+),
+closed_runs AS (
+  SELECT *, (epoch_us(run_end) - epoch_us(run_start)) // 60000000 AS length
+  FROM runs WHERE NOT is_open
+)"""
