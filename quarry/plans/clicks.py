@@ -1 +1,53 @@
-"""placeholder"""
+"""Web-shop click-stream analyses (6.1-6.5) on the events table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import clicks as C
+from quarry.operators.totals import avg_children_per_parent, totals_by
+from quarry.plans.registry import register
+from quarry.sources.io import Tables
+
+
+def _e(spark, d):
+    return C.visits(Tables(spark, d).events, "user_id", "ts")
+
+
+@register("distinct_users", """
+SELECT COUNT(DISTINCT user_id) AS n_users FROM events""")
+def distinct_users(spark, d):
+    return totals_by(_e(spark, d), None, distinct={"n_users": "user_id"}, rows=None)
+
+
+@register("avg_visits_per_user", """
+SELECT CAST(SUM(n) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_children,
+       COUNT(*) AS n_parents
+FROM (SELECT user_id, COUNT(DISTINCT CAST(ts AS DATE)) AS n FROM events GROUP BY 1)""")
+def avg_visits_per_user(spark, d):
+    return avg_children_per_parent(_e(spark, d), "user_id", "visit_date")
+
+
+@register("distinct_visits_per_month", """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS period_start,
+       COUNT(DISTINCT (user_id, CAST(ts AS DATE))) AS n_visits
+FROM events GROUP BY 1""")
+def distinct_visits_per_month(spark, d):
+    return C.distinct_visits_per_period(_e(spark, d), "user_id", "visit_date", "ts", "month")
+
+
+@register("events_per_type", """
+SELECT event_type, COUNT(event_id) AS n_events FROM events GROUP BY 1""")
+def events_per_type(spark, d):
+    return totals_by(_e(spark, d), "event_type", counts={"n_events": "event_id"}, rows=None)
+
+
+@register("visit_conversion", """
+SELECT COUNT(*) AS n_visits, COUNT(*) FILTER (WHERE hit = 1) AS n_converted,
+       CAST(COUNT(*) FILTER (WHERE hit = 1) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS conversion
+FROM (SELECT user_id, CAST(ts AS DATE) AS d,
+             MAX(CAST(event_type = 'purchase' AS INTEGER)) AS hit
+      FROM events GROUP BY 1, 2)""")
+def visit_conversion(spark, d):
+    return C.visit_conversion(_e(spark, d), ["user_id", "visit_date"],
+                              F.col("event_type") == "purchase")
