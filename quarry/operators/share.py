@@ -82,3 +82,12 @@ def rate(df: DataFrame, by, success, name: str = "rate") -> DataFrame:
     return g.agg(F.count(F.lit(1)).alias("n_total"),
                  F.count_if(as_col(success)).alias("n_success"),
                  ratio(F.count_if(as_col(success)), F.count(F.lit(1))).alias(name))
+
+
+def pivot_counts(df: DataFrame, rows, pivot_col: str, values: list,
+                 prefix: str = "n_") -> DataFrame:
+    """Row counts per pivot value as columns, 0 where absent (2.4)."""
+    rows = cols(rows)
+    p = df.groupBy(*rows).pivot(pivot_col, list(values)).agg(F.count(F.lit(1)))
+    return p.select(*rows, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("bigint")
+                             .alias(prefix + _safe(v)) for v in values])

@@ -249,3 +249,130 @@ closed_runs AS (
   SELECT *, (epoch_us(run_end) - epoch_us(run_start)) // 60000000 AS length
   FROM runs WHERE NOT is_open
 )"""
+
+
+# ------------------------------------------------------------------- delivery
+def _s(c) -> F.Column:
+    return c.cast("string")
+
+
+def pizza_lines(t: Tables) -> DataFrame:
+    """customer_orders (dirty): one line per lineitem; the item is the part,
+    its type is the item name; exclusions / extras are comma lists of topping
+    ids written with the usual junk ('', 'null', 'NaN')."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t.part.select("p_partkey", "p_type", "p_size")
+    x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(p, F.col("l_partkey") == F.col("p_partkey")))
+    s, q = F.col("p_size"), F.col("l_quantity").cast("int")
+    excl = (F.when(q % 6 == 0, F.lit("")).when(q % 6 == 1, F.lit("null"))
+            .when(q % 6 == 2, _s(s % 12 + 1))
+            .when(q % 6 == 3, F.concat(_s(s % 12 + 1), F.lit(", "), _s((s + 3) % 12 + 1))))
+    ln = F.col("l_linenumber")
+    extra = (F.when(ln % 5 == 0, F.lit("NaN")).when(ln % 5 == 1, F.lit(""))
+             .when(ln % 5 == 2, _s(s % 12 + 1))
+             .when(ln % 5 == 3, F.concat(_s(s % 12 + 1), F.lit(", "), _s((s + 5) % 12 + 1))))
+    return x.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                    F.col("l_partkey").alias("pizza_id"), F.col("l_suppkey").alias("supplier_id"),
+                    F.col("o_custkey").alias("customer_id"), F.col("p_type").alias("pizza_name"),
+                    excl.alias("exclusions"), extra.alias("extras"),
+                    F.col("o_orderdate").alias("order_time"))
+
+
+def pizza_recipes(t: Tables) -> DataFrame:
+    """pizza_recipes: three distinct topping ids per part, as comma text."""
+    s = F.col("p_size")
+    return t.part.select(F.col("p_partkey").alias("pizza_id"),
+                         F.concat_ws(", ", _s(s % 12 + 1), _s((s + 3) % 12 + 1),
+                                     _s((s + 7) % 12 + 1)).alias("toppings"))
+
+
+def pizza_toppings(t: Tables) -> DataFrame:
+    """pizza_toppings: twelve names taken from nation (a fixed 25-row table)."""
+    return (t.nation.where(F.col("n_nationkey") < 12)
+            .select((F.col("n_nationkey") + 1).alias("topping_id"),
+                    F.col("n_name").alias("topping_name")))
+
+
+def runner_orders(t: Tables) -> DataFrame:
+    """runner_orders (dirty): one delivery per order, runner = lowest supplier
+    of its lines; text times, distances and durations with units and junk."""
+    per = (t.lineitem.groupBy("l_orderkey")
+           .agg(F.min("l_suppkey").alias("runner_id"), F.min("l_shipdate").alias("ship"),
+                F.max("l_shipdate").alias("last_ship"),
+                F.sum("l_quantity").cast("bigint").alias("q")))
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
+    x = per.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    cancelled = st == "P"
+    km = F.concat(_s(F.floor(F.col("q") / 10)), F.lit("."), _s(F.col("q") % 10))
+    dist = (F.when(cancelled, F.lit("null")).when(k % 4 == 0, F.concat(km, F.lit("km")))
+            .when(k % 4 == 1, F.concat(km, F.lit(" km"))).otherwise(km))
+    mins = _s(F.abs(F.datediff(F.col("last_ship").cast("date"),
+                               F.col("o_orderdate").cast("date"))) % 50 + 10)
+    dur = (F.when(cancelled, F.lit("null")).when(k % 3 == 0, F.concat(mins, F.lit(" minutes")))
+           .when(k % 3 == 1, F.concat(mins, F.lit("mins"))).otherwise(F.concat(mins, F.lit(" minute"))))
+    canc = (F.when(cancelled & (k % 2 == 0), F.lit("Restaurant Cancellation"))
+            .when(cancelled, F.lit("Customer Cancellation"))
+            .when(st == "F", F.lit(""))
+            .when(k % 3 == 0, F.lit("null")).when(k % 3 == 1, F.lit("NaN")))
+    pick = F.when(cancelled, F.lit("null")).otherwise(_s(F.col("ship")))
+    return x.select(k.alias("order_id"), "runner_id", pick.alias("pickup_time"),
+                    dist.alias("distance"), dur.alias("duration"), canc.alias("cancellation"))
+
+
+DELIVERY_SQL = """
+pizza_lines AS (
+  SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_partkey AS pizza_id,
+         l.l_suppkey AS supplier_id, o.o_custkey AS customer_id, p.p_type AS pizza_name,
+         CASE CAST(l.l_quantity AS INTEGER) % 6
+              WHEN 0 THEN '' WHEN 1 THEN 'null'
+              WHEN 2 THEN CAST(p.p_size % 12 + 1 AS VARCHAR)
+              WHEN 3 THEN CAST(p.p_size % 12 + 1 AS VARCHAR) || ', '
+                          || CAST((p.p_size + 3) % 12 + 1 AS VARCHAR) END AS exclusions,
+         CASE l.l_linenumber % 5
+              WHEN 0 THEN 'NaN' WHEN 1 THEN ''
+              WHEN 2 THEN CAST(p.p_size % 12 + 1 AS VARCHAR)
+              WHEN 3 THEN CAST(p.p_size % 12 + 1 AS VARCHAR) || ', '
+                          || CAST((p.p_size + 5) % 12 + 1 AS VARCHAR) END AS extras,
+         o.o_orderdate AS order_time
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+),
+pizza_recipes AS (
+  SELECT p_partkey AS pizza_id,
+         CAST(p_size % 12 + 1 AS VARCHAR) || ', ' || CAST((p_size + 3) % 12 + 1 AS VARCHAR)
+           || ', ' || CAST((p_size + 7) % 12 + 1 AS VARCHAR) AS toppings
+  FROM part
+),
+pizza_toppings AS (
+  SELECT n_nationkey + 1 AS topping_id, n_name AS topping_name FROM nation WHERE n_nationkey < 12
+),
+runner_orders AS (
+  SELECT o.o_orderkey AS order_id, a.runner_id,
+         CASE WHEN o.o_orderstatus = 'P' THEN 'null' ELSE CAST(a.ship AS VARCHAR) END
+           AS pickup_time,
+         CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+              WHEN o.o_orderkey % 4 = 0 THEN CAST(a.q // 10 AS VARCHAR) || '.'
+                   || CAST(a.q % 10 AS VARCHAR) || 'km'
+              WHEN o.o_orderkey % 4 = 1 THEN CAST(a.q // 10 AS VARCHAR) || '.'
+                   || CAST(a.q % 10 AS VARCHAR) || ' km'
+              ELSE CAST(a.q // 10 AS VARCHAR) || '.' || CAST(a.q % 10 AS VARCHAR) END AS distance,
+         CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+              WHEN o.o_orderkey % 3 = 0 THEN CAST(a.m AS VARCHAR) || ' minutes'
+              WHEN o.o_orderkey % 3 = 1 THEN CAST(a.m AS VARCHAR) || 'mins'
+              ELSE CAST(a.m AS VARCHAR) || ' minute' END AS duration,
+         CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'Restaurant Cancellation'
+              WHEN o.o_orderstatus = 'P' THEN 'Customer Cancellation'
+              WHEN o.o_orderstatus = 'F' THEN ''
+              WHEN o.o_orderkey % 3 = 0 THEN 'null'
+              WHEN o.o_orderkey % 3 = 1 THEN 'NaN' END AS cancellation
+  FROM (SELECT x.*, abs(datediff('day', CAST(oo.o_orderdate AS DATE),
+                                    CAST(x.last_ship AS DATE))) % 50 + 10 AS m
+        FROM (SELECT l_orderkey, MIN(l_suppkey) AS runner_id, MIN(l_shipdate) AS ship,
+                     MAX(l_shipdate) AS last_ship, CAST(SUM(l_quantity) AS BIGINT) AS q
+              FROM lineitem GROUP BY 1) x
+        JOIN orders oo ON x.l_orderkey = oo.o_orderkey) a
+  JOIN orders o ON a.l_orderkey = o.o_orderkey
+)"""
