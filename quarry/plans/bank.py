@@ -54,11 +54,28 @@ def run_durations(spark, d):
     return RU.run_durations(_n(spark, d), "customer_id", "start_ts", "node", ["event_id"])
 
 
+# Oracle: interpolation written out as (hi_pos - pos) * lo + (pos - lo_pos) * hi over
+# pos = (n - 1) * p, the formula of Spark's exact percentile aggregate.
 @register("run_duration_percentiles", W("""
-SELECT region_id, quantile_cont(CAST(length AS DOUBLE), 0.5) AS p50,
-       quantile_cont(CAST(length AS DOUBLE), 0.8) AS p80,
-       quantile_cont(CAST(length AS DOUBLE), 0.95) AS p95
-FROM closed_runs GROUP BY 1"""))
+, ranked AS (
+  SELECT region_id, CAST(length AS DOUBLE) AS v,
+         ROW_NUMBER() OVER (PARTITION BY region_id ORDER BY length) - 1 AS rn,
+         COUNT(*) OVER (PARTITION BY region_id) AS n
+  FROM closed_runs
+),
+pos AS (
+  SELECT region_id, CAST(MAX(n) - 1 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS pos_p50, CAST(MAX(n) - 1 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS pos_p80, CAST(MAX(n) - 1 AS DOUBLE) * CAST(0.95 AS DOUBLE) AS pos_p95
+  FROM ranked GROUP BY 1
+),
+picked AS (
+  SELECT p.*, MAX(CASE WHEN r.rn = floor(p.pos_p50) THEN r.v END) AS lo_p50, MAX(CASE WHEN r.rn = ceil(p.pos_p50) THEN r.v END) AS hi_p50, MAX(CASE WHEN r.rn = floor(p.pos_p80) THEN r.v END) AS lo_p80, MAX(CASE WHEN r.rn = ceil(p.pos_p80) THEN r.v END) AS hi_p80, MAX(CASE WHEN r.rn = floor(p.pos_p95) THEN r.v END) AS lo_p95, MAX(CASE WHEN r.rn = ceil(p.pos_p95) THEN r.v END) AS hi_p95
+  FROM pos p JOIN ranked r ON r.region_id = p.region_id GROUP BY ALL
+)
+SELECT region_id,
+       CASE WHEN floor(pos_p50) = ceil(pos_p50) OR lo_p50 = hi_p50 THEN lo_p50 ELSE (ceil(pos_p50) - pos_p50) * lo_p50 + (pos_p50 - floor(pos_p50)) * hi_p50 END AS p50,
+       CASE WHEN floor(pos_p80) = ceil(pos_p80) OR lo_p80 = hi_p80 THEN lo_p80 ELSE (ceil(pos_p80) - pos_p80) * lo_p80 + (pos_p80 - floor(pos_p80)) * hi_p80 END AS p80,
+       CASE WHEN floor(pos_p95) = ceil(pos_p95) OR lo_p95 = hi_p95 THEN lo_p95 ELSE (ceil(pos_p95) - pos_p95) * lo_p95 + (pos_p95 - floor(pos_p95)) * hi_p95 END AS p95
+FROM picked"""))
 def run_duration_percentiles(spark, d):
     r = RU.runs(_n(spark, d), "customer_id", "start_ts", "node", ["event_id"],
                 extra=["region_id"])

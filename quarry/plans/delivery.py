@@ -45,7 +45,9 @@ CLEAN_SQL = DELIVERY_SQL + f""",
 lines_clean AS (
   SELECT order_id, line_no, pizza_id, supplier_id, customer_id, pizza_name,
          CASE WHEN trim(exclusions) IN {SENT} THEN NULL ELSE exclusions END AS exclusions,
-         CASE WHEN trim(extras) IN {SENT} THEN NULL ELSE extras END AS extras, order_time
+         CASE WHEN trim(extras) IN {SENT} THEN NULL ELSE extras END AS extras, order_time,
+         ROW_NUMBER() OVER (ORDER BY order_id, line_no, pizza_id, supplier_id,
+                                     exclusions, extras) AS line_uid
   FROM pizza_lines
 ),
 deliveries AS (
@@ -66,12 +68,12 @@ delivered_lines AS (
   SELECT l.* FROM lines_clean l JOIN delivered d ON l.order_id = d.order_id
 ),
 excl AS (
-  SELECT l.order_id, l.line_no, l.pizza_id, l.supplier_id,
+  SELECT l.order_id, l.line_uid,
          TRY_CAST(trim(unnest(string_split(l.exclusions, ','))) AS INTEGER) AS topping_id
   FROM lines_clean l
 ),
 extr AS (
-  SELECT l.order_id, l.line_no, l.pizza_id, l.supplier_id,
+  SELECT l.order_id, l.line_uid,
          TRY_CAST(trim(unnest(string_split(l.extras, ','))) AS INTEGER) AS topping_id
   FROM lines_clean l
 ),
@@ -122,7 +124,7 @@ def rating_col(order_id):
     return ((F.col(order_id) * 37 + 11) % 97 % 5 + 1).cast("int")
 
 
-@register("clean_order_lines", W("SELECT * FROM lines_clean"))
+@register("clean_order_lines", W("SELECT * EXCLUDE (line_uid) FROM lines_clean"))
 def clean_order_lines(spark, d):
     return lines(spark, d)
 
@@ -341,14 +343,12 @@ def exclusion_counts(spark, d):
 
 _LINE_NAMES_SQL = """
 , ex_names AS (
-  SELECT e.order_id, e.line_no, e.pizza_id, e.supplier_id,
-         string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
-  FROM excl e JOIN pizza_toppings t ON e.topping_id = t.topping_id GROUP BY 1, 2, 3, 4
+  SELECT e.line_uid, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
+  FROM excl e JOIN pizza_toppings t ON e.topping_id = t.topping_id GROUP BY 1
 ),
 xt_names AS (
-  SELECT e.order_id, e.line_no, e.pizza_id, e.supplier_id,
-         string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
-  FROM extr e JOIN pizza_toppings t ON e.topping_id = t.topping_id GROUP BY 1, 2, 3, 4
+  SELECT e.line_uid, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
+  FROM extr e JOIN pizza_toppings t ON e.topping_id = t.topping_id GROUP BY 1
 )"""
 
 
@@ -357,8 +357,8 @@ SELECT l.order_id, l.line_no, l.pizza_id, l.supplier_id,
        l.pizza_name || COALESCE(' - Exclude ' || a.names, '') || COALESCE(' - Extra ' || b.names, '')
          AS label
 FROM lines_clean l
-LEFT JOIN ex_names a USING (order_id, line_no, pizza_id, supplier_id)
-LEFT JOIN xt_names b USING (order_id, line_no, pizza_id, supplier_id)"""))
+LEFT JOIN ex_names a ON a.line_uid = l.line_uid
+LEFT JOIN xt_names b ON b.line_uid = l.line_uid"""))
 def order_line_label(spark, d):
     x = L.order_line_label(lines_ids(spark, d), "pizza_name", "excl_ids", "extra_ids",
                            names(spark, d))
@@ -367,15 +367,12 @@ def order_line_label(spark, d):
 
 _MERGED_SQL = """
 , merged AS (
-  SELECT l.order_id, l.line_no, l.pizza_id, l.supplier_id, r.topping_id
+  SELECT l.order_id, l.line_uid, r.topping_id
   FROM lines_clean l JOIN recipe_items r ON l.pizza_id = r.pizza_id
   WHERE NOT EXISTS (SELECT 1 FROM excl e
-                    WHERE e.order_id = l.order_id AND e.line_no = l.line_no
-                      AND e.pizza_id = l.pizza_id AND e.supplier_id = l.supplier_id
-                      AND e.topping_id = r.topping_id)
+                    WHERE e.line_uid = l.line_uid AND e.topping_id = r.topping_id)
   UNION ALL
-  SELECT order_id, line_no, pizza_id, supplier_id, topping_id FROM extr
-  WHERE topping_id IS NOT NULL
+  SELECT order_id, line_uid, topping_id FROM extr WHERE topping_id IS NOT NULL
 )"""
 
 
@@ -383,14 +380,13 @@ _MERGED_SQL = """
 SELECT l.order_id, l.line_no, l.pizza_id, l.supplier_id,
        l.pizza_name || ': ' || COALESCE(m.txt, '') AS ingredients
 FROM lines_clean l LEFT JOIN (
-  SELECT order_id, line_no, pizza_id, supplier_id,
+  SELECT line_uid,
          string_agg(CASE WHEN n > 1 THEN CAST(n AS VARCHAR) || 'x' || topping_name
                          ELSE topping_name END, ', ' ORDER BY topping_name) AS txt
-  FROM (SELECT m.order_id, m.line_no, m.pizza_id, m.supplier_id, t.topping_name,
-               COUNT(*) AS n
+  FROM (SELECT m.line_uid, t.topping_name, COUNT(*) AS n
         FROM merged m JOIN pizza_toppings t ON m.topping_id = t.topping_id
-        GROUP BY 1, 2, 3, 4, 5)
-  GROUP BY 1, 2, 3, 4) m USING (order_id, line_no, pizza_id, supplier_id)"""))
+        GROUP BY 1, 2)
+  GROUP BY 1) m ON m.line_uid = l.line_uid"""))
 def merged_ingredient_list(spark, d):
     r = L.with_id_lists(pizza_recipes(Tables(spark, d)), {"toppings": "recipe_ids"})
     x = lines_ids(spark, d).join(r.select("pizza_id", "recipe_ids"), "pizza_id")
