@@ -15,42 +15,56 @@ from pyspark.sql import functions as F
 from quarry.operators._util import as_col, cols, ratio
 
 
+def with_row_end(df: DataFrame, key, ts: str, tie=None, end: str | None = None,
+                 end_col: str = "end_ts") -> DataFrame:
+    """Each row's end: the ``end`` column when rows are effective-dated
+    (NULL = open), else the next row's ``ts`` (NULL for a key's last row)."""
+    if end is not None:
+        return df.withColumn(end_col, F.col(end))
+    w = Window.partitionBy(*cols(key)).orderBy(F.col(ts), *[F.col(t) for t in cols(tie)])
+    return df.withColumn(end_col, F.lead(ts).over(w))
+
+
 def run_ids(df: DataFrame, key, ts: str, state: str, tie=None,
-            name: str = "run_id", end_col: str = "end_ts") -> DataFrame:
-    """Number the runs of equal consecutive ``state`` within each key and add
-    each row's end (the next row's ``ts``; NULL for the open last row)."""
+            name: str = "run_id") -> DataFrame:
+    """Number the runs of equal consecutive ``state`` within each key: LAG
+    flags a change, a running sum of the flags is the run id."""
     w = Window.partitionBy(*cols(key)).orderBy(F.col(ts), *[F.col(t) for t in cols(tie)])
     prev = F.lag(state).over(w)
     changed = F.when(prev.isNull() | (prev != F.col(state)), 1).otherwise(0)
-    return (df.withColumn(end_col, F.lead(ts).over(w))
-              .withColumn("_chg", changed)
+    return (df.withColumn("_chg", changed)
               .withColumn(name, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
               .drop("_chg"))
 
 
 def runs(df: DataFrame, key, ts: str, state: str, tie=None, unit: str = "MINUTE",
-         include_open: bool = False, extra=None) -> DataFrame:
+         include_open: bool = False, extra=None, end: str | None = None) -> DataFrame:
     """One row per run: key, state, run start/end and whole-unit length.
 
-    A run's end is the start of the next run.  The last run of a key has no
-    end and is dropped unless ``include_open`` (ruling X5)."""
-    x = run_ids(df, key, ts, state, tie)
-    g = x.groupBy(*cols(key), "run_id").agg(
+    Rows without an end (open stays) are dropped first unless
+    ``include_open`` (ruling X5); consecutive rows with the same state are
+    then merged, a run spanning from its first start to its last end."""
+    x = with_row_end(df, key, ts, tie, end)
+    if not include_open:
+        x = x.where(F.col("end_ts").isNotNull())
+    if unit.upper() == "DAY":
+        row_len = F.datediff(F.col("end_ts").cast("date"), F.col(ts).cast("date"))
+    else:
+        row_len = F.timestamp_diff(unit, F.col(ts), F.col("end_ts"))
+    x = run_ids(x.withColumn("_len", row_len), key, ts, state, tie)
+    # a run's length is the time spent in its rows (gaps between rows excluded)
+    return x.groupBy(*cols(key), "run_id").agg(
         F.first(state).alias(state),
         *[F.first(e).alias(e) for e in cols(extra)],
         F.min(ts).alias("run_start"),
         F.max("end_ts").alias("run_end"),
-        (F.count("end_ts") < F.count(F.lit(1))).alias("_open"))
-    if not include_open:
-        g = g.where(~F.col("_open"))
-    length = F.timestamp_diff(unit, F.col("run_start"), F.col("run_end"))
-    return g.drop("_open").withColumn("length", length)
+        F.sum("_len").alias("length"))
 
 
 def run_durations(df: DataFrame, key, ts: str, state: str, tie=None, unit: str = "MINUTE",
-                  by=None) -> DataFrame:
+                  by=None, end: str | None = None) -> DataFrame:
     """Mean closed-run length (4.3): exact sum / count."""
-    r = runs(df, key, ts, state, tie, unit, extra=by)
+    r = runs(df, key, ts, state, tie, unit, extra=by, end=end)
     g = r.groupBy(*cols(by)) if cols(by) else r.groupBy()
     return g.agg(ratio(F.sum("length"), F.count(F.lit(1))).alias("avg_length"),
                  F.count(F.lit(1)).alias("n_runs"))
