@@ -32,10 +32,14 @@ def with_id_lists(df: DataFrame, columns: dict, sep: str = ",") -> DataFrame:
     return out
 
 
+def names_of(ids: Column, names: Column) -> Column:
+    """Sorted names of an id array (unknown ids dropped)."""
+    return F.array_sort(F.array_compact(F.transform(ids, lambda i: F.element_at(names, i))))
+
+
 def names_text(ids: Column, names: Column, sep: str = ", ") -> Column:
     """Sorted, joined names of an id array; NULL when the array is NULL/empty."""
-    arr = F.array_sort(F.filter(F.transform(ids, lambda i: F.element_at(names, i)),
-                                lambda n: n.isNotNull()))
+    arr = names_of(ids, names)
     return F.when(F.size(arr) > 0, F.array_join(arr, sep))
 
 
@@ -76,32 +80,30 @@ def order_line_label(df: DataFrame, base: str, minus: str, plus: str, names: Col
 
 
 def merged_ids(recipe: str, minus: str, plus: str) -> Column:
-    """Multiset recipe - exclusions + extras as an id array (2.20, 2.21)."""
-    kept = F.filter(F.col(recipe), lambda r: ~F.coalesce(
-        F.array_contains(F.coalesce(F.col(minus), F.array().cast("array<int>")), r),
-        F.lit(False)))
-    return F.concat(kept, F.coalesce(F.col(plus), F.array().cast("array<int>")))
+    """Recipe - exclusions + extras as an id array (2.20, 2.21).  Recipe ids
+    are distinct, so the set difference is the multiset difference."""
+    empty = F.array().cast("array<int>")
+    kept = F.array_except(F.col(recipe), F.coalesce(F.col(minus), empty))
+    return F.concat(kept, F.coalesce(F.col(plus), empty))
 
 
 def merged_ingredient_list(df: DataFrame, base: str, recipe: str, minus: str, plus: str,
                            names: Column, out: str = "ingredients") -> DataFrame:
     """'<base>: 2xA, B, C' per line: recipe minus exclusions plus extras,
     each name once with its count as a prefix when above 1, sorted by name
-    (2.20, ruling X19: keyed by line)."""
+    (2.20, ruling X19: keyed by line).
+
+    The sorted name array is projected once; each distinct name's count is
+    size(arr) - size(array_remove(arr, name)), so only one flat lambda runs
+    per row."""
     x = _with_names(df, names)
-    names = F.col("_names")
-    m = merged_ids(recipe, minus, plus)
-    distinct = F.array_distinct(m)
-    items = F.transform(distinct, lambda i: F.struct(
-        F.element_at(names, i).alias("name"),
-        F.size(F.filter(m, lambda x: x == i)).alias("n")))
-    items = F.array_sort(F.filter(items, lambda s: s["name"].isNotNull()),
-                         lambda a, b: F.when(a["name"] < b["name"], -1)
-                         .when(a["name"] > b["name"], 1).otherwise(0))
-    text = F.array_join(F.transform(items, lambda s: F.when(
-        s["n"] > 1, F.concat(s["n"].cast("string"), F.lit("x"), s["name"])).otherwise(s["name"])),
-        ", ")
-    return x.withColumn(out, F.concat(F.col(base), F.lit(": "), text)).drop("_names")
+    x = x.withColumn("_arr", names_of(merged_ids(recipe, minus, plus), F.col("_names")))
+    arr = F.col("_arr")
+    text = F.array_join(F.transform(F.array_distinct(arr), lambda n: F.when(
+        F.size(arr) - F.size(F.array_remove(arr, n)) > 1,
+        F.concat((F.size(arr) - F.size(F.array_remove(arr, n))).cast("string"), F.lit("x"), n))
+        .otherwise(n)), ", ")
+    return x.withColumn(out, F.concat(F.col(base), F.lit(": "), text)).drop("_names", "_arr")
 
 
 def ingredient_totals(df: DataFrame, recipe: str, minus: str, plus: str, dim: DataFrame,

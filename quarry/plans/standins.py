@@ -38,23 +38,35 @@ def weekly_sales(t: Tables, ship_from=None, ship_to=None) -> DataFrame:
     geo = (F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
            .join(F.broadcast(t.region.select("r_regionkey", "r_name")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
+    x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(c, F.col("o_custkey") == F.col("c_custkey"))
+           .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    # net price in exact 1/10000 units: cents x percent, both integral, so the
+    # sums stay on 64-bit integers instead of wide decimals
+    e4 = (F.round(F.col("l_extendedprice") * 100).cast("bigint")
+          * F.round((1 - F.col("l_discount")) * 100).cast("bigint"))
+    # stage 1: per order and raw key columns (labels are computed afterwards,
+    # on far fewer rows); stage 2: per labelled group.  Two partial-aggregating
+    # stages replace a distinct aggregate (no Expand).
+    per_order = (x.groupBy(F.date_trunc("week", "l_shipdate").cast("date").alias("week_date"),
+                           "r_name", "l_linestatus", "c_mktsegment",
+                           (F.col("c_nationkey") % 4 + 1).alias("_band"), "o_orderstatus",
+                           "l_orderkey")
+                 .agg(F.sum(e4).alias("_e4")))
     letter = (F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"), F.lit("F"))
               .otherwise(F.lit("C")))
     segment = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null"))
-               .otherwise(F.concat(letter, (F.col("c_nationkey") % 4 + 1).cast("string"))))
+               .otherwise(F.concat(letter, F.col("_band").cast("string"))))
     ctype = (F.when(F.col("o_orderstatus") == "F", "Existing")
              .when(F.col("o_orderstatus") == "O", "New").otherwise("Guest"))
-    x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    return (x.groupBy(F.date_trunc("week", "l_shipdate").cast("date").alias("week_date"),
-                      F.col("r_name").alias("region"),
-                      F.when(F.col("l_linestatus") == "F", "Retail").otherwise("Shopify")
-                      .alias("platform"),
-                      segment.alias("segment"), ctype.alias("customer_type"))
-             .agg(F.count_distinct("l_orderkey").alias("transactions"),
-                  F.sum(money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)")))
-                  .alias("sales")))
+    return (per_order.groupBy(
+                "week_date", F.col("r_name").alias("region"),
+                F.when(F.col("l_linestatus") == "F", "Retail").otherwise("Shopify")
+                .alias("platform"),
+                segment.alias("segment"), ctype.alias("customer_type"))
+            .agg(F.count(F.lit(1)).alias("transactions"),
+                 (F.sum("_e4").cast("decimal(22,0)") / 10000).cast("decimal(22,4)")
+                 .alias("sales")))
 
 
 WEEKLY_SALES_SQL = """
