@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import ordered as O
 from quarry.operators._util import as_col, cols, ratio
 
 
@@ -38,7 +39,6 @@ def change_vs_previous(df: DataFrame, value: str, by, order, tie=None,
                        prev: str = "previous", pct: str = "pct_change") -> DataFrame:
     """Previous value within ``by`` in ``order`` (then ``tie``) and the
     relative change (2.15, ruling X17: ordered by time, not by the value)."""
-    w = Window.partitionBy(*cols(by)).orderBy(*[as_col(o) for o in cols(order) + cols(tie)])
-    p = F.lag(value).over(w)
-    return (df.withColumn(prev, p)
-              .withColumn(pct, ratio(F.col(value) - F.col(prev), F.col(prev))))
+    x = O.neighbors(df, by, cols(order) + cols(tie), [value], nxt=False,
+                    prefix=("_prev_", "_next_")).withColumnRenamed(f"_prev_{value}", prev)
+    return x.withColumn(pct, ratio(F.col(value) - F.col(prev), F.col(prev)))

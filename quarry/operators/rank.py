@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import ordered as O
 from quarry.operators._util import as_col, cols
 
 
@@ -81,19 +82,22 @@ def count_top_k_per(df: DataFrame, by, item, k: int = 1, ties: str = "all",
 
 def sequence_number(df: DataFrame, key, order, tie, name: str = "seq",
                     kind: str = "row_number") -> DataFrame:
-    """Position of each row within its key (E1), ordered by ``order`` then ``tie``."""
-    fn = {"row_number": F.row_number(), "rank": F.rank(), "dense_rank": F.dense_rank()}[kind]
+    """Position of each row within its key (E1), ordered by ``order`` then
+    ``tie``.  row_number is skew-safe (per key and day, stitched); dense_rank
+    of a single column ranks the distinct values."""
+    if kind == "row_number":
+        return O.row_number(df, key, cols(order) + cols(tie), name)
+    if kind == "dense_rank" and len(cols(order)) == 1:
+        return O.dense_rank_of(df, key, cols(order)[0], name)
+    fn = {"rank": F.rank(), "dense_rank": F.dense_rank()}[kind]
     w = Window.partitionBy(*cols(key)).orderBy(*_order(order, tie, False))
     return df.withColumn(name, fn.over(w))
 
 
-def masked_rank(df: DataFrame, by, order, where, name: str = "ranking",
-                kind: str = "dense_rank") -> DataFrame:
-    """Rank among the rows meeting ``where``; NULL for the others (1.12, E13).
-
-    The window is partitioned by (by, where) so the masked rows do not take
-    rank positions."""
-    flag = as_col(where)
-    fn = {"rank": F.rank(), "dense_rank": F.dense_rank(), "row_number": F.row_number()}[kind]
-    w = Window.partitionBy(*cols(by), flag).orderBy(*_order(order, None, False))
-    return df.withColumn(name, F.when(flag, fn.over(w)))
+def masked_rank(df: DataFrame, by, order: str, where, name: str = "ranking") -> DataFrame:
+    """DENSE_RANK of ``order`` among the rows meeting ``where``; NULL for the
+    others (1.12, E13).  The distinct (by, flag, value) triples are ranked and
+    joined back, so a hot key costs one row per distinct value."""
+    x = df.withColumn("_flag", as_col(where))
+    x = O.dense_rank_of(x, cols(by) + ["_flag"], order, "_dr")
+    return x.withColumn(name, F.when(F.col("_flag"), F.col("_dr"))).drop("_flag", "_dr")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import ordered as O
 from quarry.operators._util import as_col, cols, ratio
 
 
@@ -21,20 +22,20 @@ def with_row_end(df: DataFrame, key, ts: str, tie=None, end: str | None = None,
     (NULL = open), else the next row's ``ts`` (NULL for a key's last row)."""
     if end is not None:
         return df.withColumn(end_col, F.col(end))
-    w = Window.partitionBy(*cols(key)).orderBy(F.col(ts), *[F.col(t) for t in cols(tie)])
-    return df.withColumn(end_col, F.lead(ts).over(w))
+    x = O.neighbors(df, key, [ts] + cols(tie), [ts], prev=False)
+    return x.withColumnRenamed(f"next_{ts}", end_col)
 
 
 def run_ids(df: DataFrame, key, ts: str, state: str, tie=None,
             name: str = "run_id") -> DataFrame:
     """Number the runs of equal consecutive ``state`` within each key: LAG
-    flags a change, a running sum of the flags is the run id."""
-    w = Window.partitionBy(*cols(key)).orderBy(F.col(ts), *[F.col(t) for t in cols(tie)])
-    prev = F.lag(state).over(w)
-    changed = F.when(prev.isNull() | (prev != F.col(state)), 1).otherwise(0)
-    return (df.withColumn("_chg", changed)
-              .withColumn(name, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .drop("_chg"))
+    flags a change, a running sum of the flags is the run id (both skew-safe,
+    see ``quarry.operators.ordered``)."""
+    order = [ts] + cols(tie)
+    x = O.neighbors(df, key, order, [state], nxt=False, prefix=("_prev_", "_next_"))
+    prev = F.col(f"_prev_{state}")
+    x = x.withColumn("_chg", F.when(prev.isNull() | (prev != F.col(state)), 1).otherwise(0))
+    return O.running_sum(x, key, order, "_chg", name).drop("_chg", f"_prev_{state}")
 
 
 def runs(df: DataFrame, key, ts: str, state: str, tie=None, unit: str = "MINUTE",

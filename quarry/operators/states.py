@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import as_date
+from quarry.operators import ordered as O
 from quarry.operators._util import as_col, cols, ratio
 
 
@@ -20,14 +21,15 @@ def _w(key, ts, tie):
                                                                      for t in cols(tie)])
 
 
-def with_neighbors(df: DataFrame, key, ts: str, state: str, tie=None) -> DataFrame:
-    """Add prev_/next_ state and date plus the row's position."""
-    w = _w(key, ts, tie)
-    return (df.withColumn(f"prev_{state}", F.lag(state).over(w))
-              .withColumn(f"prev_{ts}", F.lag(ts).over(w))
-              .withColumn(f"next_{state}", F.lead(state).over(w))
-              .withColumn(f"next_{ts}", F.lead(ts).over(w))
-              .withColumn("state_seq", F.row_number().over(w)))
+def with_neighbors(df: DataFrame, key, ts: str, state: str, tie=None,
+                   granularity: str | None = "day") -> DataFrame:
+    """Add prev_/next_ state and date plus the row's position.
+
+    Skew-safe: computed per (key, day) and stitched across days
+    (``quarry.operators.ordered``)."""
+    order = [ts] + cols(tie)
+    x = O.neighbors(df, key, order, [state, ts], granularity=granularity)
+    return O.row_number(x, key, order, "state_seq", granularity)
 
 
 def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
@@ -123,18 +125,20 @@ def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, st
     row's own interval, so the expansion happens inside the task that holds
     the row -- there is no per-key collection.
     """
-    w = _w(key, ts, tie)
     p = F.broadcast(prices.select(F.col(state), F.col(price), F.col(name)))
     prev_price = p.select(F.col(state).alias("prev_state_"), F.col(price).alias("prev_price_"))
-    stop_first = F.min(F.when(F.col(state).isin(list(stop)), F.col(ts))).over(
-        Window.partitionBy(key))
-    x = (states.select(key, ts, state, *cols(tie))
-         .withColumn("_prev", F.lag(state).over(w))
-         .withColumn("_prev_ts", F.lag(ts).over(w))
-         .withColumn("_next_ts", F.lead(ts).over(w))
-         .withColumn("_stop", stop_first)
-         .where(F.col(state).isin(list(monthly) + list(annual)))
-         .where(F.col("_stop").isNull() | (F.col(ts) < F.col("_stop"))))
+    # first stop date per key: a partial-aggregating groupBy joined back (not a
+    # window over the whole key, which would put a hot key in one task)
+    stops = (states.where(F.col(state).isin(list(stop)))
+             .groupBy(key).agg(F.min(ts).alias("_stop")))
+    x = O.neighbors(states.select(key, ts, state, *cols(tie)), key, [ts] + cols(tie),
+                    [state, ts])
+    x = (x.withColumnRenamed(f"prev_{state}", "_prev")
+          .withColumnRenamed(f"prev_{ts}", "_prev_ts")
+          .withColumnRenamed(f"next_{ts}", "_next_ts")
+          .where(F.col(state).isin(list(monthly) + list(annual)))
+          .join(stops, key, "left")
+          .where(F.col("_stop").isNull() | (F.col(ts) < F.col("_stop"))))
     x = (x.join(p, state).join(F.broadcast(prev_price),
                                F.col("_prev") == F.col("prev_state_"), "left"))
     cut = as_date(cutoff)
@@ -164,5 +168,7 @@ def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, st
                      F.when((F.col("_p.i") == 0) & F.col("_credit"),
                             F.col(price) - F.col("prev_price_"))
                       .otherwise(F.col(price)).cast("double").alias("amount")))
+    # payment dates of one key are distinct (its state intervals do not
+    # overlap), so a key has at most one row per day here: a plain window
     wo = Window.partitionBy(key).orderBy("payment_date")
     return out.withColumn("payment_order", F.row_number().over(wo))
