@@ -18,10 +18,23 @@ from quarry.functions.text import split_ids
 from quarry.operators._util import as_col, cols
 
 
-def lookup_map(dim: DataFrame, key: str, value: str) -> Column:
-    """map<key, value> of a small dimension, as a scalar subquery."""
-    return dim.select(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))
-                                         )).scalar()
+MAX_LOOKUP = 10_000
+
+
+def lookup_map(dim: DataFrame, key: str, value: str, max_entries: int = MAX_LOOKUP) -> Column:
+    """map<key, value> of a small dimension, as a scalar subquery.
+
+    At most ``max_entries + 1`` rows are ever collected (``limit`` runs
+    first), and a larger dimension fails the query instead of being shipped:
+    the size bound is enforced, not assumed."""
+    m = (dim.select(key, value).limit(max_entries + 1)
+         .select(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))
+                 .alias("m")))
+    checked = m.select(F.when(F.size("m") > max_entries,
+                              F.raise_error(F.lit(f"lookup dimension exceeds {max_entries} "
+                                                  "entries; join it instead")))
+                       .otherwise(F.col("m")))
+    return checked.scalar()
 
 
 def with_id_lists(df: DataFrame, columns: dict, sep: str = ",") -> DataFrame:

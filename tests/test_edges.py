@@ -109,3 +109,38 @@ def test_shares_sum_to_one(spark):
     df = spark.range(100).withColumn("g", F.col("id") % 7)
     s = share_of_total(df, "g")
     assert abs(sum(r[0] for r in s.select("share").collect()) - 1.0) < 1e-12
+
+
+def test_month_series(spark):
+    from quarry.functions.dates import month_series
+    df = spark.createDataFrame([(D("2020-01-31"), D("2020-04-30")),
+                                (D("2020-01-31"), D("2020-04-29")),
+                                (D("2020-05-01"), D("2020-04-01"))], "a date, b date")
+    got = [r[0] for r in df.select(month_series("a", "b")).collect()]
+    assert got == [[D("2020-01-31"), D("2020-02-29"), D("2020-03-31"), D("2020-04-30")],
+                   [D("2020-01-31"), D("2020-02-29"), D("2020-03-31")], []]
+
+
+def test_lookup_map_is_bounded(spark):
+    import pytest
+    from quarry.operators.lists import lookup_map
+    dim = spark.range(50).selectExpr("cast(id as int) as k", "cast(id as string) as v")
+    ok = spark.range(1).select(lookup_map(dim, "k", "v", 100).alias("m")).first()["m"]
+    assert len(ok) == 50
+    with pytest.raises(Exception):
+        spark.range(1).select(lookup_map(dim, "k", "v", 10).alias("m")).collect()
+
+
+def test_csv_source_and_sink(spark, tmp_path):
+    from quarry.sources.io import read_csv, write_table
+    p = tmp_path / "pages.csv"
+    p.write_text("page_id,page_name,product_category,product_id\n"
+                 "1,Home Page,,\n2,All Products,,\n3,Salmon,Fish,1\n")
+    df = read_csv(spark, str(p), "page_id int, page_name string, "
+                                 "product_category string, product_id int")
+    assert [tuple(r) for r in df.orderBy("page_id").collect()] == [
+        (1, "Home Page", None, None), (2, "All Products", None, None), (3, "Salmon", "Fish", 1)]
+    out = str(tmp_path / "out")
+    write_table(df, out)
+    write_table(df.limit(1), out, mode="append")
+    assert spark.read.parquet(out).count() == 4
