@@ -36,45 +36,94 @@ def _bucketed(df: DataFrame, order, granularity: str) -> DataFrame:
     return df.withColumn(B, period_start(cols(order)[0], granularity))
 
 
-def neighbors(df: DataFrame, key, order, columns, prev: bool = True, nxt: bool = True,
-              granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
-    """Add prev_<c> / next_<c> (LAG / LEAD by ``order`` within ``key``)."""
-    keys, columns = cols(key), cols(columns)
+def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
+             runs_of: str | None = None, run_name: str = "run_id",
+             granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
+    """One pass giving, within ``key`` in ``order``: LAG of ``prev`` columns,
+    LEAD of ``nxt`` columns, the row number (``seq``) and the number of the
+    run of equal consecutive ``runs_of`` values (``run_name``).
+
+    Rows are windowed per (key, bucket); a single summary per (key, bucket)
+    carries each bucket's first/last values, row count and internal change
+    count; one window over the summaries turns those into boundary values and
+    offsets; one join brings them back."""
+    keys, order = cols(key), cols(order)
+    prev, nxt = cols(prev), cols(nxt)
     pp, np_ = prefix
     if granularity is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order))
-        out = df
-        for c in columns:
-            if prev:
-                out = out.withColumn(pp + c, F.lag(c).over(w))
-            if nxt:
-                out = out.withColumn(np_ + c, F.lead(c).over(w))
-        return out
-    x = _bucketed(df, order, granularity)
-    w = Window.partitionBy(*keys, B).orderBy(*_order(order))
-    wall = Window.partitionBy(*keys, B)
-    x = x.withColumn("_rn", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(wall))
-    for c in columns:
-        if prev:
+        x = df
+        for c in prev:
             x = x.withColumn(pp + c, F.lag(c).over(w))
-        if nxt:
+        for c in nxt:
             x = x.withColumn(np_ + c, F.lead(c).over(w))
-    ordkey = F.struct(*[F.col(o) for o in cols(order)])
-    vals = F.struct(*[F.col(c) for c in columns])
-    summ = x.groupBy(*keys, B).agg(F.max_by(vals, ordkey).alias("_last"),
-                                   F.min_by(vals, ordkey).alias("_first"))
+        if seq:
+            x = x.withColumn(seq, F.row_number().over(w))
+        if runs_of:
+            lg = F.lag(runs_of).over(w)
+            x = x.withColumn("_chg", F.when(lg.isNull() | (lg != F.col(runs_of)), 1).otherwise(0))
+            x = x.withColumn(run_name, F.sum("_chg").over(
+                w.rowsBetween(Window.unboundedPreceding, 0))).drop("_chg")
+        return x
+    x = _bucketed(df, order, granularity)
+    w = Window.partitionBy(*keys, B).orderBy(*_order(order))
+    x = (x.withColumn("_rn", F.row_number().over(w))
+          .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, B))))
+    for c in prev:
+        x = x.withColumn("_p_" + c, F.lag(c).over(w))
+    for c in nxt:
+        x = x.withColumn("_n_" + c, F.lead(c).over(w))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    ordkey = F.struct(*[F.col(o) for o in order])
+    last_cols = list(dict.fromkeys(prev + ([runs_of] if runs_of else [])))
+    first_cols = list(dict.fromkeys(nxt + ([runs_of] if runs_of else [])))
+    if last_cols:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in last_cols]), ordkey).alias("_last"))
+    if first_cols:
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), ordkey).alias("_first"))
+    if runs_of:
+        lg = F.lag(runs_of).over(w)
+        x = x.withColumn("_ich", F.when(F.col("_rn") == 1, 0)
+                         .when(lg.isNull() | (lg != F.col(runs_of)), 1).otherwise(0))
+        x = x.withColumn("_icum", F.sum("_ich").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        aggs.append(F.sum("_ich").alias("_itot"))
+    summ = x.groupBy(*keys, B).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(B)
-    summ = summ.select(*keys, B, F.lag("_last").over(ws).alias("_pl"),
-                       F.lead("_first").over(ws).alias("_nf"))
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    sel = [*keys, B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if last_cols:
+        sel.append(F.lag("_last").over(ws).alias("_pl"))
+    if first_cols:
+        sel.append(F.lead("_first").over(ws).alias("_nf"))
+    summ = summ.select(*sel, *(["_itot", "_first"] if runs_of else []))
+    if runs_of:
+        pl = F.col("_pl")[runs_of]
+        summ = summ.withColumn("_bchg", F.when(pl.isNull() | (pl != F.col("_first")[runs_of]), 1)
+                               .otherwise(0))
+        summ = summ.withColumn("_roff", F.coalesce(
+            F.sum(F.col("_bchg") + F.col("_itot")).over(before), F.lit(0)))
+        summ = summ.drop("_itot", "_first")
     x = x.join(summ, keys + [B], "left")
-    for c in columns:
-        if prev:
-            x = x.withColumn(pp + c, F.when(F.col("_rn") == 1, F.col("_pl")[c])
-                             .otherwise(F.col(pp + c)))
-        if nxt:
-            x = x.withColumn(np_ + c, F.when(F.col("_rn") == F.col("_cnt"), F.col("_nf")[c])
-                             .otherwise(F.col(np_ + c)))
-    return x.drop(B, "_rn", "_cnt", "_pl", "_nf")
+    for c in prev:
+        x = x.withColumn(pp + c, F.when(F.col("_rn") == 1, F.col("_pl")[c])
+                         .otherwise(F.col("_p_" + c)))
+    for c in nxt:
+        x = x.withColumn(np_ + c, F.when(F.col("_rn") == F.col("_cnt"), F.col("_nf")[c])
+                         .otherwise(F.col("_n_" + c)))
+    if seq:
+        x = x.withColumn(seq, (F.col("_off") + F.col("_rn")).cast("int"))
+    if runs_of:
+        x = x.withColumn(run_name, F.col("_roff") + F.col("_bchg") + F.col("_icum"))
+    drop = [B, "_rn", "_cnt", "_off", "_pl", "_nf", "_ich", "_icum", "_bchg", "_roff"]
+    drop += ["_p_" + c for c in prev] + ["_n_" + c for c in nxt]
+    return x.drop(*[d for d in drop if d in x.columns])
+
+
+def neighbors(df: DataFrame, key, order, columns, prev: bool = True, nxt: bool = True,
+              granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
+    """Add prev_<c> / next_<c> (LAG / LEAD by ``order`` within ``key``)."""
+    return stitched(df, key, order, prev=columns if prev else (), nxt=columns if nxt else (),
+                    granularity=granularity, prefix=prefix)
 
 
 def running_sum(df: DataFrame, key, order, value, name: str,
@@ -103,11 +152,15 @@ def running_sum(df: DataFrame, key, order, value, name: str,
 def row_number(df: DataFrame, key, order, name: str,
                granularity: str | None = "day") -> DataFrame:
     """Position of each row within its key (ROW_NUMBER), skew-safe."""
-    if granularity is None:
-        w = Window.partitionBy(*cols(key)).orderBy(*_order(order))
-        return df.withColumn(name, F.row_number().over(w))
-    out = running_sum(df, key, order, F.lit(1), name, granularity)
-    return out.withColumn(name, F.col(name).cast("int"))
+    return stitched(df, key, order, seq=name, granularity=granularity)
+
+
+def islands(df: DataFrame, key, order, state: str, name: str = "run_id", nxt=(),
+            granularity: str | None = "day") -> DataFrame:
+    """Run number of equal consecutive ``state`` values (plus optional LEAD
+    columns), in one stitched pass."""
+    return stitched(df, key, order, nxt=nxt, runs_of=state, run_name=name,
+                    granularity=granularity)
 
 
 def dense_rank_of(df: DataFrame, key, value: str, name: str) -> DataFrame:

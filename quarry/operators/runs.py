@@ -28,14 +28,10 @@ def with_row_end(df: DataFrame, key, ts: str, tie=None, end: str | None = None,
 
 def run_ids(df: DataFrame, key, ts: str, state: str, tie=None,
             name: str = "run_id") -> DataFrame:
-    """Number the runs of equal consecutive ``state`` within each key: LAG
-    flags a change, a running sum of the flags is the run id (both skew-safe,
-    see ``quarry.operators.ordered``)."""
-    order = [ts] + cols(tie)
-    x = O.neighbors(df, key, order, [state], nxt=False, prefix=("_prev_", "_next_"))
-    prev = F.col(f"_prev_{state}")
-    x = x.withColumn("_chg", F.when(prev.isNull() | (prev != F.col(state)), 1).otherwise(0))
-    return O.running_sum(x, key, order, "_chg", name).drop("_chg", f"_prev_{state}")
+    """Number the runs of equal consecutive ``state`` within each key: a
+    change flag from LAG and its running sum, in one skew-safe pass (see
+    ``quarry.operators.ordered``)."""
+    return O.islands(df, key, [ts] + cols(tie), state, name)
 
 
 def runs(df: DataFrame, key, ts: str, state: str, tie=None, unit: str = "MINUTE",
@@ -45,14 +41,24 @@ def runs(df: DataFrame, key, ts: str, state: str, tie=None, unit: str = "MINUTE"
     Rows without an end (open stays) are dropped first unless
     ``include_open`` (ruling X5); consecutive rows with the same state are
     then merged, a run spanning from its first start to its last end."""
-    x = with_row_end(df, key, ts, tie, end)
-    if not include_open:
-        x = x.where(F.col("end_ts").isNotNull())
+    if end is None:
+        # the end is the next row's start; dropping a key's last (open) row
+        # afterwards leaves every other row's predecessor unchanged, so run ids
+        # and ends come from the same pass
+        x = O.islands(df, key, [ts] + cols(tie), state, nxt=[ts])
+        x = x.withColumnRenamed(f"next_{ts}", "end_ts")
+        if not include_open:
+            x = x.where(F.col("end_ts").isNotNull())
+    else:
+        x = df.withColumn("end_ts", F.col(end))
+        if not include_open:
+            x = x.where(F.col("end_ts").isNotNull())
+        x = run_ids(x, key, ts, state, tie)
     if unit.upper() == "DAY":
         row_len = F.datediff(F.col("end_ts").cast("date"), F.col(ts).cast("date"))
     else:
         row_len = F.timestamp_diff(unit, F.col(ts), F.col("end_ts"))
-    x = run_ids(x.withColumn("_len", row_len), key, ts, state, tie)
+    x = x.withColumn("_len", row_len)
     # a run's length is the time spent in its rows (gaps between rows excluded)
     return x.groupBy(*cols(key), "run_id").agg(
         F.first(state).alias(state),

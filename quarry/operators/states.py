@@ -27,9 +27,8 @@ def with_neighbors(df: DataFrame, key, ts: str, state: str, tie=None,
 
     Skew-safe: computed per (key, day) and stitched across days
     (``quarry.operators.ordered``)."""
-    order = [ts] + cols(tie)
-    x = O.neighbors(df, key, order, [state, ts], granularity=granularity)
-    return O.row_number(x, key, order, "state_seq", granularity)
+    return O.stitched(df, key, [ts] + cols(tie), prev=[state, ts], nxt=[state, ts],
+                      seq="state_seq", granularity=granularity)
 
 
 def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
@@ -131,8 +130,8 @@ def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, st
     # window over the whole key, which would put a hot key in one task)
     stops = (states.where(F.col(state).isin(list(stop)))
              .groupBy(key).agg(F.min(ts).alias("_stop")))
-    x = O.neighbors(states.select(key, ts, state, *cols(tie)), key, [ts] + cols(tie),
-                    [state, ts])
+    x = O.stitched(states.select(key, ts, state, *cols(tie)), key, [ts] + cols(tie),
+                   prev=[state, ts], nxt=[ts])
     x = (x.withColumnRenamed(f"prev_{state}", "_prev")
           .withColumnRenamed(f"prev_{ts}", "_prev_ts")
           .withColumnRenamed(f"next_{ts}", "_next_ts")

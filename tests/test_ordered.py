@@ -46,3 +46,17 @@ def test_dense_rank_of(spark):
     from pyspark.sql import Window
     b = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("d")))
     _eq(O.dense_rank_of(df, "k", "d", "r"), b, ["id", "r"])
+
+
+def test_stitched_all_outputs(spark):
+    df = _data(spark)
+    kw = dict(prev=["s", "ts"], nxt=["s"], seq="q", runs_of="s")
+    a = O.stitched(df, "k", ["ts", "id"], **kw)
+    b = O.stitched(df, "k", ["ts", "id"], granularity=None, **kw)
+    _eq(a, b, ["id", "prev_s", "prev_ts", "next_s", "q", "run_id"])
+
+
+def test_islands_with_null_states(spark):
+    df = _data(spark).withColumn("s", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("s")))
+    _eq(O.islands(df, "k", ["ts", "id"], "s"),
+        O.islands(df, "k", ["ts", "id"], "s", granularity=None), ["id", "run_id"])
