@@ -64,7 +64,8 @@ def list_item_counts(df: DataFrame, list_col: str, dim: DataFrame, key: str, val
     partial row per id per task; the dimension is joined after aggregation."""
     ids = df.select(F.explode(F.col(list_col)).alias(key)).where(F.col(key).isNotNull())
     c = ids.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return c.join(F.broadcast(dim.select(key, value)), key, "left")
+    # joined after aggregation (one row per id); AQE picks the join strategy
+    return c.join(dim.select(key, value), key, "left")
 
 
 def _with_names(df: DataFrame, names: Column) -> DataFrame:
@@ -125,7 +126,7 @@ def ingredient_totals(df: DataFrame, recipe: str, minus: str, plus: str, dim: Da
     id, then the name."""
     ids = df.select(F.explode(merged_ids(recipe, minus, plus)).alias(key))
     c = ids.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return c.join(F.broadcast(dim.select(key, value)), key, "left")
+    return c.join(dim.select(key, value), key, "left")
 
 
 def append_all_items_row(recipes: DataFrame, dim: DataFrame, id_col: str, list_col: str,

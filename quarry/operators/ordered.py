@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.dates import period_start
 from quarry.operators._util import cols
@@ -33,7 +34,12 @@ def _order(order) -> list:
 
 
 def _bucketed(df: DataFrame, order, granularity: str) -> DataFrame:
-    return df.withColumn(B, period_start(cols(order)[0], granularity))
+    lead = cols(order)[0]
+    if not isinstance(df.schema[lead].dataType, (T.DateType, T.TimestampType,
+                                                 T.TimestampNTZType)):
+        raise ValueError(f"bucketing needs a date/timestamp leading order column, got {lead!r}; "
+                         "pass granularity=None for a plain window")
+    return df.withColumn(B, period_start(lead, granularity))
 
 
 def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
