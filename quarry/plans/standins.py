@@ -279,12 +279,12 @@ def pizza_lines(t: Tables) -> DataFrame:
            .join(p, F.col("l_partkey") == F.col("p_partkey")))
     s, q = F.col("p_size"), F.col("l_quantity").cast("int")
     excl = (F.when(q % 6 == 0, F.lit("")).when(q % 6 == 1, F.lit("null"))
-            .when(q % 6 == 2, _s(s % 12 + 1))
-            .when(q % 6 == 3, F.concat(_s(s % 12 + 1), F.lit(", "), _s((s + 3) % 12 + 1))))
+            .when(q % 6 == 2, _s(s % 25 + 1))
+            .when(q % 6 == 3, F.concat(_s(s % 25 + 1), F.lit(", "), _s((s + 3) % 25 + 1))))
     ln = F.col("l_linenumber")
     extra = (F.when(ln % 5 == 0, F.lit("NaN")).when(ln % 5 == 1, F.lit(""))
-             .when(ln % 5 == 2, _s(s % 12 + 1))
-             .when(ln % 5 == 3, F.concat(_s(s % 12 + 1), F.lit(", "), _s((s + 5) % 12 + 1))))
+             .when(ln % 5 == 2, _s(s % 25 + 1))
+             .when(ln % 5 == 3, F.concat(_s(s % 25 + 1), F.lit(", "), _s((s + 5) % 25 + 1))))
     return x.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
                     F.col("l_partkey").alias("pizza_id"), F.col("l_suppkey").alias("supplier_id"),
                     F.col("o_custkey").alias("customer_id"), F.col("p_type").alias("pizza_name"),
@@ -293,18 +293,17 @@ def pizza_lines(t: Tables) -> DataFrame:
 
 
 def pizza_recipes(t: Tables) -> DataFrame:
-    """pizza_recipes: three distinct topping ids per part, as comma text."""
+    """pizza_recipes: three distinct topping ids (1-25) per part, as comma text."""
     s = F.col("p_size")
     return t.part.select(F.col("p_partkey").alias("pizza_id"),
-                         F.concat_ws(", ", _s(s % 12 + 1), _s((s + 3) % 12 + 1),
-                                     _s((s + 7) % 12 + 1)).alias("toppings"))
+                         F.concat_ws(", ", _s(s % 25 + 1), _s((s + 3) % 25 + 1),
+                                     _s((s + 7) % 25 + 1)).alias("toppings"))
 
 
 def pizza_toppings(t: Tables) -> DataFrame:
-    """pizza_toppings: twelve names taken from nation (a fixed 25-row table)."""
-    return (t.nation.where(F.col("n_nationkey") < 12)
-            .select((F.col("n_nationkey") + 1).alias("topping_id"),
-                    F.col("n_name").alias("topping_name")))
+    """pizza_toppings: one topping per nation row (a fixed 25-row table)."""
+    return t.nation.select((F.col("n_nationkey") + 1).alias("topping_id"),
+                           F.col("n_name").alias("topping_name"))
 
 
 def runner_orders(t: Tables) -> DataFrame:
@@ -340,26 +339,26 @@ pizza_lines AS (
          l.l_suppkey AS supplier_id, o.o_custkey AS customer_id, p.p_type AS pizza_name,
          CASE CAST(l.l_quantity AS INTEGER) % 6
               WHEN 0 THEN '' WHEN 1 THEN 'null'
-              WHEN 2 THEN CAST(p.p_size % 12 + 1 AS VARCHAR)
-              WHEN 3 THEN CAST(p.p_size % 12 + 1 AS VARCHAR) || ', '
-                          || CAST((p.p_size + 3) % 12 + 1 AS VARCHAR) END AS exclusions,
+              WHEN 2 THEN CAST(p.p_size % 25 + 1 AS VARCHAR)
+              WHEN 3 THEN CAST(p.p_size % 25 + 1 AS VARCHAR) || ', '
+                          || CAST((p.p_size + 3) % 25 + 1 AS VARCHAR) END AS exclusions,
          CASE l.l_linenumber % 5
               WHEN 0 THEN 'NaN' WHEN 1 THEN ''
-              WHEN 2 THEN CAST(p.p_size % 12 + 1 AS VARCHAR)
-              WHEN 3 THEN CAST(p.p_size % 12 + 1 AS VARCHAR) || ', '
-                          || CAST((p.p_size + 5) % 12 + 1 AS VARCHAR) END AS extras,
+              WHEN 2 THEN CAST(p.p_size % 25 + 1 AS VARCHAR)
+              WHEN 3 THEN CAST(p.p_size % 25 + 1 AS VARCHAR) || ', '
+                          || CAST((p.p_size + 5) % 25 + 1 AS VARCHAR) END AS extras,
          o.o_orderdate AS order_time
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
 pizza_recipes AS (
   SELECT p_partkey AS pizza_id,
-         CAST(p_size % 12 + 1 AS VARCHAR) || ', ' || CAST((p_size + 3) % 12 + 1 AS VARCHAR)
-           || ', ' || CAST((p_size + 7) % 12 + 1 AS VARCHAR) AS toppings
+         CAST(p_size % 25 + 1 AS VARCHAR) || ', ' || CAST((p_size + 3) % 25 + 1 AS VARCHAR)
+           || ', ' || CAST((p_size + 7) % 25 + 1 AS VARCHAR) AS toppings
   FROM part
 ),
 pizza_toppings AS (
-  SELECT n_nationkey + 1 AS topping_id, n_name AS topping_name FROM nation WHERE n_nationkey < 12
+  SELECT n_nationkey + 1 AS topping_id, n_name AS topping_name FROM nation
 ),
 runner_orders AS (
   SELECT o.o_orderkey AS order_id, a.runner_id,
