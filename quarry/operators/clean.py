@@ -40,14 +40,17 @@ def clean_weekly(df: DataFrame, date_col: str = "week_date", segment: str = "seg
     """Typed weekly table with calendar parts, bands and mean ticket (5.0).
 
     Adds week_number, month_number, calendar_year, age_band, demographic and
-    avg_transaction; segment 'null' becomes 'unknown'."""
+    (when a transactions column is present) avg_transaction; segment 'null'
+    becomes 'unknown'."""
     d = as_col(date_col)
     seg = F.when(null_if_sentinel(segment).isNull(), F.lit("unknown")).otherwise(F.col(segment))
-    return (df
-            .withColumn(segment, seg)
-            .withColumn("week_number", week_number(d, week_scheme))
-            .withColumn("month_number", F.month(d))
-            .withColumn("calendar_year", F.year(d))
-            .withColumn("age_band", code_band(segment, age_bands or AGE_BANDS))
-            .withColumn("demographic", code_band(segment, demographic_bands or DEMOGRAPHIC_BANDS))
-            .withColumn("avg_transaction", ratio(sales, transactions)))
+    out = (df
+           .withColumn(segment, seg)
+           .withColumn("week_number", week_number(d, week_scheme))
+           .withColumn("month_number", F.month(d))
+           .withColumn("calendar_year", F.year(d))
+           .withColumn("age_band", code_band(segment, age_bands or AGE_BANDS))
+           .withColumn("demographic", code_band(segment, demographic_bands or DEMOGRAPHIC_BANDS)))
+    if transactions in df.columns:
+        out = out.withColumn("avg_transaction", ratio(sales, transactions))
+    return out

@@ -24,6 +24,11 @@ def cw(spark, d, **kw):
     return clean_weekly(weekly_sales(Tables(spark, d), **kw))
 
 
+def cws(spark, d, **kw):
+    """Clean weekly sales without the distinct-order count (sales-only analyses)."""
+    return cw(spark, d, transactions=False, **kw)
+
+
 def _with(sql: str) -> str:
     return "WITH " + CLEAN_WEEKLY_SQL + "\n" + sql
 
@@ -36,7 +41,7 @@ SELECT week_date, region, platform, segment, customer_type, transactions,
 
 register("weekday_of_week_date", _with("""
 SELECT dayname(week_date) AS weekday, COUNT(*) AS n_rows FROM clean_weekly GROUP BY 1"""))(
-    lambda spark, d: totals_by(cw(spark, d).withColumn("weekday", day_name("week_date")),
+    lambda spark, d: totals_by(cws(spark, d).withColumn("weekday", day_name("week_date")),
                                "weekday"))
 
 register("missing_weeks", _with("""
@@ -45,7 +50,7 @@ FROM (SELECT DISTINCT calendar_year FROM clean_weekly) y
 CROSS JOIN range(1, 53) w(week_number)
 WHERE NOT EXISTS (SELECT 1 FROM clean_weekly c
                   WHERE c.calendar_year = y.calendar_year AND c.week_number = w.week_number)"""))(
-    lambda spark, d: missing_periods(cw(spark, d), "week_number", 1, 52, by="calendar_year"))
+    lambda spark, d: missing_periods(cws(spark, d), "week_number", 1, 52, by="calendar_year"))
 
 
 def _totals_sql(by: list[str]) -> str:
@@ -74,12 +79,12 @@ def _pivot_sql(rows: list[str], col: str, values: list[str], where: str = "") ->
 
 register("platform_share_by_month",
          _pivot_sql(["calendar_year", "month_number"], "platform", ["Retail", "Shopify"]))(
-    lambda spark, d: pivot_share(cw(spark, d), ["calendar_year", "month_number"], "platform",
+    lambda spark, d: pivot_share(cws(spark, d), ["calendar_year", "month_number"], "platform",
                                  ["Retail", "Shopify"], "sales"))
 
 register("demographic_share_by_year",
          _pivot_sql(["calendar_year"], "demographic", ["Couples", "Families", "unknown"]))(
-    lambda spark, d: pivot_share(cw(spark, d), ["calendar_year"], "demographic",
+    lambda spark, d: pivot_share(cws(spark, d), ["calendar_year"], "demographic",
                                  ["Couples", "Families", "unknown"], "sales"))
 
 register("age_demographic_share_retail", _with("""
@@ -87,7 +92,7 @@ SELECT age_band, demographic, CAST(SUM(sales) AS DOUBLE) AS total_sales,
        CAST(SUM(sales) AS DOUBLE) / CAST((SELECT SUM(sales) FROM clean_weekly
                                            WHERE platform = 'Retail') AS DOUBLE) AS share
 FROM clean_weekly WHERE platform = 'Retail' GROUP BY age_band, demographic"""))(
-    lambda spark, d: share_of_total(cw(spark, d).where(F.col("platform") == "Retail"),
+    lambda spark, d: share_of_total(cws(spark, d).where(F.col("platform") == "Retail"),
                                     ["age_band", "demographic"], value="sales",
                                     name="total_sales")
     .withColumn("total_sales", F.col("total_sales").cast("double")))
@@ -120,7 +125,7 @@ def _ba_query(k: int, dims: list[str]):
     # widen by a week so the Monday-bucketed filter stays exact; pushed to parquet
     lo = (ev - dt.timedelta(days=7 * k + 7)).isoformat()
     hi = (ev + dt.timedelta(days=7 * k + 7)).isoformat()
-    return lambda spark, d: before_after(cw(spark, d, ship_from=lo, ship_to=hi), "week_date",
+    return lambda spark, d: before_after(cws(spark, d, ship_from=lo, ship_to=hi), "week_date",
                                          EVENT, "sales", k, dims)
 
 
@@ -147,4 +152,4 @@ FROM (SELECT calendar_year,
 for _k in KS:
     register(f"before_after_by_year_{_k}w", _bay_sql(_k))(
         (lambda k: lambda spark, d: before_after_by_year(
-            cw(spark, d), "week_number", "calendar_year", EVENT, "sales", k))(_k))
+            cws(spark, d), "week_number", "calendar_year", EVENT, "sales", k))(_k))

@@ -21,12 +21,14 @@ def money(c) -> F.Column:
 
 
 # ---------------------------------------------------------------- supermarket
-def weekly_sales(t: Tables, ship_from=None, ship_to=None) -> DataFrame:
+def weekly_sales(t: Tables, ship_from=None, ship_to=None, transactions: bool = True) -> DataFrame:
     """weekly_sales: lineitem by Monday week of l_shipdate x region x platform
     x segment x customer_type, with distinct orders as transactions.
 
     ``ship_from`` / ``ship_to`` pre-filter the lineitem scan (pushed to parquet)
-    when the caller only needs a date window."""
+    when the caller only needs a date window.  ``transactions=False`` leaves
+    out the distinct-order count and with it the per-order stage (one
+    aggregation instead of two) for analyses that only need sales."""
     li = t.lineitem.select("l_orderkey", "l_shipdate", "l_linestatus",
                            "l_extendedprice", "l_discount")
     if ship_from is not None:
@@ -48,25 +50,30 @@ def weekly_sales(t: Tables, ship_from=None, ship_to=None) -> DataFrame:
     # stage 1: per order and raw key columns (labels are computed afterwards,
     # on far fewer rows); stage 2: per labelled group.  Two partial-aggregating
     # stages replace a distinct aggregate (no Expand).
-    per_order = (x.groupBy(F.date_trunc("week", "l_shipdate").cast("date").alias("week_date"),
-                           "r_name", "l_linestatus", "c_mktsegment",
-                           (F.col("c_nationkey") % 4 + 1).alias("_band"), "o_orderstatus",
-                           "l_orderkey")
-                 .agg(F.sum(e4).alias("_e4")))
+    raw_keys = [F.date_trunc("week", "l_shipdate").cast("date").alias("week_date"),
+                "r_name", "l_linestatus", "c_mktsegment",
+                (F.col("c_nationkey") % 4 + 1).alias("_band"), "o_orderstatus"]
+    if transactions:
+        per = x.groupBy(*raw_keys, "l_orderkey").agg(F.sum(e4).alias("_e4"))
+        counted = F.count(F.lit(1))
+    else:
+        per = x.groupBy(*raw_keys).agg(F.sum(e4).alias("_e4"))
+        counted = None
     letter = (F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"), F.lit("F"))
               .otherwise(F.lit("C")))
     segment = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null"))
                .otherwise(F.concat(letter, F.col("_band").cast("string"))))
     ctype = (F.when(F.col("o_orderstatus") == "F", "Existing")
              .when(F.col("o_orderstatus") == "O", "New").otherwise("Guest"))
-    return (per_order.groupBy(
+    aggs = [(F.sum("_e4").cast("decimal(22,0)") / 10000).cast("decimal(22,4)").alias("sales")]
+    if counted is not None:
+        aggs.insert(0, counted.alias("transactions"))
+    return (per.groupBy(
                 "week_date", F.col("r_name").alias("region"),
                 F.when(F.col("l_linestatus") == "F", "Retail").otherwise("Shopify")
                 .alias("platform"),
                 segment.alias("segment"), ctype.alias("customer_type"))
-            .agg(F.count(F.lit(1)).alias("transactions"),
-                 (F.sum("_e4").cast("decimal(22,0)") / 10000).cast("decimal(22,4)")
-                 .alias("sales")))
+            .agg(*aggs))
 
 
 WEEKLY_SALES_SQL = """
