@@ -31,10 +31,13 @@ def weekly_sales(t: Tables, ship_from=None, ship_to=None, transactions: bool = T
     aggregation instead of two) for analyses that only need sales."""
     li = t.lineitem.select("l_orderkey", "l_shipdate", "l_linestatus",
                            "l_extendedprice", "l_discount")
+    # date literals are coerced to the column's timestamp type on the literal
+    # side, so the comparison stays a plain column predicate that parquet can
+    # push down (a cast on the column would not be)
     if ship_from is not None:
-        li = li.where(F.col("l_shipdate") >= F.to_timestamp(F.lit(ship_from)))
+        li = li.where(F.col("l_shipdate") >= F.to_date(F.lit(ship_from)))
     if ship_to is not None:
-        li = li.where(F.col("l_shipdate") < F.to_timestamp(F.lit(ship_to)))
+        li = li.where(F.col("l_shipdate") < F.to_date(F.lit(ship_to)))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = (F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))

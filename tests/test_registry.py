@@ -10,7 +10,11 @@ import __spark_entry__ as E
 
 SMOKE = "/root/testdata/sf0.001"
 SAMPLE = ["before_after_12w_by_region", "payment_schedule", "merged_ingredient_list",
-          "running_balance", "state_as_of", "top_item_per_customer", "visit_conversion"]
+          "running_balance", "state_as_of", "top_item_per_customer", "visit_conversion",
+          "platform_share_by_month", "before_after_by_year_4w", "qualified_customers_by_week",
+          "opening_sign_share", "revenue_growth_by_month", "balance_change_classes",
+          "avg_visits_per_user", "order_line_label", "run_duration_percentiles",
+          "delivery_report", "masked_dense_rank", "transition_counts", "missing_weeks"]
 
 
 def test_every_query_has_oracle():
