@@ -38,7 +38,7 @@ def period_close(balances: DataFrame, key, date: str, period: str = "month",
     g = (p.groupBy(*cols(key), "period_start")
           .agg(F.max_by("balance", F.col(date)).alias("closing_balance")))
     w = Window.partitionBy(*cols(key)).orderBy("period_start")
-    g = g.withColumn("period_rank", F.dense_rank().over(w))
+    g = g.withColumn("period_rank", F.dense_rank().over(w).cast("bigint"))
     if first_k is not None:
         g = g.where(F.col("period_rank") <= first_k)
     return g

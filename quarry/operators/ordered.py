@@ -64,7 +64,7 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         for c in nxt:
             x = x.withColumn(np_ + c, F.lead(c).over(w))
         if seq:
-            x = x.withColumn(seq, F.row_number().over(w))
+            x = x.withColumn(seq, F.row_number().over(w).cast("bigint"))
         if runs_of:
             lg = F.lag(runs_of).over(w)
             x = x.withColumn("_chg", F.when(lg.isNull() | (lg != F.col(runs_of)), 1).otherwise(0))
@@ -117,7 +117,7 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         x = x.withColumn(np_ + c, F.when(F.col("_rn") == F.col("_cnt"), F.col("_nf")[c])
                          .otherwise(F.col("_n_" + c)))
     if seq:
-        x = x.withColumn(seq, (F.col("_off") + F.col("_rn")).cast("int"))
+        x = x.withColumn(seq, (F.col("_off") + F.col("_rn")).cast("bigint"))
     if runs_of:
         x = x.withColumn(run_name, F.col("_roff") + F.col("_bchg") + F.col("_icum"))
     drop = [B, "_rn", "_cnt", "_off", "_pl", "_nf", "_ich", "_icum", "_bchg", "_roff"]
@@ -174,5 +174,6 @@ def dense_rank_of(df: DataFrame, key, value: str, name: str) -> DataFrame:
     pairs (one row per pair, partial-aggregated) and join back."""
     keys = cols(key)
     d = df.select(*keys, value).distinct()
-    d = d.withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(value)))
+    d = d.withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(value))
+                     .cast("bigint"))
     return df.join(d, keys + [value], "left")

@@ -91,7 +91,7 @@ def sequence_number(df: DataFrame, key, order, tie, name: str = "seq",
         return O.dense_rank_of(df, key, cols(order)[0], name)
     fn = {"rank": F.rank(), "dense_rank": F.dense_rank()}[kind]
     w = Window.partitionBy(*cols(key)).orderBy(*_order(order, tie, False))
-    return df.withColumn(name, fn.over(w))
+    return df.withColumn(name, fn.over(w).cast("bigint"))
 
 
 def masked_rank(df: DataFrame, by, order: str, where, name: str = "ranking") -> DataFrame:

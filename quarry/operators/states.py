@@ -165,4 +165,4 @@ def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, st
     # payment dates of one key are distinct (its state intervals do not
     # overlap), so a key has at most one row per day here: a plain window
     wo = Window.partitionBy(key).orderBy("payment_date")
-    return out.withColumn("payment_order", F.row_number().over(wo))
+    return out.withColumn("payment_order", F.row_number().over(wo).cast("bigint"))
