@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # post-shuffle partitions are sized from runtime statistics towards this
+    # target, so a cluster-wide spark.sql.shuffle.partitions can stay high
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
