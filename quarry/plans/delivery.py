@@ -101,7 +101,9 @@ def lines_ids(spark, d):
 def deliveries(spark, d):
     r = runner_orders(Tables(spark, d))
     return r.select("order_id", "runner_id",
-                    F.try_to_timestamp(null_if_sentinel("pickup_time")).alias("pickup_time"),
+                    # wall-clock time like every other timestamp column here
+                    F.try_to_timestamp(null_if_sentinel("pickup_time")).cast("timestamp_ntz")
+                    .alias("pickup_time"),
                     leading_number("distance", "decimal(10,2)").alias("distance_km"),
                     leading_number("duration", "int").alias("duration_min"),
                     null_if_sentinel("cancellation").alias("cancellation"))
