@@ -38,12 +38,38 @@ SCHEMAS = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one parquet table by name (A4), with its declared schema when known."""
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - statistics are an optimisation hint only
+        return 0
+
+
+def spread_if_undersplit(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin repartition an input that arrives in fewer splits than the
+    cluster has cores (e.g. one large unsplittable file or row group) and is
+    not tiny.  Planning only -- nothing is executed.  On a cluster reading
+    many files the scan already has >= defaultParallelism splits and this is
+    a no-op, so no shuffle is added at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target or _estimated_bytes(df) < min_bytes:
+        return df
+    return df.repartition(target)
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan one parquet table by name (A4), with its declared schema when
+    known; under-split inputs are spread over the cores (see
+    ``spread_if_undersplit``)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if name in SCHEMAS:
-        return spark.read.schema(SCHEMAS[name]).parquet(path)
-    return spark.read.parquet(path)
+        df = spark.read.schema(SCHEMAS[name]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+    return spread_if_undersplit(df) if spread else df
 
 
 class Tables:

@@ -144,3 +144,18 @@ def test_csv_source_and_sink(spark, tmp_path):
     write_table(df, out)
     write_table(df.limit(1), out, mode="append")
     assert spark.read.parquet(out).count() == 4
+
+
+def test_spread_only_undersplit_nontiny(spark, tmp_path):
+    from quarry.sources.io import spread_if_undersplit
+    target = spark.sparkContext.defaultParallelism
+    small = spark.range(10)
+    assert spread_if_undersplit(small, min_bytes=1 << 40) is small      # tiny: untouched
+    p = str(tmp_path / "one")
+    spark.range(200000).coalesce(1).write.parquet(p)
+    one = spark.read.parquet(p)
+    spread = spread_if_undersplit(one, min_bytes=1)
+    assert spread.rdd.getNumPartitions() == target
+    assert spread.count() == 200000
+    many = spark.range(0, 1000, numPartitions=target * 2)
+    assert spread_if_undersplit(many, min_bytes=1) is many             # already split
