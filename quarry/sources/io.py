@@ -38,7 +38,7 @@ SCHEMAS = {
 }
 
 
-SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MIN_BYTES = 8 << 20
 
 
 def _estimated_bytes(df: DataFrame) -> int:
