@@ -6,7 +6,9 @@ the scan.  CSV inputs are read with a declared schema, never inferred.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,10 +44,18 @@ SPREAD_MIN_BYTES = 8 << 20
 
 
 def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - statistics are an optimisation hint only
-        return 0
+    """Total size of the scan's input files when they are local files; 0 (no
+    estimate) for remote stores, where inputs are many and already split."""
+    total = 0
+    for uri in df.inputFiles():
+        parsed = urlparse(uri)
+        if parsed.scheme not in ("", "file"):
+            return 0
+        try:
+            total += os.path.getsize(unquote(parsed.path))
+        except OSError:
+            return 0
+    return total
 
 
 def spread_if_undersplit(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
