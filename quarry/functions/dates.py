@@ -57,8 +57,11 @@ def anchored_week(d, anchor) -> Column:
 
 
 def period_start(d, period: str) -> Column:
-    """Bucket a date/timestamp to the start DATE of its day/week/month/quarter/year."""
+    """Bucket a date/timestamp to the start DATE of its day/week/month/quarter/year,
+    or (timestamps only) to the start TIMESTAMP of its hour/minute."""
     d = as_col(d)
+    if period in ("hour", "minute"):
+        return F.date_trunc(period, d)
     if period == "day":
         return d.cast("date")
     if period == "week":

@@ -13,8 +13,10 @@ the buckets together through a per-(key, bucket) summary:
 * a join on (key, bucket) brings them back; the large side is already hash
   partitioned on exactly those columns, so only the summary is shuffled.
 
-Results equal the single-window versions.  ``granularity=None`` falls back
-to the plain window (fewer stages, for keys known to be small).
+Results equal the single-window versions.  ``granularity`` may be "minute",
+"hour" (timestamps), "day" (default), "week", "month", ... -- finer buckets
+split a hotter key further; ``granularity=None`` falls back to the plain
+window (fewer stages, for keys known to be small).
 """
 
 from __future__ import annotations

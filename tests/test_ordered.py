@@ -60,3 +60,11 @@ def test_islands_with_null_states(spark):
     df = _data(spark).withColumn("s", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("s")))
     _eq(O.islands(df, "k", ["ts", "id"], "s"),
         O.islands(df, "k", ["ts", "id"], "s", granularity=None), ["id", "run_id"])
+
+
+def test_hour_buckets(spark):
+    df = _data(spark)
+    kw = dict(prev=["s"], nxt=["ts"], seq="q", runs_of="s")
+    _eq(O.stitched(df, "k", ["ts", "id"], granularity="hour", **kw),
+        O.stitched(df, "k", ["ts", "id"], granularity=None, **kw),
+        ["id", "prev_s", "next_ts", "q", "run_id"])
