@@ -319,7 +319,7 @@ def pizza_toppings(t: Tables) -> DataFrame:
 def runner_orders(t: Tables) -> DataFrame:
     """runner_orders (dirty): one delivery per order, runner = lowest supplier
     of its lines; text times, distances and durations with units and junk."""
-    per = (t.lineitem.groupBy("l_orderkey")
+    per = (t.raw("lineitem").groupBy("l_orderkey")
            .agg(F.min("l_suppkey").alias("runner_id"), F.min("l_shipdate").alias("ship"),
                 F.max("l_shipdate").alias("last_ship"),
                 F.sum("l_quantity").cast("bigint").alias("q")))

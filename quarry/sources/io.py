@@ -96,6 +96,11 @@ class Tables:
             return df
         raise AttributeError(name)
 
+    def raw(self, name: str) -> DataFrame:
+        """The scan without the under-split spread, for consumers whose first
+        step is an aggregation (its shuffle already spreads the work)."""
+        return load(self.spark, self.sf_dir, name, spread=False)
+
     @cached_property
     def names(self) -> tuple[str, ...]:
         return DRIVER_TABLES
