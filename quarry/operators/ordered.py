@@ -35,18 +35,38 @@ def _order(order) -> list:
     return [F.col(o).asc() for o in cols(order)]
 
 
-def _bucketed(df: DataFrame, order, granularity: str) -> DataFrame:
+# Keys with more rows than HOT_ROWS are split into time buckets; the hottest
+# MAX_HOT of them are found by a partial-aggregating count and broadcast (at
+# most MAX_HOT rows: a hard bound).  Every other key is one bucket, so its
+# summary is a single row.
+HOT_ROWS = 1_000_000
+MAX_HOT = 100_000
+
+
+def _bucketed(df: DataFrame, order, granularity: str, keys=None,
+              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     lead = cols(order)[0]
     if not isinstance(df.schema[lead].dataType, (T.DateType, T.TimestampType,
                                                  T.TimestampNTZType)):
         raise ValueError(f"bucketing needs a date/timestamp leading order column, got {lead!r}; "
                          "pass granularity=None for a plain window")
-    return df.withColumn(B, period_start(lead, granularity))
+    x = df.withColumn(B, period_start(lead, granularity))
+    if hot_rows is None or not keys:
+        return x
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+             .where(F.col("_kn") > hot_rows)
+             .orderBy(F.col("_kn").desc()).limit(MAX_HOT)
+             .select(*keys, F.lit(True).alias("_hot")))
+    const = F.lit("1970-01-01").cast(x.schema[B].dataType)
+    return (x.join(F.broadcast(hot), keys, "left")
+             .withColumn(B, F.when(F.col("_hot"), F.col(B)).otherwise(const))
+             .drop("_hot"))
 
 
 def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
              runs_of: str | None = None, run_name: str = "run_id",
-             granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
+             granularity: str | None = "day", prefix=("prev_", "next_"),
+             hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One pass giving, within ``key`` in ``order``: LAG of ``prev`` columns,
     LEAD of ``nxt`` columns, the row number (``seq``) and the number of the
     run of equal consecutive ``runs_of`` values (``run_name``).
@@ -54,7 +74,8 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
     Rows are windowed per (key, bucket); a single summary per (key, bucket)
     carries each bucket's first/last values, row count and internal change
     count; one window over the summaries turns those into boundary values and
-    offsets; one join brings them back."""
+    offsets; one join brings them back.  Only keys with more than
+    ``hot_rows`` rows are split into buckets (``hot_rows=None``: every key)."""
     keys, order = cols(key), cols(order)
     prev, nxt = cols(prev), cols(nxt)
     pp, np_ = prefix
@@ -73,7 +94,7 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
             x = x.withColumn(run_name, F.sum("_chg").over(
                 w.rowsBetween(Window.unboundedPreceding, 0))).drop("_chg")
         return x
-    x = _bucketed(df, order, granularity)
+    x = _bucketed(df, order, granularity, keys, hot_rows)
     w = Window.partitionBy(*keys, B).orderBy(*_order(order))
     x = (x.withColumn("_rn", F.row_number().over(w))
           .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, B))))
@@ -135,7 +156,7 @@ def neighbors(df: DataFrame, key, order, columns, prev: bool = True, nxt: bool =
 
 
 def running_sum(df: DataFrame, key, order, value, name: str,
-                granularity: str | None = "day") -> DataFrame:
+                granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Cumulative sum of ``value`` in ``order`` within ``key`` (rows frame:
     each row includes itself and everything before it)."""
     keys = cols(key)
@@ -144,7 +165,7 @@ def running_sum(df: DataFrame, key, order, value, name: str,
         w = (Window.partitionBy(*keys).orderBy(*_order(order))
              .rowsBetween(Window.unboundedPreceding, 0))
         return df.withColumn(name, F.sum(v).over(w))
-    x = _bucketed(df, order, granularity).withColumn("_v", v)
+    x = _bucketed(df, order, granularity, keys, hot_rows).withColumn("_v", v)
     w = (Window.partitionBy(*keys, B).orderBy(*_order(order))
          .rowsBetween(Window.unboundedPreceding, 0))
     x = x.withColumn("_in", F.sum("_v").over(w))
@@ -158,17 +179,17 @@ def running_sum(df: DataFrame, key, order, value, name: str,
 
 
 def row_number(df: DataFrame, key, order, name: str,
-               granularity: str | None = "day") -> DataFrame:
+               granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Position of each row within its key (ROW_NUMBER), skew-safe."""
-    return stitched(df, key, order, seq=name, granularity=granularity)
+    return stitched(df, key, order, seq=name, granularity=granularity, hot_rows=hot_rows)
 
 
 def islands(df: DataFrame, key, order, state: str, name: str = "run_id", nxt=(),
-            granularity: str | None = "day") -> DataFrame:
+            granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Run number of equal consecutive ``state`` values (plus optional LEAD
     columns), in one stitched pass."""
     return stitched(df, key, order, nxt=nxt, runs_of=state, run_name=name,
-                    granularity=granularity)
+                    granularity=granularity, hot_rows=hot_rows)
 
 
 def dense_rank_of(df: DataFrame, key, value: str, name: str) -> DataFrame:

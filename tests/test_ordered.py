@@ -27,16 +27,16 @@ def _eq(a, b, cols):
 
 def test_neighbors(spark):
     df = _data(spark)
-    a = O.neighbors(df, "k", ["ts", "id"], ["s", "ts"])
+    a = O.stitched(df, "k", ["ts", "id"], prev=["s", "ts"], nxt=["s", "ts"], hot_rows=100)
     b = O.neighbors(df, "k", ["ts", "id"], ["s", "ts"], granularity=None)
     _eq(a, b, ["id", "prev_s", "next_s", "prev_ts", "next_ts"])
 
 
 def test_running_sum_and_row_number(spark):
     df = _data(spark)
-    _eq(O.running_sum(df, "k", ["ts", "id"], "v", "c"),
+    _eq(O.running_sum(df, "k", ["ts", "id"], "v", "c", hot_rows=100),
         O.running_sum(df, "k", ["ts", "id"], "v", "c", granularity=None), ["id", "c"])
-    a = O.row_number(df, "k", ["ts", "id"], "rn")
+    a = O.stitched(df, "k", ["ts", "id"], seq="rn", hot_rows=100)
     _eq(a, O.row_number(df, "k", ["ts", "id"], "rn", granularity=None), ["id", "rn"])
     assert a.where(F.col("k") == 0).agg(F.max("rn")).first()[0] == 1000
 
@@ -51,20 +51,22 @@ def test_dense_rank_of(spark):
 def test_stitched_all_outputs(spark):
     df = _data(spark)
     kw = dict(prev=["s", "ts"], nxt=["s"], seq="q", runs_of="s")
-    a = O.stitched(df, "k", ["ts", "id"], **kw)
     b = O.stitched(df, "k", ["ts", "id"], granularity=None, **kw)
-    _eq(a, b, ["id", "prev_s", "prev_ts", "next_s", "q", "run_id"])
+    # every key bucketed / only the hot key (1000 rows) bucketed / none hot
+    for hot_rows in (None, 100, 10**9):
+        a = O.stitched(df, "k", ["ts", "id"], hot_rows=hot_rows, **kw)
+        _eq(a, b, ["id", "prev_s", "prev_ts", "next_s", "q", "run_id"])
 
 
 def test_islands_with_null_states(spark):
     df = _data(spark).withColumn("s", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("s")))
-    _eq(O.islands(df, "k", ["ts", "id"], "s"),
+    _eq(O.stitched(df, "k", ["ts", "id"], runs_of="s", hot_rows=100),
         O.islands(df, "k", ["ts", "id"], "s", granularity=None), ["id", "run_id"])
 
 
 def test_hour_buckets(spark):
     df = _data(spark)
     kw = dict(prev=["s"], nxt=["ts"], seq="q", runs_of="s")
-    _eq(O.stitched(df, "k", ["ts", "id"], granularity="hour", **kw),
+    _eq(O.stitched(df, "k", ["ts", "id"], granularity="hour", hot_rows=100, **kw),
         O.stitched(df, "k", ["ts", "id"], granularity=None, **kw),
         ["id", "prev_s", "next_ts", "q", "run_id"])
