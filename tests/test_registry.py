@@ -18,9 +18,10 @@ SAMPLE = ["before_after_12w_by_region", "payment_schedule", "merged_ingredient_l
 
 
 def test_every_query_has_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = E.all_queries(), E.all_oracles()
     assert len(q) >= 90
     assert set(q) == set(o)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_schema(spark):
