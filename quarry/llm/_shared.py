@@ -3,6 +3,7 @@ stable row ids inside a group, and Arrow column access."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,6 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+def known_to_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package also where it is not installed
+    and the driver was started elsewhere (local runs; harmless otherwise)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    now = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in now.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, now]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the one the cluster shares.
 

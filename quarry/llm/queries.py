@@ -3,26 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import langid, mixing, ngramjoin, pieces
+from quarry.llm._shared import known_to_workers
+from quarry.llm import langid, mixing, ngramjoin, pieces, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        known_to_workers(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = query
+    return query
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = langid.kept_out(folds=5, fold=0)
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @register
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
