@@ -12,7 +12,7 @@ follows one.  Words alone do not count: the sum goes over matched clauses.
 *Learning.*  From a bounded sample of labelled rows (``LABELLED``, by a hash of
 the id): words and word beginnings that stand in more toxic than other
 documents become the insult transducer's weighted entries (log odds; a short
-beginning replaces its longer forms where it is as sure), and a logistic curve
+beginning replaces its longer forms where it is surer), and a logistic curve
 turns a document's clause sums into a score.  Fixed word lists (below) feed the
 other classes and, with a small weight, the insult class.  A beginning whose
 evidence is mostly that of one longer form gives way to it.
@@ -257,8 +257,8 @@ def learn_entries(rows: DataFrame) -> tuple[tuple[str, float, bool], ...]:
     for r in best:
         shorter = [stems[r["item"][:k]] for k in STEMS if k < len(r["item"]) + r["whole"] and r["item"][:k] in stems]
         borrowed = not r["whole"] and any(
-            e["odds"] > r["odds"] + 0.05 and e["toxic"] >= 0.7 * r["toxic"] for e in longer.get(r["item"], ()))
-        if not borrowed and not any(s["odds"] >= r["odds"] for s in shorter):
+            e["odds"] >= r["odds"] - 1e-9 and e["toxic"] >= 0.7 * r["toxic"] for e in longer.get(r["item"], ()))
+        if not borrowed and not any(s["odds"] > r["odds"] + 1e-9 for s in shorter):
             kept.append((r["item"], round(float(r["odds"]), 6), bool(r["whole"])))
     return tuple(sorted(kept))
 
