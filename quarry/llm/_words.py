@@ -46,12 +46,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return run(_BASE), run(pow(_BASE, -1, 2**64))
 
 
-def _segment_hashes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions and hashes of the words of ``data``; ``heads`` are the
-    positions where a new text begins (a word never runs over one)."""
+VARIES = np.zeros(256, bool)    # bytes that mark a word as a variable field
+VARIES[48:58] = True
+VARIES[64] = True
+FIELD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _segment_hashes(data: np.ndarray, heads: np.ndarray, fields: bool):
+    """Start positions and hashes of the words of ``data``, and how many line
+    feeds stand before each; ``heads`` are the positions where a new text begins
+    (a word never runs over one).  With ``fields``, words with a digit or an @
+    all get one hash."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     solid = ~SPACE[data]
     after = np.empty(n, bool)           # a word can begin here
     after[0] = True
@@ -63,42 +71,67 @@ def _segment_hashes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np
     stop[:-1] = ~solid[1:]
     stop[heads[(heads > 0) & (heads <= n)] - 1] = True
     ends = np.flatnonzero(solid & stop) + 1
-    size = max(SEGMENT, n)
-    power, inverse = _powers(size)
+    power, inverse = _powers(max(SEGMENT, n))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
-    return starts, mix((sums[ends] - sums[starts]) * inverse[starts])
-
-
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in row order, row pointers) of a text column."""
+    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    feeds = np.zeros(0, np.int64)
+    if fields:
+        feeds = np.searchsorted(np.flatnonzero(data == 10), starts)
+        marks = np.flatnonzero(VARIES[data])
+        hashes[np.searchsorted(marks, ends) > np.searchsorted(marks, starts)] = FIELD
+    return starts, hashes, feeds
+
+
+def word_hashes(column: pa.Array, fields: bool = False):
+    """(hashes of all words in row order, row pointers) of a text column; with
+    ``fields`` also the line number of each word in its row."""
     data, offsets = text_bytes(column)
     rows = len(column)
-    parts, counts = [], np.zeros(rows, np.int64)
+    parts, lines, counts = [], [], np.zeros(rows, np.int64)
     row = 0
     while row < rows:
         last = int(np.searchsorted(offsets, offsets[row] + SEGMENT, "right")) - 1
         if last > row:                  # several whole texts
             lo, hi = offsets[row], offsets[last]
-            starts, hashes = _segment_hashes(data[lo:hi], offsets[row:last] - lo)
-            owner = np.searchsorted(offsets[row:last + 1] - lo, starts, "right") - 1
+            piece = data[lo:hi]
+            heads = offsets[row:last + 1] - lo
+            starts, hashes, feeds = _segment_hashes(piece, heads[:-1], fields)
+            owner = np.searchsorted(heads, starts, "right") - 1
             counts[row:last] = np.bincount(owner, minlength=last - row)
             parts.append(hashes)
+            if fields:
+                lines.append(feeds - np.searchsorted(np.flatnonzero(piece == 10), heads)[owner])
             row = last
             continue
         at, end = int(offsets[row]), int(offsets[row + 1])   # one long text, in pieces
+        before = 0
         while at < end:
             cut = min(at + SEGMENT, end)
             while cut < end and not SPACE[data[cut]]:        # only between words
-                gap = np.flatnonzero(SPACE[data[cut:cut + SEGMENT]])
+                gap = np.flatnonzero(SPACE[data[cut:min(cut + SEGMENT, end)]])
                 cut = cut + int(gap[0]) if len(gap) else min(cut + SEGMENT, end)
-            _, hashes = _segment_hashes(data[at:cut], np.zeros(0, np.int64))
+            _, hashes, feeds = _segment_hashes(data[at:cut], np.zeros(0, np.int64), fields)
             counts[row] += len(hashes)
             parts.append(hashes)
+            if fields:
+                lines.append(feeds + before)
+                before += int((data[at:cut] == 10).sum())
             at = cut
         row += 1
     pointers = np.concatenate([[0], np.cumsum(counts)])
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), pointers
+    words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    if fields:
+        return words, pointers, np.concatenate(lines) if lines else np.zeros(0, np.int64)
+    return words, pointers
+
+
+def shingle_run(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """Hash of the ``width`` words from each place on (regardless of rows)."""
+    run = np.zeros(max(len(words) - width + 1, 0), np.uint64)
+    for k in range(width):
+        run = run * _STEP + words[k:k + len(run)]
+    return mix(run)
 
 
 def shingle_sets(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -106,11 +139,8 @@ def shingle_sets(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np
     With fewer than ``width`` words the whole sequence is the one shingle; with
     no words the set is empty."""
     words, pointers = word_hashes(column)
-    rows, total = len(column), len(words)
-    run = np.zeros(max(total - width + 1, 0), np.uint64)
-    for k in range(width):
-        run = run * _STEP + words[k:k + len(run)]
-    run = mix(run).view(np.int64)
+    rows = len(column)
+    run = shingle_run(words, width).view(np.int64)
     sets = []
     for r in range(rows):
         a, b = int(pointers[r]), int(pointers[r + 1])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import langid, mixing, ngramjoin, pieces, toxicity
+from quarry.llm import langid, lines, mixing, ngramjoin, pieces, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", langid.kept_out().alias("held_out"), "text"), samples).drop("text")
 
 
+@register
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
