@@ -19,12 +19,13 @@ documents link when ``den * |A & B| >= num * |A | B|`` (75/100 by default).
 4. *Exact.*  The rest is decided on the sorted arrays themselves.
 
 Classes already connected need no comparison.  A first round compares each
-class only with one centre per min-hash key, which joins large groups of near
-copies without comparing all their pairs; tiles whose classes all lie in one
-component are then left out, and the remaining pairs are compared in two
-rounds (best bound per class and foreign component, then all that is left).
-No link between components is lost: every pair of different components in a
-tile is either linked, refused by its bound or refused exactly.
+class only with one centre per min-hash key, the class whose own keys are shared
+most; this joins large groups of near copies without comparing all their pairs.
+Tiles whose classes all lie in one component are then left out.  The others are
+gone through twice: first only the best bound of each class and foreign component
+is tested, then, with the components that this has joined, every pair left.  No
+link between components is lost: every pair of different components in a tile is
+linked, refused by its bound or refused exactly.
 
 Null or empty text: empty set, linked with nothing, its own component (null
 ``doc_id``: null).  Repeated rows and equal texts share a class.  Extra columns
@@ -37,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm._shared import ints, list_array, shared_dir, stored
 from quarry.llm._words import mix, shingle_sets
@@ -46,11 +48,10 @@ NUM, DEN = 75, 100
 KEYS = 8                    # min-hash keys of the first round
 FREQUENT = 1 << 18          # shingles at most that come last in the order (2 MB)
 FREQUENT_DF = 64            # and in how many documents at least
-TILE = 2000                 # rows of a block of a large tile
+TILE = 1000                 # rows of a block of a large tile
 MIN_BITS, MAX_BITS = 64, 1 << 17
 _KEY = np.random.Generator(np.random.PCG64(7)).integers(1, 2**62, KEYS, dtype=np.uint64) \
     * np.uint64(2) + np.uint64(1)
-_FLIP = [int(x) for x in np.random.Generator(np.random.PCG64(8)).integers(-2**62, 2**62, KEYS)]
 
 
 def prefix_length(n, num: int = NUM, den: int = DEN):
@@ -185,15 +186,32 @@ def _meetings(batches):
                                          ["token", "sig"])
 
 
-def _tile_pairs(num, den):
+def _best(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Of (row, partner, component of the partner, bound): the highest bound of
+    each row and component."""
+    row, partner, comp, bound = rows
+    order = np.lexsort((partner, -bound, comp, row))
+    row, partner, comp, bound = row[order], partner[order], comp[order], bound[order]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (comp[1:] != comp[:-1])
+    return [row[first], partner[first], comp[first], bound[first]]
+
+
+def _tile_pairs(num, den, only_best: bool):
     """Pairs with a high enough bound in tiles: rows (tile, side, sig, comp, n,
     bits) sorted by tile and n.  ``side`` 0: compared with all others of the
     tile; 1 and 2: with the other side only.  Compares at growing distance in
-    the sorted rows, all tiles of a batch at once."""
+    the sorted rows, all tiles of a batch at once.  ``only_best``: of each class
+    and foreign component in a tile just the pair of the highest bound."""
+    def batch_of(sig, i, j):
+        a, b = sig[i], sig[j]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
     def compare(rows: pa.Table):
         tile, side, sig, comp, n = (rows.column(i).to_numpy() for i in range(5))
         bits = rows.column(5).to_pylist()
         alive = np.arange(len(tile))
+        held = [np.zeros(0, np.int64) for _ in range(4)]
         gap = 0
         while len(alive):
             gap += 1
@@ -207,11 +225,19 @@ def _tile_pairs(num, den):
             bound = overlap_bounds(n[i], [bits[k] for k in i], n[j], [bits[k] for k in j])
             ok = _possible(n[i], n[j], bound, num, den)
             i, j, bound = i[ok], j[ok], bound[ok]
-            if len(i):
-                swap = sig[i] > sig[j]
-                i, j = np.where(swap, j, i), np.where(swap, i, j)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[i]), pa.array(sig[j]), pa.array(bound, pa.int64())], ["a", "b", "bound"])
+            if not len(i):
+                continue
+            if not only_best:
+                yield batch_of(sig, i, j)
+                continue
+            more = (np.concatenate([i, j]), np.concatenate([j, i]),
+                    np.concatenate([comp[j], comp[i]]), np.concatenate([bound, bound]))
+            held = [np.concatenate(x) for x in zip(held, more, strict=True)]
+            if len(held[0]) > 1 << 18:
+                held = _best(held)
+        if len(held[0]):
+            held = _best(held)
+            yield batch_of(sig, held[0], held[1])
 
     def run(batches):
         held = None
@@ -315,13 +341,16 @@ class _Join:
                       self.folder, f"{name}-labels")
 
     def centre_pairs(self) -> DataFrame:
-        """Round 1: each class with one centre of each of its min-hash keys."""
-        flip = F.element_at(F.array(*[F.lit(x) for x in _FLIP]), F.col("j") + 1)
-        rows = self.tab.where("n > 0").dropDuplicates(["sig"]) \
-            .select("sig", F.posexplode("keys").alias("j", "key")) \
-            .withColumn("mark", F.col("sig").bitwiseXOR(flip))
-        centres = rows.groupBy("j", "key").agg(F.min("mark").alias("low"), F.max("mark").alias("high")) \
-            .where("low <> high").select("j", "key", F.col("low").bitwiseXOR(flip).alias("centre"))
+        """Round 1: each class with the centre of each of its min-hash keys, the
+        class whose keys together have the most holders."""
+        rows = stored(self.tab.where("n > 0").select("sig", "keys").dropDuplicates(["sig"])
+                      .select("sig", F.posexplode("keys").alias("j", "key")), self.folder, "keys")
+        shared = rows.groupBy("j", "key").agg(F.count("*").alias("holders")).where("holders > 1")
+        rows = rows.join(shared, ["j", "key"])
+        typical = rows.groupBy("sig").agg(F.sum("holders").alias("weight"))
+        rows = stored(rows.select("sig", "j", "key").join(typical, "sig"), self.folder, "shared-keys")
+        top = rows.groupBy("j", "key").agg(F.max("weight").alias("weight"))
+        centres = rows.join(top, ["j", "key", "weight"]).groupBy("j", "key").agg(F.min("sig").alias("centre"))
         pairs = rows.join(centres, ["j", "key"]).where("sig <> centre") \
             .select(F.least("sig", "centre").alias("a"), F.greatest("sig", "centre").alias("b")).distinct()
         fa = self.features.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ma"))
@@ -342,10 +371,11 @@ class _Join:
         return stored(rows.repartition("token").sortWithinPartitions("token", "sig")
                       .mapInArrow(_meetings, "token long, sig long"), self.folder, "meetings")
 
-    def tile_pairs(self, meetings: DataFrame, labels: DataFrame) -> DataFrame:
+    def tile_pairs(self, meetings: DataFrame, labels: DataFrame, only_best: bool) -> DataFrame:
         """Pairs of different components in the tiles, bounded by their bitmaps."""
+        name = "best" if only_best else "rest"
         rows = meetings.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        rows = stored(rows, self.folder, "tile-rows")
+        rows = stored(rows, self.folder, f"{name}-rows")
         open_tiles = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                                F.count("*").alias("rows")).where("lo <> hi")
         open_tiles = open_tiles.select("token", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks"))
@@ -358,32 +388,18 @@ class _Join:
             .select(F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"),
                     F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
                     .otherwise(2).alias("side"), "sig", "comp", "n", "bits")
-        pairs = small.unionByName(large).repartition("tile").sortWithinPartitions("tile", "n") \
-            .mapInArrow(_tile_pairs(self.num, self.den), "a long, b long, bound long")
-        return stored(pairs.distinct(), self.folder, "tile-pairs")
+        return small.unionByName(large).repartition("tile").sortWithinPartitions("tile", "n") \
+            .mapInArrow(_tile_pairs(self.num, self.den, only_best), "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         """(sig, comp): components of all classes with a link."""
         self.add(self.verified(self.centre_pairs(), "centres"))
-        labels = self.labels("one")
-        pairs = self.tile_pairs(self.meetings(), labels)
-        open_pairs = self.open_pairs(pairs, labels)
-        best = open_pairs.withColumn("rank_a", F.row_number().over(
-            Window.partitionBy("a", "comp_b").orderBy(F.desc("bound"), "b"))).where("rank_a = 1").select("a", "b") \
-            .unionByName(open_pairs.withColumn("rank_b", F.row_number().over(
-                Window.partitionBy("b", "comp_a").orderBy(F.desc("bound"), "a"))).where("rank_b = 1").select("a", "b"))
-        self.add(self.verified(best.distinct(), "best"))
+        labels, meetings = self.labels("one"), self.meetings()
+        self.add(self.verified(self.tile_pairs(meetings, labels, True), "best"))
         labels = self.labels("two")
-        self.add(self.verified(self.open_pairs(pairs, labels).select("a", "b"), "rest"))
+        self.add(self.verified(self.tile_pairs(meetings, labels, False), "rest"))
         return self.labels("three")
 
-    def open_pairs(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        la = labels.select(F.col("sig").alias("a"), F.col("comp").alias("comp_a"))
-        lb = labels.select(F.col("sig").alias("b"), F.col("comp").alias("comp_b"))
-        return pairs.join(la, "a", "left").join(lb, "b", "left") \
-            .withColumn("comp_a", F.coalesce("comp_a", "a")).withColumn("comp_b", F.coalesce("comp_b", "b")) \
-            .where("comp_a <> comp_b")
-
     def classes(self) -> DataFrame:
         """(sig, comp, component_id): every class, its component and that
         component's smallest ``doc_id``."""
@@ -424,7 +440,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sign = "_sig"
     while sign in docs.columns:
         sign += "_"
-    kinds = docs.schema.add(sign, "long")
+    kinds = T.StructType([*docs.schema.fields, T.StructField(sign, T.LongType())])
     rows = docs.mapInArrow(_signed(docs.columns.index(text_col), sign), kinds)
     first = Window.partitionBy(sign).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col))
     place = f"{sign}_place"
