@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import fingerprints, langid, lines, mixing, ngramjoin, pieces, toxicity
+from quarry.llm import fingerprints, langid, lines, mixing, ngramjoin, pieces, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,32 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(spark, warc.write_pages(table(spark, sf_dir, "pages")))
+
+
+# five bytes of the digest are one number, written as eight digits to the base 32
+ORACLE["op2_warc"] = """
+with pages0 as (
+    select page_id, encode(coalesce(html, '')) as payload from pages),
+hashed as (
+    select page_id, octet_length(payload) as payload_bytes, sha1(payload) as hex from pages0),
+coded as (
+    select page_id, payload_bytes,
+           array_to_string(list_transform(range(32), lambda i:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      1 + ((('0x' || substr(hex, 1 + 10 * (i // 8)::int, 10))::bigint
+                            >> (35 - 5 * (i % 8))::int) & 31)::int, 1)), '') as payload_digest
+    from hashed),
+firsts as (select *, min(page_id) over (partition by payload_digest) as first from coded)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+       case when page_id > first then 'revisit' else 'response' end as record_type,
+       case when page_id > first then first end as refers_to
+from firsts
+"""
+
+
 @register
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
