@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, toxicity, warc
+from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,6 +82,11 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@register
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
