@@ -60,9 +60,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
-def ints(column: pa.Array) -> np.ndarray:
-    """An int64 column as numpy, nulls as 0 (callers that care keep the mask)."""
-    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+SLICE = 4 << 20             # bytes of text that array work handles at a time
+
+
+def slices(batches, at: int):
+    """The batches in runs of rows with about ``SLICE`` bytes of the text column
+    ``at``: arrays over words are several times as large as the text."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(at))
+        row = 0
+        while row < batch.num_rows:
+            last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1)
+            yield batch.slice(row, last - row)
+            row = last
 
 
 def list_array(values: np.ndarray, pointers: np.ndarray, kind: pa.DataType) -> pa.ListArray:

@@ -3,10 +3,11 @@
 Every line is parsed down a tree of fixed depth: its number of tokens, then its
 first ``DEPTH`` tokens, then its template.  Variable fields are generalised in
 two ways: a token with a digit or an @ is a field wherever it stands; and a line
-of ``LONG`` tokens or more also belongs to the three templates in which one
-third of the tokens after the leading ones is a field, so lines that differ only
-inside one such run meet.  All templates of a line are read off prefix sums of
-its token hashes.
+of ``LONG`` tokens or more also belongs to the five templates in which one third
+of the tokens after the leading ones, from each sixth on, is a field.  Lines that
+differ only inside a run of up to a sixth of their tokens so have a template in
+common wherever the run is.  All templates of a line are read off prefix sums
+of its token hashes.
 
 A template recurs when it stands in documents of at least ``MIN_DOCS`` different
 contexts, and contexts are at least a quarter of its documents.  A document's
@@ -31,20 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm._shared import shared_dir, stored
+from quarry.llm._shared import shared_dir, slices, stored
 from quarry.llm._words import mix, shingle_run, word_hashes
 
 DEPTH = 3
 LONG = 8
 MIN_TOKENS = 3
 MIN_DOCS = 3
+WAYS = 6                    # templates of a line
 _SPOT = np.uint64(0xD6E8FEB86659FD93)
-_TAG = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
 def line_templates(column: pa.Array):
-    """Templates of all lines: (row, line, keys (lines x 4), usable (lines x 4))
-    and the context of each row."""
+    """Templates of all lines: (row, line, keys (lines x WAYS), usable (lines x
+    WAYS)) and the context of each row."""
     words, at, line = word_hashes(column, fields=True)
     rows = len(column)
     owner = np.repeat(np.arange(rows), np.diff(at))
@@ -56,12 +57,12 @@ def line_templates(column: pa.Array):
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(mix(words + place.astype(np.uint64) * _SPOT), out=sums[1:])
     rest = count - np.minimum(DEPTH, count)
-    cuts = [first + np.minimum(DEPTH, count) + rest * k // 3 for k in range(4)]
-    third = [sums[cuts[k + 1]] - sums[cuts[k]] for k in range(3)]
+    cuts = [first + np.minimum(DEPTH, count) + rest * k // 6 for k in range(7)]
+    third = [sums[cuts[k + 2]] - sums[cuts[k]] for k in range(5)]
     whole = sums[first + count] - sums[first]
     base = count.astype(np.uint64) * _SPOT
-    keys = np.stack([mix(whole + base + _TAG[0]), *(mix(whole - third[k] + base + _TAG[k + 1]) for k in range(3))], axis=1)
-    usable = np.repeat((count >= LONG)[:, None], 4, axis=1)
+    keys = np.stack([mix(whole + base), *(mix(whole - t + base + np.uint64(k + 1)) for k, t in enumerate(third))], axis=1)
+    usable = np.repeat((count >= LONG)[:, None], WAYS, axis=1)
     usable[:, 0] = count >= MIN_TOKENS
     context = np.zeros(rows, np.uint64)
     run = shingle_run(words)
@@ -76,9 +77,9 @@ def line_templates(column: pa.Array):
 
 def _emitted(batches):
     """(mark, key, context) of (mark, text): each template once a document."""
-    for batch in batches:
+    for batch in slices(batches, 1):
         row, _, keys, usable, context = line_templates(batch.column(1))
-        flat, rows = keys[usable], np.repeat(row[:, None], 4, axis=1)[usable]
+        flat, rows = keys[usable], np.repeat(row[:, None], WAYS, axis=1)[usable]
         order = np.lexsort((flat, rows))
         flat, rows = flat[order], rows[order]
         one = np.ones(len(flat), bool)
@@ -92,7 +93,7 @@ def _emitted(batches):
 def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):
     """Texts without the lines of the templates in the list column ``drop_at``."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text_at):
             text, drops = batch.column(text_at), batch.column(drop_at).to_pylist()
             row, line, keys, usable, _ = line_templates(text)
             ends = np.searchsorted(row, np.arange(len(text) + 1))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import shared_dir, stored
+from quarry.llm._shared import shared_dir, slices, stored
 from quarry.llm._words import word_hashes
 
 WEIGHTS = (5, 2, 1)
@@ -44,7 +44,7 @@ SPARE = 12                  # documents kept for the landing
 
 
 def _sizes(batches):
-    for batch in batches:
+    for batch in slices(batches, 3):
         _, at = word_hashes(batch.column(3))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), batch.column(2), pa.array(np.diff(at), pa.int64())],

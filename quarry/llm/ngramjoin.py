@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm._shared import ints, list_array, shared_dir, stored
+from quarry.llm._shared import list_array, shared_dir, slices, stored
 from quarry.llm._words import mix, shingle_sets
 from quarry.llm.graphs import components
 
@@ -105,7 +105,7 @@ def _possible(sizes_a, sizes_b, overlap, num, den) -> np.ndarray:
 
 
 def _sketches(batches):
-    for batch in batches:
+    for batch in slices(batches, 1):
         values, at = shingle_sets(batch.column(1))
         n = np.diff(at)
         full = np.flatnonzero(n > 0)
@@ -130,7 +130,7 @@ def _prefixes(num, den, frequent=None):
     def run(batches):
         last = frequent.value if frequent is not None else np.zeros(0, np.int64)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches, 1):
             values, at = shingle_sets(batch.column(1))
             late = np.zeros(len(values), bool)
             if len(last) and len(values):
@@ -268,7 +268,7 @@ def _bounded(num, den):
 
 def _sets(batches):
     seen: set[int] = set()
-    for batch in batches:
+    for batch in slices(batches, 1):
         values, at = shingle_sets(batch.column(1))
         signs, sets = [], []
         for r in range(len(at) - 1):
@@ -422,7 +422,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _signed(text_at: int, name: str):
     """Rows as they are, with the signature of their set (null: empty set)."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text_at):
             values, at = shingle_sets(batch.column(text_at))
             signs = [_signature(values[at[r]:at[r + 1]]) if at[r + 1] > at[r] else None for r in range(len(at) - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.int64())],
