@@ -39,6 +39,6 @@ def change_vs_previous(df: DataFrame, value: str, by, order, tie=None,
                        prev: str = "previous", pct: str = "pct_change") -> DataFrame:
     """Previous value within ``by`` in ``order`` (then ``tie``) and the
     relative change (2.15, ruling X17: ordered by time, not by the value)."""
-    x = O.neighbors(df, by, cols(order) + cols(tie), [value], nxt=False,
-                    prefix=("_prev_", "_next_")).withColumnRenamed(f"_prev_{value}", prev)
+    x = O.stitched(df, by, cols(order) + cols(tie), prev=[value],
+                   prefix=("_prev_", "_next_")).withColumnRenamed(f"_prev_{value}", prev)
     return x.withColumn(pct, ratio(F.col(value) - F.col(prev), F.col(prev)))

@@ -2,201 +2,146 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a
 key holding a third of the data would then be processed by a single task.
-These helpers split each key into time buckets (default: one per day of the
-leading order column), compute within ``(key, bucket)`` windows, and stitch
-the buckets together through a per-(key, bucket) summary:
-
-* the summary is a partial-aggregating groupBy on the window's own
-  partitioning (no exchange on the large side);
-* a window over the summary (one row per key and bucket) carries the
-  boundary values / offsets across buckets;
-* a join on (key, bucket) brings them back; the large side is already hash
-  partitioned on exactly those columns, so only the summary is shuffled.
-
-Results equal the single-window versions.  ``granularity`` may be "minute",
-"hour" (timestamps), "day" (default), "week", "month", ... -- finer buckets
-split a hotter key further; ``granularity=None`` falls back to the plain
-window (fewer stages, for keys known to be small).
+These helpers deal the rows to *cells*, one per key and time bucket (default:
+a day of the leading order column), compute within the cells, and stitch the
+cells of a key together through a summary:
+
+* the rows are repartitioned by cell explicitly, so a partitioning that the
+  input brings along (say from a join on the key) does not keep a key whole;
+* the summary has one row per cell and comes from that same exchange;
+* a window over the summary carries boundary values and offsets across the
+  cells of a key, and a join on the cell brings them back; the rows already
+  lie by cell, so only the summary moves.
+
+Keys and buckets are compared as one struct, in which NULL equals NULL, so
+NULL keys, times and states give what a plain window gives (NULL times come
+first).  ``granularity`` may be "minute", "hour" (timestamps), "day", "week",
+"month", ... or "value" (every value of the leading column is a bucket);
+``None`` is the plain window, for keys known to be small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.dates import period_start
 from quarry.operators._util import cols
 
-B = "_bkt"
+CELL = "_cell"
 
 
 def _order(order) -> list:
     return [F.col(o).asc() for o in cols(order)]
 
 
-# Keys with more rows than HOT_ROWS are split into time buckets; the hottest
-# MAX_HOT of them are found by a partial-aggregating count and broadcast (at
-# most MAX_HOT rows: a hard bound).  Every other key is one bucket, so its
-# summary is a single row.
-HOT_ROWS = 1_000_000
-MAX_HOT = 100_000
-
-
-def _bucketed(df: DataFrame, order, granularity: str, keys=None,
-              hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    lead = cols(order)[0]
-    if not isinstance(df.schema[lead].dataType, (T.DateType, T.TimestampType,
-                                                 T.TimestampNTZType)):
+def _bucket(df: DataFrame, lead: str, granularity: str) -> Column:
+    if granularity == "value":
+        return F.col(lead)
+    if not isinstance(df.schema[lead].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise ValueError(f"bucketing needs a date/timestamp leading order column, got {lead!r}; "
                          "pass granularity=None for a plain window")
-    x = df.withColumn(B, period_start(lead, granularity))
-    if hot_rows is None or not keys:
-        return x
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-             .where(F.col("_kn") > hot_rows)
-             .orderBy(F.col("_kn").desc()).limit(MAX_HOT)
-             .select(*keys, F.lit(True).alias("_hot")))
-    const = F.lit("1970-01-01").cast(x.schema[B].dataType)
-    return (x.join(F.broadcast(hot), keys, "left")
-             .withColumn(B, F.when(F.col("_hot"), F.col(B)).otherwise(const))
-             .drop("_hot"))
+    return period_start(lead, granularity)
+
+
+def _changed(before: Column, now: Column) -> Column:
+    return F.when(before.eqNullSafe(now), 0).otherwise(1)
+
+
+def _plain(df: DataFrame, keys, order, prev, nxt, seq, runs_of, run_name, prefix) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*_order(order))
+    x = df.select("*", *[F.lag(c).over(w).alias(prefix[0] + c) for c in prev],
+                  *[F.lead(c).over(w).alias(prefix[1] + c) for c in nxt])
+    if seq:
+        x = x.withColumn(seq, F.row_number().over(w).cast("bigint"))
+    if runs_of:
+        first = F.row_number().over(w) == 1
+        x = x.withColumn("_chg", F.when(first, 1).otherwise(_changed(F.lag(runs_of).over(w), F.col(runs_of))))
+        x = x.withColumn(run_name, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_chg")
+    return x
 
 
 def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
              runs_of: str | None = None, run_name: str = "run_id",
-             granularity: str | None = "day", prefix=("prev_", "next_"),
-             hot_rows: int | None = HOT_ROWS) -> DataFrame:
+             granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
     """One pass giving, within ``key`` in ``order``: LAG of ``prev`` columns,
     LEAD of ``nxt`` columns, the row number (``seq``) and the number of the
-    run of equal consecutive ``runs_of`` values (``run_name``).
-
-    Rows are windowed per (key, bucket); a single summary per (key, bucket)
-    carries each bucket's first/last values, row count and internal change
-    count; one window over the summaries turns those into boundary values and
-    offsets; one join brings them back.  Only keys with more than
-    ``hot_rows`` rows are split into buckets (``hot_rows=None``: every key)."""
-    keys, order = cols(key), cols(order)
-    prev, nxt = cols(prev), cols(nxt)
-    pp, np_ = prefix
+    run of equal consecutive ``runs_of`` values (``run_name``).  ``order`` has
+    to be total for runs and neighbours to be determined."""
+    keys, order, prev, nxt = cols(key), cols(order), cols(prev), cols(nxt)
     if granularity is None:
-        w = Window.partitionBy(*keys).orderBy(*_order(order))
-        x = df
-        for c in prev:
-            x = x.withColumn(pp + c, F.lag(c).over(w))
-        for c in nxt:
-            x = x.withColumn(np_ + c, F.lead(c).over(w))
-        if seq:
-            x = x.withColumn(seq, F.row_number().over(w).cast("bigint"))
-        if runs_of:
-            lg = F.lag(runs_of).over(w)
-            x = x.withColumn("_chg", F.when(lg.isNull() | (lg != F.col(runs_of)), 1).otherwise(0))
-            x = x.withColumn(run_name, F.sum("_chg").over(
-                w.rowsBetween(Window.unboundedPreceding, 0))).drop("_chg")
-        return x
-    x = _bucketed(df, order, granularity, keys, hot_rows)
-    w = Window.partitionBy(*keys, B).orderBy(*_order(order))
-    x = (x.withColumn("_rn", F.row_number().over(w))
-          .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, B))))
-    for c in prev:
-        x = x.withColumn("_p_" + c, F.lag(c).over(w))
-    for c in nxt:
-        x = x.withColumn("_n_" + c, F.lead(c).over(w))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    ordkey = F.struct(*[F.col(o) for o in order])
-    last_cols = list(dict.fromkeys(prev + ([runs_of] if runs_of else [])))
-    first_cols = list(dict.fromkeys(nxt + ([runs_of] if runs_of else [])))
-    if last_cols:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in last_cols]), ordkey).alias("_last"))
-    if first_cols:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), ordkey).alias("_first"))
+        return _plain(df, keys, order, prev, nxt, seq, runs_of, run_name, prefix)
+    bucket = _bucket(df, order[0], granularity).alias("bucket")
+    key_struct = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key")
+    dealt = df.withColumn(CELL, F.struct(key_struct, bucket)).repartition(CELL)
+
+    # within the cells
+    w = Window.partitionBy(CELL).orderBy(*_order(order))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = dealt.withColumn("_rn", F.row_number().over(w))
+    x = x.select("*", *[F.lag(c).over(w).alias("_p_" + c) for c in prev],
+                 *[F.lead(c).over(w).alias("_n_" + c) for c in nxt])
+    if runs_of:
+        x = x.withColumn("_ch", F.when(F.col("_rn") == 1, 0)
+                         .otherwise(_changed(F.lag(runs_of).over(w), F.col(runs_of))))
+        x = x.withColumn("_in", F.sum("_ch").over(upto))
+
+    # one row per cell.  The checksum reads every column: with the same columns on
+    # both branches the planner reuses the one exchange instead of planning another.
+    at = F.struct(*order)
+    lasts = list(dict.fromkeys([*prev, *([runs_of] if runs_of else [])]))
+    firsts = list(dict.fromkeys([*nxt, *([runs_of] if runs_of else [])]))
+    source = x if runs_of else dealt
+    aggs = [F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(*df.columns)).alias("_sum")]
+    if lasts:
+        aggs.append(F.max_by(F.struct(*lasts), at).alias("_last"))
+    if firsts:
+        aggs.append(F.min_by(F.struct(*firsts), at).alias("_first"))
     if runs_of:
-        lg = F.lag(runs_of).over(w)
-        x = x.withColumn("_ich", F.when(F.col("_rn") == 1, 0)
-                         .when(lg.isNull() | (lg != F.col(runs_of)), 1).otherwise(0))
-        x = x.withColumn("_icum", F.sum("_ich").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        aggs.append(F.sum("_ich").alias("_itot"))
-    summ = x.groupBy(*keys, B).agg(*aggs)
-    ws = Window.partitionBy(*keys).orderBy(B)
+        aggs.append(F.sum("_ch").alias("_inside"))
+    summary = source.groupBy(CELL).agg(*aggs)
+
+    # across the cells of a key
+    ws = Window.partitionBy(f"{CELL}.key").orderBy(F.col(f"{CELL}.bucket").asc())
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*keys, B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
-    if last_cols:
-        sel.append(F.lag("_last").over(ws).alias("_pl"))
-    if first_cols:
-        sel.append(F.lead("_first").over(ws).alias("_nf"))
-    summ = summ.select(*sel, *(["_itot", "_first"] if runs_of else []))
+    carried = [F.col("_n").alias("_size"), "_sum", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if lasts:
+        carried.append(F.lag("_last").over(ws).alias("_pl"))
+    if firsts:
+        carried.append(F.lead("_first").over(ws).alias("_nf"))
     if runs_of:
-        pl = F.col("_pl")[runs_of]
-        summ = summ.withColumn("_bchg", F.when(pl.isNull() | (pl != F.col("_first")[runs_of]), 1)
-                               .otherwise(0))
-        summ = summ.withColumn("_roff", F.coalesce(
-            F.sum(F.col("_bchg") + F.col("_itot")).over(before), F.lit(0)))
-        summ = summ.drop("_itot", "_first")
-    x = x.join(summ, keys + [B], "left")
-    for c in prev:
-        x = x.withColumn(pp + c, F.when(F.col("_rn") == 1, F.col("_pl")[c])
-                         .otherwise(F.col("_p_" + c)))
-    for c in nxt:
-        x = x.withColumn(np_ + c, F.when(F.col("_rn") == F.col("_cnt"), F.col("_nf")[c])
-                         .otherwise(F.col("_n_" + c)))
+        opens = F.when(F.row_number().over(ws) == 1, 1) \
+            .otherwise(_changed(F.lag("_last").over(ws)[runs_of], F.col("_first")[runs_of]))
+        summary = summary.withColumn("_opens", opens)
+        carried += ["_opens", F.coalesce(F.sum(F.col("_opens") + F.col("_inside")).over(before), F.lit(0))
+                    .alias("_roff")]
+    x = x.join(summary.select(CELL, *carried), CELL).where(F.col("_sum").isNotNull())
+
+    out = [F.when(F.col("_rn") == 1, F.col("_pl")[c]).otherwise(F.col("_p_" + c)).alias(prefix[0] + c) for c in prev]
+    out += [F.when(F.col("_rn") == F.col("_size"), F.col("_nf")[c]).otherwise(F.col("_n_" + c))
+            .alias(prefix[1] + c) for c in nxt]
     if seq:
-        x = x.withColumn(seq, (F.col("_off") + F.col("_rn")).cast("bigint"))
+        out.append((F.col("_off") + F.col("_rn")).cast("bigint").alias(seq))
     if runs_of:
-        x = x.withColumn(run_name, F.col("_roff") + F.col("_bchg") + F.col("_icum"))
-    drop = [B, "_rn", "_cnt", "_off", "_pl", "_nf", "_ich", "_icum", "_bchg", "_roff"]
-    drop += ["_p_" + c for c in prev] + ["_n_" + c for c in nxt]
-    return x.drop(*[d for d in drop if d in x.columns])
+        out.append((F.col("_roff") + F.col("_opens") + F.col("_in")).alias(run_name))
+    return x.select(*df.columns, *out)
 
 
-def neighbors(df: DataFrame, key, order, columns, prev: bool = True, nxt: bool = True,
-              granularity: str | None = "day", prefix=("prev_", "next_")) -> DataFrame:
-    """Add prev_<c> / next_<c> (LAG / LEAD by ``order`` within ``key``)."""
-    return stitched(df, key, order, prev=columns if prev else (), nxt=columns if nxt else (),
-                    granularity=granularity, prefix=prefix)
-
-
-def running_sum(df: DataFrame, key, order, value, name: str,
-                granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Cumulative sum of ``value`` in ``order`` within ``key`` (rows frame:
-    each row includes itself and everything before it)."""
-    keys = cols(key)
-    v = F.col(value) if isinstance(value, str) else value
-    if granularity is None:
-        w = (Window.partitionBy(*keys).orderBy(*_order(order))
-             .rowsBetween(Window.unboundedPreceding, 0))
-        return df.withColumn(name, F.sum(v).over(w))
-    x = _bucketed(df, order, granularity, keys, hot_rows).withColumn("_v", v)
-    w = (Window.partitionBy(*keys, B).orderBy(*_order(order))
-         .rowsBetween(Window.unboundedPreceding, 0))
-    x = x.withColumn("_in", F.sum("_v").over(w))
-    summ = x.groupBy(*keys, B).agg(F.sum("_v").alias("_bt"))
-    ws = Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select(*keys, B, F.sum("_bt").over(ws).alias("_off"))
-    x = x.join(summ, keys + [B], "left")
-    zero = F.lit(0).cast(x.schema["_in"].dataType)
-    return x.withColumn(name, F.col("_in") + F.coalesce(F.col("_off"), zero)) \
-            .drop(B, "_v", "_in", "_off")
-
-
-def row_number(df: DataFrame, key, order, name: str,
-               granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def row_number(df: DataFrame, key, order, name: str, granularity: str | None = "day") -> DataFrame:
     """Position of each row within its key (ROW_NUMBER), skew-safe."""
-    return stitched(df, key, order, seq=name, granularity=granularity, hot_rows=hot_rows)
+    return stitched(df, key, order, seq=name, granularity=granularity)
 
 
 def islands(df: DataFrame, key, order, state: str, name: str = "run_id", nxt=(),
-            granularity: str | None = "day", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+            granularity: str | None = "day") -> DataFrame:
     """Run number of equal consecutive ``state`` values (plus optional LEAD
     columns), in one stitched pass."""
-    return stitched(df, key, order, nxt=nxt, runs_of=state, run_name=name,
-                    granularity=granularity, hot_rows=hot_rows)
+    return stitched(df, key, order, nxt=nxt, runs_of=state, run_name=name, granularity=granularity)
 
 
 def dense_rank_of(df: DataFrame, key, value: str, name: str) -> DataFrame:
-    """DENSE_RANK of ``value`` within ``key``: rank the distinct (key, value)
-    pairs (one row per pair, partial-aggregated) and join back."""
-    keys = cols(key)
-    d = df.select(*keys, value).distinct()
-    d = d.withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(value))
-                     .cast("bigint"))
-    return df.join(d, keys + [value], "left")
+    """DENSE_RANK of ``value`` within ``key``: in order of the value, the number
+    of its run of equal values.  Every value is a cell of its own."""
+    return stitched(df, key, value, runs_of=value, run_name=name, granularity="value") \
+        .withColumn(name, F.col(name).cast("bigint"))

@@ -84,7 +84,7 @@ def sequence_number(df: DataFrame, key, order, tie, name: str = "seq",
                     kind: str = "row_number") -> DataFrame:
     """Position of each row within its key (E1), ordered by ``order`` then
     ``tie``.  row_number is skew-safe (per key and day, stitched); dense_rank
-    of a single column ranks the distinct values."""
+    of a single column goes by cells of one value."""
     if kind == "row_number":
         return O.row_number(df, key, cols(order) + cols(tie), name)
     if kind == "dense_rank" and len(cols(order)) == 1:
@@ -96,8 +96,8 @@ def sequence_number(df: DataFrame, key, order, tie, name: str = "seq",
 
 def masked_rank(df: DataFrame, by, order: str, where, name: str = "ranking") -> DataFrame:
     """DENSE_RANK of ``order`` among the rows meeting ``where``; NULL for the
-    others (1.12, E13).  The distinct (by, flag, value) triples are ranked and
-    joined back, so a hot key costs one row per distinct value."""
+    others (1.12, E13).  Distinct values are ranked across cells of one value each
+    (``ordered.dense_rank_of``), so a hot key is spread over its values."""
     x = df.withColumn("_flag", as_col(where))
     x = O.dense_rank_of(x, cols(by) + ["_flag"], order, "_dr")
     return x.withColumn(name, F.when(F.col("_flag"), F.col("_dr"))).drop("_flag", "_dr")

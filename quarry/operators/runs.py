@@ -1,31 +1,19 @@
 """Runs of consecutive equal states ("islands") and their lengths (analyses
 4.1-4.4; survey ids E9, K1, D11, D16).
 
-The reference steps through each customer's rows with a recursive CTE (one
-iteration per row).  Here one window pass computes a change flag with LAG and
-a running sum of it, giving run ids; a groupBy on (key, run_id) then reuses
-the window's hash partitioning on ``key`` (no second exchange).
+One stitched pass (``quarry.operators.ordered``) numbers the runs; they are
+then grouped by (key, run id), which is one more exchange of the stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import ordered as O
 from quarry.operators._util import as_col, cols, ratio
 
 
-def with_row_end(df: DataFrame, key, ts: str, tie=None, end: str | None = None,
-                 end_col: str = "end_ts") -> DataFrame:
-    """Each row's end: the ``end`` column when rows are effective-dated
-    (NULL = open), else the next row's ``ts`` (NULL for a key's last row)."""
-    if end is not None:
-        return df.withColumn(end_col, F.col(end))
-    x = O.neighbors(df, key, [ts] + cols(tie), [ts], prev=False)
-    return x.withColumnRenamed(f"next_{ts}", end_col)
-
-
 def run_ids(df: DataFrame, key, ts: str, state: str, tie=None,
             name: str = "run_id") -> DataFrame:
     """Number the runs of equal consecutive ``state`` within each key: a
@@ -77,17 +65,25 @@ def run_durations(df: DataFrame, key, ts: str, state: str, tie=None, unit: str =
                  F.count(F.lit(1)).alias("n_runs"))
 
 
-def duration_percentiles(df: DataFrame, by, value: str, ps=(0.5, 0.8, 0.95),
-                         exact: bool = True) -> DataFrame:
-    """Interpolated percentiles of ``value`` per group (4.4, D16).
+def duration_percentiles(df: DataFrame, by, value: str, ps=(0.5, 0.8, 0.95)) -> DataFrame:
+    """Interpolated percentiles of ``value`` per group (4.4, D16), exact.
 
-    Exact: ``percentile`` keeps a value->count map per group, merged from
-    map-side partials, so its memory grows with the distinct values of a group,
-    not its rows.  ``exact=False`` uses ``percentile_approx`` (bounded sketch)
-    for high-cardinality measures."""
+    Rows are counted per distinct value first (partial sums in every task); the
+    running count over a group's distinct values tells which values hold the two
+    ranks around each percentile."""
     by = cols(by)
-    v = as_col(value).cast("double")
-    arr = F.percentile(v, list(ps)) if exact else F.percentile_approx(v, list(ps), 10000)
-    g = df.groupBy(*by).agg(arr.alias("_p"))
-    return g.select(*by, *[F.col("_p")[i].cast("double").alias(f"p{int(round(p * 100))}")
-                           for i, p in enumerate(ps)])
+    counts = (df.where(as_col(value).isNotNull())
+              .groupBy(*by, as_col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*by).orderBy("_v")
+    x = counts.select(*by, "_v", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+                      F.sum("_c").over(Window.partitionBy(*by)).alias("_all"))
+    aggs, out = [F.max("_all").alias("_all")], []
+    for p in ps:
+        name = f"p{int(round(p * 100))}"
+        at = (F.col("_all") - 1).cast("double") * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v"))).alias(f"_lo_{name}"),
+                 F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v"))).alias(f"_hi_{name}")]
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(name))
+    g = x.groupBy(*by) if by else x.groupBy()
+    return g.agg(*aggs).select(*by, *out)

@@ -2,8 +2,8 @@
 a state, and the payment schedule they imply (analyses 3.0-3.12; survey ids
 E1, E2, E7, E12, H24, D12).
 
-All per-key orderings use one window spec (key, ts, tie) so Spark computes
-lag, lead and row numbers after a single exchange on ``key``.
+All per-key orderings go through ``quarry.operators.ordered``: lag, lead and
+row numbers come from one exchange on (key, day).
 """
 
 from __future__ import annotations
@@ -16,21 +16,23 @@ from quarry.operators import ordered as O
 from quarry.operators._util import cols, ratio
 
 
-def with_neighbors(df: DataFrame, key, ts: str, state: str, tie=None,
-                   granularity: str | None = "day") -> DataFrame:
-    """Add prev_/next_ state and date plus the row's position.
+def with_neighbors(df: DataFrame, key, ts: str, state: str, tie=None, prev: bool = True, nxt: bool = True,
+                   seq: str | None = "state_seq", granularity: str | None = "day") -> DataFrame:
+    """Add prev_/next_ state and date plus the row's position (E1, E7), or
+    those of them that are asked for.
 
     Skew-safe: computed per (key, day) and stitched across days
     (``quarry.operators.ordered``)."""
-    return O.stitched(df, key, [ts] + cols(tie), prev=[state, ts], nxt=[state, ts],
-                      seq="state_seq", granularity=granularity)
+    return O.stitched(df, key, [ts] + cols(tie), prev=[state, ts] if prev else [], nxt=[state, ts] if nxt else [],
+                      seq=seq, granularity=granularity)
 
 
 def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
                       start=None, end=None) -> DataFrame:
     """Count of (from, to) transitions whose *to* date is in [start, end]
     (3.10; LAG over ascending dates, ruling X8)."""
-    x = with_neighbors(df, key, ts, state, tie).where(F.col(f"prev_{state}").isNotNull())
+    x = (O.stitched(df, key, [ts] + cols(tie), prev=[state])
+         .where(F.col(f"prev_{state}").isNotNull()))
     if start is not None:
         x = x.where(F.col(ts) >= as_date(start))
     if end is not None:
@@ -42,7 +44,7 @@ def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
 
 def next_state_share(df: DataFrame, key, ts: str, state: str, from_state, tie=None) -> DataFrame:
     """What follows ``from_state``: count and share per next state (3.6)."""
-    x = (with_neighbors(df, key, ts, state, tie)
+    x = (O.stitched(df, key, [ts] + cols(tie), nxt=[state])
          .where((F.col(state) == F.lit(from_state)) & F.col(f"next_{state}").isNotNull()))
     g = x.groupBy(F.col(f"next_{state}").alias(f"next_{state}")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -54,7 +56,7 @@ def customers_with_transition(df: DataFrame, key, ts: str, state: str, from_stat
                               tie=None) -> DataFrame:
     """Distinct keys that went straight from ``from_state`` to ``to_state``,
     and their share of all keys (3.5, ruling X7)."""
-    x = (with_neighbors(df, key, ts, state, tie)
+    x = (O.stitched(df, key, [ts] + cols(tie), nxt=[state])
          .where((F.col(state) == F.lit(from_state))
                 & (F.col(f"next_{state}") == F.lit(to_state))))
     n = x.select(F.count_distinct(*[F.col(k) for k in cols(key)]).alias("n_customers"))
@@ -99,7 +101,7 @@ def _month_index(later, earlier):
 
 
 def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, state: str,
-                     cutoff, tie=None, monthly=(1, 2), annual=(3,), stop=(4,),
+                     cutoff, tie=None, monthly=(1, 2), annual=(3,),
                      prorate_from=(1,), defer_annual_from=(2,), price: str = "price",
                      name: str = "plan_name") -> DataFrame:
     """Payments implied by a state log, up to ``cutoff`` (3.11, ruling X11).
@@ -107,34 +109,28 @@ def payment_schedule(states: DataFrame, prices: DataFrame, key: str, ts: str, st
     * a monthly plan pays on its start date and every month after it, on the
       same day of month (clamped to month end, never drifting);
     * an annual plan pays on its start and every 12 months;
-    * a plan is billed until the next state starts (exclusive);
-    * nothing is billed from the first ``stop`` (churn) state on;
+    * a plan is billed until the next state starts (exclusive), whatever that
+      state is; states that are neither monthly nor annual (trial, churn) bill
+      nothing, and a plan taken up again after one is billed again;
     * an upgrade from a ``prorate_from`` plan to a dearer plan starts at once
       and its first payment is reduced by the previous plan's price;
     * an annual plan following a ``defer_annual_from`` plan starts at that
       plan's next monthly anniversary.
 
-    ``prices`` (state, price, name) is a fixed parameter table and is
-    broadcast.  Each state row expands to an array of dates bounded by the
+    ``prices`` (state, price, name) is joined; Spark broadcasts it when it has
+    measured it to be small.  Each state row expands to an array of dates bounded by the
     row's own interval, so the expansion happens inside the task that holds
     the row -- there is no per-key collection.
     """
-    p = F.broadcast(prices.select(F.col(state), F.col(price), F.col(name)))
+    p = prices.select(F.col(state), F.col(price), F.col(name))
     prev_price = p.select(F.col(state).alias("prev_state_"), F.col(price).alias("prev_price_"))
-    # first stop date per key: a partial-aggregating groupBy joined back (not a
-    # window over the whole key, which would put a hot key in one task)
-    stops = (states.where(F.col(state).isin(list(stop)))
-             .groupBy(key).agg(F.min(ts).alias("_stop")))
     x = O.stitched(states.select(key, ts, state, *cols(tie)), key, [ts] + cols(tie),
                    prev=[state, ts], nxt=[ts])
     x = (x.withColumnRenamed(f"prev_{state}", "_prev")
           .withColumnRenamed(f"prev_{ts}", "_prev_ts")
           .withColumnRenamed(f"next_{ts}", "_next_ts")
-          .where(F.col(state).isin(list(monthly) + list(annual)))
-          .join(stops, key, "left")
-          .where(F.col("_stop").isNull() | (F.col(ts) < F.col("_stop"))))
-    x = (x.join(p, state).join(F.broadcast(prev_price),
-                               F.col("_prev") == F.col("prev_state_"), "left"))
+          .where(F.col(state).isin(list(monthly) + list(annual))))
+    x = x.join(p, state).join(prev_price, F.col("_prev") == F.col("prev_state_"), "left")
     cut = as_date(cutoff)
     # deferred annual start: first monthly anniversary of the previous plan >= ts
     j = _month_index(F.col(ts), F.col("_prev_ts"))

@@ -41,8 +41,8 @@ SELECT s.customer_id, s.plan_id, p.plan_name, s.start_date, s.sub_id,
 FROM subscriptions s JOIN plans p ON s.plan_id = p.plan_id"""))
 def journey(spark, d):
     x = _s(spark, d).join(F.broadcast(plans(spark).select("plan_id", "plan_name")), "plan_id")
-    return S.with_neighbors(x, K, T, ST, TIE).select(K, ST, "plan_name", T, "sub_id",
-                                                     "state_seq")
+    x = S.with_neighbors(x, K, T, ST, TIE, prev=False, nxt=False)
+    return x.select(K, ST, "plan_name", T, "sub_id", "state_seq")
 
 
 @register("distinct_customers", W("""
@@ -79,13 +79,8 @@ SELECT COUNT(DISTINCT customer_id) AS n_customers,
 FROM subscriptions WHERE plan_id = {CHURN}"""))
 def churn_share(spark, d):
     s = _s(spark, d)
-    x = share_of_total(s.withColumn("_churned", F.when(F.col(ST) == CHURN, F.col(K))),
-                       None, count_distinct="_churned", name="n_customers")
-    # denominator: all customers (share_of_total over the same input counts
-    # distinct non-null churned ids, so rebase it on every customer)
-    total = s.select(F.count_distinct(K)).scalar()
-    return x.select("n_customers",
-                    (F.col("n_customers").cast("double") / total.cast("double")).alias("share"))
+    everyone = s.select(F.count_distinct(K)).scalar()
+    return share_of_total(s.where(F.col(ST) == CHURN), None, count_distinct=K, name="n_customers", of=everyone)
 
 
 @register("churn_after_trial", W(f"""
@@ -154,9 +149,7 @@ def transition_counts(spark, d):
 PAYMENTS_SQL = SUBS_SQL + f""",
 seq AS (
   SELECT s.*, LAG(plan_id) OVER w AS prev_plan, LAG(start_date) OVER w AS prev_start,
-         LEAD(start_date) OVER w AS next_start,
-         MIN(CASE WHEN plan_id = {CHURN} THEN start_date END)
-           OVER (PARTITION BY customer_id) AS churn_date
+         LEAD(start_date) OVER w AS next_start
   FROM subscriptions s
   WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, sub_id)
 ),
@@ -176,7 +169,6 @@ billable AS (
   JOIN plans p ON q.plan_id = p.plan_id
   LEFT JOIN plans pp ON q.prev_plan = pp.plan_id
   WHERE q.plan_id IN ({BASIC}, {PRO}, {ANNUAL})
-    AND (q.churn_date IS NULL OR q.start_date < q.churn_date)
 ),
 series AS (
   SELECT b.*, unnest(generate_series(0, CAST(floor(((year(last_date) - year(begin_date)) * 12

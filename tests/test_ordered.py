@@ -27,16 +27,14 @@ def _eq(a, b, cols):
 
 def test_neighbors(spark):
     df = _data(spark)
-    a = O.stitched(df, "k", ["ts", "id"], prev=["s", "ts"], nxt=["s", "ts"], hot_rows=100)
-    b = O.neighbors(df, "k", ["ts", "id"], ["s", "ts"], granularity=None)
+    a = O.stitched(df, "k", ["ts", "id"], prev=["s", "ts"], nxt=["s", "ts"])
+    b = O.stitched(df, "k", ["ts", "id"], prev=["s", "ts"], nxt=["s", "ts"], granularity=None)
     _eq(a, b, ["id", "prev_s", "next_s", "prev_ts", "next_ts"])
 
 
-def test_running_sum_and_row_number(spark):
+def test_row_number(spark):
     df = _data(spark)
-    _eq(O.running_sum(df, "k", ["ts", "id"], "v", "c", hot_rows=100),
-        O.running_sum(df, "k", ["ts", "id"], "v", "c", granularity=None), ["id", "c"])
-    a = O.stitched(df, "k", ["ts", "id"], seq="rn", hot_rows=100)
+    a = O.stitched(df, "k", ["ts", "id"], seq="rn")
     _eq(a, O.row_number(df, "k", ["ts", "id"], "rn", granularity=None), ["id", "rn"])
     assert a.where(F.col("k") == 0).agg(F.max("rn")).first()[0] == 1000
 
@@ -52,21 +50,74 @@ def test_stitched_all_outputs(spark):
     df = _data(spark)
     kw = dict(prev=["s", "ts"], nxt=["s"], seq="q", runs_of="s")
     b = O.stitched(df, "k", ["ts", "id"], granularity=None, **kw)
-    # every key bucketed / only the hot key (1000 rows) bucketed / none hot
-    for hot_rows in (None, 100, 10**9):
-        a = O.stitched(df, "k", ["ts", "id"], hot_rows=hot_rows, **kw)
+    for granularity in ("day", "hour", "month", "value"):
+        a = O.stitched(df, "k", ["ts", "id"], granularity=granularity, **kw)
         _eq(a, b, ["id", "prev_s", "prev_ts", "next_s", "q", "run_id"])
 
 
 def test_islands_with_null_states(spark):
     df = _data(spark).withColumn("s", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("s")))
-    _eq(O.stitched(df, "k", ["ts", "id"], runs_of="s", hot_rows=100),
+    _eq(O.stitched(df, "k", ["ts", "id"], runs_of="s"),
         O.islands(df, "k", ["ts", "id"], "s", granularity=None), ["id", "run_id"])
 
 
 def test_hour_buckets(spark):
     df = _data(spark)
     kw = dict(prev=["s"], nxt=["ts"], seq="q", runs_of="s")
-    _eq(O.stitched(df, "k", ["ts", "id"], granularity="hour", hot_rows=100, **kw),
+    _eq(O.stitched(df, "k", ["ts", "id"], granularity="hour", **kw),
         O.stitched(df, "k", ["ts", "id"], granularity=None, **kw),
         ["id", "prev_s", "next_ts", "q", "run_id"])
+
+
+def _null_log(spark):
+    """NULL keys, times and states, with every answer written down."""
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    rows = [  # key, time, id, state -> previous, next, number, run
+        (1, None, 1, "a", None, "a", 1, 1),
+        (1, day(1), 2, "a", "a", None, 2, 1),
+        (1, day(1, 5), 3, None, "a", None, 3, 2),
+        (1, day(2), 4, None, None, "b", 4, 2),
+        (1, day(9), 5, "b", None, "a", 5, 3),
+        (1, day(9, 1), 6, "a", "b", None, 6, 4),
+        (None, day(1), 7, "x", None, "x", 1, 1),
+        (None, day(3), 8, "x", "x", "y", 2, 1),
+        (None, day(4), 9, "y", "x", None, 3, 2),
+        (2, None, 10, None, None, None, 1, 1),
+        (2, None, 11, None, None, None, 2, 1),
+        (3, day(5), 12, None, None, "c", 1, 1),
+        (3, day(6), 13, "c", None, None, 2, 2),
+    ]
+    df = spark.createDataFrame([r[:4] for r in rows], "k int, ts timestamp, id int, s string")
+    return df, sorted((r[2], *r[4:]) for r in rows)
+
+
+def test_nulls_by_hand(spark):
+    df, want = _null_log(spark)
+    for granularity in ("day", "month", "value", None):
+        x = O.stitched(df, "k", ["ts", "id"], prev=["s"], nxt=["s"], seq="q", runs_of="s", granularity=granularity)
+        key = lambda t: t[0]
+        got = sorted((tuple(r) for r in x.select("id", "prev_s", "next_s", "q", "run_id").collect()), key=key)
+        assert got == sorted(want, key=key), granularity
+
+
+def test_dense_rank_with_nulls(spark):
+    from pyspark.sql import Window
+    df, _ = _null_log(spark)
+    b = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("s")))
+    _eq(O.dense_rank_of(df, "k", "s", "r"), b, ["id", "r"])
+
+
+def test_cells_come_from_one_exchange(spark):
+    """A partitioning by key below does not keep a key whole, and the rows and
+    their summary share the exchange by cell."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        names = spark.createDataFrame([(i, f"n{i}") for i in range(40)], "k int, name string")
+        x = O.stitched(_data(spark).join(names, "k"), "k", ["ts", "id"], prev=["s"], nxt=["ts"], seq="q", runs_of="s")
+        x.collect()
+        plan = x._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("hashpartitioning(_cell") >= 2 and "REPARTITION_BY_COL" in final
+    assert final.count("ReusedExchange") == 1

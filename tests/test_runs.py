@@ -1,52 +1,57 @@
-"""Node stays (effective-dated rows) from the reference dump when present;
-expected values from FIXTURES.md 2d.  Plus invariants on driver data."""
+"""Node stays: a small hand-made table with answers worked out by hand, and
+invariants on driver data."""
 
-import re
+import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import find_rows, rows
+from conftest import rows
 from quarry.operators import runs as RU
 
-ROW = re.compile(r"VALUES \((\d+),(\d+),(\d+),'([^']+)','([^']+)'\)")
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
+STAYS = [  # customer, region, node, first day, last day of January (None: open)
+    (1, 1, 7, 1, 11), (1, 1, 7, 12, 17), (1, 1, 8, 18, 20), (1, 1, 7, 21, None),
+    (2, 1, 8, 1, 4), (2, 1, 9, 5, 5),
+    (3, 2, 7, 1, 31),
+]
 
 
 @pytest.fixture(scope="module")
 def nodes(spark):
-    found = find_rows(ROW, 3500)
-    if found is None:
-        pytest.skip("node rows not available")
-    data = [(int(a), int(b), int(c), s, e) for a, b, c, s, e in found]
-    df = spark.createDataFrame(data, "customer_id int, region_id int, node_id int, "
-                                     "start_date string, end_date string")
-    end = F.to_date("end_date", ISO)
-    return df.select("customer_id", "region_id", "node_id",
-                     F.to_date("start_date", ISO).alias("start_date"),
-                     F.when(end == F.lit("9999-12-31").cast("date"), None).otherwise(end)
-                     .alias("end_date"))
-
-
-def test_distinct_pairs(nodes):
-    assert nodes.select(F.count_distinct("region_id", "node_id")).first()[0] == 25
+    day = lambda d: None if d is None else dt.date(2020, 1, d)
+    return spark.createDataFrame([(c, r, n, day(a), day(b)) for c, r, n, a, b in STAYS],
+                                 "customer_id int, region_id int, node_id int, start_date date, end_date date")
 
 
 def test_mean_stay(nodes):
-    r = RU.run_durations(nodes, "customer_id", "start_date", "node_id", unit="DAY",
-                         end="end_date").first()
-    assert r["n_runs"] == 2491
-    assert r["avg_length"] == pytest.approx(17.624247, abs=1e-6)
+    """Closed runs last 15 (10 + 5), 2, 3, 0 and 30 days."""
+    r = RU.run_durations(nodes, "customer_id", "start_date", "node_id", unit="DAY", end="end_date").first()
+    assert (r["n_runs"], r["avg_length"]) == (5, 10.0)
 
 
 def test_percentiles_by_region(nodes):
-    r = RU.runs(nodes, "customer_id", "start_date", "node_id", unit="DAY", end="end_date",
-                extra=["region_id"])
-    p = RU.duration_percentiles(r, "region_id", "length")
-    got = [(g, round(a, 2), round(b, 2), round(c, 2))
-           for g, a, b, c in rows(p, "region_id", "p50", "p80", "p95")]
-    assert got == [(1, 17.0, 26.0, 40.0), (2, 17.0, 26.0, 35.55), (3, 17.0, 26.0, 37.6),
-                   (4, 17.0, 25.2, 37.8), (5, 18.0, 27.0, 37.0)]
+    r = RU.runs(nodes, "customer_id", "start_date", "node_id", unit="DAY", end="end_date", extra=["region_id"])
+    got = [(g, *(round(x, 9) for x in p)) for g, *p in
+           rows(RU.duration_percentiles(r, "region_id", "length"), "region_id", "p50", "p80", "p95")]
+    assert got == [(1, 2.5, 7.8, 13.2), (2, 30.0, 30.0, 30.0)]
+
+
+def test_percentiles_equal_the_builtin(spark):
+    df = spark.range(5000).selectExpr("id % 3 as g", "(id * 7919) % 613 as v")
+    ours = RU.duration_percentiles(df, "g", "v", ps=(0.1, 0.5, 0.99))
+    theirs = df.groupBy("g").agg(F.percentile(F.col("v").cast("double"), [0.1, 0.5, 0.99]).alias("p"))
+    want = {r["g"]: tuple(r["p"]) for r in theirs.collect()}
+    for r in ours.collect():
+        assert (r["p10"], r["p50"], r["p99"]) == pytest.approx(want[r["g"]])
+    assert "percentile" not in ours._jdf.queryExecution().executedPlan().toString()
+
+
+def test_open_ends_come_from_the_next_row(spark):
+    ts = lambda h: dt.datetime(2024, 1, 1, h)
+    df = spark.createDataFrame([(1, "a", ts(0), 1), (1, "a", ts(2), 2), (1, "b", ts(3), 3), (1, "a", ts(7), 4)],
+                               "k int, s string, t timestamp, id int")
+    r = RU.runs(df, "k", "t", "s", ["id"])
+    assert rows(r, "run_id", "s", "length") == [(1, "a", 180), (2, "b", 240)]
 
 
 def test_islands_partition_rows(spark):
