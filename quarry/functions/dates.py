@@ -40,6 +40,25 @@ def week_number(d, scheme: str = "iso") -> Column:
     raise ValueError(f"unknown week scheme {scheme!r}")
 
 
+def week_year(d, scheme: str = "iso") -> Column:
+    """The year that ``week_number`` counts in: the ISO year for ``iso`` (it
+    differs from the calendar year around New Year), the calendar year for
+    ``monday``."""
+    d = as_col(d)
+    return F.extract(F.lit("YEAROFWEEK"), d).cast("int") if scheme == "iso" else F.year(d)
+
+
+def iso_weeks_in(year) -> Column:
+    """52 or 53: the ISO week of 28 December."""
+    return F.weekofyear(F.make_date(as_col(year), F.lit(12), F.lit(28)))
+
+
+def iso_week_monday(year, week) -> Column:
+    """The Monday of an ISO week; 4 January is always in week 1."""
+    first = F.date_trunc("week", F.make_date(as_col(year), F.lit(1), F.lit(4))).cast("date")
+    return F.date_add(first, ((as_col(week) - 1) * 7).cast("int"))
+
+
 def month_start(d) -> Column:
     """First day of the month as DATE."""
     return F.trunc(as_col(d), "month")
@@ -78,30 +97,3 @@ def day_name(d) -> Column:
 
 def month_name(d) -> Column:
     return F.date_format(as_col(d), "MMMM")
-
-
-def whole_minutes(start, end) -> Column:
-    """Whole elapsed minutes end - start, truncated toward zero (H22, ruling X5)."""
-    return F.timestamp_diff("MINUTE", as_col(start), as_col(end))
-
-
-def whole_days(start, end) -> Column:
-    """Whole days between two dates."""
-    return F.datediff(as_col(end).cast("date"), as_col(start).cast("date"))
-
-
-def month_series(start, stop) -> Column:
-    """Array of monthly dates start, start+1m, ... <= stop, anchored at start.
-
-    Each element is ``add_months(start, i)`` so a 31st start gives month ends
-    (31 Jan, 29 Feb, 31 Mar) without drift.  Empty when stop < start (Spark's
-    ``sequence`` would throw there).
-    """
-    start, stop = as_col(start), as_col(stop)
-    n = F.months_between(stop, start)
-    count = F.floor(n).cast("int")
-    # months_between treats two month ends as whole months; add_months clamps.
-    idx = F.sequence(F.lit(0), count)
-    arr = F.transform(idx, lambda i: F.add_months(start, i))
-    arr = F.filter(arr, lambda x: x <= stop)
-    return F.when(stop >= start, arr).otherwise(F.array().cast("array<date>"))

@@ -27,15 +27,17 @@ def order_cols(order: Iterable, descending: bool = False) -> list[Column]:
     return out
 
 
-def ratio(num, den) -> Column:
-    """num / den as DOUBLE; NULL when den is 0 or NULL (D13, H3 ruling X6)."""
-    return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))
+def ratio(num, den, digits: int | None = None) -> Column:
+    """num / den as DOUBLE; NULL when den is 0 or NULL (D13, H3 ruling X6).
+    With ``digits`` it is rounded half up (H4)."""
+    out = F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))
+    return out if digits is None else F.round(out, digits)
 
 
-def exact_mean(c, dtype: str = "decimal(18,2)") -> Column:
+def exact_mean(c, dtype: str = "decimal(18,2)", digits: int | None = None) -> Column:
     """Mean computed as exact-sum / count, returned as DOUBLE.
 
     Summing decimals is exact and order-independent, so the result is the same
     on every partitioning of the data (D6)."""
     x = as_col(c).cast(dtype)
-    return ratio(F.sum(x), F.count(x))
+    return ratio(F.sum(x), F.count(x), digits)

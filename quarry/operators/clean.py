@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.dates import as_col, week_number
-from quarry.functions.text import NULL_SENTINELS, code_band, leading_number, null_if_sentinel
+from quarry.functions.dates import as_col, week_number, week_year
+from quarry.functions.text import NULL_SENTINELS, code_band, null_if_sentinel
 from quarry.operators._util import cols, ratio
 
 # Segment code letters and digits and their labels.
@@ -24,22 +24,14 @@ def clean_sentinels(df: DataFrame, columns, sentinels=NULL_SENTINELS) -> DataFra
     return out
 
 
-def parse_units(df: DataFrame, columns: dict, dtype: str = "decimal(10,2)") -> DataFrame:
-    """Strip units glued to numbers: {'distance': 'distance_km'} turns
-    '20km' / '23.4 km' / 'null' into 20.00 / 23.40 / NULL (2.0b, H29)."""
-    out = df
-    for src, dst in columns.items():
-        out = out.withColumn(dst, leading_number(src, dtype))
-    return out
-
-
 def clean_weekly(df: DataFrame, date_col: str = "week_date", segment: str = "segment",
                  sales: str = "sales", transactions: str = "transactions",
                  week_scheme: str = "iso", demographic_bands: dict | None = None,
                  age_bands: dict | None = None) -> DataFrame:
     """Typed weekly table with calendar parts, bands and mean ticket (5.0).
 
-    Adds week_number, month_number, calendar_year, age_band, demographic and
+    Adds week_number, month_number, calendar_year, week_year (the year the week
+    number counts in), age_band, demographic and
     (when a transactions column is present) avg_transaction; segment 'null'
     becomes 'unknown'."""
     d = as_col(date_col)
@@ -49,6 +41,7 @@ def clean_weekly(df: DataFrame, date_col: str = "week_date", segment: str = "seg
            .withColumn("week_number", week_number(d, week_scheme))
            .withColumn("month_number", F.month(d))
            .withColumn("calendar_year", F.year(d))
+           .withColumn("week_year", week_year(d, week_scheme))
            .withColumn("age_band", code_band(segment, age_bands or AGE_BANDS))
            .withColumn("demographic", code_band(segment, demographic_bands or DEMOGRAPHIC_BANDS)))
     if transactions in df.columns:

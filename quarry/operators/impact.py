@@ -7,10 +7,10 @@ dimensions, with map-side partial sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.dates import as_col, as_date, week_number
+from quarry.functions.dates import as_col, as_date, iso_week_monday, week_number, week_year
 from quarry.operators._util import cols, ratio
 
 
@@ -43,29 +43,45 @@ def before_after(df: DataFrame, date_col: str, event, metric: str, k: int,
     return _finish(g)
 
 
-def before_after_by_year(df: DataFrame, week_col: str, year_col: str, event,
-                         metric: str, k: int, dims=None, week_scheme: str = "iso") -> DataFrame:
-    """Same comparison repeated for every year at the event's week number
-    (5.9): weeks [w0-k, w0) vs [w0, w0+k) of each year (ruling X27: one
-    week rule for every year)."""
-    w0 = week_number(as_date(event), week_scheme)
-    w = as_col(week_col)
-    x = df.where((w >= w0 - k) & (w < w0 + k))
-    g = x.groupBy(year_col, *cols(dims)).agg(
-        F.sum(F.when(w < w0, as_col(metric))).alias("before_value"),
-        F.sum(F.when(w >= w0, as_col(metric))).alias("after_value"))
-    return _finish(g)
+def before_after_by_year(df: DataFrame, date_col: str, event, metric: str, k: int, dims=None,
+                         year: str = "calendar_year") -> DataFrame:
+    """Same comparison repeated for every year at the event's ISO week (5.9):
+    k weeks before and from the Monday of that week on (ruling X27: one week
+    rule for every year).
+
+    Weeks are counted by date, so they run over the turn of the year; a row may
+    be before one year's event and after another's.  Years without a row of
+    their own in the window are left out."""
+    d, w0 = as_col(date_col), week_number(as_date(event))
+    own = week_year(d)
+    x = df.withColumn("_own", own).withColumn(year, F.explode(F.array(own - 1, own, own + 1)))
+    x = x.withColumn("_week", F.floor(F.datediff(d, iso_week_monday(year, w0)) / 7)) \
+        .where((F.col("_week") >= -k) & (F.col("_week") < k))
+    g = x.groupBy(year, *cols(dims)).agg(
+        F.sum(F.when(F.col("_week") < 0, as_col(metric))).alias("before_value"),
+        F.sum(F.when(F.col("_week") >= 0, as_col(metric))).alias("after_value"),
+        F.count_if(F.col("_own") == F.col(year)).alias("_rows"))
+    return _finish(g.where("_rows > 0").drop("_rows"))
+
+
+def ranked_by_change(result: DataFrame, name: str = "change_rank") -> DataFrame:
+    """Rank the groups of a comparison by relative change, the largest loss
+    first (5.10); unknown changes last.  Runs on aggregated rows."""
+    w = Window.orderBy(F.col("pct_change").asc_nulls_last())
+    return result.withColumn(name, F.rank().over(w).cast("bigint")).orderBy(name)
 
 
-def missing_periods(df: DataFrame, period_col: str, lo: int, hi: int, by=None) -> DataFrame:
-    """Period numbers lo..hi absent from ``df`` per ``by`` group (5.2, J6).
+def missing_periods(df: DataFrame, period_col: str, lo: int, hi, by=None) -> DataFrame:
+    """Period numbers lo..hi absent from ``df`` per ``by`` group (5.2, J6);
+    ``hi`` may be a column of the group (years have 52 or 53 weeks).
 
     The spine is the distinct groups times an integer sequence; absence is a
     left-anti join against the distinct (group, period) pairs."""
     by = cols(by)
     present = df.select(*by, F.col(period_col).cast("int").alias(period_col)).distinct()
     groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    spine = groups.select(*by, F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(period_col))
+    last = hi if isinstance(hi, Column) else F.lit(hi)
+    spine = groups.select(*by, F.explode(F.sequence(F.lit(lo), last)).alias(period_col))
     return spine.join(present, by + [period_col], "left_anti")
 
 

@@ -1,12 +1,9 @@
 """Comma-list columns: counting, lookups, labels and multiset merges
 (analyses 2.17-2.21, 2.26; survey ids H9-H12, D14, D15, D19, J5).
 
-The list of one row is small, so per-row work stays inside array
-expressions (``transform`` / ``filter`` / ``array_sort``) -- no explode,
-shuffle and re-group per row.  Id -> name lookups use a bounded dimension
-folded into one map value by a scalar subquery: it is computed once and
-shipped to the tasks as a literal, so it must be a dimension of fixed size
-(here at most 25 names); a growing dimension should be joined instead.
+Counting and merging the ids of one row stays inside array expressions.  Id ->
+name lookups are joins over the distinct lists, of which there are far fewer
+than rows; Spark broadcasts a side when it has measured it to be small.
 """
 
 from __future__ import annotations
@@ -18,25 +15,6 @@ from quarry.functions.text import split_ids
 from quarry.operators._util import as_col, cols
 
 
-MAX_LOOKUP = 10_000
-
-
-def lookup_map(dim: DataFrame, key: str, value: str, max_entries: int = MAX_LOOKUP) -> Column:
-    """map<key, value> of a small dimension, as a scalar subquery.
-
-    At most ``max_entries + 1`` rows are ever collected (``limit`` runs
-    first), and a larger dimension fails the query instead of being shipped:
-    the size bound is enforced, not assumed."""
-    m = (dim.select(key, value).limit(max_entries + 1)
-         .select(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))
-                 .alias("m")))
-    checked = m.select(F.when(F.size("m") > max_entries,
-                              F.raise_error(F.lit(f"lookup dimension exceeds {max_entries} "
-                                                  "entries; join it instead")))
-                       .otherwise(F.col("m")))
-    return checked.scalar()
-
-
 def with_id_lists(df: DataFrame, columns: dict, sep: str = ",") -> DataFrame:
     """Parse text lists ('1, 4', '', 'null') into array<int> columns."""
     out = df
@@ -45,15 +23,19 @@ def with_id_lists(df: DataFrame, columns: dict, sep: str = ",") -> DataFrame:
     return out
 
 
-def names_of(ids: Column, names: Column) -> Column:
-    """Sorted names of an id array (unknown ids dropped)."""
-    return F.array_sort(F.array_compact(F.transform(ids, lambda i: F.element_at(names, i))))
+def with_names(df: DataFrame, list_col: str, dim: DataFrame, key: str, value: str, out: str,
+               sep: str = ", ") -> DataFrame:
+    """Add the sorted, joined names of an id list (2.17, D14, D15); NULL when
+    the list is NULL or empty or holds no known id.
 
-
-def names_text(ids: Column, names: Column, sep: str = ", ") -> Column:
-    """Sorted, joined names of an id array; NULL when the array is NULL/empty."""
-    arr = names_of(ids, names)
-    return F.when(F.size(arr) > 0, F.array_join(arr, sep))
+    Each distinct list is looked up once: its ids are joined with the dimension
+    and gathered again (a list's own ids, so a bounded group), then the texts are
+    joined back by list.  The dimension may be of any size."""
+    lists = df.select(list_col).where(F.size(list_col) > 0).distinct()
+    texts = (lists.select(list_col, F.explode(list_col).alias(key))
+             .join(dim.select(key, value), key)
+             .groupBy(list_col).agg(F.array_join(F.array_sort(F.collect_list(value)), sep).alias(out)))
+    return df.join(texts, list_col, "left")
 
 
 def list_item_counts(df: DataFrame, list_col: str, dim: DataFrame, key: str, value: str,
@@ -68,56 +50,43 @@ def list_item_counts(df: DataFrame, list_col: str, dim: DataFrame, key: str, val
     return c.join(dim.select(key, value), key, "left")
 
 
-def _with_names(df: DataFrame, names: Column) -> DataFrame:
-    # the lookup is projected once as a column: subqueries may not appear
-    # inside lambda functions
-    return df.withColumn("_names", names)
-
-
-def explode_lookup_listagg(df: DataFrame, list_col: str, names: Column,
-                           out: str = "names", sep: str = ", ") -> DataFrame:
-    """Replace an id list by its sorted, joined names (2.17)."""
-    x = _with_names(df, names)
-    return x.withColumn(out, names_text(F.col(list_col), F.col("_names"), sep)).drop("_names")
-
-
-def order_line_label(df: DataFrame, base: str, minus: str, plus: str, names: Column,
-                     out: str = "label") -> DataFrame:
+def order_line_label(df: DataFrame, base: str, minus: str, plus: str, dim: DataFrame, key: str,
+                     value: str, out: str = "label") -> DataFrame:
     """'<base> - Exclude a, b - Extra c' per line (2.19, ruling X18: per line)."""
-    x = _with_names(df, names)
-    nm = F.col("_names")
-    ex, pl = names_text(F.col(minus), nm), names_text(F.col(plus), nm)
-    label = F.concat_ws("", F.col(base),
-                        F.when(ex.isNotNull(), F.concat(F.lit(" - Exclude "), ex)),
-                        F.when(pl.isNotNull(), F.concat(F.lit(" - Extra "), pl)))
-    return x.withColumn(out, label).drop("_names")
+    x = with_names(df, minus, dim, key, value, "_minus")
+    x = with_names(x, plus, dim, key, value, "_plus")
+    label = F.concat_ws("", F.col(base), F.concat(F.lit(" - Exclude "), F.col("_minus")),
+                        F.concat(F.lit(" - Extra "), F.col("_plus")))
+    return x.withColumn(out, label).drop("_minus", "_plus")
 
 
 def merged_ids(recipe: str, minus: str, plus: str) -> Column:
-    """Recipe - exclusions + extras as an id array (2.20, 2.21).  Recipe ids
-    are distinct, so the set difference is the multiset difference."""
+    """Recipe and extras together, without what is excluded, as an id array
+    (2.20, 2.21).  An excluded id goes from the extras too; repeats stay."""
     empty = F.array().cast("array<int>")
-    kept = F.array_except(F.col(recipe), F.coalesce(F.col(minus), empty))
-    return F.concat(kept, F.coalesce(F.col(plus), empty))
+    excluded = F.coalesce(F.col(minus), empty)
+    both = F.concat(F.coalesce(F.col(recipe), empty), F.coalesce(F.col(plus), empty))
+    return F.filter(both, lambda i: ~F.coalesce(F.array_contains(excluded, i), F.lit(False)))
 
 
 def merged_ingredient_list(df: DataFrame, base: str, recipe: str, minus: str, plus: str,
-                           names: Column, out: str = "ingredients") -> DataFrame:
-    """'<base>: 2xA, B, C' per line: recipe minus exclusions plus extras,
+                           dim: DataFrame, key: str, value: str, out: str = "ingredients") -> DataFrame:
+    """'<base>: 2xA, B, C' per line: recipe plus extras minus exclusions,
     each name once with its count as a prefix when above 1, sorted by name
     (2.20, ruling X19: keyed by line).
 
-    The sorted name array is projected once; each distinct name's count is
-    size(arr) - size(array_remove(arr, name)), so only one flat lambda runs
-    per row."""
-    x = _with_names(df, names)
-    x = x.withColumn("_arr", names_of(merged_ids(recipe, minus, plus), F.col("_names")))
-    arr = F.col("_arr")
-    text = F.array_join(F.transform(F.array_distinct(arr), lambda n: F.when(
-        F.size(arr) - F.size(F.array_remove(arr, n)) > 1,
-        F.concat((F.size(arr) - F.size(F.array_remove(arr, n))).cast("string"), F.lit("x"), n))
-        .otherwise(n)), ", ")
-    return x.withColumn(out, F.concat(F.col(base), F.lit(": "), text)).drop("_names", "_arr")
+    As in ``with_names``, each distinct merged list is written out once."""
+    x = df.withColumn("_ids", merged_ids(recipe, minus, plus))
+    counts = (x.select("_ids").distinct().select("_ids", F.explode("_ids").alias(key))
+              .join(dim.select(key, value), key)
+              .groupBy("_ids", value).agg(F.count(F.lit(1)).alias("_n")))
+    item = F.when(F.col("_n") > 1, F.concat(F.col("_n").cast("string"), F.lit("x"), F.col(value))) \
+        .otherwise(F.col(value))
+    texts = counts.groupBy("_ids").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(value), item.alias("t")))), lambda s: s["t"]), ", ").alias("_text"))
+    return (x.join(texts, "_ids", "left")
+             .withColumn(out, F.concat(F.col(base), F.lit(": "), F.coalesce("_text", F.lit(""))))
+             .drop("_ids", "_text"))
 
 
 def ingredient_totals(df: DataFrame, recipe: str, minus: str, plus: str, dim: DataFrame,
@@ -132,7 +101,8 @@ def ingredient_totals(df: DataFrame, recipe: str, minus: str, plus: str, dim: Da
 def append_all_items_row(recipes: DataFrame, dim: DataFrame, id_col: str, list_col: str,
                          key: str, new_id_offset: int = 1) -> DataFrame:
     """Add one recipe made of every ingredient (2.26): id = max id + offset,
-    list = all dimension ids in ascending order, as comma text."""
+    list = all dimension ids in ascending order, as comma text.  The new row is
+    one text, so the dimension has to be one that a text can list."""
     new = (dim.agg(F.array_join(F.array_sort(F.collect_list(F.col(key))), ", ").alias(list_col))
            .withColumn(id_col, recipes.select(F.max(id_col) + new_id_offset).scalar()))
     return recipes.unionByName(new.select(id_col, list_col))
@@ -140,9 +110,10 @@ def append_all_items_row(recipes: DataFrame, dim: DataFrame, id_col: str, list_c
 
 def revenue(df: DataFrame, price: Column, extras: str | None = None,
             surcharge: float = 0.0, special: dict | None = None, by=None,
-            name: str = "revenue") -> DataFrame:
+            name: str = "revenue", unpriced: str = "n_unpriced") -> DataFrame:
     """sum(price + surcharge per extra) (2.22, 2.23); ``special`` maps an
-    extra id to its own surcharge."""
+    extra id to its own surcharge.  Lines without a price count as
+    ``unpriced``; their extras are charged all the same."""
     add = F.lit(0)
     if extras:
         sp = special or {}
@@ -152,7 +123,9 @@ def revenue(df: DataFrame, price: Column, extras: str | None = None,
                           .cast("decimal(10,2)"))
         add = per
     g = df.groupBy(*cols(by)) if cols(by) else df.groupBy()
-    return g.agg(F.sum(as_col(price) + add).cast("double").alias(name))
+    p = as_col(price)
+    return g.agg(F.sum(F.coalesce(p, F.lit(0)) + add).cast("double").alias(name),
+                 F.count_if(p.isNull()).alias(unpriced))
 
 
 def _charge(i: Column, default: float, special: dict) -> Column:

@@ -17,9 +17,9 @@ def _safe(v) -> str:
 
 def share_of_total(df: DataFrame, by, within=None, value=None,
                    count_distinct=None, name: str = "n",
-                   share: str = "share") -> DataFrame:
+                   share: str = "share", of=None, digits: int | None = None) -> DataFrame:
     """Count (or sum ``value``) per ``within + by`` and its share of the
-    ``within`` total (D12).
+    ``within`` total (D12), or of ``of`` where that is given.
 
     ``count_distinct`` counts distinct values of that column instead of rows
     (ruling X7: "share of customers" divides by customers, not rows).  The
@@ -34,6 +34,8 @@ def share_of_total(df: DataFrame, by, within=None, value=None,
     else:
         measure = F.count(F.lit(1))
     agg = df.groupBy(*within, *by).agg(measure.alias(name))
+    if of is not None:
+        return agg.withColumn(share, ratio(name, of, digits))
     tot_src = df.groupBy(*within) if within else df.groupBy()
     tot = tot_src.agg(measure.alias("_total"))
     if within:
@@ -41,38 +43,27 @@ def share_of_total(df: DataFrame, by, within=None, value=None,
     else:
         # a one-row scalar subquery, evaluated once and inlined as a value
         out = agg.withColumn("_total", tot.scalar())
-    return out.withColumn(share, ratio(name, "_total")).drop("_total")
+    return out.withColumn(share, ratio(name, "_total", digits)).drop("_total")
 
 
 def pivot_share(df: DataFrame, rows, pivot_col: str, values: list, metric,
-                prefix: str = "share_", totals_prefix: str | None = None) -> DataFrame:
+                prefix: str = "share_", digits: int | None = None) -> DataFrame:
     """One column per pivot value holding its share of the row total.
 
-    ``groupBy(rows).pivot(col, values)`` with the values given up front, so
-    no extra pass is needed to discover them."""
-    rows = cols(rows)
-    p = (df.groupBy(*rows).pivot(pivot_col, list(values))
-         .agg(F.sum(as_col(metric)).alias("_v")))
-    names = [str(v) for v in values]
-    total = None
-    for n in names:
-        c = F.coalesce(F.col(f"`{n}`"), F.lit(0))
-        total = c if total is None else total + c
-    sel = [F.col(r) for r in rows]
-    for v, n in zip(values, names):
-        if totals_prefix:
-            sel.append(F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("double")
-                       .alias(totals_prefix + _safe(v)))
-        sel.append(ratio(F.coalesce(F.col(f"`{n}`"), F.lit(0)), total)
-                   .alias(prefix + _safe(v)))
-    return p.select(*sel)
-
-
-def ratio_of_sums(df: DataFrame, by, num, den, name: str = "ratio") -> DataFrame:
+    One conditional aggregate; the total is over all rows, so values that are
+    not listed count in it."""
+    rows, m = cols(rows), as_col(metric)
+    g = df.groupBy(*rows).agg(
+        F.sum(m).alias("_total"),
+        *[F.coalesce(F.sum(F.when(F.col(pivot_col) == v, m)), F.lit(0)).alias(f"_v{i}") for i, v in enumerate(values)])
+    return g.select(*rows, *[ratio(f"_v{i}", "_total", digits).alias(prefix + _safe(v)) for i, v in enumerate(values)])
+
+
+def ratio_of_sums(df: DataFrame, by, num, den, name: str = "ratio", digits: int | None = None) -> DataFrame:
     """sum(num) / sum(den) per group: the weighted mean."""
     by = cols(by)
     g = df.groupBy(*by) if by else df.groupBy()
-    return g.agg(ratio(F.sum(as_col(num)), F.sum(as_col(den))).alias(name))
+    return g.agg(ratio(F.sum(as_col(num)), F.sum(as_col(den)), digits).alias(name))
 
 
 def rate(df: DataFrame, by, success, name: str = "rate") -> DataFrame:
@@ -85,9 +76,9 @@ def rate(df: DataFrame, by, success, name: str = "rate") -> DataFrame:
 
 
 def pivot_counts(df: DataFrame, rows, pivot_col: str, values: list,
-                 prefix: str = "n_") -> DataFrame:
-    """Row counts per pivot value as columns, 0 where absent (2.4)."""
-    rows = cols(rows)
-    p = df.groupBy(*rows).pivot(pivot_col, list(values)).agg(F.count(F.lit(1)))
-    return p.select(*rows, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("bigint")
-                             .alias(prefix + _safe(v)) for v in values])
+                 prefix: str = "n_", total: str | None = None) -> DataFrame:
+    """Row counts per pivot value as columns, 0 where absent (2.4); ``total``
+    names a column with the count of all rows, listed or not."""
+    extra = [F.count(F.lit(1)).alias(total)] if total else []
+    return df.groupBy(*cols(rows)).agg(
+        *[F.count_if(F.col(pivot_col) == v).alias(prefix + _safe(v)) for v in values], *extra)

@@ -20,12 +20,18 @@ def totals_by(df: DataFrame, by=None, sums: dict | None = None,
     ``by`` gives one global row.  Partial aggregation runs map-side, so a hot
     group key costs one small partial row per task.
     """
+    distinct = distinct or {}
+    if len(distinct) > 1 and not (rows or sums or counts or means):
+        # several distinct counts expand every row once per count: do so on
+        # distinct rows only
+        used = list(dict.fromkeys([*cols(by), *(x for c in distinct.values() for x in cols(c))]))
+        df = df.select(*used).distinct()
     aggs = []
     if rows:
         aggs.append(F.count(F.lit(1)).alias(rows))
     for name, c in (counts or {}).items():
         aggs.append(F.count(as_col(c)).alias(name))
-    for name, c in (distinct or {}).items():
+    for name, c in distinct.items():
         cs = [as_col(x) for x in cols(c)]
         aggs.append(F.count_distinct(*cs).alias(name))
     for name, c in (sums or {}).items():
@@ -37,11 +43,6 @@ def totals_by(df: DataFrame, by=None, sums: dict | None = None,
     return g.agg(*aggs)
 
 
-def distinct_values(df: DataFrame, by) -> DataFrame:
-    """Group-by-only."""
-    return df.select(*cols(by)).distinct()
-
-
 def avg_children_per_parent(df: DataFrame, parent, child, by=None) -> DataFrame:
     """Mean number of distinct children per parent (6.2, two-stage D11).
 

@@ -51,7 +51,7 @@ def distinct_per_region(spark, d):
 SELECT CAST(SUM(length) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_length,
        COUNT(*) AS n_runs FROM closed_runs"""))
 def run_durations(spark, d):
-    return RU.run_durations(_n(spark, d), "customer_id", "start_ts", "node", ["event_id"])
+    return RU.run_durations(customer_nodes(Tables(spark, d), region=False), "customer_id", "start_ts", "node", ["event_id"])
 
 
 # Oracle: interpolation written out as (hi_pos - pos) * lo + (pos - lo_pos) * hi over

@@ -36,10 +36,18 @@ def distinct_visits_per_month(spark, d):
     return C.distinct_visits_per_period(_e(spark, d), "user_id", "visit_date", "ts", "month")
 
 
-@register("events_per_type", """
-SELECT event_type, COUNT(event_id) AS n_events FROM events GROUP BY 1""")
+# Names of the event types; a type without a name stays, unnamed.
+TYPE_NAMES = [("view", "Page View"), ("click", "Ad Click"), ("purchase", "Purchase"), ("signup", "Sign-up")]
+
+
+@register("events_per_type", f"""
+SELECT e.event_type, n.event_name, COUNT(e.event_id) AS n_events
+FROM events e LEFT JOIN (VALUES {", ".join(map(str, TYPE_NAMES))}) n(event_type, event_name)
+  ON e.event_type = n.event_type GROUP BY 1, 2""")
 def events_per_type(spark, d):
-    return totals_by(_e(spark, d), "event_type", counts={"n_events": "event_id"}, rows=None)
+    per = totals_by(_e(spark, d), "event_type", counts={"n_events": "event_id"}, rows=None)
+    names = spark.createDataFrame(TYPE_NAMES, "event_type string, event_name string")
+    return per.join(names, "event_type", "left")
 
 
 @register("visit_conversion", """

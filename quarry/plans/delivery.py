@@ -9,6 +9,7 @@ from quarry.functions.text import leading_number, null_if_sentinel
 from quarry.operators import elapsed as EL
 from quarry.operators import lists as L
 from quarry.operators.clean import clean_sentinels
+from quarry.operators.ordered import row_number
 from quarry.operators.rank import count_top_k_per
 from quarry.operators.share import pivot_counts, rate
 from quarry.operators.totals import totals_by
@@ -28,16 +29,20 @@ WEEK_ANCHOR = "2023-12-29"
 LINE = ["order_id", "line_no", "pizza_id", "supplier_id"]
 
 
-def _price_col():
-    c = None
-    for k, v in PRICES.items():
-        c = (F.when(F.col("pizza_name") == k, F.lit(v)) if c is None
-             else c.when(F.col("pizza_name") == k, F.lit(v)))
-    return c.cast("decimal(10,2)")
+def _priced(lines, spark):
+    """Lines with the price of their type (NULL for a type without one)."""
+    prices = spark.createDataFrame([(k, str(v)) for k, v in PRICES.items()], "pizza_name string, price string")
+    return lines.join(prices.select("pizza_name", F.col("price").cast("decimal(10,2)").alias("price")),
+                      "pizza_name", "left")
 
 
-PRICE_SQL = ("CAST(CASE pizza_name " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRICES.items())
-             + " END AS DECIMAL(10,2))")
+PRICES_SQL = """, prices AS (
+  SELECT pizza_name, CAST(price AS DECIMAL(10,2)) AS price
+  FROM (VALUES """ + ", ".join(f"('{k}', {v})" for k, v in PRICES.items()) + """) p(pizza_name, price)
+),
+priced_lines AS (
+  SELECT l.*, p.price FROM delivered_lines l LEFT JOIN prices p ON l.pizza_name = p.pizza_name
+)"""
 
 SENT = "('', 'null', 'NaN')"
 NUM = r"'^\s*(\d+\.?\d*|\.\d+)'"
@@ -46,8 +51,8 @@ lines_clean AS (
   SELECT order_id, line_no, pizza_id, supplier_id, customer_id, pizza_name,
          CASE WHEN trim(exclusions) IN {SENT} THEN NULL ELSE exclusions END AS exclusions,
          CASE WHEN trim(extras) IN {SENT} THEN NULL ELSE extras END AS extras, order_time,
-         ROW_NUMBER() OVER (ORDER BY order_id, line_no, pizza_id, supplier_id,
-                                     exclusions, extras) AS line_uid
+         ROW_NUMBER() OVER (ORDER BY order_time, order_id, line_no, pizza_id, supplier_id,
+                                     exclusions NULLS FIRST, extras NULLS FIRST) AS line_uid
   FROM pizza_lines
 ),
 deliveries AS (
@@ -118,17 +123,24 @@ def delivered_lines(spark, d, with_ids: bool = False):
     return src.join(delivered(spark, d).select("order_id"), "order_id", "left_semi")
 
 
-def names(spark, d):
-    return L.lookup_map(pizza_toppings(Tables(spark, d)), "topping_id", "topping_name")
+def toppings(spark, d):
+    return pizza_toppings(Tables(spark, d))
 
 
+# Constants of the rating's hash (reduced first, so no id overflows).
 def rating_col(order_id):
-    return ((F.col(order_id) * 37 + 11) % 97 % 5 + 1).cast("int")
+    return ((F.col(order_id) % 97 * 37 + 11) % 97 % 5 + 1).cast("int")
+
 
+RATING_SQL = "CAST(({0} % 97 * 37 + 11) % 97 % 5 + 1 AS INTEGER)"
 
-@register("clean_order_lines", W("SELECT * EXCLUDE (line_uid) FROM lines_clean"))
+
+@register("clean_order_lines", W("SELECT * FROM lines_clean"))
 def clean_order_lines(spark, d):
-    return lines(spark, d)
+    """Cleaned lines, numbered in order over the whole table."""
+    x = lines(spark, d).withColumn("_all", F.lit(1))
+    order = ["order_time", *LINE, "exclusions", "extras"]
+    return row_number(x, "_all", order, "line_uid").drop("_all")
 
 
 @register("clean_deliveries", W("""
@@ -154,7 +166,7 @@ def delivery_join(spark, d):
 
 
 @register("synthetic_rating", W("""
-SELECT order_id, CAST((order_id * 37 + 11) % 97 % 5 + 1 AS INTEGER) AS rating FROM delivered"""))
+SELECT order_id, """ + RATING_SQL.format("order_id") + """ AS rating FROM delivered"""))
 def synthetic_rating(spark, d):
     return delivered(spark, d).select("order_id", rating_col("order_id").alias("rating"))
 
@@ -180,9 +192,9 @@ def delivered_per_type(spark, d):
 
 @register("pivot_counts", W("SELECT customer_id, " + ", ".join(
     f"COUNT(*) FILTER (WHERE pizza_name = '{t}') AS n_{t.lower()}" for t in TYPES)
-    + " FROM lines_clean GROUP BY 1"))
+    + ", COUNT(*) AS n_total FROM lines_clean GROUP BY 1"))
 def pivot_counts_q(spark, d):
-    return pivot_counts(lines(spark, d), "customer_id", "pizza_name", TYPES)
+    return pivot_counts(lines(spark, d), "customer_id", "pizza_name", TYPES, total="n_total")
 
 
 @register("largest_order", W("""
@@ -321,8 +333,8 @@ SELECT r.pizza_id, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS i
 FROM recipe_items r JOIN pizza_toppings t ON r.topping_id = t.topping_id GROUP BY 1"""))
 def standard_ingredients(spark, d):
     r = L.with_id_lists(pizza_recipes(Tables(spark, d)), {"toppings": "ids"})
-    return L.explode_lookup_listagg(r, "ids", names(spark, d), "ingredients").select(
-        "pizza_id", "ingredients")
+    x = L.with_names(r, "ids", toppings(spark, d), "topping_id", "topping_name", "ingredients")
+    return x.where(F.col("ingredients").isNotNull()).select("pizza_id", "ingredients")
 
 
 @register("extra_counts", W("""
@@ -363,18 +375,18 @@ LEFT JOIN ex_names a ON a.line_uid = l.line_uid
 LEFT JOIN xt_names b ON b.line_uid = l.line_uid"""))
 def order_line_label(spark, d):
     x = L.order_line_label(lines_ids(spark, d), "pizza_name", "excl_ids", "extra_ids",
-                           names(spark, d))
+                           toppings(spark, d), "topping_id", "topping_name")
     return x.select(*LINE, "label")
 
 
 _MERGED_SQL = """
 , merged AS (
-  SELECT l.order_id, l.line_uid, r.topping_id
-  FROM lines_clean l JOIN recipe_items r ON l.pizza_id = r.pizza_id
-  WHERE NOT EXISTS (SELECT 1 FROM excl e
-                    WHERE e.line_uid = l.line_uid AND e.topping_id = r.topping_id)
-  UNION ALL
-  SELECT order_id, line_uid, topping_id FROM extr WHERE topping_id IS NOT NULL
+  SELECT u.order_id, u.line_uid, u.topping_id
+  FROM (SELECT l.order_id, l.line_uid, r.topping_id
+        FROM lines_clean l JOIN recipe_items r ON l.pizza_id = r.pizza_id
+        UNION ALL
+        SELECT order_id, line_uid, topping_id FROM extr WHERE topping_id IS NOT NULL) u
+  ANTI JOIN excl e ON e.line_uid = u.line_uid AND e.topping_id = u.topping_id
 )"""
 
 
@@ -391,9 +403,9 @@ FROM lines_clean l LEFT JOIN (
   GROUP BY 1) m ON m.line_uid = l.line_uid"""))
 def merged_ingredient_list(spark, d):
     r = L.with_id_lists(pizza_recipes(Tables(spark, d)), {"toppings": "recipe_ids"})
-    x = lines_ids(spark, d).join(r.select("pizza_id", "recipe_ids"), "pizza_id")
+    x = lines_ids(spark, d).join(r.select("pizza_id", "recipe_ids"), "pizza_id", "left")
     x = L.merged_ingredient_list(x, "pizza_name", "recipe_ids", "excl_ids", "extra_ids",
-                                 names(spark, d))
+                                 toppings(spark, d), "topping_id", "topping_name")
     return x.select(*LINE, "ingredients")
 
 
@@ -404,32 +416,35 @@ LEFT JOIN pizza_toppings t ON m.topping_id = t.topping_id GROUP BY 1, 2"""))
 def ingredient_totals(spark, d):
     r = L.with_id_lists(pizza_recipes(Tables(spark, d)), {"toppings": "recipe_ids"})
     x = delivered_lines(spark, d, with_ids=True).join(r.select("pizza_id", "recipe_ids"),
-                                                      "pizza_id")
+                                                      "pizza_id", "left")
     return L.ingredient_totals(x, "recipe_ids", "excl_ids", "extra_ids",
                                pizza_toppings(Tables(spark, d)), "topping_id", "topping_name")
 
 
-@register("revenue_fixed", W(f"""
-SELECT CAST(SUM({PRICE_SQL}) AS DOUBLE) AS revenue FROM delivered_lines"""))
+@register("revenue_fixed", W(PRICES_SQL + """
+SELECT CAST(SUM(COALESCE(price, 0)) AS DOUBLE) AS revenue, COUNT(*) FILTER (WHERE price IS NULL) AS n_unpriced
+FROM priced_lines"""))
 def revenue_fixed(spark, d):
-    return L.revenue(delivered_lines(spark, d), _price_col())
+    return L.revenue(_priced(delivered_lines(spark, d), spark), "price")
 
 
-@register("revenue_with_surcharge", W(f"""
-SELECT CAST(SUM(p) AS DOUBLE) AS revenue FROM (
-  SELECT {PRICE_SQL} AS p FROM delivered_lines
+@register("revenue_with_surcharge", W(PRICES_SQL + f"""
+SELECT CAST(SUM(p) AS DOUBLE) AS revenue,
+       (SELECT COUNT(*) FROM priced_lines WHERE price IS NULL) AS n_unpriced
+FROM (
+  SELECT COALESCE(price, 0) AS p FROM priced_lines
   UNION ALL
   SELECT CAST(CASE WHEN e.topping_id = {SPECIAL_TOPPING} THEN {SPECIAL_CHARGE}
                    ELSE {EXTRA_CHARGE} END AS DECIMAL(10,2))
   FROM extr e JOIN delivered d ON e.order_id = d.order_id WHERE e.topping_id IS NOT NULL)"""))
 def revenue_with_surcharge(spark, d):
-    return L.revenue(delivered_lines(spark, d, with_ids=True), _price_col(), "extra_ids",
+    return L.revenue(_priced(delivered_lines(spark, d, with_ids=True), spark), "price", "extra_ids",
                      EXTRA_CHARGE, {SPECIAL_TOPPING: SPECIAL_CHARGE})
 
 
 @register("delivery_report", W(ORDER_TIMES_SQL + """
 SELECT t.order_id, t.customer_id, t.runner_id,
-       CAST((t.order_id * 37 + 11) % 97 % 5 + 1 AS INTEGER) AS rating,
+       """ + RATING_SQL.format("t.order_id") + """ AS rating,
        t.order_time, t.pickup_time, t.pickup_minutes, t.duration_min,
        CAST(t.distance_km AS DOUBLE) * 60.0::DOUBLE / CAST(t.duration_min AS DOUBLE) AS avg_speed,
        (SELECT COUNT(*) FROM lines_clean l WHERE l.order_id = t.order_id) AS n_lines
@@ -443,18 +458,22 @@ def delivery_report(spark, d):
                     F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
-@register("margin_after_distance_pay", W(f"""
+@register("margin_after_distance_pay", W(PRICES_SQL + f"""
 SELECT CAST(r AS DOUBLE) AS revenue, CAST(p AS DOUBLE) AS runner_pay,
-       CAST(r - p AS DOUBLE) AS margin
-FROM (SELECT SUM({PRICE_SQL}) AS r FROM delivered_lines),
+       CAST(r - p AS DOUBLE) AS margin, n_unpriced
+FROM (SELECT SUM(COALESCE(price, 0)) AS r, COUNT(*) FILTER (WHERE price IS NULL) AS n_unpriced FROM priced_lines),
      (SELECT SUM(distance_km) * CAST({PAY_PER_KM} AS DECIMAL(4,2)) AS p FROM delivered)"""))
 def margin_after_distance_pay(spark, d):
-    r = delivered_lines(spark, d).select(F.sum(_price_col())).scalar()
-    p = delivered(spark, d).select(F.sum("distance_km") * F.lit(PAY_PER_KM)
-                                   .cast("decimal(4,2)")).scalar()
-    return spark.range(1).select(r.cast("double").alias("revenue"),
-                                 p.cast("double").alias("runner_pay"),
-                                 (r - p).cast("double").alias("margin"))
+    """Both sums in one aggregate over the lines and the deliveries together."""
+    sold = _priced(delivered_lines(spark, d), spark).select(
+        "price", F.lit(None).cast("decimal(10,2)").alias("km"), F.lit(True).alias("line"))
+    driven = delivered(spark, d).select(
+        F.lit(None).cast("decimal(10,2)").alias("price"), F.col("distance_km").alias("km"), F.lit(False).alias("line"))
+    g = sold.unionByName(driven).agg(
+        F.sum("price").alias("r"), (F.sum("km") * F.lit(PAY_PER_KM).cast("decimal(4,2)")).alias("p"),
+        F.count_if(F.col("line") & F.col("price").isNull()).alias("n_unpriced"))
+    return g.select(F.col("r").cast("double").alias("revenue"), F.col("p").cast("double").alias("runner_pay"),
+                    (F.col("r") - F.col("p")).cast("double").alias("margin"), "n_unpriced")
 
 
 @register("append_derived_row", W("""

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quarry.functions.dates import day_name
+from quarry.functions.dates import day_name, iso_weeks_in, week_number, week_year
 from quarry.operators.clean import clean_weekly
-from quarry.operators.impact import before_after, before_after_by_year, missing_periods
+from quarry.operators.impact import (before_after, before_after_by_year, missing_periods,
+                                     ranked_by_change)
 from quarry.operators.share import pivot_share, ratio_of_sums, share_of_total
 from quarry.operators.totals import totals_by
 from quarry.plans.registry import register
@@ -35,7 +36,7 @@ def _with(sql: str) -> str:
 
 register("clean_weekly", _with("""
 SELECT week_date, region, platform, segment, customer_type, transactions,
-       CAST(sales AS DOUBLE) AS sales, week_number, month_number, calendar_year,
+       CAST(sales AS DOUBLE) AS sales, week_number, month_number, calendar_year, week_year,
        age_band, demographic, avg_transaction FROM clean_weekly"""))(
     lambda spark, d: cw(spark, d).withColumn("sales", F.col("sales").cast("double")))
 
@@ -44,13 +45,26 @@ SELECT dayname(week_date) AS weekday, COUNT(*) AS n_rows FROM clean_weekly GROUP
     lambda spark, d: totals_by(cws(spark, d).withColumn("weekday", day_name("week_date")),
                                "weekday"))
 
+def _weeks(spark, d, scheme: str):
+    """Weeks with a sale, from the ship dates alone."""
+    day = Tables(spark, d).lineitem.select(F.date_trunc("week", "l_shipdate").cast("date").alias("week_date")).distinct()
+    return day.select(week_year("week_date", scheme).alias("week_year"),
+                      week_number("week_date", scheme).alias("week_number"), "week_date")
+
+
 register("missing_weeks", _with("""
-SELECT y.calendar_year, CAST(w.week_number AS INTEGER) AS week_number
-FROM (SELECT DISTINCT calendar_year FROM clean_weekly) y
-CROSS JOIN range(1, 53) w(week_number)
+SELECT y.week_year, CAST(w.week_number AS INTEGER) AS week_number
+FROM (SELECT DISTINCT week_year, weekofyear(make_date(week_year, 12, 28)) AS weeks FROM clean_weekly) y
+JOIN range(1, 54) w(week_number) ON w.week_number <= y.weeks
 WHERE NOT EXISTS (SELECT 1 FROM clean_weekly c
-                  WHERE c.calendar_year = y.calendar_year AND c.week_number = w.week_number)"""))(
-    lambda spark, d: missing_periods(cws(spark, d), "week_number", 1, 52, by="calendar_year"))
+                  WHERE c.week_year = y.week_year AND c.week_number = w.week_number)"""))(
+    lambda spark, d: missing_periods(_weeks(spark, d, "iso"), "week_number", 1, iso_weeks_in("week_year"),
+                                     by="week_year"))
+
+register("weeks_by_monday_number", """
+SELECT CAST(year(w) AS INTEGER) AS week_year, CAST(strftime(w, '%W') AS INTEGER) AS week_number, w AS week_date
+FROM (SELECT DISTINCT CAST(date_trunc('week', l_shipdate) AS DATE) AS w FROM lineitem)""")(
+    lambda spark, d: _weeks(spark, d, "monday"))
 
 
 def _totals_sql(by: list[str]) -> str:
@@ -107,9 +121,11 @@ FROM clean_weekly GROUP BY calendar_year, platform"""))(
 
 def _ba_sql(k: int, dims: list[str]) -> str:
     span = 7 * k
+    rank = ", RANK() OVER (ORDER BY pct_change NULLS LAST) AS change_rank" if dims else ""
     sel = "".join(f"{x}, " for x in dims)
     grp = f"GROUP BY {', '.join(dims)}" if dims else ""
     return _with(f"""
+SELECT {sel}before_value, after_value, change, pct_change{rank} FROM (
 SELECT {sel}CAST(b AS DOUBLE) AS before_value, CAST(a AS DOUBLE) AS after_value,
        CAST(a - b AS DOUBLE) AS change,
        CASE WHEN b = 0 THEN NULL ELSE CAST(a - b AS DOUBLE) / CAST(b AS DOUBLE) END AS pct_change
@@ -117,7 +133,7 @@ FROM (SELECT {sel}COALESCE(SUM(CASE WHEN week_date < DATE '{EVENT}' THEN sales E
              COALESCE(SUM(CASE WHEN week_date >= DATE '{EVENT}' THEN sales END), 0) AS a
       FROM clean_weekly
       WHERE week_date >= DATE '{EVENT}' - {span} AND week_date < DATE '{EVENT}' + {span}
-      {grp})""")
+      {grp}))""")
 
 
 def _ba_query(k: int, dims: list[str]):
@@ -125,8 +141,9 @@ def _ba_query(k: int, dims: list[str]):
     # widen by a week so the Monday-bucketed filter stays exact; pushed to parquet
     lo = (ev - dt.timedelta(days=7 * k + 7)).isoformat()
     hi = (ev + dt.timedelta(days=7 * k + 7)).isoformat()
-    return lambda spark, d: before_after(cws(spark, d, ship_from=lo, ship_to=hi), "week_date",
-                                         EVENT, "sales", k, dims)
+    ranked = ranked_by_change if dims else (lambda x: x)
+    return lambda spark, d: ranked(before_after(cws(spark, d, ship_from=lo, ship_to=hi), "week_date",
+                                                EVENT, "sales", k, dims))
 
 
 for _k in KS:
@@ -138,18 +155,26 @@ for _dim in ("region", "platform", "age_band", "demographic", "customer_type"):
 
 def _bay_sql(k: int) -> str:
     return _with(f"""
-SELECT calendar_year, CAST(b AS DOUBLE) AS before_value, CAST(a AS DOUBLE) AS after_value,
+SELECT y AS calendar_year, CAST(b AS DOUBLE) AS before_value, CAST(a AS DOUBLE) AS after_value,
        CAST(a - b AS DOUBLE) AS change,
        CASE WHEN b = 0 THEN NULL ELSE CAST(a - b AS DOUBLE) / CAST(b AS DOUBLE) END AS pct_change
-FROM (SELECT calendar_year,
-             COALESCE(SUM(CASE WHEN week_number < w0 THEN sales END), 0) AS b,
-             COALESCE(SUM(CASE WHEN week_number >= w0 THEN sales END), 0) AS a
-      FROM clean_weekly, (SELECT weekofyear(DATE '{EVENT}') AS w0)
-      WHERE week_number >= w0 - {k} AND week_number < w0 + {k}
-      GROUP BY calendar_year)""")
+FROM (SELECT y, COALESCE(SUM(CASE WHEN week_date < anchor THEN sales END), 0) AS b,
+             COALESCE(SUM(CASE WHEN week_date >= anchor THEN sales END), 0) AS a
+      FROM clean_weekly
+      JOIN (SELECT DISTINCT week_year AS y,
+                   CAST(date_trunc('week', make_date(week_year, 1, 4)) AS DATE)
+                     + CAST(7 * (weekofyear(DATE '{EVENT}') - 1) AS INTEGER) AS anchor
+            FROM clean_weekly) ON week_date >= anchor - {7 * k} AND week_date < anchor + {7 * k}
+      GROUP BY y HAVING COUNT(*) FILTER (WHERE week_year = y) > 0)""")
 
 
 for _k in KS:
     register(f"before_after_by_year_{_k}w", _bay_sql(_k))(
-        (lambda k: lambda spark, d: before_after_by_year(
-            cws(spark, d), "week_number", "calendar_year", EVENT, "sales", k))(_k))
+        (lambda k: lambda spark, d: before_after_by_year(cws(spark, d), "week_date", EVENT, "sales", k))(_k))
+
+register("avg_transaction_rounded", _with("""
+SELECT calendar_year, platform,
+       ROUND(CAST(SUM(sales) AS DOUBLE) / CAST(SUM(transactions) AS DOUBLE), 2) AS avg_transaction
+FROM clean_weekly GROUP BY calendar_year, platform"""))(
+    lambda spark, d: ratio_of_sums(cw(spark, d), ["calendar_year", "platform"],
+                                   "sales", "transactions", name="avg_transaction", digits=2))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.clean import AGE_BANDS, DEMOGRAPHIC_BANDS
 from quarry.sources.io import Tables
 
 
@@ -100,6 +101,12 @@ weekly_sales AS (
   GROUP BY ALL
 )"""
 
+def _band_sql(bands: dict, code: str) -> str:
+    """The label of a code character, looked up in the operator's own mapping."""
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in bands.items())
+    return f"COALESCE((SELECT label FROM (VALUES {rows}) b(code, label) WHERE b.code = {code}), 'unknown')"
+
+
 CLEAN_WEEKLY_SQL = WEEKLY_SALES_SQL + """,
 clean_weekly AS (
   SELECT week_date, region, platform,
@@ -108,13 +115,9 @@ clean_weekly AS (
          CAST(weekofyear(week_date) AS INTEGER) AS week_number,
          CAST(month(week_date) AS INTEGER) AS month_number,
          CAST(year(week_date) AS INTEGER) AS calendar_year,
-         CASE WHEN segment LIKE '%1%' THEN 'Young Adults'
-              WHEN segment LIKE '%2%' THEN 'Middle Aged'
-              WHEN segment LIKE '%3%' OR segment LIKE '%4%' THEN 'Retirees'
-              ELSE 'unknown' END AS age_band,
-         CASE WHEN segment LIKE '%C%' THEN 'Couples'
-              WHEN segment LIKE '%F%' THEN 'Families'
-              ELSE 'unknown' END AS demographic,
+         CAST(isoyear(week_date) AS INTEGER) AS week_year,
+         """ + _band_sql(AGE_BANDS, "substr(segment, 2, 1)") + """ AS age_band,
+         """ + _band_sql(DEMOGRAPHIC_BANDS, "substr(segment, 1, 1)") + """ AS demographic,
          CAST(sales AS DOUBLE) / CAST(transactions AS DOUBLE) AS avg_transaction
   FROM weekly_sales
 )"""
@@ -208,12 +211,13 @@ def _user_region(t: Tables) -> DataFrame:
                     F.col("n_regionkey").alias("region_id")))
 
 
-def customer_nodes(t: Tables) -> DataFrame:
+def customer_nodes(t: Tables, region: bool = True) -> DataFrame:
     """customer_nodes: each event is a stay start at node = event_type; the
-    stay ends when the customer's next event starts."""
+    stay ends when the customer's next event starts.  ``region`` adds the
+    customer's region (NULL for events without a customer)."""
     e = t.events.select(F.col("user_id").alias("customer_id"), F.col("event_type").alias("node"),
                         F.col("ts").alias("start_ts"), "event_id")
-    return e.join(_user_region(t), "customer_id")
+    return e.join(_user_region(t), "customer_id", "left") if region else e
 
 
 def customer_transactions(t: Tables) -> DataFrame:
@@ -235,7 +239,7 @@ user_region AS (
 customer_nodes AS (
   SELECT e.user_id AS customer_id, e.event_type AS node, e.ts AS start_ts, e.event_id,
          u.region_id
-  FROM events e JOIN user_region u ON e.user_id = u.customer_id
+  FROM events e LEFT JOIN user_region u ON e.user_id = u.customer_id
 ),
 customer_transactions AS (
   SELECT user_id AS customer_id, CAST(ts AS DATE) AS txn_date,
@@ -261,7 +265,7 @@ runs AS (
          SUM((epoch_us(end_ts) - epoch_us(start_ts)) // 60000000) AS length
   FROM (SELECT *, SUM(chg) OVER (PARTITION BY customer_id ORDER BY start_ts, event_id
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id
-        FROM (SELECT *, CASE WHEN LAG(node) OVER w IS NULL OR LAG(node) OVER w <> node
+        FROM (SELECT *, CASE WHEN ROW_NUMBER() OVER w = 1 OR LAG(node) OVER w IS DISTINCT FROM node
                              THEN 1 ELSE 0 END AS chg
               FROM (SELECT *, LEAD(start_ts) OVER (PARTITION BY customer_id
                                                    ORDER BY start_ts, event_id) AS end_ts
@@ -319,7 +323,7 @@ def pizza_toppings(t: Tables) -> DataFrame:
 def runner_orders(t: Tables) -> DataFrame:
     """runner_orders (dirty): one delivery per order, runner = lowest supplier
     of its lines; text times, distances and durations with units and junk."""
-    per = (t.raw("lineitem").groupBy("l_orderkey")
+    per = (t.lineitem.groupBy("l_orderkey")
            .agg(F.min("l_suppkey").alias("runner_id"), F.min("l_shipdate").alias("ship"),
                 F.max("l_shipdate").alias("last_ship"),
                 F.sum("l_quantity").cast("bigint").alias("q")))
@@ -334,8 +338,9 @@ def runner_orders(t: Tables) -> DataFrame:
                                F.col("o_orderdate").cast("date"))) % 50 + 10)
     dur = (F.when(cancelled, F.lit("null")).when(k % 3 == 0, F.concat(mins, F.lit(" minutes")))
            .when(k % 3 == 1, F.concat(mins, F.lit("mins"))).otherwise(F.concat(mins, F.lit(" minute"))))
-    canc = (F.when(cancelled & (k % 2 == 0), F.lit("Restaurant Cancellation"))
-            .when(cancelled, F.lit("Customer Cancellation"))
+    # own texts: any text that is no null-like sentinel means cancelled
+    canc = (F.when(cancelled & (k % 2 == 0), F.lit("kitchen closed"))
+            .when(cancelled, F.lit("guest called it off"))
             .when(st == "F", F.lit(""))
             .when(k % 3 == 0, F.lit("null")).when(k % 3 == 1, F.lit("NaN")))
     pick = F.when(cancelled, F.lit("null")).otherwise(_s(F.col("ship")))
@@ -384,8 +389,8 @@ runner_orders AS (
               WHEN o.o_orderkey % 3 = 0 THEN CAST(a.m AS VARCHAR) || ' minutes'
               WHEN o.o_orderkey % 3 = 1 THEN CAST(a.m AS VARCHAR) || 'mins'
               ELSE CAST(a.m AS VARCHAR) || ' minute' END AS duration,
-         CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'Restaurant Cancellation'
-              WHEN o.o_orderstatus = 'P' THEN 'Customer Cancellation'
+         CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'kitchen closed'
+              WHEN o.o_orderstatus = 'P' THEN 'guest called it off'
               WHEN o.o_orderstatus = 'F' THEN ''
               WHEN o.o_orderkey % 3 = 0 THEN 'null'
               WHEN o.o_orderkey % 3 = 1 THEN 'NaN' END AS cancellation

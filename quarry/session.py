@@ -1,4 +1,4 @@
-"""Session construction and lineage cutting.
+"""Session construction.
 
 Configuration favours large clusters: AQE re-plans joins and partition counts
 from runtime statistics, skew-join splitting is on, and the session time zone
@@ -7,10 +7,7 @@ is pinned to UTC so date/hour extraction is the same on every executor.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,28 +38,4 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         spark.conf.set(k, conf[k])
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint directory.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a scratch folder is created.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

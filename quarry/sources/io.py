@@ -6,9 +6,7 @@ the scan.  CSV inputs are read with a declared schema, never inferred.
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
-from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -40,46 +38,12 @@ SCHEMAS = {
 }
 
 
-SPREAD_MIN_BYTES = 8 << 20
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Total size of the scan's input files when they are local files; 0 (no
-    estimate) for remote stores, where inputs are many and already split."""
-    total = 0
-    for uri in df.inputFiles():
-        parsed = urlparse(uri)
-        if parsed.scheme not in ("", "file"):
-            return 0
-        try:
-            total += os.path.getsize(unquote(parsed.path))
-        except OSError:
-            return 0
-    return total
-
-
-def spread_if_undersplit(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin repartition an input that arrives in fewer splits than the
-    cluster has cores (e.g. one large unsplittable file or row group) and is
-    not tiny.  Planning only -- nothing is executed.  On a cluster reading
-    many files the scan already has >= defaultParallelism splits and this is
-    a no-op, so no shuffle is added at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target or _estimated_bytes(df) < min_bytes:
-        return df
-    return df.repartition(target)
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one parquet table by name (A4), with its declared schema when
-    known; under-split inputs are spread over the cores (see
-    ``spread_if_undersplit``)."""
+    known."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name in SCHEMAS:
-        df = spark.read.schema(SCHEMAS[name]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-    return spread_if_undersplit(df) if spread else df
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(path)
 
 
 class Tables:
@@ -96,11 +60,6 @@ class Tables:
             return df
         raise AttributeError(name)
 
-    def raw(self, name: str) -> DataFrame:
-        """The scan without the under-split spread, for consumers whose first
-        step is an aggregation (its shuffle already spreads the work)."""
-        return load(self.spark, self.sf_dir, name, spread=False)
-
     @cached_property
     def names(self) -> tuple[str, ...]:
         return DRIVER_TABLES

@@ -33,7 +33,7 @@ def d(spark):
     ok = dl.where(F.col("cancellation").isNull())
     dlines = lines.join(ok.select("order_id"), "order_id", "left_semi")
     return dict(lines=lines, dl=dl, ok=ok, dlines=dlines, recipes=recipes, tops=tops,
-                runners=runners, names=L.lookup_map(tops, "topping_id", "topping_name"))
+                runners=runners)
 
 
 def test_counts(d):
@@ -102,21 +102,22 @@ def test_list_counts(d):
 
 
 def test_labels_and_merge(d):
-    lab = L.order_line_label(d["lines"], "pizza_name", "excl_ids", "extra_ids", d["names"])
+    lab = L.order_line_label(d["lines"], "pizza_name", "excl_ids", "extra_ids",
+                             d["tops"], "topping_id", "topping_name")
     got = set(r["label"] for r in lab.where(F.col("order_id").isin(9, 10)).collect())
     assert got == {"Meat Lovers - Exclude Cheese - Extra Bacon, Chicken", "Meat Lovers",
                    "Meat Lovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese"}
     r = L.with_id_lists(d["recipes"], {"toppings": "recipe_ids"})
     x = d["lines"].join(r.select("pizza_id", "recipe_ids"), "pizza_id")
     m = L.merged_ingredient_list(x, "pizza_name", "recipe_ids", "excl_ids", "extra_ids",
-                                 d["names"])
+                                 d["tops"], "topping_id", "topping_name")
     got = set(r["ingredients"] for r in m.where(F.col("order_id") == 10).collect())
     assert "Meat Lovers: 2xBacon, Beef, 2xCheese, Chicken, Pepperoni, Salami" in got
 
 
 def test_standard_ingredients(d):
     r = L.with_id_lists(d["recipes"], {"toppings": "ids"})
-    x = L.explode_lookup_listagg(r, "ids", d["names"], "ing")
+    x = L.with_names(r, "ids", d["tops"], "topping_id", "topping_name", "ing")
     assert rows(x, "pizza_id", "ing") == [
         (1, "BBQ Sauce, Bacon, Beef, Cheese, Chicken, Mushrooms, Pepperoni, Salami"),
         (2, "Cheese, Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes")]
@@ -133,6 +134,28 @@ def test_revenue(d):
     assert round(138 - pay, 2) == 94.44
 
 
+def test_merge_takes_exclusions_from_extras_too(spark):
+    """Recipe and extras together, without the excluded; repeats stay; a line
+    without a recipe has its extras."""
+    dim = spark.createDataFrame([(1, "ham"), (2, "olive"), (3, "egg")], "k int, v string")
+    x = spark.createDataFrame(
+        [(1, "A", [1, 1, 2], [2], [3, 3, 2]), (2, "B", [1, 2], None, [2]), (3, "C", None, None, [3]),
+         (4, "D", [1], [1], None), (5, "E", [1, 9], None, None), (6, "A", [1, 1, 2], [2], [3, 3, 2])],
+        "id int, base string, recipe array<int>, minus array<int>, plus array<int>")
+    m = L.merged_ingredient_list(x, "base", "recipe", "minus", "plus", dim, "k", "v")
+    assert rows(m, "id", "ingredients") == [
+        (1, "A: 2xegg, 2xham"), (2, "B: ham, 2xolive"), (3, "C: egg"), (4, "D: "), (5, "E: ham"),
+        (6, "A: 2xegg, 2xham")]
+    t = L.ingredient_totals(x, "recipe", "minus", "plus", dim, "k", "v")
+    assert rows(t.where("v is not null"), "k", "n_used") == [(1, 6), (2, 2), (3, 5)]
+
+
+def test_unpriced_lines_are_counted(spark):
+    x = spark.createDataFrame([(10, [4]), (None, [1, 4]), (5, None)], "p int, extra_ids array<int>")
+    r = L.revenue(x.withColumn("p", F.col("p").cast("decimal(10,2)")), F.col("p"), "extra_ids", 1, {4: 2})
+    assert rows(r, "revenue", "n_unpriced") == [(20.0, 1)]
+
+
 def test_append_row(d):
     out = L.append_all_items_row(d["recipes"], d["tops"], "pizza_id", "toppings", "topping_id")
     assert rows(out, "pizza_id", "toppings")[-1] == (3, "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12")

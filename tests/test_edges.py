@@ -44,9 +44,9 @@ def test_schedule_upgrade_and_deferral(spark):
     assert got == [(D("2020-01-10"), 1, 9.9), (D("2020-02-10"), 1, 9.9),
                    (D("2020-02-20"), 2, 10.0), (D("2020-03-20"), 2, 19.9),
                    # annual waits for the end of the paid monthly period, then bills
-                   (D("2020-04-20"), 3, 199.0)]
-    # nothing after the first churn, even when a plan follows it
-    assert all(d < D("2020-09-01") for d, _, _ in got)
+                   (D("2020-04-20"), 3, 199.0),
+                   # nothing while churned; billed again after the return
+                   (D("2020-10-01"), 1, 9.9), (D("2020-11-01"), 1, 9.9), (D("2020-12-01"), 1, 9.9)]
 
 
 def test_list_parsing(spark):
@@ -105,30 +105,36 @@ def test_missing_periods(spark):
     assert rows(m, "y", "w") == [(2020, 2), (2021, 1), (2021, 3)]
 
 
-def test_shares_sum_to_one(spark):
-    df = spark.range(100).withColumn("g", F.col("id") % 7)
-    s = share_of_total(df, "g")
-    assert abs(sum(r[0] for r in s.select("share").collect()) - 1.0) < 1e-12
+def test_weeks_around_new_year(spark):
+    from quarry.functions.dates import iso_week_monday, iso_weeks_in, week_year
+    days = spark.createDataFrame([(D("1997-12-29"),), (D("2020-12-31"),), (D("2021-01-03"),), (D("2021-01-04"),)], "d date")
+    got = rows(days.select("d", week_number("d").alias("w"), week_year("d").alias("y"),
+                           week_number("d", "monday").alias("m"), week_year("d", "monday").alias("c")),
+               "d", "w", "y", "m", "c")
+    assert got == [(D("1997-12-29"), 1, 1998, 52, 1997), (D("2020-12-31"), 53, 2020, 52, 2020),
+                   (D("2021-01-03"), 53, 2020, 0, 2021), (D("2021-01-04"), 1, 2021, 1, 2021)]
+    y = spark.createDataFrame([(2020,), (2021,)], "y int")
+    assert rows(y.select("y", iso_weeks_in("y").alias("n"), iso_week_monday("y", F.lit(1)).alias("m")), "y", "n", "m") == [
+        (2020, 53, D("2019-12-30")), (2021, 52, D("2021-01-04"))]
+
+
+def test_missing_week_53(spark):
+    from quarry.functions.dates import iso_weeks_in
+    df = spark.createDataFrame([(2020, w) for w in range(1, 53)] + [(2021, w) for w in range(1, 52)], "y int, w int")
+    assert rows(missing_periods(df, "w", 1, iso_weeks_in("y"), by="y"), "y", "w") == [(2020, 53), (2021, 52)]
 
 
-def test_month_series(spark):
-    from quarry.functions.dates import month_series
-    df = spark.createDataFrame([(D("2020-01-31"), D("2020-04-30")),
-                                (D("2020-01-31"), D("2020-04-29")),
-                                (D("2020-05-01"), D("2020-04-01"))], "a date, b date")
-    got = [r[0] for r in df.select(month_series("a", "b")).collect()]
-    assert got == [[D("2020-01-31"), D("2020-02-29"), D("2020-03-31"), D("2020-04-30")],
-                   [D("2020-01-31"), D("2020-02-29"), D("2020-03-31")], []]
+def test_change_rank_puts_losses_first(spark):
+    from quarry.operators.impact import ranked_by_change
+    df = spark.createDataFrame([("a", 0.1), ("b", -0.2), ("c", None), ("d", 0.1)], "g string, pct_change double")
+    assert [tuple(r) for r in ranked_by_change(df).select("g", "change_rank").orderBy("change_rank", "g").collect()] == [
+        ("b", 1), ("a", 2), ("d", 2), ("c", 4)]
 
 
-def test_lookup_map_is_bounded(spark):
-    import pytest
-    from quarry.operators.lists import lookup_map
-    dim = spark.range(50).selectExpr("cast(id as int) as k", "cast(id as string) as v")
-    ok = spark.range(1).select(lookup_map(dim, "k", "v", 100).alias("m")).first()["m"]
-    assert len(ok) == 50
-    with pytest.raises(Exception):
-        spark.range(1).select(lookup_map(dim, "k", "v", 10).alias("m")).collect()
+def test_shares_sum_to_one(spark):
+    df = spark.range(100).withColumn("g", F.col("id") % 7)
+    s = share_of_total(df, "g")
+    assert abs(sum(r[0] for r in s.select("share").collect()) - 1.0) < 1e-12
 
 
 def test_csv_source_and_sink(spark, tmp_path):
@@ -144,18 +150,3 @@ def test_csv_source_and_sink(spark, tmp_path):
     write_table(df, out)
     write_table(df.limit(1), out, mode="append")
     assert spark.read.parquet(out).count() == 4
-
-
-def test_spread_only_undersplit_nontiny(spark, tmp_path):
-    from quarry.sources.io import spread_if_undersplit
-    target = spark.sparkContext.defaultParallelism
-    small = spark.range(10)
-    assert spread_if_undersplit(small, min_bytes=1 << 40) is small      # tiny: untouched
-    p = str(tmp_path / "one")
-    spark.range(200000).coalesce(1).write.parquet(p)
-    one = spark.read.parquet(p)
-    spread = spread_if_undersplit(one, min_bytes=1)
-    assert spread.rdd.getNumPartitions() == target
-    assert spread.count() == 200000
-    many = spark.range(0, 1000, numPartitions=target * 2)
-    assert spread_if_undersplit(many, min_bytes=1) is many             # already split

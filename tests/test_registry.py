@@ -28,7 +28,8 @@ def test_entry_schema(spark):
     if not os.path.exists(SMOKE):
         pytest.skip("no smoke data")
     df = E.entry(spark)
-    assert df.columns == ["region", "before_value", "after_value", "change", "pct_change"]
+    assert df.columns == ["region", "before_value", "after_value", "change", "pct_change",
+                          "change_rank"]
     assert df.count() == 5
 
 

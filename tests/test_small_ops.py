@@ -19,6 +19,9 @@ def test_pivot_share_and_ratio(spark):
                                 (2021, "Retail", 5, 5)], "y int, p string, s int, t int")
     ps = pivot_share(df, "y", "p", ["Retail", "Shopify"], "s")
     assert rows(ps, "y", "share_retail", "share_shopify") == [(2020, 0.75, 0.25), (2021, 1.0, 0.0)]
+    # values that are not listed count in the total; shares can be rounded
+    third = pivot_share(df.withColumn("s", F.lit(1)), [], "p", ["Retail"], "s", digits=2)
+    assert rows(third, "share_retail") == [(0.67,)]
     r = ratio_of_sums(df, "y", "s", "t", name="avg")
     assert rows(r, "y", "avg") == [(2020, 10.0), (2021, 1.0)]
 
@@ -52,10 +55,16 @@ def test_visits_and_children(spark):
 
 def test_before_after_by_year_and_growth(spark):
     df = spark.createDataFrame(
-        [(2019, 24, 4), (2019, 25, 6), (2020, 23, 1), (2020, 26, 9), (2020, 40, 100)],
-        "y int, w int, s int")
-    r = before_after_by_year(df, "w", "y", "2020-06-15", "s", 2)     # ISO week 25
-    assert rows(r, "y", "before_value", "after_value") == [(2019, 4.0, 6.0), (2020, 1.0, 9.0)]
+        [(D("2019-06-10"), 4), (D("2019-06-17"), 6), (D("2020-06-01"), 1), (D("2020-06-22"), 9),
+         (D("2020-10-05"), 100)], "d date, s int")
+    r = before_after_by_year(df, "d", "2020-06-15", "s", 2)     # ISO week 25
+    assert rows(r, "calendar_year", "before_value", "after_value") == [(2019, 4.0, 6.0), (2020, 1.0, 9.0)]
+    # an event in January: the weeks before it lie in the year before
+    jan = spark.createDataFrame([(D("2019-12-16"), 7), (D("2019-12-30"), 5), (D("2020-01-06"), 8), (D("2020-12-28"), 3),
+                                 (D("2021-01-04"), 2), (D("2021-01-11"), 4)], "d date, s int")
+    r = before_after_by_year(jan, "d", "2020-01-06", "s", 1)    # ISO week 2
+    assert rows(r, "calendar_year", "before_value", "after_value", "pct_change") == [
+        (2020, 5.0, 8.0, 0.6), (2021, 2.0, 4.0, 1.0)]
     m = spark.createDataFrame([(D("2020-01-01"), 10), (D("2020-02-01"), 15),
                                (D("2020-02-01"), 5), (D("2020-03-01"), 10)], "m date, v int")
     g = period_growth(m, "m", "v")
