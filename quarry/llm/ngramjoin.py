@@ -317,7 +317,7 @@ class _Join:
         full = self.tab.where("n > 0")
         self.features = full.select("sig", "n", "bits").dropDuplicates(["sig"])
         self.reps = full.groupBy("sig").agg(F.min("doc_id").alias("rep"))
-        self.links = None
+        self.label = None               # (sig, comp) of the classes with a link
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) that link, by exact intersection of their sets."""
@@ -332,13 +332,26 @@ class _Join:
         return stored(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
                       .mapInArrow(_linked(self.num, self.den), "a long, b long"), self.folder, f"{name}-links")
 
-    def add(self, found: DataFrame) -> None:
-        self.links = found if self.links is None else self.links.unionByName(found)
-
-    def labels(self, name: str) -> DataFrame:
-        """(sig, comp) of every class that has a link so far."""
-        return stored(components(self.links, self.folder, name).select(F.col("node").alias("sig"), "comp"),
-                      self.folder, f"{name}-labels")
+    def relabel(self, links: DataFrame, name: str) -> DataFrame:
+        """(sig, comp) of every class that has a link so far: components of the
+        new links between the components before."""
+        old = self.label
+        if old is not None:
+            la = old.select(F.col("sig").alias("a"), F.col("comp").alias("ca"))
+            lb = old.select(F.col("sig").alias("b"), F.col("comp").alias("cb"))
+            links = links.join(la, "a", "left").join(lb, "b", "left") \
+                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        new = stored(components(links, self.folder, name), self.folder, f"{name}-components")
+        if old is None:
+            label = new.select(F.col("node").alias("sig"), "comp")
+        else:
+            moved = new.select("node", F.col("comp").alias("to"))
+            label = old.join(moved, old["comp"] == moved["node"], "left") \
+                .select("sig", F.coalesce("to", "comp").alias("comp")) \
+                .unionByName(new.join(old, new["node"] == old["sig"], "left_anti")
+                             .select(F.col("node").alias("sig"), "comp"))
+        self.label = stored(label, self.folder, f"{name}-labels")
+        return self.label
 
     def centre_pairs(self) -> DataFrame:
         """Round 1: each class with the centre of each of its min-hash keys, the
@@ -393,12 +406,10 @@ class _Join:
 
     def run(self) -> DataFrame:
         """(sig, comp): components of all classes with a link."""
-        self.add(self.verified(self.centre_pairs(), "centres"))
-        labels, meetings = self.labels("one"), self.meetings()
-        self.add(self.verified(self.tile_pairs(meetings, labels, True), "best"))
-        labels = self.labels("two")
-        self.add(self.verified(self.tile_pairs(meetings, labels, False), "rest"))
-        return self.labels("three")
+        labels = self.relabel(self.verified(self.centre_pairs(), "centres"), "one")
+        meetings = self.meetings()
+        labels = self.relabel(self.verified(self.tile_pairs(meetings, labels, True), "best"), "two")
+        return self.relabel(self.verified(self.tile_pairs(meetings, labels, False), "rest"), "three")
 
     def classes(self) -> DataFrame:
         """(sig, comp, component_id): every class, its component and that
