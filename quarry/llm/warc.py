@@ -210,8 +210,8 @@ class Salvage:
     def headers(head: bytes) -> dict[str, str] | None:
         """Fields of a header block (names in lower case), None if malformed."""
         lines = head.split(b"\r\n")
-        if not lines[0].startswith(b"WARC/1."):
-            return None
+        if not lines[0].startswith(b"WARC/1.") or b"WARC/1." in head[7:]:
+            return None                 # also where a cut-off head runs into the next record
         found: dict[str, str] = {}
         last = None
         for line in lines[1:]:
