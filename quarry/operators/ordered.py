@@ -74,7 +74,8 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         return _plain(df, keys, order, prev, nxt, seq, runs_of, run_name, prefix)
     bucket = _bucket(df, order[0], granularity).alias("bucket")
     key_struct = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key")
-    dealt = df.withColumn(CELL, F.struct(key_struct, bucket)).repartition(CELL)
+    rest = [c for c in df.columns if c not in keys]
+    dealt = df.select(F.struct(key_struct, bucket).alias(CELL), *rest).repartition(CELL)
 
     # within the cells
     w = Window.partitionBy(CELL).orderBy(*_order(order))
@@ -87,13 +88,13 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
                          .otherwise(_changed(F.lag(runs_of).over(w), F.col(runs_of))))
         x = x.withColumn("_in", F.sum("_ch").over(upto))
 
-    # one row per cell.  The checksum reads every column: with the same columns on
-    # both branches the planner reuses the one exchange instead of planning another.
+    # one row per cell.  The checksum reads every column beside the cell: with the
+    # same columns on both branches the planner reuses the one exchange.
     at = F.struct(*order)
     lasts = list(dict.fromkeys([*prev, *([runs_of] if runs_of else [])]))
     firsts = list(dict.fromkeys([*nxt, *([runs_of] if runs_of else [])]))
     source = x if runs_of else dealt
-    aggs = [F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(*df.columns)).alias("_sum")]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(CELL, *rest)).alias("_sum")]
     if lasts:
         aggs.append(F.max_by(F.struct(*lasts), at).alias("_last"))
     if firsts:
@@ -125,7 +126,8 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         out.append((F.col("_off") + F.col("_rn")).cast("bigint").alias(seq))
     if runs_of:
         out.append((F.col("_roff") + F.col("_opens") + F.col("_in")).alias(run_name))
-    return x.select(*df.columns, *out)
+    kept = [F.col(f"{CELL}.key.k{keys.index(c)}").alias(c) if c in keys else F.col(c) for c in df.columns]
+    return x.select(*kept, *out)
 
 
 def row_number(df: DataFrame, key, order, name: str, granularity: str | None = "day") -> DataFrame:

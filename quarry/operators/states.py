@@ -31,7 +31,7 @@ def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
                       start=None, end=None) -> DataFrame:
     """Count of (from, to) transitions whose *to* date is in [start, end]
     (3.10; LAG over ascending dates, ruling X8)."""
-    x = (O.stitched(df, key, [ts] + cols(tie), prev=[state])
+    x = (O.stitched(df.select(*cols(key), ts, state, *cols(tie)), key, [ts] + cols(tie), prev=[state])
          .where(F.col(f"prev_{state}").isNotNull()))
     if start is not None:
         x = x.where(F.col(ts) >= as_date(start))
@@ -44,7 +44,7 @@ def transition_counts(df: DataFrame, key, ts: str, state: str, tie=None,
 
 def next_state_share(df: DataFrame, key, ts: str, state: str, from_state, tie=None) -> DataFrame:
     """What follows ``from_state``: count and share per next state (3.6)."""
-    x = (O.stitched(df, key, [ts] + cols(tie), nxt=[state])
+    x = (O.stitched(df.select(*cols(key), ts, state, *cols(tie)), key, [ts] + cols(tie), nxt=[state])
          .where((F.col(state) == F.lit(from_state)) & F.col(f"next_{state}").isNotNull()))
     g = x.groupBy(F.col(f"next_{state}").alias(f"next_{state}")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -56,7 +56,7 @@ def customers_with_transition(df: DataFrame, key, ts: str, state: str, from_stat
                               tie=None) -> DataFrame:
     """Distinct keys that went straight from ``from_state`` to ``to_state``,
     and their share of all keys (3.5, ruling X7)."""
-    x = (O.stitched(df, key, [ts] + cols(tie), nxt=[state])
+    x = (O.stitched(df.select(*cols(key), ts, state, *cols(tie)), key, [ts] + cols(tie), nxt=[state])
          .where((F.col(state) == F.lit(from_state))
                 & (F.col(f"next_{state}") == F.lit(to_state))))
     n = x.select(F.count_distinct(*[F.col(k) for k in cols(key)]).alias("n_customers"))
