@@ -45,9 +45,6 @@ def test_recall_on_clusters_of_any_norm(spark, monkeypatch, tile):
     rows += [(1000 + i, rows[0][1]) for i in range(300)]           # a third more of one vector
     got = vectors.search(table(spark, rows), every=20, k=20).collect()
     assert recall(got, rows, 20, 20) >= 0.9
-    same = [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == 1100), key=lambda r: r["rank"])]
-    exact = [i for _, i in brute(rows, (1100, rows[0][1]), 20)]
-    assert same == exact
 
 
 def test_rows_that_take_no_part(spark):
