@@ -12,7 +12,7 @@ documents link when ``den * |A & B| >= num * |A | B|`` (75/100 by default).
    are sorted by size and only those in the same size band (``|A| * den >=
    |B| * num``) are compared.  A tile of over ``TILE`` rows is dealt out as
    pairs of blocks, so no task holds more than two blocks.
-3. *Bitmaps.*  Each class has a parity bitmap of its hashes, about two bits a
+3. *Bitmaps.*  Each class has a parity bitmap of its hashes, one to two bits a
    shingle (wider ones fold to narrower by exclusive or).  The bits in which
    two bitmaps differ are at most the shingles in which the sets differ, which
    bounds the overlap from above; pairs whose bound is too low go.
@@ -21,11 +21,12 @@ documents link when ``den * |A & B| >= num * |A | B|`` (75/100 by default).
 Classes already connected need no comparison.  A first round compares each
 class only with one centre per min-hash key, the class whose own keys are shared
 most; this joins large groups of near copies without comparing all their pairs.
-Tiles whose classes all lie in one component are then left out.  The others are
-gone through twice: first only the best bound of each class and foreign component
-is tested, then, with the components that this has joined, every pair left.  No
-link between components is lost: every pair of different components in a tile is
-linked, refused by its bound or refused exactly.
+Tiles whose classes all lie in one component are then left out.  In the others
+the best bound of each class and foreign component is tested; where a class had
+more than one candidate in a component, its tiles are gone through again with
+the components joined so far, and every pair left is tested.  No link between
+components is lost: every pair of different components in a tile is linked,
+refused by its bound or refused exactly.
 
 Null or empty text: empty set, linked with nothing, its own component (null
 ``doc_id``: null).  Repeated rows and equal texts share a class.  Extra columns
@@ -66,7 +67,7 @@ def _signature(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    width = min(max(MIN_BITS, 1 << int(2 * len(s) - 1).bit_length()), MAX_BITS)
+    width = min(max(MIN_BITS, 1 << int(len(s) - 1).bit_length()), MAX_BITS)
     place = (s.view(np.uint64) >> np.uint64(7)) & np.uint64(width - 1)
     return np.packbits((np.bincount(place.astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
@@ -187,14 +188,15 @@ def _meetings(batches):
 
 
 def _best(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """Of (row, partner, component of the partner, bound): the highest bound of
-    each row and component."""
-    row, partner, comp, bound = rows
+    """Of (row, partner, component of the partner, bound, candidates): the
+    highest bound of each row and component, and the sum of the candidates."""
+    row, partner, comp, bound, number = rows
     order = np.lexsort((partner, -bound, comp, row))
-    row, partner, comp, bound = row[order], partner[order], comp[order], bound[order]
+    row, partner, comp, bound, number = row[order], partner[order], comp[order], bound[order], number[order]
     first = np.ones(len(row), bool)
     first[1:] = (row[1:] != row[:-1]) | (comp[1:] != comp[:-1])
-    return [row[first], partner[first], comp[first], bound[first]]
+    places = np.flatnonzero(first)
+    return [row[first], partner[first], comp[first], bound[first], np.add.reduceat(number, places)]
 
 
 def _tile_pairs(num, den, only_best: bool):
@@ -202,16 +204,16 @@ def _tile_pairs(num, den, only_best: bool):
     bits) sorted by tile and n.  ``side`` 0: compared with all others of the
     tile; 1 and 2: with the other side only.  Compares at growing distance in
     the sorted rows, all tiles of a batch at once.  ``only_best``: of each class
-    and foreign component in a tile just the pair of the highest bound."""
-    def batch_of(sig, i, j):
-        a, b = sig[i], sig[j]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    and foreign component in a tile just the pair of the highest bound; ``more``
+    says whether the class ``a`` had other candidates there."""
+    def batch_of(sig, i, j, more):
+        return pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j]), pa.array(more)], ["a", "b", "more"])
 
     def compare(rows: pa.Table):
         tile, side, sig, comp, n = (rows.column(i).to_numpy() for i in range(5))
         bits = rows.column(5).to_pylist()
         alive = np.arange(len(tile))
-        held = [np.zeros(0, np.int64) for _ in range(4)]
+        held = [np.zeros(0, np.int64) for _ in range(5)]
         gap = 0
         while len(alive):
             gap += 1
@@ -228,16 +230,16 @@ def _tile_pairs(num, den, only_best: bool):
             if not len(i):
                 continue
             if not only_best:
-                yield batch_of(sig, i, j)
+                yield batch_of(sig, i, j, np.zeros(len(i), bool))
                 continue
             more = (np.concatenate([i, j]), np.concatenate([j, i]),
-                    np.concatenate([comp[j], comp[i]]), np.concatenate([bound, bound]))
+                    np.concatenate([comp[j], comp[i]]), np.concatenate([bound, bound]), np.ones(2 * len(i), np.int64))
             held = [np.concatenate(x) for x in zip(held, more, strict=True)]
             if len(held[0]) > 1 << 18:
                 held = _best(held)
         if len(held[0]):
             held = _best(held)
-            yield batch_of(sig, held[0], held[1])
+            yield batch_of(sig, held[0], held[1], held[4] > 1)
 
     def run(batches):
         held = None
@@ -304,6 +306,11 @@ def _linked(num, den):
     return run
 
 
+def _either_way(pairs: DataFrame) -> DataFrame:
+    """The distinct pairs, each once whatever its direction."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 class _Join:
     """One run of the join: its stored tables and rounds."""
 
@@ -385,7 +392,8 @@ class _Join:
                       .mapInArrow(_meetings, "token long, sig long"), self.folder, "meetings")
 
     def tile_pairs(self, meetings: DataFrame, labels: DataFrame, only_best: bool) -> DataFrame:
-        """Pairs of different components in the tiles, bounded by their bitmaps."""
+        """(a, b, more): pairs of different components in the tiles, bounded by
+        their bitmaps."""
         name = "best" if only_best else "rest"
         rows = meetings.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
         rows = stored(rows, self.folder, f"{name}-rows")
@@ -402,14 +410,18 @@ class _Join:
                     F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
                     .otherwise(2).alias("side"), "sig", "comp", "n", "bits")
         return small.unionByName(large).repartition("tile").sortWithinPartitions("tile", "n") \
-            .mapInArrow(_tile_pairs(self.num, self.den, only_best), "a long, b long").distinct()
+            .mapInArrow(_tile_pairs(self.num, self.den, only_best), "a long, b long, more boolean")
 
     def run(self) -> DataFrame:
         """(sig, comp): components of all classes with a link."""
         labels = self.relabel(self.verified(self.centre_pairs(), "centres"), "one")
         meetings = self.meetings()
-        labels = self.relabel(self.verified(self.tile_pairs(meetings, labels, True), "best"), "two")
-        return self.relabel(self.verified(self.tile_pairs(meetings, labels, False), "rest"), "three")
+        best = stored(self.tile_pairs(meetings, labels, True), self.folder, "tile-pairs")
+        labels = self.relabel(self.verified(_either_way(best), "best"), "two")
+        again = best.where("more").select(F.col("a").alias("sig")).distinct()
+        tokens = meetings.join(again, "sig", "left_semi").select("token").distinct()
+        rest = self.tile_pairs(meetings.join(tokens, "token", "left_semi"), labels, False)
+        return self.relabel(self.verified(_either_way(rest), "rest"), "three")
 
     def classes(self) -> DataFrame:
         """(sig, comp, component_id): every class, its component and that
