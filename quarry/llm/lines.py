@@ -16,7 +16,8 @@ document share it mostly, so their lines are left for the operators that handle
 whole copies.  Lines of recurring templates are dropped everywhere; lines under
 ``MIN_TOKENS`` tokens never are.
 
-Counts are over all documents: first per (template, context), then per template,
+Templates are parsed once to count them and once more to find the recurring ones
+(cheaper than to keep them).  Counts are over all documents: first per (template, context), then per template,
 so the most common line is one partial sum per task.  What to drop depends on
 the text alone and is joined to the documents by a hash of the text.
 
@@ -122,11 +123,12 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text",
     two more columns: lines before and lines dropped."""
     folder = shared_dir(docs.sparkSession)
     mark = F.xxhash64(F.col(text_col))
-    found = stored(docs.select(mark.alias("mark"), F.col(text_col).alias("text"))
-                   .mapInArrow(_emitted, "mark long, key long, context long"), folder, "templates")
+    found = docs.select(mark.alias("mark"), F.col(text_col).alias("text")) \
+        .mapInArrow(_emitted, "mark long, key long, context long")
     recurring = found.groupBy("key", "context").agg(F.count("*").alias("docs")) \
         .groupBy("key").agg(F.sum("docs").alias("docs"), F.count("*").alias("contexts")) \
         .where((F.col("contexts") >= MIN_DOCS) & (F.col("contexts") * 4 >= F.col("docs"))).select("key")
+    recurring = stored(recurring, folder, "recurring")
     key, drop = "_mark", "_drop"
     while key in docs.columns or drop in docs.columns:
         key, drop = key + "_", drop + "_"
