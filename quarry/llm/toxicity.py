@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 LABELLED = 20_000           # labelled rows to learn from, at most
 ENTRIES = 4_000             # learnt entries at most
 STEMS = (4, 5, 6, 7)        # lengths of word beginnings
-MIN_DOCS, MIN_ODDS, MIN_Z = 4, 1.5, 4.0
+MIN_DOCS, MIN_ODDS, MIN_Z = 4, 3.0, 4.0
 SEED_WEIGHT, THREAT_WEIGHT = 1.0, 2.0
 
 # Function words and verbs of the grammar's classes.

@@ -12,9 +12,9 @@ def corpus():
     rows = [(i, prose(i, 60 + i % 50), "en", f"s{i % 4}") for i in range(60)]
     rows += [(100 + i, edited(rows[0][1], i, 1), "en", "s1") for i in range(5)] + [(110, rows[1][1], "en", "s2")]
     rows += [(120, None, "en", "s0"), (121, "", None, "s0"), (122, "123 !!", "en", None), (None, prose(77, 50), "en", None),
-             (3, rows[3][1], "en", "s3"), (130, "The boiler line of it all is here\n" + prose(5000, 40), "en", "s0"),
-             (131, "The boiler line of it all is here\n" + prose(5001, 40), "en", "s0"),
-             (132, "The boiler line of it all is here\n" + prose(5002, 40), "en", "s0"),
+             (3, rows[3][1], "en", "s3"), (130, "The boiler line of it all is here\n" + prose(5000, 160), "en", "s0"),
+             (131, "The boiler line of it all is here\n" + prose(5001, 160), "en", "s0"),
+             (132, "The boiler line of it all is here\n" + prose(5002, 160), "en", "s0"),
              (133, "The boiler line of it all is here", "en", "s0")]
     return rows
 
@@ -29,7 +29,7 @@ def test_stages(spark, docs):
     lines = corpus_pipeline.dedup_lines(spark, kept, "")
     assert lines.columns == columns and lines.dtypes == table.dtypes
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.collect()}
-    assert 133 not in texts and texts[130] == (prose(5000, 40), len(prose(5000, 40)))
+    assert 133 not in texts and texts[130] == (prose(5000, 160), len(prose(5000, 160)))
     assert texts[10] == (corpus()[10][1], len(corpus()[10][1]))
     one = corpus_pipeline.drop_near_copies(spark, lines, "")
     left = sorted(r["doc_id"] for r in one.select("doc_id").collect() if r["doc_id"] is not None)
