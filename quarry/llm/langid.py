@@ -44,17 +44,20 @@ def sample_texts(docs: DataFrame, text: Column, lang: Column) -> tuple[tuple[str
     """The bounded sample: (language, text), short texts first so that many
     documents have a part in it."""
     short = SYMBOLS // 16
-    rows = docs.select(F.substring(text, 1, SYMBOLS).alias("text"), lang.cast("string").alias("lang"),
+    rows = docs.select(text.alias("text"), lang.cast("string").alias("lang"),
                        (F.length(text) > short).alias("long"), F.xxhash64(text).alias("turn")) \
         .where("lang is not null and text is not null")
-    place = Window.partitionBy("lang").orderBy("long", "turn", "text")
-    rows = rows.dropDuplicates(["lang", "turn"]) \
-        .withColumn("place", F.row_number().over(place)).where(F.col("place") <= ROWS)
+    # which rows: ranked without their texts, ROWS a language
+    place = Window.partitionBy("lang").orderBy("long", "turn")
+    chosen = rows.select("lang", "long", "turn").distinct() \
+        .withColumn("place", F.row_number().over(place)).where(F.col("place") <= ROWS).select("lang", "turn", "place")
+    texts = rows.select("lang", "turn", F.substring("text", 1, SYMBOLS).alias("text")) \
+        .join(F.broadcast(chosen), ["lang", "turn"]).dropDuplicates(["lang", "place"])
     # what goes to the driver is cut to the sample's size first
-    before = F.coalesce(F.sum(F.length("text")).over(
-        place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("before", before).where(F.col("before") < SYMBOLS)
-    found = sorted((r["lang"], r["place"], r["text"]) for r in rows.select("lang", "place", "text").collect())
+    before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    texts = texts.withColumn("before", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0))) \
+        .where(F.col("before") < SYMBOLS)
+    found = sorted((r["lang"], r["place"], r["text"]) for r in texts.select("lang", "place", "text").collect())
     langs = sorted({f[0] for f in found})
     room = min(SYMBOLS, TOTAL // max(1, len(langs)))
     return tuple((lang, " ".join(t for one, _, t in found if one == lang)[:room]) for lang in langs)
