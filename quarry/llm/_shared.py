@@ -31,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="quarry-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
