@@ -12,7 +12,7 @@ documents link when ``den * |A & B| >= num * |A | B|`` (75/100 by default).
    are sorted by size and only those in the same size band (``|A| * den >=
    |B| * num``) are compared.  A tile of over ``TILE`` rows is dealt out as
    pairs of blocks, so no task holds more than two blocks.
-3. *Bitmaps.*  Each class has a parity bitmap of its hashes, one to two bits a
+3. *Bitmaps.*  Each class has a parity bitmap of its hashes, two to four bits a
    shingle (wider ones fold to narrower by exclusive or).  The bits in which
    two bitmaps differ are at most the shingles in which the sets differ, which
    bounds the overlap from above; pairs whose bound is too low go.
@@ -67,7 +67,7 @@ def _signature(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    width = min(max(MIN_BITS, 1 << int(len(s) - 1).bit_length()), MAX_BITS)
+    width = min(max(MIN_BITS, 1 << int(2 * len(s) - 1).bit_length()), MAX_BITS)
     place = (s.view(np.uint64) >> np.uint64(7)) & np.uint64(width - 1)
     return np.packbits((np.bincount(place.astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
