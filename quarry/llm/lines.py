@@ -10,16 +10,18 @@ common wherever the run is.  All templates of a line are read off prefix sums
 of its token hashes.
 
 A template recurs when it stands in documents of at least ``MIN_DOCS`` different
-contexts, and contexts are at least a quarter of its documents.  A document's
-context is the min-hash of its five-word shingles: copies and near copies of one
-document share it mostly, so their lines are left for the operators that handle
-whole copies.  Lines of recurring templates are dropped everywhere; lines under
-``MIN_TOKENS`` tokens never are.
-
-Templates are parsed once to count them and once more to find the recurring ones
-(cheaper than to keep them).  Counts are over all documents: first per (template, context), then per template,
-so the most common line is one partial sum per task.  What to drop depends on
-the text alone and is joined to the documents by a hash of the text.
+contexts, however many documents each context has.  Two texts have one context
+unless their resemblance is surely under ``ALIKE``, by the ``SKETCH`` smallest
+hashes of their five-word shingles: the lines of copies and near copies of one
+document are left for the operators that handle whole copies.  Contexts are told
+apart in rounds: the first text of a template, the first that differs from it,
+the first that differs from both.  Lines of recurring templates are dropped
+everywhere; lines under ``MIN_TOKENS`` tokens never are.
+
+Templates are parsed once to find those in two different texts and once more to
+list these by text (cheaper than to keep all).  Each round is a minimum per
+template and a join, so the most common line is one row per task.  What to drop
+depends on the text alone and is joined to the documents by a hash of the text.
 
 Null text stays null, empty text empty.  Repeated rows are documents of one
 context.  Other columns pass through.
@@ -33,20 +35,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm._shared import shared_dir, slices, stored
+from quarry.llm._shared import list_array, shared_dir, slices, stored
 from quarry.llm._words import mix, shingle_run, word_hashes
 
 DEPTH = 3
 LONG = 8
 MIN_TOKENS = 3
-MIN_DOCS = 3
+MIN_DOCS = 3                # contexts, told apart in as many rounds less one
+SKETCH = 64                 # shingle hashes kept of a text
+ALIKE = 0.4
 WAYS = 6                    # templates of a line
 _SPOT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def line_templates(column: pa.Array):
     """Templates of all lines: (row, line, keys (lines x WAYS), usable (lines x
-    WAYS)) and the context of each row."""
+    WAYS)) and the sketch of each row."""
     words, at, line = word_hashes(column, fields=True)
     rows = len(column)
     owner = np.repeat(np.arange(rows), np.diff(at))
@@ -65,21 +69,30 @@ def line_templates(column: pa.Array):
     keys = np.stack([mix(whole + base), *(mix(whole - t + base + np.uint64(k + 1)) for k, t in enumerate(third))], axis=1)
     usable = np.repeat((count >= LONG)[:, None], WAYS, axis=1)
     usable[:, 0] = count >= MIN_TOKENS
-    context = np.zeros(rows, np.uint64)
-    run = shingle_run(words)
-    for r in range(rows):
-        a, b = int(at[r]), int(at[r + 1])
-        if b - a >= 5:
-            context[r] = run[a:b - 4].min()
-        elif b > a:
-            context[r] = mix(words[a:b].sum(dtype=np.uint64, keepdims=True))[0]
-    return owner[first], line[first], keys.view(np.int64), usable, context.view(np.int64)
+    return owner[first], line[first], keys.view(np.int64), usable, sketches(words, at)
+
+
+def sketches(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The ``SKETCH`` smallest distinct shingle hashes (31 bits) of each row; of
+    under five words the one of all."""
+    run = (shingle_run(words) >> np.uint64(33)).astype(np.int32)
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a < 5:
+            out.append((mix(words[a:b].sum(dtype=np.uint64, keepdims=True)) >> np.uint64(33)).astype(np.int32)[:b - a])
+            continue
+        own = run[a:b - 4]
+        if len(own) > 4 * SKETCH:
+            few = np.unique(np.partition(own, 2 * SKETCH)[:2 * SKETCH])
+            own = few if len(few) >= SKETCH else own
+        out.append(np.unique(own)[:SKETCH])
+    return out
 
 
 def _emitted(batches):
-    """(mark, key, context) of (mark, text): each template once a document."""
+    """(mark, key) of (mark, text): each template once a document."""
     for batch in slices(batches, 1):
-        row, _, keys, usable, context = line_templates(batch.column(1))
+        row, _, keys, usable, _ = line_templates(batch.column(1))
         flat, rows = keys[usable], np.repeat(row[:, None], WAYS, axis=1)[usable]
         order = np.lexsort((flat, rows))
         flat, rows = flat[order], rows[order]
@@ -87,8 +100,34 @@ def _emitted(batches):
         one[1:] = (flat[1:] != flat[:-1]) | (rows[1:] != rows[:-1])
         flat, rows = flat[one], rows[one]
         marks = batch.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(marks[rows]), pa.array(flat), pa.array(context[rows])],
-                                         ["mark", "key", "context"])
+        yield pa.RecordBatch.from_arrays([pa.array(marks[rows]), pa.array(flat)], ["mark", "key"])
+
+
+def _sketched(batches):
+    """(mark, sketch) of (mark, text)."""
+    for batch in slices(batches, 1):
+        words, at, _ = word_hashes(batch.column(1), fields=True)
+        found = sketches(words, at)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+        values = np.concatenate(found) if found else np.zeros(0, np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column(0), list_array(values, ends, pa.int32())], ["mark", "sketch"])
+
+
+def _differ(a, b):
+    """Whether the resemblance of two sketches is surely under ``ALIKE``."""
+    least = F.least(F.size(a), F.size(b))
+    low = F.slice(F.array_sort(F.array_union(a, b)), F.lit(1), least)
+    return F.size(F.array_intersect(F.array_intersect(a, b), low)) < ALIKE * least - 0.5 * F.sqrt(least)
+
+
+def _in_contexts(where: DataFrame, folder: str) -> DataFrame:
+    """The keys of (key, mark, sketch) that stand in ``MIN_DOCS`` contexts."""
+    for n in range(1, MIN_DOCS):
+        first = where.groupBy("key").agg(F.min(F.struct("mark", "sketch")).alias("first"))
+        where = where.join(first, "key").where(_differ(F.col("sketch"), F.col("first.sketch"))).drop("first")
+        if n < MIN_DOCS - 1:
+            where = stored(where, folder, f"contexts{n}")
+    return where.select("key").distinct()
 
 
 def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):
@@ -123,16 +162,16 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text",
     two more columns: lines before and lines dropped."""
     folder = shared_dir(docs.sparkSession)
     mark = F.xxhash64(F.col(text_col))
-    found = docs.select(mark.alias("mark"), F.col(text_col).alias("text")) \
-        .mapInArrow(_emitted, "mark long, key long, context long")
-    recurring = found.groupBy("key", "context").agg(F.count("*").alias("docs")) \
-        .groupBy("key").agg(F.sum("docs").alias("docs"), F.count("*").alias("contexts")) \
-        .where((F.col("contexts") >= MIN_DOCS) & (F.col("contexts") * 4 >= F.col("docs"))).select("key")
-    recurring = stored(recurring, folder, "recurring")
+    texts = docs.select(mark.alias("mark"), F.col(text_col).alias("text"))
+    found = texts.mapInArrow(_emitted, "mark long, key long")
+    several = found.groupBy("key").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b").select("key")
+    sketch = texts.mapInArrow(_sketched, "mark long, sketch array<int>").dropDuplicates(["mark"])
+    where = stored(found.join(several, "key").distinct().join(sketch, "mark"), folder, "where")
+    recurring = stored(_in_contexts(where, folder), folder, "recurring")
     key, drop = "_mark", "_drop"
     while key in docs.columns or drop in docs.columns:
         key, drop = key + "_", drop + "_"
-    hits = found.select("mark", "key").join(recurring, "key").groupBy(F.col("mark").alias(key)) \
+    hits = where.select("mark", "key").join(recurring, "key").groupBy(F.col("mark").alias(key)) \
         .agg(F.collect_set("key").alias(drop))
     rows = docs.withColumn(key, mark).join(hits, key, "left").select(*docs.columns, drop)
     kinds = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType())])

@@ -45,3 +45,10 @@ def test_templates_by_hand():
     assert usable[1].tolist() == [True] + [False] * 5
     assert set(keys[0]) & set(keys[2])          # last third differs
     assert not set(keys[0][:1]) & set(keys[2]) and not set(keys[1]) & set(keys[3])
+
+
+def test_a_copied_document_does_not_shield_its_lines(docs):
+    passage = prose(7, 30)
+    rows = [(i, f"{prose(2000 + i, 60)}\n{passage}") for i in range(6)]
+    rows += [(100 + i, rows[0][1]) for i in range(40)]
+    assert {(n, gone) for _, _, n, gone in run(docs, rows)} == {(2, 1)}
