@@ -11,9 +11,11 @@ of its token hashes.
 
 A template recurs when it stands in documents of at least ``MIN_DOCS`` different
 contexts, however many documents each context has.  Two texts have one context
-unless their resemblance is surely under ``ALIKE``, by the ``SKETCH`` smallest
-hashes of their five-word shingles: the lines of copies and near copies of one
-document are left for the operators that handle whole copies.  Contexts are told
+unless their resemblance outside the line is surely under ``ALIKE``, by those of
+the ``SKETCH`` smallest hashes of their five-word shingles that don't stand in
+the line (by all of them where a text has under ``OUTSIDE`` others): the lines of
+copies and near copies of one document are left for the operators that handle
+whole copies.  Contexts are told
 apart in rounds: the first text of a template, the first that differs from it,
 the first that differs from both.  Lines of recurring templates are dropped
 everywhere; lines under ``MIN_TOKENS`` tokens never are.
@@ -42,7 +44,8 @@ DEPTH = 3
 LONG = 8
 MIN_TOKENS = 3
 MIN_DOCS = 3                # contexts, told apart in as many rounds less one
-SKETCH = 64                 # shingle hashes kept of a text
+SKETCH = 64                 # shingle hashes kept of a text, one bit of a mask each
+OUTSIDE = 6
 ALIKE = 0.4
 WAYS = 6                    # templates of a line
 _SPOT = np.uint64(0xD6E8FEB86659FD93)
@@ -50,7 +53,7 @@ _SPOT = np.uint64(0xD6E8FEB86659FD93)
 
 def line_templates(column: pa.Array):
     """Templates of all lines: (row, line, keys (lines x WAYS), usable (lines x
-    WAYS)) and the sketch of each row."""
+    WAYS)) and which hashes of the row's sketch stand in the line (bits)."""
     words, at, line = word_hashes(column, fields=True)
     rows = len(column)
     owner = np.repeat(np.arange(rows), np.diff(at))
@@ -69,13 +72,12 @@ def line_templates(column: pa.Array):
     keys = np.stack([mix(whole + base), *(mix(whole - t + base + np.uint64(k + 1)) for k, t in enumerate(third))], axis=1)
     usable = np.repeat((count >= LONG)[:, None], WAYS, axis=1)
     usable[:, 0] = count >= MIN_TOKENS
-    return owner[first], line[first], keys.view(np.int64), usable, sketches(words, at)
+    return owner[first], line[first], keys.view(np.int64), usable, inside(words, at, first, first + count)
 
 
-def sketches(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """The ``SKETCH`` smallest distinct shingle hashes (31 bits) of each row; of
+def sketches(words: np.ndarray, at: np.ndarray, run: np.ndarray) -> list[np.ndarray]:
+    """The ``SKETCH`` smallest distinct hashes of each row's shingles ``run``; of
     under five words the one of all."""
-    run = (shingle_run(words) >> np.uint64(33)).astype(np.int32)
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         if b - a < 5:
@@ -89,42 +91,74 @@ def sketches(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def small_run(words: np.ndarray) -> np.ndarray:
+    """Shingle hashes of 31 bits."""
+    return (shingle_run(words) >> np.uint64(33)).astype(np.int32)
+
+
+def inside(words: np.ndarray, at: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """For each run of words from ``start`` to before ``stop`` the bits of the
+    hashes in its row's sketch that are of shingles inside the run."""
+    run = small_run(words)
+    places, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b, sketch in zip(at[:-1].tolist(), at[1:].tolist(), sketches(words, at, run)):
+        if b - a >= 5:
+            own = run[a:b - 4]
+            place = np.flatnonzero(own <= sketch[-1])
+            places.append(place + a)
+            bits.append(np.uint64(1) << np.searchsorted(sketch, own[place]).astype(np.uint64))
+    place, bit = np.concatenate(places), np.append(np.concatenate(bits), np.uint64(0))
+    lo, hi = np.searchsorted(place, start), np.searchsorted(place, np.maximum(stop - 4, start))
+    found = np.bitwise_or.reduceat(bit, np.stack([lo, hi], axis=1).ravel())[::2] if len(lo) else np.zeros(0, np.uint64)
+    return np.where(hi > lo, found, np.uint64(0)).view(np.int64)
+
+
 def _emitted(batches):
-    """(mark, key) of (mark, text): each template once a document."""
+    """(mark, key, mask) of (mark, text): each template once a document, with the
+    mask of all lines that have it."""
     for batch in slices(batches, 1):
-        row, _, keys, usable, _ = line_templates(batch.column(1))
-        flat, rows = keys[usable], np.repeat(row[:, None], WAYS, axis=1)[usable]
+        row, _, keys, usable, mask = line_templates(batch.column(1))
+        flat, rows, mask = keys[usable], np.repeat(row[:, None], WAYS, axis=1)[usable], np.repeat(mask[:, None], WAYS, axis=1)[usable]
         order = np.lexsort((flat, rows))
-        flat, rows = flat[order], rows[order]
+        flat, rows, mask = flat[order], rows[order], mask[order]
         one = np.ones(len(flat), bool)
         one[1:] = (flat[1:] != flat[:-1]) | (rows[1:] != rows[:-1])
         flat, rows = flat[one], rows[one]
+        mask = np.bitwise_or.reduceat(mask, np.flatnonzero(one)) if len(mask) else mask
         marks = batch.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(marks[rows]), pa.array(flat)], ["mark", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(marks[rows]), pa.array(flat), pa.array(mask)], ["mark", "key", "mask"])
 
 
 def _sketched(batches):
     """(mark, sketch) of (mark, text)."""
     for batch in slices(batches, 1):
         words, at, _ = word_hashes(batch.column(1), fields=True)
-        found = sketches(words, at)
+        found = sketches(words, at, small_run(words))
         ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
         values = np.concatenate(found) if found else np.zeros(0, np.int32)
         yield pa.RecordBatch.from_arrays([batch.column(0), list_array(values, ends, pa.int32())], ["mark", "sketch"])
 
 
-def _differ(a, b):
+def _under(a, b):
     """Whether the resemblance of two sketches is surely under ``ALIKE``."""
     least = F.least(F.size(a), F.size(b))
     low = F.slice(F.array_sort(F.array_union(a, b)), F.lit(1), least)
     return F.size(F.array_intersect(F.array_intersect(a, b), low)) < ALIKE * least - 0.5 * F.sqrt(least)
 
 
+def _differ(a: str, b: str):
+    """Whether the (mark, sketch, others) at ``a`` and ``b`` are two contexts;
+    others is what of the sketch stands outside the line."""
+    few = F.least(F.size(f"{a}others"), F.size(f"{b}others")) < OUTSIDE
+    return F.when(few, _under(F.col(f"{a}sketch"), F.col(f"{b}sketch"))) \
+        .otherwise(_under(F.col(f"{a}others"), F.col(f"{b}others")))
+
+
 def _in_contexts(where: DataFrame, folder: str) -> DataFrame:
-    """The keys of (key, mark, sketch) that stand in ``MIN_DOCS`` contexts."""
+    """The keys of (key, mark, sketch, others) that stand in ``MIN_DOCS`` contexts."""
     for n in range(1, MIN_DOCS):
-        first = where.groupBy("key").agg(F.min(F.struct("mark", "sketch")).alias("first"))
-        where = where.join(first, "key").where(_differ(F.col("sketch"), F.col("first.sketch"))).drop("first")
+        first = where.groupBy("key").agg(F.min(F.struct("mark", "sketch", "others")).alias("first"))
+        where = where.join(first, "key").where(_differ("", "first.")).drop("first")
         if n < MIN_DOCS - 1:
             where = stored(where, folder, f"contexts{n}")
     return where.select("key").distinct()
@@ -163,11 +197,12 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text",
     folder = shared_dir(docs.sparkSession)
     mark = F.xxhash64(F.col(text_col))
     texts = docs.select(mark.alias("mark"), F.col(text_col).alias("text"))
-    found = texts.mapInArrow(_emitted, "mark long, key long")
+    found = texts.mapInArrow(_emitted, "mark long, key long, mask long")
     several = found.groupBy("key").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b").select("key")
     sketch = texts.mapInArrow(_sketched, "mark long, sketch array<int>").dropDuplicates(["mark"])
     where = stored(found.join(several, "key").distinct().join(sketch, "mark"), folder, "where")
-    recurring = stored(_in_contexts(where, folder), folder, "recurring")
+    others = F.expr("filter(sketch, (x, i) -> (shiftright(mask, i) & 1) = 0)")
+    recurring = stored(_in_contexts(where.withColumn("others", others).drop("mask"), folder), folder, "recurring")
     key, drop = "_mark", "_drop"
     while key in docs.columns or drop in docs.columns:
         key, drop = key + "_", drop + "_"

@@ -52,3 +52,26 @@ def test_a_copied_document_does_not_shield_its_lines(docs):
     rows = [(i, f"{prose(2000 + i, 60)}\n{passage}") for i in range(6)]
     rows += [(100 + i, rows[0][1]) for i in range(40)]
     assert {(n, gone) for _, _, n, gone in run(docs, rows)} == {(2, 1)}
+
+
+def test_a_line_does_not_count_as_its_own_context(docs):
+    """Short documents made up mostly of one line: whichever shingles the line has."""
+    lost = 0
+    for seed in range(4):
+        passage = prose(40_000 + seed, 60)
+        rows = [(i, f"{prose(3000 + 10 * seed + i, 25)}\n{passage}") for i in range(3)]
+        lost += sum(gone != 1 for _, _, _, gone in run(docs, rows))
+    assert lost == 0
+
+
+def test_bits_of_a_line():
+    import numpy as np
+    import pyarrow as pa
+    text = "\n".join(prose(k, 12) for k in range(3))
+    words, at, _ = lines.word_hashes(pa.array(["other words here", text]), fields=True)
+    _, _, _, _, mask = lines.line_templates(pa.array(["other words here", text]))
+    small = lines.small_run(words)
+    sketch = lines.sketches(words, at, small)[1]
+    for k, got in enumerate(mask.view(np.uint64)[1:].tolist()):
+        own = small[3 + 12 * k:3 + 12 * k + 8].tolist()
+        assert {v for i, v in enumerate(sketch.tolist()) if got >> i & 1} == set(own)
