@@ -10,7 +10,8 @@ common wherever the run is.  All templates of a line are read off prefix sums
 of its token hashes.
 
 A template recurs when it stands in documents of at least ``MIN_DOCS`` different
-contexts, however many documents each context has.  Two texts have one context
+contexts, or of two if it has ``SURE`` tokens or more, too many to recur by chance,
+however many documents each context has.  Two texts have one context
 unless their resemblance outside the line is surely under ``ALIKE``, by those of
 the ``SKETCH`` smallest hashes of their five-word shingles that don't stand in
 the line (by all of them where a text has under ``OUTSIDE`` others): the lines of
@@ -44,6 +45,7 @@ DEPTH = 3
 LONG = 8
 MIN_TOKENS = 3
 MIN_DOCS = 3                # contexts, told apart in as many rounds less one
+SURE = 20                   # tokens of a line for which two contexts do; its keys are odd
 SKETCH = 64                 # shingle hashes kept of a text, one bit of a mask each
 OUTSIDE = 6
 ALIKE = 0.4
@@ -70,6 +72,7 @@ def line_templates(column: pa.Array):
     whole = sums[first + count] - sums[first]
     base = count.astype(np.uint64) * _SPOT
     keys = np.stack([mix(whole + base), *(mix(whole - t + base + np.uint64(k + 1)) for k, t in enumerate(third))], axis=1)
+    keys = keys & ~np.uint64(1) | (count >= SURE).astype(np.uint64)[:, None]
     usable = np.repeat((count >= LONG)[:, None], WAYS, axis=1)
     usable[:, 0] = count >= MIN_TOKENS
     return owner[first], line[first], keys.view(np.int64), usable, inside(words, at, first, first + count)
@@ -155,13 +158,16 @@ def _differ(a: str, b: str):
 
 
 def _in_contexts(where: DataFrame, folder: str) -> DataFrame:
-    """The keys of (key, mark, sketch, others) that stand in ``MIN_DOCS`` contexts."""
+    """The keys of (key, mark, sketch, others) that stand in ``MIN_DOCS`` contexts,
+    odd ones in two."""
+    odd, sure = F.col("key").bitwiseAND(F.lit(1)) == 1, None
     for n in range(1, MIN_DOCS):
         first = where.groupBy("key").agg(F.min(F.struct("mark", "sketch", "others")).alias("first"))
         where = where.join(first, "key").where(_differ("", "first.")).drop("first")
-        if n < MIN_DOCS - 1:
-            where = stored(where, folder, f"contexts{n}")
-    return where.select("key").distinct()
+        if n == 1:
+            where = stored(where, folder, "contexts")
+            sure, where = where.where(odd).select("key"), where.where(~odd)
+    return sure.union(where.select("key")).distinct()
 
 
 def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):

@@ -75,3 +75,10 @@ def test_bits_of_a_line():
     for k, got in enumerate(mask.view(np.uint64)[1:].tolist()):
         own = small[3 + 12 * k:3 + 12 * k + 8].tolist()
         assert {v for i, v in enumerate(sketch.tolist()) if got >> i & 1} == set(own)
+
+
+def test_two_contexts_do_for_long_lines(docs):
+    long, short = prose(50_000, 55), prose(50_001, 12)
+    rows = [(i, f"{prose(6000 + i, 60)}\n{long}\n{short}") for i in range(2)] + [(9, prose(6009, 60))]
+    got = {i: (t, gone) for i, t, _, gone in run(docs, rows)}
+    assert got == {**{i: (f"{prose(6000 + i, 60)}\n{short}", 1) for i in range(2)}, 9: (prose(6009, 60), 0)}
