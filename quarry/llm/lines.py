@@ -21,6 +21,14 @@ apart in rounds: the first text of a template, the first that differs from it,
 the first that differs from both.  Lines of recurring templates are dropped
 everywhere; lines under ``MIN_TOKENS`` tokens never are.
 
+Passages need not be whole lines.  Every run of ``PASSAGE`` words or more that
+two documents of different contexts have in common (the same words, letter case
+and spacing aside) is cut out of its lines.  Of each run of ``PASSAGE`` words the
+smallest hash of ``GRAM`` words is a key like a template's, so two such runs share
+one.  Where a key recurs, all runs of ``PASSAGE`` words around it are counted the
+same way, and the words of recurring ones go.  Writing without spaces has no words
+to count.
+
 Templates are parsed once to find those in two different texts and once more to
 list these by text (cheaper than to keep all).  Each round is a minimum per
 template and a join, so the most common line is one row per task.  What to drop
@@ -32,6 +40,9 @@ context.  Other columns pass through.
 
 from __future__ import annotations
 
+import re
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,26 +50,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm._shared import list_array, shared_dir, slices, stored
-from quarry.llm._words import mix, shingle_run, word_hashes
+from quarry.llm._words import SEGMENT, _powers, mix, shingle_run, word_hashes
 
 DEPTH = 3
 LONG = 8
 MIN_TOKENS = 3
 MIN_DOCS = 3                # contexts, told apart in as many rounds less one
 SURE = 20                   # tokens of a line for which two contexts do; its keys are odd
+_FREE = ~np.uint64(3)       # bits of keys but the lowest: two contexts do; a passage's
 SKETCH = 64                 # shingle hashes kept of a text, one bit of a mask each
 OUTSIDE = 6
+PASSAGE = 50
+GRAM = 25
+FILTER = 1 << 24            # bits of the bitmap of texts (2 MB, broadcast)
 ALIKE = 0.4
 WAYS = 6                    # templates of a line
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPOT = np.uint64(0xD6E8FEB86659FD93)
 
 
-def line_templates(column: pa.Array):
+def line_templates(column: pa.Array, masks: bool = True):
     """Templates of all lines: (row, line, keys (lines x WAYS), usable (lines x
-    WAYS)) and which hashes of the row's sketch stand in the line (bits)."""
+    WAYS)) and which hashes of the row's sketch stand in the line (bits;
+    none without ``masks``)."""
     words, at, line = word_hashes(column, fields=True)
-    rows = len(column)
-    owner = np.repeat(np.arange(rows), np.diff(at))
+    row, number, keys, usable, first, stop = _parsed(words, at, line)
+    return row, number, keys, usable, inside(words, at, first, stop) if masks else np.zeros(len(first), np.int64)
+
+
+def _parsed(words: np.ndarray, at: np.ndarray, line: np.ndarray):
+    """Row, line, keys and usable as above, and the words from and to of each line."""
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     new = np.ones(len(words), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (line[1:] != line[:-1])
     first = np.flatnonzero(new)
@@ -72,10 +94,10 @@ def line_templates(column: pa.Array):
     whole = sums[first + count] - sums[first]
     base = count.astype(np.uint64) * _SPOT
     keys = np.stack([mix(whole + base), *(mix(whole - t + base + np.uint64(k + 1)) for k, t in enumerate(third))], axis=1)
-    keys = keys & ~np.uint64(1) | (count >= SURE).astype(np.uint64)[:, None]
+    keys = keys & _FREE | (count >= SURE).astype(np.uint64)[:, None]
     usable = np.repeat((count >= LONG)[:, None], WAYS, axis=1)
     usable[:, 0] = count >= MIN_TOKENS
-    return owner[first], line[first], keys.view(np.int64), usable, inside(words, at, first, first + count)
+    return owner[first], line[first], keys.view(np.int64), usable, first, first + count
 
 
 def sketches(words: np.ndarray, at: np.ndarray, run: np.ndarray) -> list[np.ndarray]:
@@ -116,20 +138,82 @@ def inside(words: np.ndarray, at: np.ndarray, start: np.ndarray, stop: np.ndarra
     return np.where(hi > lo, found, np.uint64(0)).view(np.int64)
 
 
-def _emitted(batches):
-    """(mark, key, mask) of (mark, text): each template once a document, with the
-    mask of all lines that have it."""
+def _grams(words: np.ndarray, width: int) -> np.ndarray:
+    """Key of the ``width`` words from each place on (regardless of rows)."""
+    n = len(words)
+    power, inverse = _powers(max(SEGMENT, n))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(words * power[:n], out=sums[1:])
+    return mix((sums[width:] - sums[:-width]) * inverse[:max(n - width + 1, 0)]) | ~_FREE
+
+
+def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
+    """``op`` (minimum, maximum) over each ``width`` neighbours."""
+    size = 1
+    while 2 * size <= width:
+        x, size = op(x[:-size], x[size:]), 2 * size
+    return op(x[:len(x) - (width - size)], x[width - size:])
+
+
+def _runs(at: np.ndarray) -> np.ndarray:
+    """Of each place whether ``PASSAGE`` words of one row begin there."""
+    size = np.diff(at)
+    left = np.repeat(size, size) - (np.arange(at[-1]) - np.repeat(at[:-1], size))
+    return (left >= PASSAGE)[:max(int(at[-1]) - PASSAGE + 1, 0)]
+
+
+def _chosen(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, keys): of each ``PASSAGE`` words the smallest key of ``GRAM`` words."""
+    if len(words) < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    grams, wide = _grams(words, GRAM), PASSAGE - GRAM + 1
+    least = np.where(_runs(at), _slide(grams, wide, np.minimum), np.uint64(0))
+    edge = np.zeros(wide - 1, np.uint64)
+    place = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), wide, np.maximum) == grams)
+    return place, grams[place]
+
+
+def _once(marks: pa.Array, rows, keys, mask) -> pa.RecordBatch:
+    """(mark, key, mask): each key once a row, with all its bits."""
+    order = np.lexsort((keys, rows))
+    keys, rows, mask = keys[order], rows[order], mask[order]
+    one = np.ones(len(keys), bool)
+    one[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    mask = np.bitwise_or.reduceat(mask, np.flatnonzero(one)) if len(mask) else mask
+    return pa.RecordBatch.from_arrays([pa.array(marks.to_numpy()[rows[one]]), pa.array(keys[one]), pa.array(mask)],
+                                      ["mark", "key", "mask"])
+
+
+def _emitted(batches, masks: bool):
+    """(mark, key, mask) of (mark, text): templates and chosen keys of passages."""
     for batch in slices(batches, 1):
-        row, _, keys, usable, mask = line_templates(batch.column(1))
-        flat, rows, mask = keys[usable], np.repeat(row[:, None], WAYS, axis=1)[usable], np.repeat(mask[:, None], WAYS, axis=1)[usable]
-        order = np.lexsort((flat, rows))
-        flat, rows, mask = flat[order], rows[order], mask[order]
-        one = np.ones(len(flat), bool)
-        one[1:] = (flat[1:] != flat[:-1]) | (rows[1:] != rows[:-1])
-        flat, rows = flat[one], rows[one]
-        mask = np.bitwise_or.reduceat(mask, np.flatnonzero(one)) if len(mask) else mask
-        marks = batch.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(marks[rows]), pa.array(flat), pa.array(mask)], ["mark", "key", "mask"])
+        words, at, line = word_hashes(batch.column(1), fields=True)
+        row, _, keys, usable, first, stop = _parsed(words, at, line)
+        place, chosen = _chosen(word_hashes(batch.column(1))[0], at)
+        mask = np.zeros(len(first) + len(place), np.int64)
+        if masks:
+            mask = inside(words, at, np.append(first, place), np.append(stop, place + GRAM))
+        mask, found = mask[:len(first)], mask[len(first):]
+        yield _once(batch.column(0), np.append(np.repeat(row[:, None], WAYS, axis=1)[usable], np.searchsorted(at, place, "right") - 1),
+                    np.append(keys[usable], chosen.view(np.int64)), np.append(np.repeat(mask[:, None], WAYS, axis=1)[usable], found))
+
+
+def _passages(batches):
+    """(mark, key, mask) of (mark, text, keys): all ``PASSAGE`` words around the
+    places of the keys."""
+    for batch in slices(batches, 1):
+        words, at = word_hashes(batch.column(1))
+        if len(words) < PASSAGE:
+            continue
+        grams, runs = _grams(words, GRAM).view(np.int64), _runs(at)
+        hit = np.zeros(len(grams), bool)
+        for r, keys in enumerate(batch.column(2).to_pylist()):
+            a, b = int(at[r]), max(int(at[r + 1]) - GRAM + 1, int(at[r]))
+            hit[a:b] = np.isin(grams[a:b], keys)
+        place = np.flatnonzero(_slide(hit, PASSAGE - GRAM + 1, np.logical_or) & runs)
+        words_, _, _ = word_hashes(batch.column(1), fields=True)
+        yield _once(batch.column(0), np.searchsorted(at, place, "right") - 1, _grams(words, PASSAGE)[place].view(np.int64),
+                    inside(words_, at, place, place + PASSAGE))
 
 
 def _sketched(batches):
@@ -149,45 +233,97 @@ def _under(a, b):
     return F.size(F.array_intersect(F.array_intersect(a, b), low)) < ALIKE * least - 0.5 * F.sqrt(least)
 
 
-def _differ(a: str, b: str):
-    """Whether the (mark, sketch, others) at ``a`` and ``b`` are two contexts;
-    others is what of the sketch stands outside the line."""
-    few = F.least(F.size(f"{a}others"), F.size(f"{b}others")) < OUTSIDE
-    return F.when(few, _under(F.col(f"{a}sketch"), F.col(f"{b}sketch"))) \
-        .otherwise(_under(F.col(f"{a}others"), F.col(f"{b}others")))
+def _differing(rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The rows of (key, mark, mask) whose text has another context than the first
+    text of the key.  Sketches are joined once a pair of texts."""
+    first = rows.groupBy("key").agg(F.min("mark").alias("lead"))
+    rows = rows.join(first, "key")
+    lead = rows.where("mark = lead").select("key", F.col("mask").alias("lead_mask"))
+    pairs = rows.where("mark <> lead").join(lead, "key") \
+        .groupBy("lead", "mark").agg(F.collect_list(F.struct("key", "mask", "lead_mask")).alias("keys")) \
+        .join(sketch, "mark").join(sketch.select(F.col("mark").alias("lead"), F.col("sketch").alias("lead_sketch")), "lead") \
+        .withColumn("alike", ~_under(F.col("sketch"), F.col("lead_sketch"))) \
+        .select("mark", "sketch", "lead_sketch", "alike", F.explode("keys").alias("one")) \
+        .select("mark", "sketch", "lead_sketch", "alike", "one.*") \
+        .withColumn("others", F.expr("filter(sketch, (x, i) -> (shiftright(mask, i) & 1) = 0)")) \
+        .withColumn("lead_others", F.expr("filter(lead_sketch, (x, i) -> (shiftright(lead_mask, i) & 1) = 0)"))
+    few = F.least(F.size("others"), F.size("lead_others")) < OUTSIDE
+    return pairs.where(F.when(few, ~F.col("alike")).otherwise(_under(F.col("others"), F.col("lead_others")))) \
+        .select("key", "mark", "mask")
 
 
-def _in_contexts(where: DataFrame, folder: str) -> DataFrame:
-    """The keys of (key, mark, sketch, others) that stand in ``MIN_DOCS`` contexts,
-    odd ones in two."""
+def _in_contexts(where: DataFrame, sketch: DataFrame, folder: str, name: str) -> DataFrame:
+    """The keys of (key, mark, mask) that stand in ``MIN_DOCS`` contexts, odd ones
+    in two."""
     odd, sure = F.col("key").bitwiseAND(F.lit(1)) == 1, None
     for n in range(1, MIN_DOCS):
-        first = where.groupBy("key").agg(F.min(F.struct("mark", "sketch", "others")).alias("first"))
-        where = where.join(first, "key").where(_differ("", "first.")).drop("first")
+        where = _differing(where, sketch)
         if n == 1:
-            where = stored(where, folder, "contexts")
+            where = stored(where, folder, f"{name}_contexts")
             sure, where = where.where(odd).select("key"), where.where(~odd)
     return sure.union(where.select("key")).distinct()
 
 
+def _covered(words: np.ndarray, drops: list[int]) -> np.ndarray:
+    """Which words of one text stand in a passage of ``drops``."""
+    step = np.zeros(len(words) + 1, np.int64)
+    if len(words) >= PASSAGE:
+        place = np.flatnonzero(np.isin(_grams(words, PASSAGE).view(np.int64), drops))
+        step[place] += 1
+        step[place + PASSAGE] -= 1
+    return np.cumsum(step[:-1]) > 0
+
+
+def _left(line: str, cover: list[bool], spans: list[tuple[int, int]]) -> str:
+    """The line without its covered words and the white space after them (before
+    them at the end of the line)."""
+    out, done = [], 0
+    for k, (start, _) in enumerate(spans):
+        if cover[k] and not (k and cover[k - 1]):
+            out.append(line[done:start])
+        if not cover[k] and k and cover[k - 1]:
+            done = start
+    if cover[-1]:
+        out[-1], done = out[-1].rstrip(" \t\v\f\r"), spans[-1][1]
+    return "".join(out) + line[done:]
+
+
+def _kept(lines: list[str], bad: set[int], cover: list[bool]) -> tuple[list[str], int]:
+    """The lines without the bad ones and the covered words, and how many are
+    dropped or shortened."""
+    out, gone, k = [], 0, 0
+    for i, one in enumerate(lines):
+        spans = [x.span() for x in _WORD.finditer(one)] if cover else []
+        own = cover[k:k + len(spans)]
+        k += len(spans)
+        gone += i in bad or any(own)
+        if i in bad or own and all(own):
+            continue
+        out.append(_left(one, own, spans) if any(own) else one)
+    return out, gone
+
+
 def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):
-    """Texts without the lines of the templates in the list column ``drop_at``."""
+    """Texts without the lines of the templates, and the words of the passages, in
+    the list column ``drop_at``."""
     def run(batches):
         for batch in slices(batches, text_at):
             text, drops = batch.column(text_at), batch.column(drop_at).to_pylist()
-            row, line, keys, usable, _ = line_templates(text)
+            row, line, keys, usable, _ = line_templates(text, masks=False)
+            words, at = word_hashes(text)
             ends = np.searchsorted(row, np.arange(len(text) + 1))
             out, total, gone = [], [], []
             for r, one in enumerate(text.to_pylist()):
-                lines = one.split("\n") if one else []
-                bad: set[int] = set()
+                lines, n = one.split("\n") if one else [], 0
+                total.append(len(lines))
                 if drops[r]:
                     a, b = ends[r], ends[r + 1]
                     hit = (np.isin(keys[a:b], drops[r]) & usable[a:b]).any(axis=1)
-                    bad = set(line[a:b][hit].tolist())
-                total.append(len(lines))
-                gone.append(len(bad))
-                out.append("\n".join([x for i, x in enumerate(lines) if i not in bad]) if bad else one)
+                    cover = _covered(words[at[r]:at[r + 1]], drops[r])
+                    left, n = _kept(lines, set(line[a:b][hit].tolist()), cover.tolist() if cover.any() else [])
+                    one = "\n".join(left) if n else one
+                gone.append(n)
+                out.append(one)
             columns = [batch.column(i) for i in range(batch.num_columns) if i != drop_at]
             columns[text_at] = pa.array(out, pa.string())
             labels = [n for i, n in enumerate(batch.schema.names) if i != drop_at]
@@ -196,24 +332,58 @@ def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):
     return run
 
 
+def _recurring(found: DataFrame, again: DataFrame, sketch: DataFrame, folder: str, name: str) -> DataFrame:
+    """(mark, key) of the keys of (mark, key, mask) in enough contexts; ``again``
+    has the same rows with masks."""
+    half = F.shiftright("mark", 32).cast("int")
+    several = found.groupBy("key").agg(F.min(half).alias("a"), F.max(half).alias("b")).where("a <> b").select("key")
+    where = stored(again.join(several, "key").select("key", "mark", "mask").distinct(), folder, name)
+    keys = stored(_in_contexts(where, sketch, folder, name), folder, f"{name}_keys")
+    return where.select("mark", "key").join(keys, "key")
+
+
+def _bit(mark):
+    return F.pmod(mark, F.lit(FILTER)) + 1
+
+
+def _filtered(rows: DataFrame, mark, hits: DataFrame) -> DataFrame:
+    """``rows`` and whether the bit of their mark is set in the bitmap of the marks
+    of ``hits`` (``_maybe``): most others then need no shuffle."""
+    bitmap = hits.select(_bit(F.col("mark")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    place = F.bitmap_bit_position(_bit(mark))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) > 0
+    return rows.withColumn("_place", F.bitmap_bucket_number(_bit(mark))) \
+        .join(F.broadcast(bitmap), F.col("_place") == F.col("_bucket"), "left") \
+        .withColumn("_maybe", F.coalesce(is_set, F.lit(False))).drop("_place", "_bucket", "_bits")
+
+
 def drop_recurring_lines(docs: DataFrame, text_col: str = "text",
                          names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
-    """``docs`` with the lines of recurring templates dropped from the text, and
-    two more columns: lines before and lines dropped."""
+    """``docs`` with the lines of recurring templates and recurring passages dropped
+    from the text, and two more columns: lines before and lines dropped or shortened."""
     folder = shared_dir(docs.sparkSession)
     mark = F.xxhash64(F.col(text_col))
     texts = docs.select(mark.alias("mark"), F.col(text_col).alias("text"))
-    found = texts.mapInArrow(_emitted, "mark long, key long, mask long")
-    several = found.groupBy("key").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b").select("key")
+    kind = "mark long, key long, mask long"
     sketch = texts.mapInArrow(_sketched, "mark long, sketch array<int>").dropDuplicates(["mark"])
-    where = stored(found.join(several, "key").distinct().join(sketch, "mark"), folder, "where")
-    others = F.expr("filter(sketch, (x, i) -> (shiftright(mask, i) & 1) = 0)")
-    recurring = stored(_in_contexts(where.withColumn("others", others).drop("mask"), folder), folder, "recurring")
-    key, drop = "_mark", "_drop"
-    while key in docs.columns or drop in docs.columns:
-        key, drop = key + "_", drop + "_"
-    hits = where.select("mark", "key").join(recurring, "key").groupBy(F.col("mark").alias(key)) \
-        .agg(F.collect_set("key").alias(drop))
-    rows = docs.withColumn(key, mark).join(hits, key, "left").select(*docs.columns, drop)
+    sketch = stored(sketch, folder, "sketch")
+    found = _recurring(texts.mapInArrow(partial(_emitted, masks=False), kind), texts.mapInArrow(partial(_emitted, masks=True), kind),
+                       sketch, folder, "found")
+    found = stored(found, folder, "hits")
+    passage = F.col("key").bitwiseAND(F.lit(2)) == 2
+    around = found.where(passage).groupBy("mark").agg(F.collect_set("key").alias("keys"))
+    near = _filtered(texts, F.col("mark"), found.where(passage)).where("_maybe").drop("_maybe")
+    around = stored(near.join(around, "mark").mapInArrow(_passages, kind), folder, "around")
+    passages = stored(_recurring(around, around, sketch, folder, "passages"), folder, "passage_hits")
+    drop = "_drop"
+    while drop in docs.columns:
+        drop += "_"
+    hits = found.where(~passage).select("mark", "key").union(passages.select("mark", "key"))
+    rows = _filtered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), mark.alias("mark")), F.col("mark"), hits)
+    hits = hits.groupBy("mark").agg(F.collect_set("key").alias(drop))
+    rows = rows.where("_maybe").join(hits, "mark", "left").select("doc.*", drop) \
+        .union(rows.where("not _maybe").select("doc.*", F.lit(None).cast("array<long>").alias(drop)))
     kinds = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType())])
     return rows.mapInArrow(_dropped(docs.columns.index(text_col), len(docs.columns), names), kinds)

@@ -79,6 +79,32 @@ def test_bits_of_a_line():
 
 def test_two_contexts_do_for_long_lines(docs):
     long, short = prose(50_000, 55), prose(50_001, 12)
-    rows = [(i, f"{prose(6000 + i, 60)}\n{long}\n{short}") for i in range(2)] + [(9, prose(6009, 60))]
+    rows = [(i, f"{short}\n{prose(6000 + i, 60)}\n{long}") for i in range(2)] + [(9, prose(6009, 60))]
     got = {i: (t, gone) for i, t, _, gone in run(docs, rows)}
-    assert got == {**{i: (f"{prose(6000 + i, 60)}\n{short}", 1) for i in range(2)}, 9: (prose(6009, 60), 0)}
+    assert got == {**{i: (f"{short}\n{prose(6000 + i, 60)}", 1) for i in range(2)}, 9: (prose(6009, 60), 0)}
+
+
+def test_passages_inside_lines_go(docs):
+    passage = prose(70_000, 53).split(" ")
+    rows = []
+    for i in range(2):      # mid-line to mid-line, over a line feed, other spacing
+        a, b = prose(7000 + i, 70 + 5 * i), prose(7100 + i, 64)
+        inner = " ".join(passage) if i else " ".join(passage[:30]) + "\n" + "  ".join(passage[30:])
+        rows.append((i, f"{a} {inner} {b}"))
+    rows += [(5, f"{prose(7200, 80)} {' '.join(passage[:49])} {prose(7201, 60)}"), (6, prose(7300, 90))]
+    assert run(docs, rows) == {(0, f"{prose(7000, 70)}\n{prose(7100, 64)}", 2, 2),
+                               (1, f"{prose(7001, 75)} {prose(7101, 64)}", 1, 1), (*rows[2], 1, 0), (*rows[3], 1, 0)}
+
+
+def test_chosen_keys_by_brute_force():
+    import numpy as np
+    import pyarrow as pa
+    words, at = lines.word_hashes(pa.array([prose(k, n) for k, n in enumerate((49, 50, 140, 3, 260, 0, 51))]))
+    grams = lines._grams(words, lines.GRAM)
+    expected = set()
+    for a, b in zip(at[:-1], at[1:]):
+        for i in range(a, b - lines.PASSAGE + 1):
+            expected.add(i + int(np.argmin(grams[i:i + lines.PASSAGE - lines.GRAM + 1])))
+    place, keys = lines._chosen(words, at)
+    assert set(place.tolist()) == expected and (keys == grams[place]).all()
+    assert lines._chosen(words[:0], at[:1])[0].size == 0
