@@ -13,8 +13,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns."""
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -5,8 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import delivery
+from fixtures import delivery, rows
 from quarry.functions.dates import anchored_week, day_name
 from quarry.functions.text import leading_number, null_if_sentinel
 from quarry.operators import elapsed as EL

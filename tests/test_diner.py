@@ -4,8 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import diner
+from fixtures import diner, rows
 from quarry.operators import milestone as M
 from quarry.operators import rank as R
 from quarry.operators.totals import totals_by

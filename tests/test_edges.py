@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from quarry.functions.dates import week_number
 from quarry.functions.text import leading_number, split_ids
 from quarry.operators import balance as B

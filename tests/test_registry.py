@@ -3,6 +3,9 @@ and a sample of queries agrees with its DuckDB oracle on the smoke data."""
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -57,3 +60,22 @@ def test_sample_matches_oracle(spark, name):
     idx = [ocols.index(c) for c in sorted(ocols)]
     orows = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert srows == orows
+
+
+@pytest.mark.parametrize("gone", [["quarry/llm"], ["quarry/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_analyses_register_without_the_corpus_parts(tmp_path, gone):
+    """A copy without them still registers every analysis."""
+    top = os.path.dirname(os.path.abspath(E.__file__))
+    skip = {os.path.join(top, *g.split("/")) for g in gone}
+    copy = tmp_path / "copy"
+    copy.mkdir()
+    shutil.copytree(os.path.join(top, "quarry"), copy / "quarry",
+                    ignore=lambda at, names: [n for n in names if os.path.join(at, n) in skip or n == "__pycache__"])
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.join(top, name) not in skip and os.path.exists(os.path.join(top, name)):
+            shutil.copy(os.path.join(top, name), copy / name)
+    code = ("import __spark_entry__ as E; q, o = E.queries(), E.oracle_sql(); "
+            "print(len([n for n in q if n in E.all_queries()]), 'pipeline' in q)")
+    out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.split() == [str(len(E.all_queries())), "False"]

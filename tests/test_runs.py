@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from quarry.operators import runs as RU
 
 STAYS = [  # customer, region, node, first day, last day of January (None: open)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from quarry.operators import balance as B
 from quarry.operators.clicks import visit_conversion
 from quarry.operators.impact import before_after_by_year, period_growth
