@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, toxicity, vectors, warc
+from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, spelling, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +106,56 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similarity_join(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+# crc32 byte by byte over its table (letters up to U+00FF take two bytes from U+0080 on); two words of
+# one length differ at one place if they agree without it, others if one is the other without a place
+ORACLE["op13_spelling_variants"] = f"""
+with recursive crc_table as (
+    select list(c order by i) as tab from (
+        select i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+            case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(i))),
+runs as (
+    select coalesce(doc_id::varchar, '') as id,
+           unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '{spelling.RUN}')) as run
+    from documents where text is not null),
+seen as (select id, run, count(*) as k from runs group by all),
+hashed as (
+    select run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+               string_split(id || ':' || run, ''), lambda c:
+               case when unicode(c) < 128 then [unicode(c)::bigint] else [195, unicode(c)::bigint - 64] end))),
+               lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)]))) as h
+    from seen, crc_table),
+occurrences as (
+    select case when h % {spelling.DAMAGE} = 0
+                then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word, k from hashed),
+words as (
+    select word, sum(k)::bigint as n from occurrences where length(word) >= {spelling.LEAST_LETTERS}
+    group by word having sum(k) >= {spelling.LEAST_COUNT}),
+shorter as (
+    select word, n, i, word[1:i] || word[i + 2:] as rest from words, unnest(range(length(word))) t(i)),
+near as (
+    select a.word, b.word as other, b.n as other_n from shorter a join shorter b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union
+    select a.word, b.word, b.n from shorter a join words b on a.rest = b.word
+    union
+    select b.word, a.word, a.n from shorter a join words b on a.rest = b.word),
+best as (
+    select word, count(*) as n_near, first(other order by other_n desc, other) as best,
+           max(other_n) as best_n from near group by word),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when best_n >= {spelling.RATIO} * w.n then best end as form,
+           case when best_n >= {spelling.RATIO} * w.n then best_n end as form_n
+    from words w left join best using (word)),
+chain as (
+    select word, word as here, 0 as step from forms
+    union all
+    select c.word, f.form, c.step + 1 from chain c join forms f on f.word = c.here where f.form is not null),
+roots as (select word, arg_max(here, step) as root from chain group by word)
+select word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n from forms join roots using (word)
+"""
