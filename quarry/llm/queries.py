@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, spelling, toxicity, vectors, warc
+from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, spelling, toxicity, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -159,3 +159,8 @@ chain as (
 roots as (select word, arg_max(here, step) as root from chain group by word)
 select word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n from forms join roots using (word)
 """
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
