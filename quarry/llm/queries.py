@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import known_to_workers
-from quarry.llm import fingerprints, htmltext, langid, lines, mixing, ngramjoin, pieces, spelling, toxicity, vectors, warc, whitening
+from quarry.llm import fingerprints, htmltext, langid, lines, mixing, nearvectors, ngramjoin, pieces, spelling, toxicity, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,8 @@ select word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n f
 @register
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearvectors.near_duplicates(table(spark, sf_dir, "embeddings"))
