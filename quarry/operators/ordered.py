@@ -147,3 +147,39 @@ def dense_rank_of(df: DataFrame, key, value: str, name: str) -> DataFrame:
     of its run of equal values.  Every value is a cell of its own."""
     return stitched(df, key, value, runs_of=value, run_name=name, granularity="value") \
         .withColumn(name, F.col(name).cast("bigint"))
+
+
+def total_row_number(df: DataFrame, order, name: str, partitions: int | None = None) -> DataFrame:
+    """Number all rows from 1 in ``order`` (ROW_NUMBER without PARTITION BY, E4).
+
+    Range-partitioned prefix counts: the rows are dealt to ranges of the whole
+    order, whose bounds Spark takes from a sample, so that rows of one day, or of
+    one value of any but the last order column, spread over all tasks.  Each range is sorted
+    where it lies; a row's number is its place in its range plus the sizes of the
+    ranges before.  One exchange of the rows; beside them only one row a range
+    moves.  Numbers are determined where ``order`` is total; rows that are equal in
+    all of it share a task and are numbered in any order.  NULLs come first.
+
+    Sizes and rows have to come from the same exchange.  It is reused because both
+    read the same columns (``_sum``); should a plan deal the rows twice, bounds may
+    differ, and a row outside the bounds that were counted for its range fails the
+    query instead of getting a wrong number.  ``partitions`` is the number of
+    ranges (default: ``spark.sql.shuffle.partitions``)."""
+    order = cols(order)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*order)
+    dealt = df.repartitionByRange(n, *_order(order))
+    sizes = dealt.groupBy(F.spark_partition_id().alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(key).alias("_first"), F.max(key).alias("_last"),
+        F.bit_xor(F.xxhash64(*df.columns)).alias("_sum"))
+    # n rows at most: small enough for one task and for a broadcast
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("_part", "_first", "_last", "_sum", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = dealt.sortWithinPartitions(*_order(order)).withColumn("_at", F.monotonically_increasing_id())
+    # the upper bits of _at are the partition, the lower 33 the place in it
+    x = placed.withColumn("_part", F.shiftright("_at", 33).cast("int")).join(F.broadcast(sizes), "_part", "left")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    counted = (key >= F.col("_first")) & (key <= F.col("_last")) & F.col("_sum").isNotNull()
+    number = F.when(counted, F.col("_before") + place) \
+        .otherwise(F.raise_error(F.lit("total_row_number: rows were dealt twice with different bounds")).cast("bigint"))
+    return x.select(*df.columns, number.cast("bigint").alias(name))

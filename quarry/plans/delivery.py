@@ -9,7 +9,7 @@ from quarry.functions.text import leading_number, null_if_sentinel
 from quarry.operators import elapsed as EL
 from quarry.operators import lists as L
 from quarry.operators.clean import clean_sentinels
-from quarry.operators.ordered import row_number
+from quarry.operators.ordered import total_row_number
 from quarry.operators.rank import count_top_k_per
 from quarry.operators.share import pivot_counts, rate
 from quarry.operators.totals import totals_by
@@ -138,9 +138,7 @@ RATING_SQL = "CAST(({0} % 97 * 37 + 11) % 97 % 5 + 1 AS INTEGER)"
 @register("clean_order_lines", W("SELECT * FROM lines_clean"))
 def clean_order_lines(spark, d):
     """Cleaned lines, numbered in order over the whole table."""
-    x = lines(spark, d).withColumn("_all", F.lit(1))
-    order = ["order_time", *LINE, "exclusions", "extras"]
-    return row_number(x, "_all", order, "line_uid").drop("_all")
+    return total_row_number(lines(spark, d), ["order_time", *LINE, "exclusions", "extras"], "line_uid")
 
 
 @register("clean_deliveries", W("""

@@ -3,8 +3,10 @@
 import datetime as dt
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fixtures import rows
 from quarry.operators import ordered as O
 
 
@@ -121,3 +123,40 @@ def test_cells_come_from_one_exchange(spark):
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("hashpartitioning(_cell") >= 2 and "REPARTITION_BY_COL" in final
     assert final.count("ReusedExchange") == 1
+
+
+ROWS = "k int, t timestamp, a int, b string"
+
+
+def _one_day(n):
+    """All rows at one instant, with NULLs and repeats in the other order columns."""
+    t = dt.datetime(2024, 1, 1)
+    return [(i % 5 or None, t if i % 7 else None, (i * 7919) % n if i % 11 else None, f"b{i % 3}") for i in range(n)]
+
+
+def test_total_row_number_equals_the_plain_window(spark):
+    df = spark.createDataFrame(_one_day(4000), ROWS).repartition(5)
+    order = ["t", "a", "k", "b"]
+    got = O.total_row_number(df, order, "n", partitions=7)
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_total_row_number_spreads_one_day_and_deals_the_rows_once(spark):
+    df = spark.createDataFrame([r for r in _one_day(4000) if r[1]], ROWS).repartition(5)
+    got = O.total_row_number(df, ["t", "a", "k", "b"], "n", partitions=8)
+    per_task = [r["c"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("c")).collect()]
+    assert len(per_task) == 8 and max(per_task) < 2 * sum(per_task) / 8
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1 and "hashpartitioning(t" not in plan
+    assert plan.count("Exchange rangepartitioning") + plan.count("Exchange rang") >= 1
+    assert "Window" not in "".join(line for line in plan.split("\n") if "partition by t" in line)
+
+
+def test_total_row_number_of_few_or_no_rows(spark):
+    empty = spark.createDataFrame([], ROWS)
+    assert O.total_row_number(empty, ["t", "a"], "n").collect() == []
+    same = spark.createDataFrame([(1, None, 1, "x")] * 3, ROWS)
+    assert rows(O.total_row_number(same, ["t", "a"], "n", partitions=4), "n") == [(1,), (2,), (3,)]
