@@ -12,7 +12,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-_MODULES = ("mart", "diner", "delivery", "subscriptions", "bank", "clicks")
+_MODULES = ("mart", "diner", "delivery", "subscriptions", "bank", "clicks", "storage")
 
 
 def register(name: str, sql: str | None = None):

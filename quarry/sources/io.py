@@ -65,19 +65,28 @@ class Tables:
         return DRIVER_TABLES
 
 
+# Times in CSV files keep their microseconds.
+CSV_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
              header: bool = True, null_value: str = "") -> DataFrame:
-    """Header CSV with blank cells as NULL and a declared schema (A3)."""
+    """Header CSV with blank cells as NULL and a declared schema (A3).  A cell that
+    isn't of its column's type fails the query."""
     return (spark.read.schema(schema)
-            .option("header", header)
-            .option("nullValue", null_value)
-            .option("mode", "FAILFAST")
+            .options(header=header, nullValue=null_value, mode="FAILFAST", escape='"', **CSV_TIMES)
             .csv(path))
 
 
+def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str = "") -> None:
+    """CSV files that ``read_csv`` reads back; texts must hold no line feed."""
+    df.write.mode("errorifexists").options(header=header, nullValue=null_value, escape='"', **CSV_TIMES).csv(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Materialise a derived table (A6/A8/A11: append or replace)."""
+    """Materialise a derived table as plain files; ``quarry.sources.tables`` has the
+    appends and replaces that can be run again."""
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
