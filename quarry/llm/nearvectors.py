@@ -13,11 +13,11 @@ dimensions the part of the way that crosses a given plane is seldom above
 ``SPREAD / sqrt(d)`` of it, which is the reach of the first round.
 
 *Graph.*  Each cell builds a flat graph: nodes come in batches of growing size, a
-greedy search from the medoid collects candidates, and robust pruning keeps a
+greedy search from the nearest of the cell's medoids collects candidates, and robust pruning keeps a
 neighbour unless a kept one is nearer to it by a factor of ``ALPHA``; backward edges
 are pruned alike.  A node's adjacency lists of all its cells are then united.
 
-*Search.*  Every node is a query: greedy search from the medoid of each of its cells
+*Search.*  Every node is a query: greedy search from the medoids of each of its cells
 over the united lists, then the range is expanded: neighbours, along edges and against
 them, of all nodes within the wider cosine ``EXPAND`` are visited until none is new.  Pairs are verified in double
 precision on the original vectors.  A pair that shares several cells counts in the
@@ -53,19 +53,21 @@ from quarry.llm.vectors import k_means
 
 SIMILAR = 0.93
 
-SHARD = 2048                # members of a cell
+SHARD = 8192                # members of a cell
 BRANCH = 32                 # cells that one cell is split into, at most
 SAMPLE = 4096               # nodes of a cell from which its centres come
 PART = 8192                 # nodes assigned by one task
 REPLICAS = 4                # cells per node above which a cell counts as dense
-SPREAD = 4.0
+SPREAD = 3.0
 DEGREE = 16
 BEAM = 32
+GROUP = 64                  # nodes per medoid
+STARTS = 8                  # medoids a search starts from
 ALPHA = 1.2
 EXPAND = 0.85
 AT_ONCE = 256               # queries searched in step
 AUDIT = 2048
-TARGET = 0.98
+TARGET = 0.99
 ROUNDS = 3
 
 
@@ -91,15 +93,18 @@ def unit(column: pa.Array) -> np.ndarray:
 
 # ---------------------------------------------------------------- the graph
 
-def greedy(x: np.ndarray, lists: np.ndarray, start: int, queries: np.ndarray, beam: int) -> np.ndarray:
-    """Best-first search for all rows of ``queries`` in step: the ``beam`` nearest
-    nodes met by each, nearest first, -1 where there are fewer."""
-    rows = np.arange(len(queries))
+def greedy(x: np.ndarray, lists: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int) -> np.ndarray:
+    """Best-first search for all rows of ``queries`` in step, from the nearest of the
+    ``starts``: the ``beam`` nearest nodes met by each, -1 where there are fewer."""
     ids = np.full((len(queries), beam), -1)
     near = np.full((len(queries), beam), -np.inf, x.dtype)
     done = np.zeros((len(queries), beam), bool)
     seen = np.zeros((len(queries), len(x)), bool)
-    ids[:, 0], near[:, 0], seen[:, start] = start, queries @ x[start], True
+    lift = queries @ x[starts].T
+    first = np.argsort(-lift, axis=1, kind="stable")[:, :min(STARTS, beam)]
+    width = first.shape[1]
+    ids[:, :width], near[:, :width] = starts[first], np.take_along_axis(lift, first, 1)
+    np.put_along_axis(seen, starts[first], True, 1)
     while True:
         open_ = np.where(done | (ids < 0), -np.inf, near)
         at = open_.argmax(axis=1)
@@ -143,21 +148,28 @@ def robust_prune(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degre
     return out
 
 
-def medoid(x: np.ndarray) -> int:
-    return int(np.argmax(x @ x.mean(axis=0)))
+def medoids(x: np.ndarray) -> np.ndarray:
+    """Nodes from which searches start: the one nearest to the centre of each
+    group of about ``GROUP`` nodes.  From a single one a search would never leave a dense
+    group around it that is larger than the beam."""
+    centres = k_means(x, max(1, len(x) // GROUP), 4)
+    return np.unique(np.concatenate([np.argmax(x @ centres[i:i + 64].T - (centres[i:i + 64] ** 2).sum(axis=1) / 2
+                                               - (x ** 2).sum(axis=1)[:, None] / 2, axis=0) for i in range(0, len(centres), 64)]))
 
 
 def build(x: np.ndarray, degree: int, beam: int) -> np.ndarray:
     """Adjacency lists of a cell (rows of node numbers, -1: none)."""
     lists = np.full((len(x), degree), -1)
-    start = medoid(x)
-    turn = np.random.Generator(np.random.PCG64(len(x))).permutation(len(x))
-    turn = np.concatenate([[start], turn[turn != start]])
-    for _ in range(2):                          # the second time all nodes are there to be found
-        at, size = 1, 1
-        while at < len(x):
+    starts = medoids(x)
+    for i in range(0, len(starts), AT_ONCE):
+        part = starts[i:i + AT_ONCE]
+        lists[part] = robust_prune(x, part, np.tile(starts, (len(part), 1)), degree)
+    others = np.random.Generator(np.random.PCG64(len(x))).permutation(np.setdiff1d(np.arange(len(x)), starts))
+    for turn in (others, np.concatenate([starts, others])):     # the second time all nodes are there to be found
+        at, size = 0, 1
+        while at < len(turn):
             nodes = turn[at:at + size]
-            found = greedy(x, lists, start, x[nodes], beam)
+            found = greedy(x, lists, starts, x[nodes], beam)
             lists[nodes] = robust_prune(x, nodes, np.hstack([found, lists[nodes]]), degree)
             _link_back(x, lists, nodes)
             at, size = at + size, min(2 * size, AT_ONCE)
@@ -169,6 +181,8 @@ def _link_back(x: np.ndarray, lists: np.ndarray, nodes: np.ndarray) -> None:
     degree = lists.shape[1]
     to, of = lists[nodes].ravel(), np.repeat(nodes, degree)
     to, of = to[to >= 0], of[to >= 0]
+    if not len(to):
+        return
     order = np.argsort(to, kind="stable")
     to, of = to[order], of[order]
     heads = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
@@ -193,13 +207,13 @@ def both_ways(lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(code, np.arange(len(lists) + 1) * len(lists)), code % len(lists)
 
 
-def in_range(x: np.ndarray, lists: np.ndarray, start: int, queries: np.ndarray, beam: int, expand: float):
+def in_range(x: np.ndarray, lists: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int, expand: float):
     """Range-expanding search: slices of (query, node) pairs of cosine ``expand`` at
     least, reached from the greedy beam and from the query itself."""
     pointers, ends = both_ways(lists)
     for low in range(0, len(queries), AT_ONCE):
         part = queries[low:low + AT_ONCE]
-        beams = greedy(x, lists, start, x[part], beam)
+        beams = greedy(x, lists, starts, x[part], beam)
         seen = np.zeros((len(part), len(x)), bool)
         row, col = np.nonzero(beams >= 0)
         row, node = np.concatenate([row, np.arange(len(part))]), np.concatenate([beams[row, col], part])
@@ -366,7 +380,7 @@ def _searched(beam: int, expand: float, similar: float):
         lists = np.full((len(ids), max(1, int(counts.max()))), -1)
         lists[owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)] = place
         codes = [np.zeros(0, np.int64)]
-        for a, b in in_range(x, lists, medoid(x), np.arange(len(ids)), beam, expand):
+        for a, b in in_range(x, lists, medoids(x), np.arange(len(ids)), beam, expand):
             a, b = np.minimum(a, b), np.maximum(a, b)
             fits = (a < b) & (np.einsum("ij,ij->i", x[a], x[b]) >= similar - 1e-4)
             a, b = a[fits], b[fits]
