@@ -65,25 +65,51 @@ def run_durations(df: DataFrame, key, ts: str, state: str, tie=None, unit: str =
                  F.count(F.lit(1)).alias("n_runs"))
 
 
-def duration_percentiles(df: DataFrame, by, value: str, ps=(0.5, 0.8, 0.95)) -> DataFrame:
-    """Interpolated percentiles of ``value`` per group (4.4, D16), exact.
+def duration_percentiles(df: DataFrame, by, value: str, ps=(0.5, 0.8, 0.95), partitions: int | None = None) -> DataFrame:
+    """Interpolated percentiles of ``value`` per group (4.4, D16), exact, by
+    distributed selection.
 
-    Rows are counted per distinct value first (partial sums in every task); the
-    running count over a group's distinct values tells which values hold the two
-    ranks around each percentile."""
+    Rows are counted per distinct value first (partial sums in every task).  The counts
+    are dealt to ranges of (group, value), whose bounds Spark takes from a sample:
+    a group with very many values spreads over many tasks.  One row per range and
+    group has its number of rows; running sums over a group's ranges (at most
+    ``partitions``, default ``spark.sql.shuffle.partitions``) say which ranges hold
+    the two ranks around each percentile.  Only the counts of those ranges are
+    summed value by value; no window covers a whole group.
+
+    Sizes and counts have to come from one exchange (both read the same columns, so
+    it is reused); a range whose counts don't add up to its size fails the query."""
     by = cols(by)
-    counts = (df.where(as_col(value).isNotNull())
-              .groupBy(*by, as_col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*by).orderBy("_v")
-    x = counts.select(*by, "_v", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
-                      F.sum("_c").over(Window.partitionBy(*by)).alias("_all"))
-    aggs, out = [F.max("_all").alias("_all")], []
-    for p in ps:
-        name = f"p{int(round(p * 100))}"
-        at = (F.col("_all") - 1).cast("double") * F.lit(float(p))
-        aggs += [F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v"))).alias(f"_lo_{name}"),
-                 F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v"))).alias(f"_hi_{name}")]
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(name))
-    g = x.groupBy(*by) if by else x.groupBy()
-    return g.agg(*aggs).select(*by, *out)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = as_col(value).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    dealt = counts.repartitionByRange(n, *by, "_v").select(F.struct(F.lit(0).alias("_one"), *by).alias("_g"), "_v", "_c") \
+        .withColumn("_part", F.spark_partition_id())
+    cells = dealt.groupBy("_g", "_part").agg(F.sum("_c").alias("_n"), F.bit_xor(F.xxhash64("_v", "_c")).alias("_sum"))
+    w = Window.partitionBy("_g").orderBy("_part")
+    cells = cells.select("_g", "_part", "_n", "_sum", F.sum("_n").over(Window.partitionBy("_g")).alias("_all"),
+                         (F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+
+    def at(p):
+        return (F.col("_all") - 1).cast("double") * F.lit(float(p))
+
+    ranks = [rank(at(p)) for p in ps for rank in (F.floor, F.ceil)]         # counted from 0
+    here = F.lit(False)
+    for r in ranks:
+        here = here | ((r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))
+    x = dealt.join(cells.where(here), ["_g", "_part"])
+    inside = Window.partitionBy("_g", "_part")
+    upto = F.sum("_c").over(inside.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    whole = (F.sum("_c").over(inside) == F.col("_n")) & F.col("_sum").isNotNull()
+    end = F.when(whole, F.col("_before") + upto) \
+        .otherwise(F.raise_error(F.lit("duration_percentiles: counts were dealt twice with different bounds")).cast("bigint"))
+    x = x.select("_g", "_v", "_c", "_all", end.alias("_end"))
+    picked = [F.max(F.when((r < F.col("_end")) & (r >= F.col("_end") - F.col("_c")), F.col("_v"))).alias(f"_x{i}")
+              for i, r in enumerate(ranks)]
+    g = (x.groupBy("_g") if by else x.groupBy()).agg(F.max("_all").alias("_all"), *picked)
+    out = []
+    for i, p in enumerate(ps):
+        lo, hi = F.col(f"_x{2 * i}"), F.col(f"_x{2 * i + 1}")
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at(p)) - at(p)) * lo + (at(p) - F.floor(at(p))) * hi)
+                   .alias(f"p{int(round(p * 100))}"))
+    return g.select(*[F.col(f"_g.{b}").alias(b) for b in by], *out)

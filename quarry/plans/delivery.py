@@ -401,7 +401,8 @@ FROM lines_clean l LEFT JOIN (
   GROUP BY 1) m ON m.line_uid = l.line_uid"""))
 def merged_ingredient_list(spark, d):
     r = L.with_id_lists(pizza_recipes(Tables(spark, d)), {"toppings": "recipe_ids"})
-    x = lines_ids(spark, d).join(r.select("pizza_id", "recipe_ids"), "pizza_id", "left")
+    # recipes grow with the items; a shuffled join also deals the lines out before the work on lists
+    x = lines_ids(spark, d).join(r.select("pizza_id", "recipe_ids").hint("merge"), "pizza_id", "left")
     x = L.merged_ingredient_list(x, "pizza_name", "recipe_ids", "excl_ids", "extra_ids",
                                  toppings(spark, d), "topping_id", "topping_name")
     return x.select(*LINE, "ingredients")

@@ -43,7 +43,29 @@ def test_percentiles_equal_the_builtin(spark):
     want = {r["g"]: tuple(r["p"]) for r in theirs.collect()}
     for r in ours.collect():
         assert (r["p10"], r["p50"], r["p99"]) == pytest.approx(want[r["g"]])
-    assert "percentile" not in ours._jdf.queryExecution().executedPlan().toString()
+    assert " percentile(" not in ours._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("parts", [1, 16])
+def test_percentiles_of_one_group_with_very_many_values(spark, parts):
+    """A group of 60,000 different values next to groups of one value and of NULLs;
+    the large one spreads over the ranges."""
+    df = spark.range(60000).selectExpr("case when id % 100 = 0 then 2 else 1 end as g", "(id * 7919) % 60013 / 7.0 as v") \
+        .unionByName(spark.createDataFrame([(3, 5.0), (3, 5.0), (4, None), (None, 1.0), (None, 2.0)], "g int, v double"))
+    ours = RU.duration_percentiles(df, "g", "v", ps=(0.0, 0.33, 0.8, 1.0), partitions=parts)
+    theirs = df.groupBy("g").agg(F.percentile("v", [0.0, 0.33, 0.8, 1.0]).alias("p"))
+    want = {r["g"]: tuple(r["p"]) for r in theirs.collect() if r["p"]}
+    got = {r["g"]: (r["p0"], r["p33"], r["p80"], r["p100"]) for r in ours.collect()}
+    assert set(got) == set(want) and all(got[g] == pytest.approx(want[g]) for g in want)
+    plan = ours._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+
+
+def test_percentiles_without_groups_or_rows(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (None,)], "v double")
+    assert RU.duration_percentiles(df, None, "v", ps=(0.5,)).collect() == [(2.0,)]
+    assert RU.duration_percentiles(df.limit(0), None, "v", ps=(0.5,)).collect() == [(None,)]
+    assert RU.duration_percentiles(df.limit(0).withColumn("g", F.lit(1)), "g", "v").collect() == []
 
 
 def test_open_ends_come_from_the_next_row(spark):

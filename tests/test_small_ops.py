@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from fixtures import rows
 from quarry.operators import balance as B
+from quarry.operators import lists as L
 from quarry.operators.clicks import visit_conversion
 from quarry.operators.impact import before_after_by_year, period_growth
 from quarry.operators.share import pivot_share, ratio_of_sums
@@ -71,3 +74,50 @@ def test_before_after_by_year_and_growth(spark):
     assert rows(g, "m", "total", "pct_change") == [(D("2020-01-01"), 10.0, None),
                                                    (D("2020-02-01"), 20.0, 1.0),
                                                    (D("2020-03-01"), 10.0, -0.5)]
+
+
+def _lists(spark):
+    rows = [(1, [1, 2]), (2, [2, 1, 2]), (3, []), (4, None), (5, [9, 1, None]), (6, [9]), (7, [2, 1]), (8, [-5, 40000])]
+    return spark.createDataFrame([(i, x, f"r{i % 2}") for i, x in rows], "line int, ids array<int>, _name string")
+
+
+@pytest.mark.parametrize("most", [4096, 0])
+def test_names_by_position_and_by_dictionary(spark, monkeypatch, most):
+    """Both ways of looking names up, with unknown and missing ids, and repeats."""
+    monkeypatch.setattr(L.Names, "MOST_IDS", most)
+    dim = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (None, "x")], "id int, name string")
+    got = L.with_names(_lists(spark), "ids", dim, "id", "name", "t")
+    assert rows(got, "line", "t") == [(1, "a, b"), (2, "a, a, b"), (3, None), (4, None), (5, "b"), (6, None), (7, "a, b"), (8, None)]
+    merged = L.merged_ingredient_list(_lists(spark).withColumn("minus", F.array(F.lit(9))).withColumn("base", F.lit("P")),
+                                      "base", "ids", "minus", "ids", dim, "id", "name", "t")
+    assert rows(merged, "line", "t") == [(1, "P: 2xa, 2xb"), (2, "P: 4xa, 2xb"), (3, "P: "), (4, "P: "), (5, "P: 2xb"),
+                                         (6, "P: "), (7, "P: 2xa, 2xb"), (8, "P: ")]
+    assert merged.columns == ["line", "ids", "_name", "minus", "base", "t"]
+
+
+@pytest.mark.parametrize("dim", [[(1, "a"), (1, "b")], [(1, "a"), (10 ** 9, "b")], [("1", "a")], []])
+def test_names_of_other_dimensions(spark, dim):
+    """Two names for an id, ids far apart, ids that are no integers, no names at all."""
+    kind = "string" if dim and isinstance(dim[0][0], str) else "int"
+    d = spark.createDataFrame(dim, f"id {kind}, name string")
+    df = spark.createDataFrame([(1, [1, 10 ** 9])], "line int, ids array<int>") if kind == "int" else \
+        spark.createDataFrame([(1, ["1", "7"])], "line int, ids array<string>")
+    want = ", ".join(sorted(n for i, n in dim)) or None
+    assert rows(L.with_names(df, "ids", d, "id", "name", "t"), "t") == [(want,)]
+
+
+def test_labels_read_the_fact_once(spark, monkeypatch):
+    """One scan of lineitem in the plan, by position and through the dictionary."""
+    from quarry.plans.registry import all_queries
+    for most in (4096, 0):
+        monkeypatch.setattr(L.Names, "MOST_IDS", most)
+        for name in ("order_line_label", "merged_ingredient_list"):
+            old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+            spark.conf.set("spark.sql.adaptive.enabled", "false")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for tables that are all large
+            try:
+                plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            finally:
+                for k, v in old.items():
+                    spark.conf.set(k, v)
+            assert sum("FileScan" in line and "l_orderkey" in line for line in plan.split("\n")) == 1
