@@ -17,7 +17,10 @@ Keys and buckets are compared as one struct, in which NULL equals NULL, so
 NULL keys, times and states give what a plain window gives (NULL times come
 first).  ``granularity`` may be "minute", "hour" (timestamps), "day", "week",
 "month", ... or "value" (every value of the leading column is a bucket);
-``None`` is the plain window, for keys known to be small.
+``None`` is the plain window, for keys known to be small.  ``"range"`` cuts keys at
+quantiles of the whole order, measured by Spark from a sample of the rows: also a
+key with all its rows on one day, or at one instant, spreads over many tasks, at the
+price of one more exchange of the rows.
 """
 
 from __future__ import annotations
@@ -72,7 +75,13 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
     keys, order, prev, nxt = cols(key), cols(order), cols(prev), cols(nxt)
     if granularity is None:
         return _plain(df, keys, order, prev, nxt, seq, runs_of, run_name, prefix)
-    bucket = _bucket(df, order[0], granularity).alias("bucket")
+    columns = df.columns
+    if granularity == "range":
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *_order(keys), *_order(order)).withColumn("_range", F.spark_partition_id())
+        bucket = F.col("_range").alias("bucket")
+    else:
+        bucket = _bucket(df, order[0], granularity).alias("bucket")
     key_struct = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key")
     rest = [c for c in df.columns if c not in keys]
     dealt = df.select(F.struct(key_struct, bucket).alias(CELL), *rest).repartition(CELL)
@@ -117,7 +126,14 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         summary = summary.withColumn("_opens", opens)
         carried += ["_opens", F.coalesce(F.sum(F.col("_opens") + F.col("_inside")).over(before), F.lit(0))
                     .alias("_roff")]
-    x = x.join(summary.select(CELL, *carried), CELL).where(F.col("_sum").isNotNull())
+    x = x.join(summary.select(CELL, *carried), CELL, "left" if granularity == "range" else "inner")
+    if granularity == "range":
+        # bounds that were taken twice would give other cells than were summed up
+        whole = F.count(F.lit(1)).over(Window.partitionBy(CELL)) == F.col("_size")
+        x = x.withColumn("_rn", F.when(whole & F.col("_sum").isNotNull(), F.col("_rn")).otherwise(
+            F.raise_error(F.lit("stitched: rows were dealt twice with different bounds")).cast("int")))
+    else:
+        x = x.where(F.col("_sum").isNotNull())
 
     out = [F.when(F.col("_rn") == 1, F.col("_pl")[c]).otherwise(F.col("_p_" + c)).alias(prefix[0] + c) for c in prev]
     out += [F.when(F.col("_rn") == F.col("_size"), F.col("_nf")[c]).otherwise(F.col("_n_" + c))
@@ -126,7 +142,7 @@ def stitched(df: DataFrame, key, order, prev=(), nxt=(), seq: str | None = None,
         out.append((F.col("_off") + F.col("_rn")).cast("bigint").alias(seq))
     if runs_of:
         out.append((F.col("_roff") + F.col("_opens") + F.col("_in")).alias(run_name))
-    kept = [F.col(f"{CELL}.key.k{keys.index(c)}").alias(c) if c in keys else F.col(c) for c in df.columns]
+    kept = [F.col(f"{CELL}.key.k{keys.index(c)}").alias(c) if c in keys else F.col(c) for c in columns]
     return x.select(*kept, *out)
 
 

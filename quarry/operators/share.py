@@ -82,3 +82,30 @@ def pivot_counts(df: DataFrame, rows, pivot_col: str, values: list,
     extra = [F.count(F.lit(1)).alias(total)] if total else []
     return df.groupBy(*cols(rows)).agg(
         *[F.count_if(F.col(pivot_col) == v).alias(prefix + _safe(v)) for v in values], *extra)
+
+
+def found_values(df: DataFrame, column: str, most: int = 100) -> list:
+    """The distinct values of a column in order, NULL left out: the first step of a
+    pivot over what is in the data.  More than ``most`` of them are an error, not a
+    silent cut: a column per value is meant for few."""
+    values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values; pivot fewer or raise the limit")
+    return sorted(values)
+
+
+def pivot_found(df: DataFrame, rows, pivot_col: str, most: int = 100, prefix: str = "n_", rest: str = "n_rest",
+                total: str | None = None) -> DataFrame:
+    """Row counts with a column for each value found in the data (2.4, D10), and
+    ``rest`` for rows whose value is NULL or came in after the values were looked up.
+    Values whose column names would be the same are an error."""
+    values = found_values(df, pivot_col, most)
+    names = [prefix + _safe(v) for v in values]
+    clash = sorted({n for n in [*names, rest, *([total] if total else [])]
+                    if [*names, rest, *([total] if total else []), *cols(rows)].count(n) > 1})
+    if clash:
+        raise ValueError(f"several values or columns are named {', '.join(clash)}")
+    listed = F.coalesce(F.col(pivot_col).isin(values), F.lit(False)) if values else F.lit(False)
+    extra = [F.count(F.lit(1)).alias(total)] if total else []
+    return df.groupBy(*cols(rows)).agg(*[F.count_if(F.col(pivot_col) == v).alias(n) for v, n in zip(values, names, strict=True)],
+                                       F.count_if(~listed).alias(rest), *extra)

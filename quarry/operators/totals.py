@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.dates import period_start
 from quarry.operators._util import as_col, cols, exact_mean
 
 
@@ -54,3 +55,25 @@ def avg_children_per_parent(df: DataFrame, parent, child, by=None) -> DataFrame:
     g = per.groupBy(*by) if by else per.groupBy()
     return g.agg(F.try_divide(F.sum("_n").cast("double"), F.count(F.lit(1)).cast("double"))
                  .alias("avg_children"), F.count(F.lit(1)).alias("n_parents"))
+
+
+def distinct_per_day(df: DataFrame, day: str, id_col: str, by=None) -> DataFrame:
+    """Exact sets of the distinct ids of each day (and ``by``) as bitmaps, one row a
+    day and bucket of 32,768 neighbouring ids: a table to keep, from which distinct
+    counts of any longer period follow without the rows (``roll_up_distinct``).
+    Ids are integers; NULL days, groups and ids stay out."""
+    by = cols(by)
+    i = F.col(id_col).cast("long")
+    x = df.where(F.col(day).isNotNull() & F.col(id_col).isNotNull())
+    return x.groupBy(*by, F.col(day).cast("date").alias("day"), F.bitmap_bucket_number(i).alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(i)).alias("ids"))
+
+
+def roll_up_distinct(days: DataFrame, period: str, by=None, name: str = "n") -> DataFrame:
+    """Distinct ids per period (and ``by``) from the bitmaps of its days: an OR per
+    bucket, then the bits counted.  Partial ORs leave each task with one row a period
+    and bucket."""
+    by = cols(by)
+    start = period_start("day", period).alias("period_start")
+    sets = days.groupBy(*by, start, "bucket").agg(F.bitmap_or_agg("ids").alias("ids"))
+    return sets.groupBy(*by, "period_start").agg(F.sum(F.bitmap_count("ids")).alias(name))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import clicks as C
-from quarry.operators.totals import avg_children_per_parent, totals_by
+from quarry.operators.ordered import stitched
+from quarry.operators.totals import avg_children_per_parent, distinct_per_day, roll_up_distinct, totals_by
 from quarry.plans.registry import register
 from quarry.sources.io import Tables
+from quarry.sources.shared import shared_folder
 
 
 def _e(spark, d):
@@ -59,3 +61,35 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d,
 def visit_conversion(spark, d):
     return C.visit_conversion(_e(spark, d), ["user_id", "visit_date"],
                               F.col("event_type") == "purchase")
+
+
+@register("distinct_users_rolled_up", """
+SELECT 'day' AS grain, CAST(ts AS DATE) AS period_start, event_type, COUNT(DISTINCT user_id) AS n_users FROM events
+WHERE ts IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'month', CAST(date_trunc('month', ts) AS DATE), event_type, COUNT(DISTINCT user_id) FROM events
+WHERE ts IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'year', CAST(date_trunc('year', ts) AS DATE), event_type, COUNT(DISTINCT user_id) FROM events
+WHERE ts IS NOT NULL GROUP BY ALL""")
+def distinct_users_rolled_up(spark, d):
+    """Distinct users per day, month and year (D4, D5): events are read once into a
+    kept table of day bitmaps, from which each longer period is made."""
+    path = shared_folder(spark, "users-per-day")
+    distinct_per_day(Tables(spark, d).events, "ts", "user_id", "event_type").write.parquet(path)
+    days = spark.read.parquet(path)
+    parts = [roll_up_distinct(days, grain, "event_type", "n_users").select(F.lit(grain).alias("grain"), "*")
+             for grain in ("day", "month", "year")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("event_sequence", """
+SELECT event_id, user_id, ROW_NUMBER() OVER w AS seq, LAG(event_type) OVER w AS prev_event_type,
+       LEAD(event_id) OVER w AS next_event_id
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)""")
+def event_sequence(spark, d):
+    """Place, predecessor and successor of each event of a user (E1, E7), with cells
+    cut at measured quantiles: a user with all events on one day is no single task."""
+    e = Tables(spark, d).events.select("event_id", "user_id", "ts", "event_type")
+    x = stitched(e, "user_id", ["ts", "event_id"], prev=["event_type"], nxt=["event_id"], seq="seq", granularity="range")
+    return x.select("event_id", "user_id", "seq", "prev_event_type", "next_event_id")

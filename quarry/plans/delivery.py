@@ -11,7 +11,7 @@ from quarry.operators import lists as L
 from quarry.operators.clean import clean_sentinels
 from quarry.operators.ordered import total_row_number
 from quarry.operators.rank import count_top_k_per
-from quarry.operators.share import pivot_counts, rate
+from quarry.operators.share import pivot_counts, pivot_found, rate
 from quarry.operators.totals import totals_by
 from quarry.plans.registry import register
 from quarry.plans.standins import (DELIVERY_SQL, pizza_lines, pizza_recipes, pizza_toppings,
@@ -195,6 +195,14 @@ def pivot_counts_q(spark, d):
     return pivot_counts(lines(spark, d), "customer_id", "pizza_name", TYPES, total="n_total")
 
 
+@register("pivot_found_types", W("SELECT customer_id, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE pizza_name = '{t}') AS n_{t.lower()}" for t in TYPES)
+    + ", COUNT(*) FILTER (WHERE pizza_name IS NULL) AS n_rest, COUNT(*) AS n_total FROM lines_clean GROUP BY 1"))
+def pivot_found_types(spark, d):
+    """A column for every item type found in the items themselves."""
+    return pivot_found(lines(spark, d), "customer_id", "pizza_name", total="n_total")
+
+
 @register("largest_order", W("""
 SELECT order_id, COUNT(*) AS n_lines FROM delivered_lines GROUP BY 1
 ORDER BY n_lines DESC, order_id LIMIT 1"""))

@@ -160,3 +160,26 @@ def test_total_row_number_of_few_or_no_rows(spark):
     assert O.total_row_number(empty, ["t", "a"], "n").collect() == []
     same = spark.createDataFrame([(1, None, 1, "x")] * 3, ROWS)
     assert rows(O.total_row_number(same, ["t", "a"], "n", partitions=4), "n") == [(1,), (2,), (3,)]
+
+
+def test_range_cells_equal_the_plain_window(spark):
+    """A key with two thirds of the rows at one instant, NULL keys, times and states."""
+    rnd = random.Random(3)
+    t = dt.datetime(2024, 1, 1)
+    data = [(0 if i % 3 else rnd.choice([None, 1, 2]), t if i % 5 else rnd.choice([None, t + dt.timedelta(hours=i)]), i,
+             rnd.choice(["a", "b", None])) for i in range(4000)]
+    df = spark.createDataFrame(data, "k int, ts timestamp, id int, s string").repartition(4)
+    a = O.stitched(df, "k", ["ts", "id"], prev=["s"], nxt=["id"], seq="n", runs_of="s", granularity="range")
+    b = O.stitched(df, "k", ["ts", "id"], prev=["s"], nxt=["id"], seq="n", runs_of="s", granularity=None)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_range_cells_spread_one_instant(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(7, t, i) for i in range(4000)], "k int, ts timestamp, id int").repartition(4)
+    parts = df.repartitionByRange(4, "k", "ts", "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 2000
+    out = O.stitched(df, "k", ["ts", "id"], seq="n", granularity="range")
+    assert rows(out.where("n <> id + 1"), "id") == [] and out.count() == 4000
+    assert O.stitched(df.limit(0), "k", ["ts", "id"], seq="n", granularity="range").collect() == []

@@ -121,3 +121,32 @@ def test_labels_read_the_fact_once(spark, monkeypatch):
                 for k, v in old.items():
                     spark.conf.set(k, v)
             assert sum("FileScan" in line and "l_orderkey" in line for line in plan.split("\n")) == 1
+
+
+def test_distinct_counts_roll_up_without_the_rows(spark):
+    from quarry.operators.totals import distinct_per_day, roll_up_distinct
+    d = lambda m, x: dt.date(2024, m, x)
+    data = [(d(1, 1), 5, "a"), (d(1, 1), 5, "a"), (d(1, 2), 5, "a"), (d(1, 2), -5, "a"), (d(1, 3), 10 ** 12, "b"),
+            (d(2, 1), 5, "a"), (d(2, 1), 0, "a"), (d(2, 9), 40000, "a"), (None, 1, "a"), (d(2, 1), None, "a"), (d(2, 2), 3, None)]
+    df = spark.createDataFrame(data, "day date, user long, kind string")
+    days = distinct_per_day(df, "day", "user", "kind")
+    for grain in ("day", "month", "year"):
+        want = df.where("day is not null and user is not null").groupBy("kind", F.trunc("day", grain) if grain != "day" else F.col("day")) \
+            .agg(F.count_distinct("user").alias("n"))
+        got = roll_up_distinct(days, grain, "kind")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert rows(roll_up_distinct(distinct_per_day(df, "day", "user"), "year"), "n") == [(6,)]
+    assert roll_up_distinct(distinct_per_day(df.limit(0), "day", "user"), "month").collect() == []
+
+
+def test_pivot_of_values_found_in_the_data(spark):
+    from quarry.operators.share import found_values, pivot_found
+    df = spark.createDataFrame([(1, "x"), (1, "new one"), (1, None), (2, "x"), (2, "x")], "k int, item string")
+    got = pivot_found(df, "k", "item", total="n_all")
+    assert got.columns == ["k", "n_new_one", "n_x", "n_rest", "n_all"]
+    assert rows(got, "k", "n_new_one", "n_x", "n_rest", "n_all") == [(1, 1, 1, 1, 3), (2, 0, 2, 0, 2)]
+    with pytest.raises(ValueError, match="more than 1 values"):
+        found_values(df, "item", most=1)
+    with pytest.raises(ValueError, match="named n_new_one"):
+        pivot_found(df.unionByName(spark.createDataFrame([(1, "new-one")], "k int, item string")), "k", "item")
+    assert pivot_found(df.limit(0), "k", "item").columns == ["k", "n_rest"]
