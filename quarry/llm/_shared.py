@@ -3,6 +3,7 @@ stable row ids inside a group, and Arrow column access."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -46,6 +47,18 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete stored tables that nothing reads any more, and have the shuffle files of
+    finished jobs removed: Spark's cleaner removes them once the JVM has collected
+    the plans that made them, which without much allocation on the driver can take long."""
+    jvm = spark.sparkContext._jvm
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column without copying; nulls are
     empty.  ``offsets`` has one entry more than the column."""

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm._shared import list_array, shared_dir, slices, stored
+from quarry.llm._shared import dropped, list_array, shared_dir, slices, stored
 from quarry.llm._words import mix, shingle_sets
 from quarry.llm.graphs import components
 
@@ -336,8 +336,10 @@ class _Join:
             .join(needed, "sig", "left_semi").dropDuplicates(["sig"])
         left = sets.select(F.col("sig").alias("a"), F.col("items").alias("x"))
         right = sets.select(F.col("sig").alias("b"), F.col("items").alias("y"))
-        return stored(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-                      .mapInArrow(_linked(self.num, self.den), "a long, b long"), self.folder, f"{name}-links")
+        links = stored(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+                       .mapInArrow(_linked(self.num, self.den), "a long, b long"), self.folder, f"{name}-links")
+        self.done()
+        return links
 
     def relabel(self, links: DataFrame, name: str) -> DataFrame:
         """(sig, comp) of every class that has a link so far: components of the
@@ -415,13 +417,23 @@ class _Join:
     def run(self) -> DataFrame:
         """(sig, comp): components of all classes with a link."""
         labels = self.relabel(self.verified(self.centre_pairs(), "centres"), "one")
+        self.done("keys", "shared-keys", "centres-pairs", "centres-links")
         meetings = self.meetings()
+        self.done()
         best = stored(self.tile_pairs(meetings, labels, True), self.folder, "tile-pairs")
+        self.done("best-rows")
         labels = self.relabel(self.verified(_either_way(best), "best"), "two")
+        self.done("best-pairs", "best-links", "one-labels")
         again = best.where("more").select(F.col("a").alias("sig")).distinct()
         tokens = meetings.join(again, "sig", "left_semi").select("token").distinct()
         rest = self.tile_pairs(meetings.join(tokens, "token", "left_semi"), labels, False)
-        return self.relabel(self.verified(_either_way(rest), "rest"), "three")
+        label = self.relabel(self.verified(_either_way(rest), "rest"), "three")
+        self.done("rest-rows", "tile-pairs", "meetings", "rest-pairs", "rest-links", "two-labels")
+        return label
+
+    def done(self, *names: str) -> None:
+        """Tables that the next steps don't read go, with the shuffles of the last ones."""
+        dropped(self.spark, self.folder, *names)
 
     def classes(self) -> DataFrame:
         """(sig, comp, component_id): every class, its component and that
