@@ -15,8 +15,9 @@ start for the next valid member, or in plain archives for the next version line,
 goes on from there, and reports the bytes between as a quarantined gap with the
 reason.  Of a damaged member whose head still unpacks nothing is given out.
 
-Files are dealt to tasks one by one; a task holds one record at a time, and of a
-member at most ``MOST_BYTES`` unpacked.
+Files are dealt to tasks one by one; a task holds one record at a time (up to
+``MOST_BYTES``, more than a column can hold, so all that is written is read), and
+while it searches a few pieces of ``PIECE`` bytes.
 
 Null html is an empty payload, null urls and ids stay null.  Repeated rows are
 records of their own (those with the smallest id all are responses; rows
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,8 +42,11 @@ from quarry.llm._shared import shared_dir
 
 FILE_BYTES = 64 << 20
 PIECE = 1 << 20
-MOST_BYTES = 1 << 30
+MOST_BYTES = (1 << 31) + (1 << 20)      # a record: any payload that a column can hold, and its headers
 VERSION = b"WARC/1.1"
+VERSION_LINE = re.compile(rb"WARC/1\.\d")
+MARKS = (b"\x1f\x8b\x08", b"WARC/1.")  # how members and plain records start
+REPEATED = "warc-concurrent-to"         # the only field that a header block may hold twice
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -175,16 +180,18 @@ class Salvage:
             del self.data[:before - self.base]
             self.base = before
 
-    def find(self, what: bytes, at: int) -> int:
-        """File offset of the next ``what`` from ``at`` on, or -1."""
+    def find(self, what: bytes, at: int, most: int) -> int:
+        """File offset of the next ``what`` in the ``most`` bytes from ``at`` on, or -1."""
+        end = at + most
         while True:
-            spot = self.data.find(what, at - self.base)
+            spot = self.data.find(what, at - self.base, end - self.base)
             if spot >= 0:
                 return self.base + spot
-            if self.ended:
+            have = self.base + len(self.data)
+            if self.ended or have >= end:
                 return -1
-            at = max(at, self.base + len(self.data) - len(what) + 1)
-            self.fill(self.base + len(self.data) + PIECE)
+            at = max(at, have - len(what) + 1)
+            self.fill(min(end, have + PIECE))
 
     def unpack(self, at: int) -> tuple[bytes, int] | str:
         """The member at ``at`` and the offset after it, or what is wrong."""
@@ -210,8 +217,8 @@ class Salvage:
     def headers(head: bytes) -> dict[str, str] | None:
         """Fields of a header block (names in lower case), None if malformed."""
         lines = head.split(b"\r\n")
-        if not lines[0].startswith(b"WARC/1.") or b"WARC/1." in head[7:]:
-            return None                 # also where a cut-off head runs into the next record
+        if not VERSION_LINE.fullmatch(lines[0]):
+            return None
         found: dict[str, str] = {}
         last = None
         for line in lines[1:]:
@@ -219,9 +226,10 @@ class Salvage:
                 found[last] += " " + line.strip().decode("utf-8", "replace")
                 continue
             name, colon, value = line.partition(b":")
-            if not colon:
-                return None
             last = name.strip().lower().decode("ascii", "replace")
+            # a cut-off head that runs into the next record has its version line or its fields again
+            if not colon or line.startswith(b"WARC/1.") or (last in found and last != REPEATED):
+                return None
             found[last] = value.strip().decode("utf-8", "replace")
         return found
 
@@ -258,8 +266,8 @@ class Salvage:
 
     def plain(self, at: int):
         """The uncompressed record at ``at``."""
-        end = self.find(b"\r\n\r\n", at)
-        if end < 0 or end - at > PIECE:
+        end = self.find(b"\r\n\r\n", at, PIECE)
+        if end < 0:
             return "header block does not end"
         head = self.headers(bytes(self.data[at - self.base:end - self.base]))
 
@@ -285,8 +293,15 @@ class Salvage:
 
     def next_start(self, at: int) -> int:
         """Where a member or a version line may start next, or -1."""
-        spots = [s for s in (self.find(b"\x1f\x8b\x08", at), self.find(b"WARC/1.", at)) if s >= 0]
-        return min(spots, default=-1)
+        while True:
+            spots = [s for s in (self.data.find(mark, at - self.base) for mark in MARKS) if s >= 0]
+            if spots:
+                return self.base + min(spots)
+            if self.ended:
+                return -1
+            at = max(at, self.base + len(self.data) - max(map(len, MARKS)) + 1)
+            self.forget(at)                 # what was searched is not needed again
+            self.fill(self.base + len(self.data) + PIECE)
 
     def records(self) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
         at = 0

@@ -69,6 +69,43 @@ def test_limits():
     assert len(list(found.records())) == 2 and found.gaps[0][2] == "member too large"
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_version_text_in_a_header_value(packed):
+    """Only a header line that starts with the version is a sign of a cut-off head."""
+    urls = ["http://a/doc?f=WARC/1.0.txt", "WARC/1.1", "http://b/ WARC/1.", "x"]
+    parts = [warc.page_record(i, u, b"payload", "D", None) for i, u in enumerate(urls)]
+    names, gaps = read(b"".join(warc.member(p) if packed else p for p in parts))
+    assert names == [f"urn:page:{i}" for i in range(4)] and not gaps
+
+
+def test_cut_off_heads_do_not_swallow_the_next_record():
+    parts = archive(False, 3)
+    head = parts[1].find(b"\r\n\r\n")
+    for cut in range(1, head + 4):
+        names, gaps = read(parts[0] + parts[1][:cut] + parts[2])
+        assert names == ["urn:page:0", "urn:page:2"] and len(gaps) == 1
+
+
+def test_search_after_damage_holds_a_few_pieces():
+    """A damaged member, 24 MB of other bytes and a valid rest: the buffer stays small."""
+    class Watched(warc.Salvage):
+        most_held = 0
+
+        def fill(self, upto):
+            got = super().fill(upto)
+            self.most_held = max(self.most_held, len(self.data))
+            return got
+    parts = archive(True, 4)
+    bad = bytearray(parts[1])
+    bad[len(bad) // 2] ^= 0xFF
+    noise = bytes(range(1, 30)) * (24 << 20 >> 5)
+    source = io.BytesIO(parts[0] + bytes(bad) + noise + parts[2] + parts[3])
+    found = Watched(source.read)
+    assert [h["warc-record-id"] for _, _, h, _ in found.records()] == [f"<urn:page:{i}>" for i in (0, 2, 3)]
+    assert found.gaps == [(len(parts[0]), len(bad) + len(noise), found.gaps[0][2])]
+    assert found.most_held < 4 * warc.PIECE
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, id string, payload string")
 
@@ -77,7 +114,7 @@ def test_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "FILE_BYTES", 400)
     rows = [(5, "http://a", "<p>one</p>"), (3, "http://b", "<p>one</p>"), (9, None, "<p>one</p>"), (4, "http://c", None),
             (8, "http://d\r\nX: y", ""), (7, "u", "é日" * 50_000), (None, "n", "<p>one</p>"), (2, "v", "two"), (2, "v", "two"),
-            (1, "w", "WARC/1.1\r\n\r\n\x1f")]
+            (1, "w", "WARC/1.1\r\n\r\n\x1f"), (6, "http://a/doc?f=WARC/1.0.txt", "six")]
     folder = warc.write_pages(pages(spark, rows), f"file://{tmp_path}/out")
     got = {tuple(r) for r in warc.read_pages(spark, folder).collect()}
     want = set()
