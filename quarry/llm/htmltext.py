@@ -10,7 +10,7 @@ notices, adverts or reader comments (by tag, role, class or id) and blocks of
 mostly links are bad.  Of the rest, long blocks with many stop words are good,
 those with some are near good, those with hardly any are bad, and blocks too
 short to tell are short.  On a page whose language the stop words don't know
-(none of its longer blocks has any) length alone decides.
+(by length, under ``FOREIGN`` of the words of its longer blocks) length alone decides.
 
 *Second pass.*  Short blocks take the label their nearest decided neighbours on
 both sides agree on; where they disagree, good if a near-good block lies
@@ -26,7 +26,9 @@ is dropped or cut.
 
 Null, empty or markup-free html: treated as one block of text (empty: empty
 string).  Broken markup (unclosed tags, stray ``<``, cut-off pages) is read as
-far as it goes.  Rows pass one by one; repeated rows give equal texts.
+far as it goes.  Rows pass one by one; repeated rows give equal texts.  Very long
+pages are whole: a task holds about ``_shared.SLICE`` bytes of pages, or one page.  An
+empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,9 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm._shared import slices
+
 LENGTH_LOW, LENGTH_HIGH = 40, 160       # characters
 STOP_LOW, STOP_HIGH = 0.12, 0.22        # share of words that are stop words
 MAX_LINKS = 0.4                         # share of characters inside links
+FOREIGN = 0.06                          # share of stop words in long blocks below which the language isn't listed
 HEADING_REACH = 400
 
 # Frequent function words, by language.
@@ -83,6 +88,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|
                     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|$)", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_HREF = re.compile(r"\bhref\b", re.I)
 _SPACES = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 
@@ -122,7 +128,8 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with their texts."""
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []     # open elements: tag, outside?, article number
-    links, articles = 0, 0
+    link, articles = -1, 0                      # open elements when a link began (-1: none is open)
+    unclosed: set[str] = set()                  # skipped elements that have no end tag further on
     block = Block("", False, 0)
 
     def close_block():
@@ -141,7 +148,7 @@ def blocks_of(page: str) -> list[Block]:
         text = page[at:m.start()] if m else page[at:]
         if text:
             block.parts.append(text)
-            if links:
+            if link >= 0:
                 block.linked += len(text.strip())
         if not m:
             break
@@ -154,7 +161,9 @@ def blocks_of(page: str) -> list[Block]:
         closing, tag, attributes = m.group(1), m.group(2).lower(), m.group(3)
         if tag in SKIPPED:
             if not closing and tag != "embed" and not attributes.endswith("/"):
-                stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                stop = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                if not stop:
+                    unclosed.add(tag)
                 if stop:
                     at = stop.end()
                 elif tag == "head":
@@ -164,7 +173,7 @@ def blocks_of(page: str) -> list[Block]:
                     at = end
             continue
         if tag == "a":
-            links = 0 if closing else 1
+            link = len(stack) if not closing and _HREF.search(attributes) else -1
             continue
         if tag in ("br", "hr"):
             block.parts.append(" ")
@@ -176,7 +185,8 @@ def blocks_of(page: str) -> list[Block]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
             if depth >= 0:
                 del stack[depth:]
-            links = 0
+            if len(stack) < link:               # a link that was never closed ends with the element around it
+                link = -1
             close_block()
         elif tag not in VOID:
             while stack and tag in IMPLIED_END.get(stack[-1][0], ()):
@@ -186,8 +196,9 @@ def blocks_of(page: str) -> list[Block]:
             if tag in ("article", "main") and not outside:
                 articles += not inside
                 inside = inside or articles
+            if len(stack) < link:
+                link = -1
             stack.append((tag, outside, inside))
-            links = 0
             close_block()
         else:
             close_block()
@@ -200,8 +211,10 @@ def _first_pass(blocks: list[Block]) -> None:
     for b in blocks:
         words = _WORD.findall(b.text.lower())
         density.append(sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0)
-    long_ones = [d for b, d in zip(blocks, density, strict=True) if len(b.text) >= LENGTH_LOW and not b.outside]
-    foreign = bool(long_ones) and max(long_ones) == 0
+    # by length, so that a word or a line that looks like a listed language doesn't make the page one of it
+    long_ones = [(len(b.text), d) for b, d in zip(blocks, density, strict=True)
+                 if len(b.text) >= LENGTH_LOW and not b.outside and b.linked <= MAX_LINKS * len(b.text)]
+    foreign = bool(long_ones) and sum(n * d for n, d in long_ones) < FOREIGN * sum(n for n, _ in long_ones)
     for b, stops in zip(blocks, density, strict=True):
         size = len(b.text)
         if b.outside or b.linked > MAX_LINKS * size:
@@ -284,7 +297,7 @@ def main_text(page: str | None) -> str:
 
 
 def _extracted(batches):
-    for batch in batches:
+    for batch in slices(batches, 2):
         texts = [main_text(p) for p in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -294,5 +307,5 @@ def _extracted(batches):
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        F.col(html_col).alias("html")) \
+                        F.col(html_col).cast("string").alias("html")) \
         .mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from corpus_texts import prose
@@ -76,6 +78,29 @@ def test_other_languages_go_by_length():
     assert main_text(f"<nav><a href=x>zzz</a></nav><p>{words}</p>") == words
 
 
+def test_a_few_listed_words_do_not_make_a_page_known():
+    """Paragraphs of another language in which one listed word turns up."""
+    words = prose(3, 60).split()
+    parts = [" ".join(f"zz{w}" for w in words[i:] + words[:i]) for i in (0, 7, 20)]
+    parts[1] += " sie to a"
+    assert main_text("<nav><a href=x>zzz</a></nav>" + "".join(f"<p>{p}</p>" for p in parts)) == " ".join(parts)
+
+
+def test_links_around_blocks():
+    card = f'<a href="/more"><div><h3>Read on about the house</h3><p>{BODY}</p></div></a>'
+    assert main_text(f"<article><p>{BODY}</p></article><div>{card}</div>") == BODY.strip()
+    assert main_text(f"<div><p>{BODY}</p></div><div>{card}</div>") == BODY.strip()
+    # anchors without a target are no links, and an open link ends with the element around it
+    assert main_text(f'<a name="top"><p>{BODY}</p><p>{BODY}</p>') == f"{BODY.strip()} {BODY.strip()}"
+    assert main_text(f'<div><p><a href="/x">Home</p></div><p>{BODY}</p>') == BODY.strip()
+
+
+def test_many_unclosed_elements_take_linear_time():
+    begin = time.process_time()
+    assert main_text("<svg>" * 20_000 + f"<p>{BODY}</p>") == BODY.strip()
+    assert time.process_time() - begin < 2
+
+
 def test_rows(spark):
     rows = [(1, "u", None, "k"), (2, None, f"<p>{BODY}</p>", "k"), (2, None, f"<p>{BODY}</p>", "k"), (None, "v", "x", "k")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
@@ -83,3 +108,10 @@ def test_rows(spark):
     one = BODY.strip()
     assert got == sorted([(1, "u", "", 0), (2, None, one, len(one)), (2, None, one, len(one)), (None, "v", "x", 1)], key=str)
     assert htmltext.extract(table.limit(0)).count() == 0
+
+
+def test_a_batch_of_very_long_pages(spark):
+    """Pages of a megabyte each, in one batch: whole texts."""
+    pages = [(i, "u", f"<article>{f'<p>{BODY}</p>' * 4500}</article>") for i in range(8)]
+    got = htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)).collect()
+    assert [r["n_chars"] for r in sorted(got)] == [4500 * (len(BODY.strip()) + 1) - 1] * 8
