@@ -104,7 +104,11 @@ def lines_ids(spark, d):
 
 
 def deliveries(spark, d):
-    r = runner_orders(Tables(spark, d))
+    return cleaned(runner_orders(Tables(spark, d)))
+
+
+def cleaned(r):
+    """Deliveries with typed times, distances and durations."""
     return r.select("order_id", "runner_id",
                     # wall-clock time like every other timestamp column here
                     F.try_to_timestamp(null_if_sentinel("pickup_time")).cast("timestamp_ntz")

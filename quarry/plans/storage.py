@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators.lists import append_all_items_row
-from quarry.plans.delivery import RATING_SQL, W, deliveries, delivered, rating_col
+from quarry.plans.delivery import RATING_SQL, W, cleaned, deliveries, delivered, rating_col
 from quarry.plans.registry import register
-from quarry.plans.standins import SUBS_SQL, pizza_recipes, pizza_toppings, subscriptions
+from quarry.plans.standins import SUBS_SQL, pizza_recipes, pizza_toppings, runner_orders, subscriptions
 from quarry.sources.dumps import BAD, read_dump, write_dump
 from quarry.sources.io import Tables, read_csv, write_csv
+from quarry.sources.layout import write_bucketed
 from quarry.sources.shared import shared_folder
 from quarry.sources.tables import Table
 
@@ -70,3 +71,19 @@ def recipes_replaced(spark, d):
     table.replace(pizza_recipes(t))
     table.replace(append_all_items_row(table.read(), pizza_toppings(t), "pizza_id", "toppings", "topping_id"))
     return table.read()
+
+
+def by_order(spark, d, buckets: int = 16) -> Tables:
+    """The driver tables with both facts stored by order key."""
+    t, folder = Tables(spark, d), shared_folder(spark, "by-order")
+    t.lineitem = write_bucketed(t.lineitem, f"{folder}/lineitem", "l_orderkey", buckets)
+    t.orders = write_bucketed(t.orders, f"{folder}/orders", "o_orderkey", buckets)
+    return t
+
+
+@register("deliveries_by_order_bucket", W("""
+SELECT order_id, runner_id, pickup_time, CAST(distance_km AS DOUBLE) AS distance_km, duration_min, cancellation
+FROM deliveries"""))
+def deliveries_by_order_bucket(spark, d):
+    """Lines grouped by order and joined with orders, bucket by bucket: nothing moves."""
+    return cleaned(runner_orders(by_order(spark, d))).withColumn("distance_km", F.col("distance_km").cast("double"))
