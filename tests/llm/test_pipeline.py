@@ -56,7 +56,7 @@ def test_registration():
     assert names == ["language_id", "line_dedup", "ngram_join", "mixing", "sentencepiece"]
     found = __spark_entry__.queries()
     ops = [q for q in found if re.fullmatch(r"op\d+_\w+", q)]
-    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 11)) and "pipeline" in found
+    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 14)) and "pipeline" in found
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert langid.UNKNOWN == "und"
 
@@ -67,7 +67,10 @@ def test_registration():
     ("op5_main_text", "page_id url text n_chars"), ("op6_nearest", "query_id rank vec_id score"),
     ("op7_line_dedup", "doc_id text n_lines n_dropped"),
     ("op8_mix_sources", "doc_id size source_size target taken"),
-    ("op9_sentencepiece", "doc_id n_tokens ids_sha256 decoded_sha256"), ("op10_ngram_join", "doc_id n_shingles component_id")])
+    ("op9_sentencepiece", "doc_id n_tokens ids_sha256 decoded_sha256"), ("op10_ngram_join", "doc_id n_shingles component_id"),
+    ("op11_near_vectors", "vec_id n_links component_id kept"),
+    ("op12_whitening", "vec_id component n deviation whitened explained identity_error"),
+    ("op13_spelling_variants", "word form root n n_near form_n")])
 def test_queries_return_their_columns(spark, sf_dir, name, columns):
     df = queries.QUERIES[name](spark, sf_dir)
     assert df.columns[:len(columns.split())] == columns.split()
