@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.clean import AGE_BANDS, DEMOGRAPHIC_BANDS
 from quarry.sources.io import Tables
+from quarry.sources.layout import dealt_by_key
 
 
 def money(c) -> F.Column:
@@ -30,8 +31,10 @@ def weekly_sales(t: Tables, ship_from=None, ship_to=None, transactions: bool = T
     when the caller only needs a date window.  ``transactions=False`` leaves
     out the distinct-order count and with it the per-order stage (one
     aggregation instead of two) for analyses that only need sales."""
-    li = t.lineitem.select("l_orderkey", "l_shipdate", "l_linestatus",
-                           "l_extendedprice", "l_discount")
+    li = t.lineitem
+    if transactions:        # the per-order stage groups by almost every line
+        li = dealt_by_key(li, "l_orderkey")
+    li = li.select("l_orderkey", "l_shipdate", "l_linestatus", "l_extendedprice", "l_discount")
     # date literals are coerced to the column's timestamp type on the literal
     # side, so the comparison stays a plain column predicate that parquet can
     # push down (a cast on the column would not be)

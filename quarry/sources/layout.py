@@ -37,3 +37,22 @@ def open_bucketed(spark: SparkSession, path: str, schema: str, key: str, buckets
     spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
               f"INTO {int(buckets)} BUCKETS LOCATION '{path}'")
     return spark.table(name)
+
+
+# Fixed value: rows of a fact that one task joins and groups by their key.
+TASK_ROWS = 250_000
+
+
+def dealt_by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` over as many tasks as its rows need, so that the sorts and
+    hash tables of the joins and groupings on ``key`` after it stay the same size
+    whatever the input's.  Adaptive execution sizes tasks by compressed bytes, of
+    which a few columns hold millions of rows.  Counting reads the files' footers
+    only.  A table with no more than two such portions a core stays as it is; no fewer
+    partitions than the session's are made, or the other side of a join would set
+    their number."""
+    spark = df.sparkSession
+    n = -(-df.count() // TASK_ROWS)
+    if n <= 2 * spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
