@@ -289,7 +289,8 @@ def pizza_lines(t: Tables) -> DataFrame:
     """customer_orders (dirty): one line per lineitem; the item is the part,
     its type is the item name; exclusions / extras are comma lists of topping
     ids written with the usual junk ('', 'null', 'NaN')."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    li = dealt_by_key(t.lineitem, "l_orderkey") \
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     p = t.part.select("p_partkey", "p_type", "p_size")
     x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))

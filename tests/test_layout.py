@@ -64,7 +64,7 @@ def _facts(spark, at):
 
 
 @pytest.mark.parametrize("name", ["clean_weekly", "totals_by_year", "totals_by_platform", "totals_by_region_month",
-                                  "avg_transaction_by_year_platform", "avg_transaction_rounded"])
+                                  "avg_transaction_by_year_platform", "avg_transaction_rounded", "ingredient_totals"])
 def test_tasks_by_order_hold_a_bounded_number_of_lines(spark, plain, tmp_path, monkeypatch, name):
     """Partitions grow with the lines, and the results stay."""
     from quarry.plans.registry import all_queries
