@@ -22,9 +22,10 @@ Classes already connected need no comparison.  A first round compares each
 class only with one centre per min-hash key, the class whose own keys are shared
 most; this joins large groups of near copies without comparing all their pairs.
 Tiles whose classes all lie in one component are then left out.  In the others
-the best bound of each class and foreign component is tested; where a class had
-more than one candidate in a component, its tiles are gone through again with
-the components joined so far, and every pair left is tested.  No link between
+each class tests the foreign class of its best bound only, so a tile gives no more
+pairs than it has rows; where a class had more candidates, its tiles are gone
+through again with the components joined so far, ``ROUNDS`` times at most and as
+long as links are found.  Then every pair left is tested.  No link between
 components is lost: every pair of different components in a tile is linked,
 refused by its bound or refused exactly.
 
@@ -49,6 +50,7 @@ NUM, DEN = 75, 100
 KEYS = 8                    # min-hash keys of the first round
 FREQUENT = 1 << 18          # shingles at most that come last in the order (2 MB)
 FREQUENT_DF = 64            # and in how many documents at least
+ROUNDS = 2                  # times that classes test their best bound before all pairs left are tested
 TILE = 1000                 # rows of a block of a large tile
 MIN_BITS, MAX_BITS = 64, 1 << 17
 _KEY = np.random.Generator(np.random.PCG64(7)).integers(1, 2**62, KEYS, dtype=np.uint64) \
@@ -188,23 +190,23 @@ def _meetings(batches):
 
 
 def _best(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """Of (row, partner, component of the partner, bound, candidates): the
-    highest bound of each row and component, and the sum of the candidates."""
-    row, partner, comp, bound, number = rows
-    order = np.lexsort((partner, -bound, comp, row))
-    row, partner, comp, bound, number = row[order], partner[order], comp[order], bound[order], number[order]
+    """Of (row, partner, bound, candidates): the highest bound of each row, and
+    the sum of the candidates."""
+    row, partner, bound, number = rows
+    order = np.lexsort((partner, -bound, row))
+    row, partner, bound, number = row[order], partner[order], bound[order], number[order]
     first = np.ones(len(row), bool)
-    first[1:] = (row[1:] != row[:-1]) | (comp[1:] != comp[:-1])
+    first[1:] = row[1:] != row[:-1]
     places = np.flatnonzero(first)
-    return [row[first], partner[first], comp[first], bound[first], np.add.reduceat(number, places)]
+    return [row[first], partner[first], bound[first], np.add.reduceat(number, places)]
 
 
 def _tile_pairs(num, den, only_best: bool):
     """Pairs with a high enough bound in tiles: rows (tile, side, sig, comp, n,
     bits) sorted by tile and n.  ``side`` 0: compared with all others of the
     tile; 1 and 2: with the other side only.  Compares at growing distance in
-    the sorted rows, all tiles of a batch at once.  ``only_best``: of each class
-    and foreign component in a tile just the pair of the highest bound; ``more``
+    the sorted rows, all tiles of a batch at once.  ``only_best``: of each class in
+    a tile just the pair of the highest bound with a foreign component; ``more``
     says whether the class ``a`` had other candidates there."""
     def batch_of(sig, i, j, more):
         return pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j]), pa.array(more)], ["a", "b", "more"])
@@ -213,7 +215,7 @@ def _tile_pairs(num, den, only_best: bool):
         tile, side, sig, comp, n = (rows.column(i).to_numpy() for i in range(5))
         bits = rows.column(5).to_pylist()
         alive = np.arange(len(tile))
-        held = [np.zeros(0, np.int64) for _ in range(5)]
+        held = [np.zeros(0, np.int64) for _ in range(4)]
         gap = 0
         while len(alive):
             gap += 1
@@ -232,14 +234,14 @@ def _tile_pairs(num, den, only_best: bool):
             if not only_best:
                 yield batch_of(sig, i, j, np.zeros(len(i), bool))
                 continue
-            more = (np.concatenate([i, j]), np.concatenate([j, i]),
-                    np.concatenate([comp[j], comp[i]]), np.concatenate([bound, bound]), np.ones(2 * len(i), np.int64))
+            more = (np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([bound, bound]),
+                    np.ones(2 * len(i), np.int64))
             held = [np.concatenate(x) for x in zip(held, more, strict=True)]
             if len(held[0]) > 1 << 18:
                 held = _best(held)
         if len(held[0]):
             held = _best(held)
-            yield batch_of(sig, held[0], held[1], held[4] > 1)
+            yield batch_of(sig, held[0], held[1], held[3] > 1)
 
     def run(batches):
         held = None
@@ -420,15 +422,27 @@ class _Join:
         self.done("keys", "shared-keys", "centres-pairs", "centres-links")
         meetings = self.meetings()
         self.done()
-        best = stored(self.tile_pairs(meetings, labels, True), self.folder, "tile-pairs")
-        self.done("best-rows")
-        labels = self.relabel(self.verified(_either_way(best), "best"), "two")
-        self.done("best-pairs", "best-links", "one-labels")
-        again = best.where("more").select(F.col("a").alias("sig")).distinct()
-        tokens = meetings.join(again, "sig", "left_semi").select("token").distinct()
-        rest = self.tile_pairs(meetings.join(tokens, "token", "left_semi"), labels, False)
-        label = self.relabel(self.verified(_either_way(rest), "rest"), "three")
-        self.done("rest-rows", "tile-pairs", "meetings", "rest-pairs", "rest-links", "two-labels")
+        last = "meetings"
+        for turn in range(ROUNDS):
+            name = f"best{turn}"
+            best = stored(self.tile_pairs(meetings, labels, True), self.folder, f"{name}-tiles")
+            self.done("best-rows")
+            links = self.verified(_either_way(best), name)
+            labels = self.relabel(links, name)
+            again = best.where("more").select(F.col("a").alias("sig")).distinct()
+            tokens = meetings.join(again, "sig", "left_semi").select("token").distinct()
+            meetings = stored(meetings.join(tokens, "token", "left_semi"), self.folder, f"{name}-meetings")
+            found, left = not links.isEmpty(), not meetings.isEmpty()
+            self.done(last, f"{name}-tiles", f"{name}-pairs", f"{name}-links", f"best{turn - 1}-labels" if turn else "one-labels")
+            last = f"{name}-meetings"
+            if not (found and left):
+                break
+        label = labels
+        if left:
+            rest = self.tile_pairs(meetings, labels, False)
+            label = self.relabel(self.verified(_either_way(rest), "rest"), "three")
+            self.done("rest-rows", "rest-pairs", "rest-links", f"{name}-labels")
+        self.done(last)
         return label
 
     def done(self, *names: str) -> None:

@@ -93,3 +93,21 @@ def test_prefixes_of_linked_sets_meet():
         if len(b) and 100 * both >= 75 * (len(a) + len(b) - both):
             pa, pb = a[:ngramjoin.prefix_length(len(a))], b[:ngramjoin.prefix_length(len(b))]
             assert len(np.intersect1d(pa, pb))
+
+
+def test_a_tile_gives_no_more_pairs_than_rows():
+    """A group of near copies that are not joined yet: a pair a class, not all pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(-2**62, 2**62, 100)
+    sets = [np.sort(np.append(base[:95], rng.integers(-2**62, 2**62, 5))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7] * 60, pa.int64()), pa.array([0] * 60, pa.int32()), pa.array(range(60), pa.int64()),
+         pa.array(range(60), pa.int64()), pa.array([100] * 60, pa.int64()),
+         pa.array([ngramjoin._bitmap(s) for s in sets], pa.binary())], ["tile", "side", "sig", "comp", "n", "bits"])
+    best = [r for b in ngramjoin._tile_pairs(75, 100, True)([batch]) for r in b.to_pylist()]
+    assert sorted(r["a"] for r in best) == list(range(60)) and all(r["more"] for r in best)
+    every = [r for b in ngramjoin._tile_pairs(75, 100, False)([batch]) for r in b.to_pylist()]
+    assert len(every) == 60 * 59 // 2
