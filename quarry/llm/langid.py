@@ -32,11 +32,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm._shared import slices
+
 SYMBOLS = 40_000
 TOTAL = 400_000
 ROWS = 400
 PIECE = 1024
-GROUP = 4_000_000           # characters parsed together
+GROUP = 1_000_000           # characters parsed together
 UNKNOWN = "und"
 
 
@@ -119,7 +121,8 @@ class Parser:
         for _, text in samples:
             flat, _ = self.symbols([text])
             table = suffix_automaton(flat.tolist(), self.width)
-            tables.append(np.where(table > 0, table + base, 0))
+            table[table > 0] += base
+            tables.append(table)
             self.roots.append(base)
             base += len(table)
         # row 0 of the first language is never a target, so 0 stays "none"
@@ -184,16 +187,22 @@ class Parser:
         return names, scores
 
 
-@lru_cache(maxsize=2)
+_parsers: dict[tuple[tuple[str, str], ...], Parser] = {}
+
+
 def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    """The parser of this worker process."""
-    return Parser(samples)
+    """The parser of this worker process.  That of other samples goes before a new
+    one is built, so a worker never holds two."""
+    if samples not in _parsers:
+        _parsers.clear()
+        _parsers[samples] = Parser(samples)
+    return _parsers[samples]
 
 
 def _identified(samples, text_at: int, names: tuple[str, str]):
     def run(batches):
         own = parser(samples)
-        for batch in batches:
+        for batch in slices(batches, text_at):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             langs, scores, at, size = [], [], 0, 0
             for i, text in enumerate(texts):

@@ -30,6 +30,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm._shared import slices
+
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as native 32-bit integers, which have to be little-endian")
 
@@ -65,9 +67,11 @@ class Codec:
             return text.split(" ")
         return _RUN.findall(" " + text)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Segment the chunks that the table does not hold."""
-        new = sorted(c for c in chunks if c not in self.ids)
+    def learn(self, chunks: set[str], decoded: bool = True) -> None:
+        """Segment the chunks that the table does not hold; ``decoded``: and keep
+        what their ids decode to."""
+        known = self.texts if decoded else self.ids
+        new = sorted(c for c in chunks if c not in known)
         if len(self.ids) > TABLE:
             self.ids, self.texts, new = {}, {}, sorted(chunks)
         lone = self.model.piece_to_id(MARK)
@@ -76,7 +80,8 @@ class Codec:
         if not new:
             return
         self.ids.update(zip(new, (array("I", ids).tobytes() for ids in found), strict=True))
-        self.texts.update(zip(new, self.model.decode(found, num_threads=1), strict=True))
+        if decoded:
+            self.texts.update(zip(new, self.model.decode(found, num_threads=1), strict=True))
 
     def encode(self, chunks: list[str]) -> bytes:
         """All ids with begin and end, as little-endian unsigned 32-bit integers."""
@@ -111,13 +116,13 @@ def _groups(texts: list[str]):
 def _encoded(model_file: str, text_at: int, ids_out: bool):
     def run(batches):
         own = codec(model_file)
-        for batch in batches:
+        for batch in slices(batches, text_at):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             others = [batch.column(i) for i in range(batch.num_columns) if i != text_at]
             names = [batch.schema.names[i] for i in range(batch.num_columns) if i != text_at]
             for lo, hi in _groups(texts):
                 parts = [own.chunks(t) for t in texts[lo:hi]]
-                own.learn({c for p in parts for c in p})
+                own.learn({c for p in parts for c in p}, decoded=not ids_out)
                 ids = [own.encode(p) for p in parts]
                 count = pa.array([len(b) // 4 for b in ids], pa.int64())
                 kept = [o.slice(lo, hi - lo) for o in others]

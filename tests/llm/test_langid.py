@@ -90,3 +90,36 @@ def test_fold_is_crc32_of_the_id(spark):
     got = spark.range(50).select("id", langid.kept_out("id").alias("x"), langid.kept_out("id", 5, 0).alias("y")).collect()
     assert all(r["x"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in got)
     assert all(r["y"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+def test_worker_holds_one_parser():
+    import gc
+
+    one, two = (("a", "some text of one"),), (("a", "and of another"),)
+    langid.parser(one)
+    assert langid.parser(two) is langid.parser(two)
+    gc.collect()
+    held = [x for x in gc.get_objects() if isinstance(x, langid.Parser)]
+    assert len(held) == 1 and held[0] is langid.parser(two)
+
+
+def test_working_memory_is_of_a_slice_not_of_a_batch():
+    """Twelve times the text in one batch takes hardly more memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    line = "the quick brown fox jumps over the lazy dog and runs along the river bank " * 14
+    samples = (("en", line), ("xx", "lorem ipsum dolor sit amet"))
+    langid.parser(samples)
+
+    def peak(rows: int) -> int:
+        batch = pa.RecordBatch.from_arrays([pa.array([f"{i} {line}" for i in range(rows)])], ["text"])
+        tracemalloc.start()
+        n = sum(b.num_rows for b in langid._identified(samples, 0, ("lang", "score"))([batch]))
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == rows
+        return top
+    peak(10)
+    assert peak(24_000) < 2 * peak(2_000)

@@ -65,3 +65,10 @@ def test_rows(docs):
 @pytest.mark.parametrize("text", [" ", "  ", " a", "a ", "a  b", "▁", "\n"])
 def test_lone_markers(text):
     check(pieces.Codec(MODEL), text)
+
+
+def test_encoding_alone_keeps_no_decoded_texts():
+    codec = pieces.Codec(MODEL)
+    codec.learn({"the", "river"}, decoded=False)
+    assert set(codec.ids) == {"the", "river"} and not codec.texts
+    check(codec, "the river bank")
