@@ -42,14 +42,19 @@ def weekly_sales(t: Tables, ship_from=None, ship_to=None, transactions: bool = T
         li = li.where(F.col("l_shipdate") >= F.to_date(F.lit(ship_from)))
     if ship_to is not None:
         li = li.where(F.col("l_shipdate") < F.to_date(F.lit(ship_to)))
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = t.orders
+    if transactions:
+        o = dealt_by_key(o, "o_custkey")
+    o = o.select("o_orderkey", "o_custkey", "o_orderstatus")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = (F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
            .join(F.broadcast(t.region.select("r_regionkey", "r_name")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    # the orders meet their customers first: the lines then stay dealt by order
+    # for the per-order stage and move only once
+    o = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    x = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     # net price in exact 1/10000 units: cents x percent, both integral, so the
     # sums stay on 64-bit integers instead of wide decimals
     e4 = (F.round(F.col("l_extendedprice") * 100).cast("bigint")

@@ -78,3 +78,16 @@ def test_tasks_by_order_hold_a_bounded_number_of_lines(spark, plain, tmp_path, m
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x and "l_orderkey" in x and ", 30)" in x], plan
     assert want and rows(df, *df.columns) == want
+
+
+@pytest.mark.parametrize("name", ["clean_weekly", "totals_by_platform", "totals_by_region_month", "avg_transaction_rounded"])
+def test_lines_move_once_by_order(spark, plain, tmp_path, monkeypatch, name):
+    """Also where customers are too many to broadcast, lines stay dealt by order up to the per-order grouping."""
+    from quarry.plans.registry import all_queries
+    from quarry.sources import layout
+    at = _facts(spark, tmp_path)
+    monkeypatch.setattr(layout, "TASK_ROWS", 5)
+    plan = all_queries()[name](spark, at)._jdf.queryExecution().executedPlan().toString()
+    moves = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len([x for x in moves if "l_orderkey" in x]) == 1, plan
+    assert [x for x in moves if "o_custkey" in x and "REPARTITION_BY_NUM" in x], plan
