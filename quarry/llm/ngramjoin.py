@@ -51,6 +51,7 @@ KEYS = 8                    # min-hash keys of the first round
 FREQUENT = 1 << 18          # shingles at most that come last in the order (2 MB)
 FREQUENT_DF = 64            # and in how many documents at least
 ROUNDS = 2                  # times that classes test their best bound before all pairs left are tested
+EARLIER = 4                 # tokens before a tile's by which a pair is known to meet in an earlier tile
 TILE = 1000                 # rows of a block of a large tile
 MIN_BITS, MAX_BITS = 64, 1 << 17
 _KEY = np.random.Generator(np.random.PCG64(7)).integers(1, 2**62, KEYS, dtype=np.uint64) \
@@ -82,25 +83,41 @@ def _fold(block: np.ndarray, width: int) -> np.ndarray:
     return block
 
 
-def overlap_bounds(sizes_a, maps_a, sizes_b, maps_b) -> np.ndarray:
-    """Upper bounds of the overlaps of pairs of sets, from sizes and bitmaps."""
-    sizes_a, sizes_b = np.asarray(sizes_a, np.int64), np.asarray(sizes_b, np.int64)
-    wide_a = np.array([len(m) // 8 for m in maps_a], np.int64)
-    wide_b = np.array([len(m) // 8 for m in maps_b], np.int64)
+def _packed(maps: list[bytes]):
+    """Bitmaps by width: words of each one, its row in the array of its width, the arrays."""
+    wide = np.array([len(m) // 8 for m in maps], np.int64)
+    place, arrays = np.zeros(len(maps), np.int64), {}
+    for w in np.unique(wide).tolist():
+        rows = np.flatnonzero(wide == w)
+        place[rows] = np.arange(len(rows))
+        arrays[w] = np.frombuffer(b"".join([maps[r] for r in rows.tolist()]), np.uint64).reshape(len(rows), w)
+    return wide, place, arrays
+
+
+def _bounds(sizes_a, packed_a, i, sizes_b, packed_b, j) -> np.ndarray:
+    """Upper bounds of the overlaps of the sets ``i`` with the sets ``j``."""
+    (wide_a, place_a, arrays_a), (wide_b, place_b, arrays_b) = packed_a, packed_b
+    sizes_a, sizes_b = sizes_a[i], sizes_b[j]
     out = np.minimum(sizes_a, sizes_b)
-    for wa, wb in set(zip(wide_a.tolist(), wide_b.tolist(), strict=True)):
-        rows = np.flatnonzero((wide_a == wa) & (wide_b == wb))
+    both = wide_a[i] << 32 | wide_b[j]
+    for code in np.unique(both).tolist():
+        wa, wb = code >> 32, code & 0xFFFFFFFF
+        rows, w = np.flatnonzero(both == code), min(wa, wb)
         step = max(1, (1 << 20) // max(wa, wb))
         for at in range(0, len(rows), step):
             part = rows[at:at + step]
-            x = np.frombuffer(b"".join(maps_a[i] for i in part), np.uint64).reshape(len(part), wa)
-            y = np.frombuffer(b"".join(maps_b[i] for i in part), np.uint64).reshape(len(part), wb)
-            w = min(wa, wb)
+            x, y = arrays_a[wa][place_a[i[part]]], arrays_b[wb][place_b[j[part]]]
             differ = np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum(axis=1, dtype=np.int64)
             out[part] = np.minimum(out[part], (sizes_a[part] + sizes_b[part] - differ) // 2)
     return out
 
 
+def overlap_bounds(sizes_a, maps_a, sizes_b, maps_b) -> np.ndarray:
+    """Upper bounds of the overlaps of pairs of sets, from sizes and bitmaps."""
+    each = np.arange(len(maps_a))
+    return _bounds(np.asarray(sizes_a, np.int64), _packed(maps_a), each, np.asarray(sizes_b, np.int64), _packed(maps_b), each)
+
+
 def _possible(sizes_a, sizes_b, overlap, num, den) -> np.ndarray:
     """Whether an overlap makes (or, as a bound, may make) a link."""
     small, large = np.minimum(sizes_a, sizes_b), np.maximum(sizes_a, sizes_b)
@@ -207,13 +224,17 @@ def _tile_pairs(num, den, only_best: bool):
     tile; 1 and 2: with the other side only.  Compares at growing distance in
     the sorted rows, all tiles of a batch at once.  ``only_best``: of each class in
     a tile just the pair of the highest bound with a foreign component; ``more``
-    says whether the class ``a`` had other candidates there."""
+    says whether the class ``a`` had other candidates there.  Columns after these
+    hold earlier tokens whose tiles the class stands in: a pair that has one in
+    common is left to that tile."""
     def batch_of(sig, i, j, more):
         return pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j]), pa.array(more)], ["a", "b", "more"])
 
     def compare(rows: pa.Table):
         tile, side, sig, comp, n = (rows.column(i).to_numpy() for i in range(5))
-        bits = rows.column(5).to_pylist()
+        bits = _packed(rows.column(5).to_pylist())
+        earlier = [rows.column(k) for k in range(6, rows.num_columns)]
+        earlier = [(x.fill_null(0).to_numpy(), x.is_valid().to_numpy()) for x in earlier]
         alive = np.arange(len(tile))
         held = [np.zeros(0, np.int64) for _ in range(4)]
         gap = 0
@@ -226,9 +247,14 @@ def _tile_pairs(num, den, only_best: bool):
             i, j = i[ok], j[ok]
             if not len(i):
                 continue
-            bound = overlap_bounds(n[i], [bits[k] for k in i], n[j], [bits[k] for k in j])
+            bound = _bounds(n, bits, i, n, bits, j)
             ok = _possible(n[i], n[j], bound, num, den)
             i, j, bound = i[ok], j[ok], bound[ok]
+            ok = np.ones(len(i), bool)
+            for x, is_x in earlier:
+                for y, is_y in earlier:
+                    ok &= ~((x[i] == y[j]) & is_x[i] & is_y[j])
+            i, j, bound = i[ok], j[ok], bound[ok]
             if not len(i):
                 continue
             if not only_best:
@@ -404,15 +430,19 @@ class _Join:
         open_tiles = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                                F.count("*").alias("rows")).where("lo <> hi")
         open_tiles = open_tiles.select("token", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks"))
-        rows = rows.join(open_tiles, "token").join(self.features, "sig")
+        before = Window.partitionBy("sig").orderBy("token")
+        earlier = [f"before{k}" for k in range(1, EARLIER + 1)]
+        rows = rows.join(open_tiles, "token") \
+            .select("*", *[F.lag("token", k).over(before).alias(name) for k, name in enumerate(earlier, 1)]) \
+            .join(self.features, "sig")
         small = rows.where("blocks = 1").select(F.xxhash64("token").alias("tile"), F.lit(0).alias("side"),
-                                                "sig", "comp", "n", "bits")
+                                                "sig", "comp", "n", "bits", *earlier)
         mine = F.pmod(F.xxhash64("sig"), F.col("blocks"))
         large = rows.where("blocks > 1").withColumn("mine", mine) \
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))) \
             .select(F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"),
                     F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
-                    .otherwise(2).alias("side"), "sig", "comp", "n", "bits")
+                    .otherwise(2).alias("side"), "sig", "comp", "n", "bits", *earlier)
         return small.unionByName(large).repartition("tile").sortWithinPartitions("tile", "n") \
             .mapInArrow(_tile_pairs(self.num, self.den, only_best), "a long, b long, more boolean")
 

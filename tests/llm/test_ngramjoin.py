@@ -111,3 +111,24 @@ def test_a_tile_gives_no_more_pairs_than_rows():
     assert sorted(r["a"] for r in best) == list(range(60)) and all(r["more"] for r in best)
     every = [r for b in ngramjoin._tile_pairs(75, 100, False)([batch]) for r in b.to_pylist()]
     assert len(every) == 60 * 59 // 2
+
+
+def test_a_pair_comes_from_its_first_tile_only():
+    """Sets that meet in many tiles: a pair once, not once a tile; none without a common earlier token goes."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(-2**62, 2**62, 100)
+    bits = [ngramjoin._bitmap(np.sort(np.append(base[:95], rng.integers(-2**62, 2**62, 5)))) for _ in range(20)]
+    tiles = {sig: [t for t in range(12) if (sig + t) % 5] for sig in range(20)}     # each lacks some tiles
+    rows = []
+    for sig, own in tiles.items():
+        for k, tile in enumerate(own):
+            rows.append((tile, 0, sig, sig, 100, bits[sig], own[k - 1] if k else None, own[k - 2] if k > 1 else None))
+    rows.sort(key=lambda r: r[0])
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                       ["tile", "side", "sig", "comp", "n", "bits", "before1", "before2"])
+    every = [tuple(sorted((r["a"], r["b"]))) for b in ngramjoin._tile_pairs(75, 100, False)([batch]) for r in b.to_pylist()]
+    assert set(every) == {(a, b) for a in range(20) for b in range(a + 1, 20)}
+    assert len(every) < 1.5 * len(set(every))
