@@ -226,11 +226,42 @@ def _sketched(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), list_array(values, ends, pa.int32())], ["mark", "sketch"])
 
 
-def _under(a, b):
-    """Whether the resemblance of two sketches is surely under ``ALIKE``."""
-    least = F.least(F.size(a), F.size(b))
-    low = F.slice(F.array_sort(F.array_union(a, b)), F.lit(1), least)
-    return F.size(F.array_intersect(F.array_intersect(a, b), low)) < ALIKE * least - 0.5 * F.sqrt(least)
+def _under(a: np.ndarray, b: np.ndarray, keep_a: np.ndarray, keep_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of the masks ``keep_a`` and ``keep_b`` over two sorted sketches:
+    whether the resemblance of what they keep is surely under ``ALIKE``, and the
+    smaller number kept."""
+    both = np.union1d(a, b)
+    in_a, in_b = np.zeros((len(keep_a), len(both)), bool), np.zeros((len(keep_b), len(both)), bool)
+    in_a[:, np.searchsorted(both, a)] = keep_a
+    in_b[:, np.searchsorted(both, b)] = keep_b
+    least = np.minimum(keep_a.sum(axis=1), keep_b.sum(axis=1))
+    low = np.cumsum(in_a | in_b, axis=1, dtype=np.int16) <= least[:, None]
+    return (in_a & in_b & low).sum(axis=1) < ALIKE * least - 0.5 * np.sqrt(least), least
+
+
+def _outside(mask: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` hashes of a sketch don't have their bit in each mask."""
+    return (mask.view(np.uint64)[:, None] >> np.arange(size, dtype=np.uint64)) & np.uint64(1) == 0
+
+
+def _apart(batches):
+    """(key, mark, mask) of (mark, sketch, lead sketch, keys, masks, masks of the
+    lead) where the two texts differ outside the line."""
+    for batch in batches:
+        mark = batch.column(0).to_numpy()
+        (a, a_at), (b, b_at), (key, at), (mask, _), (lead, _) = (
+            (c.flatten().to_numpy(), c.offsets.to_numpy() - c.offsets[0].as_py()) for c in batch.columns[1:])
+        keep = np.zeros(len(key), bool)
+        for r in range(len(mark)):
+            x, y = a[a_at[r]:a_at[r + 1]], b[b_at[r]:b_at[r + 1]]
+            lo, hi = at[r], at[r + 1]
+            under, least = _under(x, y, _outside(mask[lo:hi], len(x)), _outside(lead[lo:hi], len(y)))
+            if (least < OUTSIDE).any():
+                whole, _ = _under(x, y, np.ones((1, len(x)), bool), np.ones((1, len(y)), bool))
+                under = np.where(least < OUTSIDE, whole[0], under)
+            keep[lo:hi] = under
+        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(np.repeat(mark, np.diff(at))[keep]), pa.array(mask[keep])],
+                                         ["key", "mark", "mask"])
 
 
 def _differing(rows: DataFrame, sketch: DataFrame) -> DataFrame:
@@ -239,17 +270,12 @@ def _differing(rows: DataFrame, sketch: DataFrame) -> DataFrame:
     first = rows.groupBy("key").agg(F.min("mark").alias("lead"))
     rows = rows.join(first, "key")
     lead = rows.where("mark = lead").select("key", F.col("mask").alias("lead_mask"))
-    pairs = rows.where("mark <> lead").join(lead, "key") \
+    one = F.col("keys")
+    return rows.where("mark <> lead").join(lead, "key") \
         .groupBy("lead", "mark").agg(F.collect_list(F.struct("key", "mask", "lead_mask")).alias("keys")) \
         .join(sketch, "mark").join(sketch.select(F.col("mark").alias("lead"), F.col("sketch").alias("lead_sketch")), "lead") \
-        .withColumn("alike", ~_under(F.col("sketch"), F.col("lead_sketch"))) \
-        .select("mark", "sketch", "lead_sketch", "alike", F.explode("keys").alias("one")) \
-        .select("mark", "sketch", "lead_sketch", "alike", "one.*") \
-        .withColumn("others", F.expr("filter(sketch, (x, i) -> (shiftright(mask, i) & 1) = 0)")) \
-        .withColumn("lead_others", F.expr("filter(lead_sketch, (x, i) -> (shiftright(lead_mask, i) & 1) = 0)"))
-    few = F.least(F.size("others"), F.size("lead_others")) < OUTSIDE
-    return pairs.where(F.when(few, ~F.col("alike")).otherwise(_under(F.col("others"), F.col("lead_others")))) \
-        .select("key", "mark", "mask")
+        .select("mark", "sketch", "lead_sketch", one["key"].alias("key"), one["mask"].alias("mask"), one["lead_mask"].alias("lead_mask")) \
+        .mapInArrow(_apart, "key long, mark long, mask long")
 
 
 def _in_contexts(where: DataFrame, sketch: DataFrame, folder: str, name: str) -> DataFrame:

@@ -108,3 +108,35 @@ def test_chosen_keys_by_brute_force():
     place, keys = lines._chosen(words, at)
     assert set(place.tolist()) == expected and (keys == grams[place]).all()
     assert lines._chosen(words[:0], at[:1])[0].size == 0
+
+
+def test_texts_apart_by_brute_force():
+    """All keys of a pair of texts at once: sketches without the hashes inside the line."""
+    import numpy as np
+    import pyarrow as pa
+
+    def under(a, b):
+        least = min(len(a), len(b))
+        low = sorted(a | b)[:least]
+        return len([x for x in low if x in a and x in b]) < lines.ALIKE * least - 0.5 * least ** 0.5
+
+    rng = np.random.default_rng(5)
+    rows, expected = [], []
+    for mark in range(60):
+        pool = np.unique(rng.integers(-2**31, 2**31, 130))
+        a, b = (np.sort(rng.choice(pool, int(rng.integers(0, 65)), replace=False)).tolist() for _ in range(2))
+        b = sorted(set(a[:-3] + b[:2])) if mark % 3 == 0 else b
+        keys = rng.integers(-2**63, 2**63 - 1, mark % 5).tolist()
+        spare = [int(rng.integers(-2**63, 2**63 - 1)) | (-1 << int(rng.integers(0, 64))) for _ in keys]
+        masks = spare if mark % 2 else [m & int(rng.integers(-2**63, 2**63 - 1)) for m in spare]
+        leads = rng.integers(-2**63, 2**63 - 1, len(keys)).tolist()
+        rows.append((mark, a, b, keys, masks, leads))
+        for key, mask, lead in zip(keys, masks, leads):
+            x = {v for i, v in enumerate(a) if not mask >> i & 1}
+            y = {v for i, v in enumerate(b) if not lead >> i & 1}
+            if under(set(a), set(b)) if min(len(x), len(y)) < lines.OUTSIDE else under(x, y):
+                expected.append((key, mark, mask))
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], list("abcdef"))
+    got = [tuple(r.values()) for part in (batch.slice(0, 7), batch.slice(7)) for b in lines._apart([part]) for r in b.to_pylist()]
+    assert got == expected and 10 < len(got) < sum(len(r[3]) for r in rows)
