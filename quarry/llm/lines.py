@@ -45,6 +45,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -335,21 +336,23 @@ def _dropped(text_at: int, drop_at: int, names: tuple[str, str]):
     def run(batches):
         for batch in slices(batches, text_at):
             text, drops = batch.column(text_at), batch.column(drop_at).to_pylist()
-            row, line, keys, usable, _ = line_templates(text, masks=False)
-            words, at = word_hashes(text)
-            ends = np.searchsorted(row, np.arange(len(text) + 1))
-            out, total, gone = [], [], []
-            for r, one in enumerate(text.to_pylist()):
-                lines, n = one.split("\n") if one else [], 0
-                total.append(len(lines))
-                if drops[r]:
-                    a, b = ends[r], ends[r + 1]
-                    hit = (np.isin(keys[a:b], drops[r]) & usable[a:b]).any(axis=1)
-                    cover = _covered(words[at[r]:at[r + 1]], drops[r])
-                    left, n = _kept(lines, set(line[a:b][hit].tolist()), cover.tolist() if cover.any() else [])
-                    one = "\n".join(left) if n else one
-                gone.append(n)
-                out.append(one)
+            some = [r for r, own in enumerate(drops) if own]        # only these need parsing
+            part = text.take(pa.array(some, pa.int64()))
+            row, line, keys, usable, _ = line_templates(part, masks=False)
+            words, at = word_hashes(part)
+            ends = np.searchsorted(row, np.arange(len(some) + 1))
+            total = np.where(pc.fill_null(pc.binary_length(text), 0).to_numpy() > 0,
+                             pc.fill_null(pc.count_substring(text, "\n"), 0).to_numpy() + 1, 0)
+            out, gone = text.to_pylist(), np.zeros(len(text), np.int64)
+            for k, r in enumerate(some):
+                if not out[r]:
+                    continue
+                a, b = ends[k], ends[k + 1]
+                hit = (np.isin(keys[a:b], drops[r]) & usable[a:b]).any(axis=1)
+                cover = _covered(words[at[k]:at[k + 1]], drops[r])
+                left, gone[r] = _kept(out[r].split("\n"), set(line[a:b][hit].tolist()), cover.tolist() if cover.any() else [])
+                if gone[r]:
+                    out[r] = "\n".join(left)
             columns = [batch.column(i) for i in range(batch.num_columns) if i != drop_at]
             columns[text_at] = pa.array(out, pa.string())
             labels = [n for i, n in enumerate(batch.schema.names) if i != drop_at]

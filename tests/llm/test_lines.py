@@ -140,3 +140,17 @@ def test_texts_apart_by_brute_force():
     batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], list("abcdef"))
     got = [tuple(r.values()) for part in (batch.slice(0, 7), batch.slice(7)) for b in lines._apart([part]) for r in b.to_pylist()]
     assert got == expected and 10 < len(got) < sum(len(r[3]) for r in rows)
+
+
+def test_only_texts_with_drops_are_parsed(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    texts = [None, "", "a b c\n", "x y z\na b c\nlast one here", "\n\n"] + ["q r s"] * 20
+    key = lines.line_templates(pa.array(["a b c"]))[2][0][:1].tolist()
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([key, key, None, key, []] + [None] * 20, pa.list_(pa.int64()))],
+                                       ["text", "drop"])
+    parsed, real = [], lines.line_templates
+    monkeypatch.setattr(lines, "line_templates", lambda column, **kw: parsed.append(len(column)) or real(column, **kw))
+    got = [tuple(r.values()) for b in lines._dropped(0, 1, ("n", "gone"))([batch]) for r in b.to_pylist()]
+    assert got == [(None, 0, 0), ("", 0, 0), ("a b c\n", 2, 0), ("x y z\nlast one here", 3, 1), ("\n\n", 3, 0)] + [("q r s", 1, 0)] * 20
+    assert parsed == [3]
