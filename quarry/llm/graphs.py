@@ -12,25 +12,22 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """``edges(a, b)`` (bigint, undirected) -> ``(node, comp)`` for every node
     that has an edge; ``comp`` is the smallest node of its component.
 
-    Alternates two steps until no edge changes (both keep connectivity):
+    Alternates two steps until the edges are stars (both keep connectivity):
     *large star* links the larger neighbours of a node to the smallest node of
     its neighbourhood, *small star* the smaller ones and the node itself.  The
     result is one star per component around its smallest node; the number of
-    rounds grows with the logarithm of the component size.  Minima are partial
+    rounds grows with the logarithm of the component size, and edges that are
+    stars already need none.  Minima are partial
     aggregates and the joins carry two integers a row, so a node with very many
     edges is split like any skewed join key.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")) \
         .where("a is not null and b is not null and a <> b")
     now = stored(_down(pairs).distinct(), folder, f"{name}-0")
-    state = _state(now)
     step = 0
-    while True:
+    while not _are_stars(now):
         step += 1
         now = stored(_small_star(_large_star(now)), folder, f"{name}-{step}")
-        before, state = state, _state(now)
-        if state == before:
-            break
     tails = now.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     heads = now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     return tails.unionByName(heads)
@@ -41,9 +38,13 @@ def _down(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.select(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
-                              F.sum(F.xxhash64("v", "u").bitwiseAND(F.lit(0xFFFFFFFF)))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node is the larger end of no edge, or of one and the smaller
+    end of none: then every edge leads to the smallest node of its component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or up = 1 and down = 1").agg(F.count("*")).first()[0] == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -56,6 +57,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
+    # of distinct edges each u has one to its least neighbour: that row stays (u, m), the others become (v, m)
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    return edges.join(least, "u") \
+        .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()

@@ -313,27 +313,6 @@ def _sets(batches):
                 [pa.array(signs, pa.int64()), list_array(np.concatenate(sets), ends, pa.int64())], ["sig", "items"])
 
 
-def _linked(num, den):
-    """Exact test of (a, b, items_a, items_b): overlap of the sorted arrays."""
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            xs, ys = x.flatten().to_numpy(), y.flatten().to_numpy()
-            xo = x.offsets.to_numpy() - x.offsets[0].as_py()
-            yo = y.offsets.to_numpy() - y.offsets[0].as_py()
-            ok = np.zeros(len(x), bool)
-            for r in range(len(x)):
-                s, t = xs[xo[r]:xo[r + 1]], ys[yo[r]:yo[r + 1]]
-                if len(s) > len(t):
-                    s, t = t, s
-                spot = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                both = int((t[spot] == s).sum())
-                ok[r] = both * (den + num) >= num * (len(s) + len(t))
-            keep = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-    return run
-
-
 def _either_way(pairs: DataFrame) -> DataFrame:
     """The distinct pairs, each once whatever its direction."""
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -350,8 +329,9 @@ class _Join:
         self.tab = stored(self.docs.mapInArrow(
             _sketches, "doc_id long, n long, sig long, keys array<long>, bits binary"), self.folder, "sketches")
         full = self.tab.where("n > 0")
-        self.features = full.select("sig", "n", "bits").dropDuplicates(["sig"])
-        self.reps = full.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+        each = stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+                      self.folder, "classes")         # every round joins it
+        self.features, self.reps = each.select("sig", "n", "bits"), each.select("sig", "rep")
         self.label = None               # (sig, comp) of the classes with a link
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -364,8 +344,9 @@ class _Join:
             .join(needed, "sig", "left_semi").dropDuplicates(["sig"])
         left = sets.select(F.col("sig").alias("a"), F.col("items").alias("x"))
         right = sets.select(F.col("sig").alias("b"), F.col("items").alias("y"))
-        links = stored(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-                       .mapInArrow(_linked(self.num, self.den), "a long, b long"), self.folder, f"{name}-links")
+        enough = F.size(F.array_intersect("x", "y")).cast("long") * (self.den + self.num) >= (F.size("x") + F.size("y")).cast("long") * self.num
+        links = stored(pairs.select("a", "b").join(left, "a").join(right, "b").where(enough).select("a", "b"),
+                       self.folder, f"{name}-links")
         self.done()
         return links
 
@@ -435,15 +416,13 @@ class _Join:
         rows = rows.join(open_tiles, "token") \
             .select("*", *[F.lag("token", k).over(before).alias(name) for k, name in enumerate(earlier, 1)]) \
             .join(self.features, "sig")
-        small = rows.where("blocks = 1").select(F.xxhash64("token").alias("tile"), F.lit(0).alias("side"),
-                                                "sig", "comp", "n", "bits", *earlier)
         mine = F.pmod(F.xxhash64("sig"), F.col("blocks"))
-        large = rows.where("blocks > 1").withColumn("mine", mine) \
+        tiles = rows.withColumn("mine", mine) \
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))) \
             .select(F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"),
                     F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
                     .otherwise(2).alias("side"), "sig", "comp", "n", "bits", *earlier)
-        return small.unionByName(large).repartition("tile").sortWithinPartitions("tile", "n") \
+        return tiles.repartition("tile").sortWithinPartitions("tile", "n") \
             .mapInArrow(_tile_pairs(self.num, self.den, only_best), "a long, b long, more boolean")
 
     def run(self) -> DataFrame:

@@ -132,3 +132,19 @@ def test_a_pair_comes_from_its_first_tile_only():
     every = [tuple(sorted((r["a"], r["b"]))) for b in ngramjoin._tile_pairs(75, 100, False)([batch]) for r in b.to_pylist()]
     assert set(every) == {(a, b) for a in range(20) for b in range(a + 1, 20)}
     assert len(every) < 1.5 * len(set(every))
+
+
+def test_edges_that_are_stars_need_no_round(spark, tmp_path):
+    """Stars are their own components; others are joined until they are stars."""
+    from quarry.llm.graphs import components
+
+    def run(edges, name):
+        out = components(spark.createDataFrame(edges, "a long, b long"), f"file://{tmp_path}", name)
+        return sorted(map(tuple, out.collect())), sorted(p.name for p in tmp_path.glob(f"{name}-*"))
+    found, tables = run([(1, 5), (7, 1), (5, 1), (2, 9), (4, 4), (None, 3)], "stars")
+    assert found == [(1, 1), (2, 2), (5, 1), (7, 1), (9, 2)] and tables == ["stars-0"]
+    found, tables = run([(8, 9), (9, 3), (3, 6), (6, 1), (20, 21), (22, 21), (22, 30)], "chains")
+    assert found == [*((n, 1) for n in (1, 3, 6, 8, 9)), *((n, 20) for n in (20, 21, 22, 30))]
+    assert len(tables) > 1
+    found, tables = run([(5, 1), (5, 2)], "two")            # one larger end, two smaller ones
+    assert found == [(1, 1), (2, 1), (5, 1)] and len(tables) > 1
