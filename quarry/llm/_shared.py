@@ -73,12 +73,28 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
-SLICE = 4 << 20             # bytes of text that array work handles at a time
+_kept: dict = {}            # what this worker keeps between its tasks
 
 
-def slices(batches, at: int):
+def kept(key, build):
+    """What ``build`` made for ``key`` in this worker process.  One thing is kept at a
+    time: that of another key goes before a new one is built."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
+SLICE = 1 << 20             # bytes of text that array work handles at a time
+
+
+def slices(batches, at: int, keeps: bool = False):
     """The batches in runs of rows with about ``SLICE`` bytes of the text column
-    ``at``: arrays over words are several times as large as the text."""
+    ``at``: arrays over words are several times as large as the text.  Workers serve
+    one operator after the other: unless the task itself ``keeps`` something in its
+    worker, what an earlier operator kept there goes."""
+    if not keeps:
+        _kept.clear()
     for batch in batches:
         _, offsets = text_bytes(batch.column(at))
         row = 0

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm._shared import slices
+from quarry.llm._shared import kept, slices
 
 SYMBOLS = 40_000
 TOTAL = 400_000
@@ -126,7 +126,12 @@ class Parser:
             self.roots.append(base)
             base += len(table)
         # row 0 of the first language is never a target, so 0 stays "none"
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        self.table = np.empty(base * self.width, np.int32)
+        at = 0
+        while tables:                   # each goes once it is copied
+            table = tables.pop(0).ravel()
+            self.table[at:at + len(table)] = table
+            at += len(table)
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(symbols of all texts, pointers)."""
@@ -187,22 +192,16 @@ class Parser:
         return names, scores
 
 
-_parsers: dict[tuple[tuple[str, str], ...], Parser] = {}
-
-
 def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     """The parser of this worker process.  That of other samples goes before a new
-    one is built, so a worker never holds two."""
-    if samples not in _parsers:
-        _parsers.clear()
-        _parsers[samples] = Parser(samples)
-    return _parsers[samples]
+    one is built, so a worker never holds two, and the tasks of other operators let it go."""
+    return kept(("parser", samples), lambda: Parser(samples))
 
 
 def _identified(samples, text_at: int, names: tuple[str, str]):
     def run(batches):
         own = parser(samples)
-        for batch in slices(batches, text_at):
+        for batch in slices(batches, text_at, keeps=True):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             langs, scores, at, size = [], [], 0, 0
             for i, text in enumerate(texts):

@@ -123,3 +123,18 @@ def test_working_memory_is_of_a_slice_not_of_a_batch():
         return top
     peak(10)
     assert peak(24_000) < 2 * peak(2_000)
+
+
+def test_other_operators_let_the_parser_go():
+    """A worker that goes on to another operator does not hold the parser any more."""
+    import pyarrow as pa
+
+    from quarry.llm import _shared, lines
+
+    samples = (("aa", "one two three four"), ("bb", "uno dos tres cuatro"))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["one two", "uno dos"])], ["doc_id", "text"])
+    own = langid.parser(samples)
+    found = list(langid._identified(samples, 1, ("lang", "score"))([batch]))
+    assert found[0].column(2).to_pylist() == ["aa", "bb"] and langid.parser(samples) is own
+    list(lines._sketched([batch]))
+    assert not _shared._kept
