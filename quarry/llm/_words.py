@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from quarry.llm._shared import text_bytes
 
-SEGMENT = 1 << 20          # bytes hashed at a time: bounds the working arrays
+SEGMENT = 1 << 18          # bytes hashed at a time: the working arrays stay in the cache
 SHINGLE = 5                # words per shingle
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -25,6 +25,7 @@ _BASE = int(_RNG.integers(1, 2**62)) * 4 + 1
 _STEP = np.uint64(int(_RNG.integers(1, 2**62)) * 4 + 1)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+_BYTE[SPACE] = 0           # so a word may be summed with the white space after it
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,55 +54,69 @@ FIELD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _segment_hashes(data: np.ndarray, heads: np.ndarray, fields: bool):
-    """Start positions and hashes of the words of ``data``, and how many line
-    feeds stand before each; ``heads`` are the positions where a new text begins
-    (a word never runs over one).  With ``fields``, words with a digit or an @
-    all get one hash."""
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """Start positions and hashes of the words of ``data``; ``heads`` are the
+    positions where a new text begins (a word never runs over one).  With
+    ``fields``, also how many line feeds stand before each word, and the words
+    with a digit or an @."""
+    none = np.zeros(0, np.int64)
     solid = ~SPACE[data]
-    after = np.empty(n, bool)           # a word can begin here
-    after[0] = True
-    after[1:] = ~solid[:-1]
-    after[heads[heads < n]] = True
+    after = np.ones(len(data), bool)    # a word can begin here
+    np.logical_not(solid[:-1], out=after[1:])
+    after[heads[heads < len(data)]] = True
     starts = np.flatnonzero(solid & after)
-    stop = np.empty(n, bool)            # a word can end after this byte
-    stop[-1] = True
-    stop[:-1] = ~solid[1:]
-    stop[heads[(heads > 0) & (heads <= n)] - 1] = True
-    ends = np.flatnonzero(solid & stop) + 1
-    power, inverse = _powers(max(SEGMENT, n))
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
-    feeds = np.zeros(0, np.int64)
-    if fields:
-        feeds = np.searchsorted(np.flatnonzero(data == 10), starts)
-        marks = np.flatnonzero(VARIES[data])
-        hashes[np.searchsorted(marks, ends) > np.searchsorted(marks, starts)] = FIELD
-    return starts, hashes, feeds
+    if not len(starts):
+        return none, np.zeros(0, np.uint64), none, none
+    power, inverse = _powers(max(SEGMENT, len(data)))
+    values = _BYTE[data]
+    values *= power[:len(data)]
+    hashes = mix(np.add.reduceat(values, starts) * inverse[starts])
+    if not fields:
+        return starts, hashes, none, none
+    feeds = np.searchsorted(starts, np.flatnonzero(data == 10))
+    feeds = np.cumsum(np.bincount(feeds, minlength=len(starts) + 1))[:len(starts)]
+    return starts, hashes, feeds, np.unique(np.searchsorted(starts, np.flatnonzero(VARIES[data]), "right") - 1)
 
 
 def word_hashes(column: pa.Array, fields: bool = False):
     """(hashes of all words in row order, row pointers) of a text column; with
-    ``fields`` also the line number of each word in its row."""
+    ``fields`` words with a digit or an @ all get one hash, and the line number
+    of each word in its row is added."""
+    if not fields:
+        return _hashed(column, False)[:2]
+    _, *found = line_words(column)
+    return tuple(found)
+
+
+def line_words(column: pa.Array):
+    """(hashes of all words, the same with those of words with a digit or an @ made
+    one, row pointers, line numbers), parsed once."""
+    plain, pointers, lines, varies = _hashed(column, True)
+    words = plain.copy()
+    words[varies] = FIELD
+    return plain, words, pointers, lines
+
+
+def _hashed(column: pa.Array, fields: bool):
+    """(hashes, row pointers, line numbers, places of the words with a digit or an @)
+    of all words; the last two only with ``fields``."""
     data, offsets = text_bytes(column)
     rows = len(column)
     parts, lines, counts = [], [], np.zeros(rows, np.int64)
-    row = 0
+    varied, done, row = [np.zeros(0, np.int64)], 0, 0
     while row < rows:
         last = int(np.searchsorted(offsets, offsets[row] + SEGMENT, "right")) - 1
         if last > row:                  # several whole texts
             lo, hi = offsets[row], offsets[last]
             piece = data[lo:hi]
             heads = offsets[row:last + 1] - lo
-            starts, hashes, feeds = _segment_hashes(piece, heads[:-1], fields)
-            owner = np.searchsorted(heads, starts, "right") - 1
-            counts[row:last] = np.bincount(owner, minlength=last - row)
+            starts, hashes, feeds, varies = _segment_hashes(piece, heads[:-1], fields)
+            own = np.diff(np.searchsorted(starts, heads))
+            counts[row:last] = own
             parts.append(hashes)
+            varied.append(varies + done)
+            done += len(hashes)
             if fields:
-                lines.append(feeds - np.searchsorted(np.flatnonzero(piece == 10), heads)[owner])
+                lines.append(feeds - np.repeat(np.searchsorted(np.flatnonzero(piece == 10), heads[:-1]), own))
             row = last
             continue
         at, end = int(offsets[row]), int(offsets[row + 1])   # one long text, in pieces
@@ -111,9 +126,11 @@ def word_hashes(column: pa.Array, fields: bool = False):
             while cut < end and not SPACE[data[cut]]:        # only between words
                 gap = np.flatnonzero(SPACE[data[cut:min(cut + SEGMENT, end)]])
                 cut = cut + int(gap[0]) if len(gap) else min(cut + SEGMENT, end)
-            _, hashes, feeds = _segment_hashes(data[at:cut], np.zeros(0, np.int64), fields)
+            _, hashes, feeds, varies = _segment_hashes(data[at:cut], np.zeros(0, np.int64), fields)
             counts[row] += len(hashes)
             parts.append(hashes)
+            varied.append(varies + done)
+            done += len(hashes)
             if fields:
                 lines.append(feeds + before)
                 before += int((data[at:cut] == 10).sum())
@@ -121,9 +138,7 @@ def word_hashes(column: pa.Array, fields: bool = False):
         row += 1
     pointers = np.concatenate([[0], np.cumsum(counts)])
     words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    if fields:
-        return words, pointers, np.concatenate(lines) if lines else np.zeros(0, np.int64)
-    return words, pointers
+    return words, pointers, np.concatenate(lines) if lines else np.zeros(0, np.int64), np.concatenate(varied)
 
 
 def shingle_run(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:

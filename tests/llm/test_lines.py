@@ -154,3 +154,54 @@ def test_only_texts_with_drops_are_parsed(monkeypatch):
     got = [tuple(r.values()) for b in lines._dropped(0, 1, ("n", "gone"))([batch]) for r in b.to_pylist()]
     assert got == [(None, 0, 0), ("", 0, 0), ("a b c\n", 2, 0), ("x y z\nlast one here", 3, 1), ("\n\n", 3, 0)] + [("q r s", 1, 0)] * 20
     assert parsed == [3]
+
+
+def test_keys_are_dealt_in_few_rows_and_none_of_two_texts_is_lost(monkeypatch):
+    """One parse; whatever a task holds of a bucket."""
+    import numpy as np
+    import pyarrow as pa
+    shared = [prose(90_000 + k, 15) for k in range(6)]
+    texts = [None, "", "one two"] + ["\n".join([prose(91_000 + i, 70), shared[i % 6], shared[i % 4]]) for i in range(40)]
+    texts += texts[5:9]
+    marks = [texts.index(t) for t in texts]
+    emitted = lambda: lines._emitted([pa.RecordBatch.from_arrays([pa.array(marks), pa.array(texts)], ["mark", "text"])])
+    plain, words, at, line = lines.line_words(pa.array(texts))
+    row, _, keys, usable, first, stop = lines._parsed(words, at, line)
+    place, chosen = lines._chosen(plain, at)
+    stand: dict = {}
+    for r, own, use in zip(row.tolist(), keys.tolist(), usable.tolist()):
+        for key, ok in zip(own, use):
+            if ok:
+                stand.setdefault(key, set()).add(marks[r])
+    for p, key in zip(place.tolist(), chosen.view(np.int64).tolist()):
+        stand.setdefault(key, set()).add(marks[int(np.searchsorted(at, p, "right")) - 1])
+    expected = {(key, mark) for key, own in stand.items() if len(own) > 1 for mark in own}
+    assert len(expected) > 40
+    monkeypatch.setattr(lines, "_BUCKET", np.uint64(62))    # four buckets
+    for deal, hold in ((1 << 19, 1 << 21), (50, 1 << 21), (50, 20)):
+        monkeypatch.setattr(lines, "DEAL", deal)
+        monkeypatch.setattr(lines, "HOLD", hold)
+        dealt = pa.Table.from_batches(list(emitted())).sort_by("bucket")
+        if deal > 50:
+            assert dealt.num_rows <= len(texts) + 4
+        found = [r for b in lines._several(dealt.to_batches(max_chunksize=3)) for r in b.to_pylist()]
+        rows = [(r["key"], r["mark"]) for r in found if r["key"] is not None]
+        assert set(rows) == expected and (hold == 20 or len(rows) == len(expected))
+        sketch = [(r["mark"], r["sketch"]) for r in found if r["key"] is None]
+        want = lines.sketches(words, at, lines.small_run(words))
+        assert sorted(sketch) == sorted((m, want[m].tolist()) for m in set(marks))
+    assert sum(x == [] for _, x in sketch) == 2
+
+
+def test_sketches_by_brute_force():
+    """Also of texts that repeat few shingles many times, and of very short ones."""
+    import numpy as np
+    import pyarrow as pa
+    texts = ["a b " * 400, prose(95_000, 400), "a b", "", prose(95_001, 70), "x y z " * 30 + prose(95_002, 300), "u v w x y"]
+    _, words, at, _ = lines.line_words(pa.array(texts))
+    run = lines.small_run(words)
+    got = lines.sketches(words, at, run)
+    for r, (a, b) in enumerate(zip(at[:-1], at[1:])):
+        if b - a >= 5:
+            assert got[r].tolist() == np.unique(run[a:b - 4])[:lines.SKETCH].tolist()
+    assert [len(got[r]) for r in (0, 2, 3, 6)] == [2, 1, 0, 1]
