@@ -39,11 +39,23 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/quarry-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` as Parquet to ``folder``/``name`` and read it back: cuts the
-    lineage, survives lost executors and is compressed, unlike a checkpoint."""
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
+    lineage, survives lost executors and is compressed, unlike a checkpoint.  The
+    write's shuffle files go with its end: nothing reads them again."""
+    path, conf = f"{folder}/{name}", df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
