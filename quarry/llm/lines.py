@@ -82,7 +82,7 @@ def line_templates(column: pa.Array, masks: bool = True):
     row, number, keys, usable, first, stop = _parsed(words, at, line)
     if not masks:
         return row, number, keys, usable, np.zeros(len(first), np.int64)
-    return row, number, keys, usable, inside(*_sketched(words, at, small_run(words))[2:], first, stop)
+    return row, number, keys, usable, inside(*_sketch(words, at, small_run(words))[2:], first, stop)
 
 
 def _parsed(words: np.ndarray, at: np.ndarray, line: np.ndarray):
@@ -107,7 +107,7 @@ def _parsed(words: np.ndarray, at: np.ndarray, line: np.ndarray):
     return owner[first], line[first], keys.view(np.int64), usable, first, first + count
 
 
-def _sketched(words: np.ndarray, at: np.ndarray, run: np.ndarray):
+def _sketch(words: np.ndarray, at: np.ndarray, run: np.ndarray):
     """(hashes, pointers, places, bits): the ``SKETCH`` smallest distinct hashes of each
     row's shingles ``run``, of under five words the one of all; where shingles of these
     hashes begin, and their bits."""
@@ -150,7 +150,7 @@ def _smallest(run: np.ndarray, at: np.ndarray, below: np.ndarray):
 
 def sketches(words: np.ndarray, at: np.ndarray, run: np.ndarray) -> list[np.ndarray]:
     """The sketch of each row."""
-    values, ends, _, _ = _sketched(words, at, run)
+    values, ends, _, _ = _sketch(words, at, run)
     return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
@@ -260,14 +260,14 @@ def _dealt(parts):
         yield packed(held)
 
 
-def _emitted(batches):
+def _sketched(batches):
     """Templates, chosen keys of passages and sketches of (mark, text)."""
     def parts():
         for batch in slices(batches, 1):
             plain, words, at, line = line_words(batch.column(1))
             row, _, keys, usable, first, stop = _parsed(words, at, line)
             place, chosen = _chosen(plain, at)
-            values, ends, spots, bits = _sketched(words, at, small_run(words))
+            values, ends, spots, bits = _sketch(words, at, small_run(words))
             mask = inside(spots, bits, np.append(first, place), np.append(stop, place + GRAM))
             mask, own = mask[:len(first)], mask[len(first):]
             row, key, mask = _once(np.append(np.repeat(row, WAYS)[usable.ravel()], np.searchsorted(at, place, "right") - 1),
@@ -290,7 +290,7 @@ def _passages(batches):
                 a, b = int(at[r]), max(int(at[r + 1]) - GRAM + 1, int(at[r]))
                 hit[a:b] = _among(grams[a:b], keys.values.to_numpy())
             place = np.flatnonzero(_slide(hit, PASSAGE - GRAM + 1, np.logical_or) & runs)
-            _, _, spots, bits = _sketched(words, at, small_run(words))
+            _, _, spots, bits = _sketch(words, at, small_run(words))
             row, key, mask = _once(np.searchsorted(at, place, "right") - 1, _grams(plain, PASSAGE)[place].view(np.int64),
                                    inside(spots, bits, place, place + PASSAGE))
             yield (batch.column(0).to_numpy()[row], key, mask), None, None
@@ -565,7 +565,7 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text",
     mark = F.xxhash64(F.col(text_col))
     texts = docs.select(mark.alias("mark"), F.col(text_col).alias("text"))
     kind = "bucket int, keys binary, marks binary, masks binary, sketch array<int>"
-    both = _found(texts.mapInArrow(_emitted, kind), folder, "found")
+    both = _found(texts.mapInArrow(_sketched, kind), folder, "found")
     sketch = both.where("sketch is not null").select("mark", "sketch")
     found = stored(_recurring(both, sketch, folder, "found"), folder, "hits")
     passage = F.col("key").bitwiseAND(F.lit(2)) == 2

@@ -164,7 +164,7 @@ def test_keys_are_dealt_in_few_rows_and_none_of_two_texts_is_lost(monkeypatch):
     texts = [None, "", "one two"] + ["\n".join([prose(91_000 + i, 70), shared[i % 6], shared[i % 4]]) for i in range(40)]
     texts += texts[5:9]
     marks = [texts.index(t) for t in texts]
-    emitted = lambda: lines._emitted([pa.RecordBatch.from_arrays([pa.array(marks), pa.array(texts)], ["mark", "text"])])
+    emitted = lambda: lines._sketched([pa.RecordBatch.from_arrays([pa.array(marks), pa.array(texts)], ["mark", "text"])])
     plain, words, at, line = lines.line_words(pa.array(texts))
     row, _, keys, usable, first, stop = lines._parsed(words, at, line)
     place, chosen = lines._chosen(plain, at)
